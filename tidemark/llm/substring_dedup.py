@@ -112,7 +112,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS
     runs = given.mapInArrow(lambda it: _runs(it, span, min_words), "h1 long, h2 int, doc_id long, version long, place int")
     at = F.struct("doc_id", "version", "place")
     repeated = kept(runs.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first"))
-    return runs.join(small_side(repeated, SMALL_ROWS), ["h1", "h2"]).where(at != F.col("first")).select("doc_id", "version", "place").distinct()
+    return runs.join(repeated, ["h1", "h2"]).where(at != F.col("first")).select("doc_id", "version", "place").distinct()
 
 
 def without_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:

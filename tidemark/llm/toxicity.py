@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
+from tidemark.llm._store import small_side
 
 BITS = 18
 SIZES = (3, 4, 5, 6)
@@ -28,6 +29,8 @@ FIT_ROWS = 1500
 #: A log-count ratio counts if it is so many of its standard errors from none.
 MIN_Z = 2.5
 PARTS = 16
+#: Labels up to this number are broadcast (16 MB); beyond it Spark joins by shuffle.
+SMALL_ROWS = 1_000_000
 _LOW = np.arange(256, dtype=np.uint8)
 _LOW[65:91] += 32
 _LOW[[0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = 0x20
@@ -143,7 +146,7 @@ class NgramModel:
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> NgramModel:
     """A model from documents (doc_id, text) and labels (doc_id, label 0 or 1)."""
     pairs = labels.where("doc_id is not null and label in (0, 1)").select("doc_id", F.col("label").cast("long").alias("label")).distinct()
-    taught = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text")).join(pairs, "doc_id").select("text", "label", "doc_id")
+    taught = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text")).join(small_side(pairs, SMALL_ROWS), "doc_id")
     schema = "label long, part long, n binary"
     sums = taught.select("text", "label").mapInArrow(_class_counts, schema).repartition("label", "part").mapInArrow(_summed, schema).collect()  # two arrays of fixed size
     n, texts = np.zeros((2, 1 << BITS)), np.zeros(2)
