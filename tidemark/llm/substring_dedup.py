@@ -1,9 +1,9 @@
 """Substring dedup over sliding runs of sentences.
 
 A sentence ends at a word that closes with . ! or ? (quotes and brackets may
-follow), at a newline, or with the text. Every run of `span` consecutive
-sentences with at least `min_words` words is hashed over its words, so case of
-A-Z and white space don't count. Runs are joined globally; the first by
+follow), at a newline, or with the text; one of more than `LONG` words is divided further. From every sentence
+the shortest run of at least `span` consecutive sentences and `min_words` words is
+hashed over its words, so case of A-Z and white space don't count. Runs are joined globally; the first by
 (doc_id, place) stays, and every sentence that a later one covers is removed
 with the white space behind it. The rest of the text stays as it is.
 
@@ -23,6 +23,8 @@ from tidemark.llm._store import kept, small_side
 
 SPAN = 3
 MIN_WORDS = 12
+#: A sentence of more words (tables, lists, text without stops) is divided behind about every eighth word, chosen by its hash.
+LONG = 24
 SMALL_ROWS = 200_000
 
 _STOP = np.zeros(256, dtype=bool)
@@ -46,22 +48,29 @@ def sentences(data: np.ndarray, offsets: np.ndarray):
     stop = _STOP[inner] | (breaks[following] > breaks[ends])
     stop[bounds[1:][np.diff(bounds) > 0] - 1] = True
     end = np.flatnonzero(stop) + 1
+    size = np.diff(end, prepend=0)
+    if (size > LONG).any():  # divided where its own words say, so that equal passages are divided alike
+        stop |= np.repeat(size > LONG, size) & (hashes >> np.uint64(61) == 0)
+        end = np.flatnonzero(stop) + 1
     first = np.concatenate([[0], end[:-1]])
     return first, end, np.searchsorted(first, bounds), (starts, ends, hashes, bounds)
 
 
+def run_ends(first: np.ndarray, end: np.ndarray, span: int, min_words: int) -> np.ndarray:
+    """For each sentence the end (a sentence number) of the shortest run from it with `span` sentences and `min_words` words."""
+    return np.maximum(np.arange(len(first)) + span, np.searchsorted(end, first + min_words) + 1)
+
+
 def _runs(batches, span: int, min_words: int):
     for batch in batches:
         for row, end_row, data, offsets in _text.string_slices(batch, "text"):
             first, end, at, (_, _, hashes, _) = sentences(data, offsets)
             size = np.diff(at)
-            full = np.maximum(size - span + 1, 0)
-            doc = np.repeat(np.arange(end_row - row), full)
-            place = np.arange(full.sum()) - np.repeat(np.cumsum(full) - full, full)
-            s = place + np.repeat(at[:-1], full)
-            a, b = first[s], end[s + span - 1] if len(s) else s
-            good = b - a >= min_words
-            a, b, doc, place = a[good], b[good], doc[good], place[good]
+            doc = np.repeat(np.arange(end_row - row), size)
+            place = np.arange(len(first)) - np.repeat(at[:-1], size)
+            to = run_ends(first, end, span, min_words)
+            good = np.flatnonzero(to <= np.repeat(at[1:], size))
+            a, b, doc, place = first[good], end[to[good] - 1], doc[good], place[good]
             h1 = _text.range_hash(hashes, a, b)
             h2 = (_text.range_hash(_text.mix(hashes), a, b) >> np.uint64(33)).astype(np.int32)
             for i in range(0, len(a), 50_000):
@@ -70,13 +79,14 @@ def _runs(batches, span: int, min_words: int):
                 yield pa.RecordBatch.from_arrays([pa.array(h1[part].view(np.int64)), pa.array(h2[part]), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(place[part].astype(np.int32))], names=["h1", "h2", "doc_id", "version", "place"])
 
 
-def _remove(batches, span: int, keep: list[str]):
+def _remove(batches, span: int, min_words: int, keep: list[str]):
     for batch in batches:
         index = {n: i for i, n in enumerate(batch.schema.names)}
         texts, spans = batch.column(index["text"]).to_pylist(), batch.column(index["__places"]).to_pylist()
         total, gone, out = [0] * len(texts), [0] * len(texts), list(texts)
         for row, end_row, data, offsets in _text.string_slices(batch, "text"):
-            first, _, at, (starts, _, _, _) = sentences(data, offsets)
+            first, end, at, (starts, _, _, _) = sentences(data, offsets)
+            to = run_ends(first, end, span, min_words)
             for i in range(row, end_row):
                 k = i - row
                 total[i] = n = int(at[k + 1] - at[k])
@@ -85,7 +95,7 @@ def _remove(batches, span: int, keep: list[str]):
                 cover = np.zeros(n + 1, np.int64)
                 places = np.array(spans[i])
                 np.add.at(cover, places, 1)
-                np.add.at(cover, np.minimum(places + span, n), -1)
+                np.add.at(cover, np.minimum(to[at[k] + places] - at[k], n), -1)
                 drop = np.cumsum(cover)[:n] > 0
                 gone[i] = int(drop.sum())
                 own = data[offsets[k] : offsets[k + 1]]
@@ -123,4 +133,4 @@ def without_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = M
     both = both.withColumn("text", F.col("text").cast("string")).select(*(F.col(f"`{c}`") for c in docs.columns), "__places")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" if f.name != "text" else "text string" for f in docs.schema]
     keep = docs.columns
-    return both.mapInArrow(lambda it: _remove(it, span, keep), ", ".join([*fields, "__sentences long", "__removed long"]))
+    return both.mapInArrow(lambda it: _remove(it, span, min_words, keep), ", ".join([*fields, "__sentences long", "__removed long"]))
