@@ -13,8 +13,9 @@
    pivot is linked to it; only documents outside and those whose distance to
    the pivot is within the threshold of an outside one go on, split between
    two pivots with the boundary replicated to both sides, recursively.
-4. A region whose sets outgrow one task is first joined to its pivot as a
-   distributed join; what the pivot leaves open is joined block by block.
+4. Regions that share documents are joined as one, so that a set is sent once.
+   Where that outgrows a task the regions are joined one by one: first to their
+   pivots, as a distributed join; what a pivot leaves open, block by block.
 5. Links (a spanning set of each region's links) are merged by connected
    components.
 
@@ -104,7 +105,7 @@ def _prefixes(batches, size: int, percent: int, frequent):
 
 def _set_rows(batches, size: int):
     for rows, sets in _sets(batches, size):
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["x", "words"])
+        yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([s.tobytes() for s in sets], pa.binary())], names=["x", "region", "words"])
 
 
 class _Union:
@@ -132,19 +133,19 @@ def region_links(sets: list[np.ndarray], percent: int, split: int = 48) -> list[
     size = np.array([len(s) for s in sets])
     _, flat = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(size)])
-    mark = np.zeros(int(flat.max()) + 1 if len(flat) else 1, dtype=np.int64)
+    # postings: the members that hold each word, so that a pivot meets only the sets it shares words with
+    member = np.repeat(np.arange(m), size)[np.argsort(flat, kind="stable")]
+    posting = np.concatenate([[0], np.cumsum(np.bincount(flat))])
     eps = 1 - percent / 100 + 1e-9
     forest, links = _Union(m), []
 
     def against(p: int, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distances of a cell to a pivot; links to it are made."""
         own = flat[starts[p] : starts[p + 1]]
-        mark[own] = 1
-        n = size[cell]
-        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(starts[:-1][cell], n)
-        both = np.add.reduceat(mark[flat[at]], np.concatenate([[0], np.cumsum(n)[:-1]]))
-        mark[own] = 0
-        union = n + size[p] - both
+        n = posting[own + 1] - posting[own]
+        at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(posting[own], n)
+        both = np.bincount(member[at], minlength=m)[cell]
+        union = size[cell] + size[p] - both
         near = 100 * both >= percent * union
         links.extend((int(p), int(x)) for x in cell[near] if x != p and forest.join(int(p), int(x)))
         return 1 - both / union, near
@@ -178,25 +179,25 @@ def region_links(sets: list[np.ndarray], percent: int, split: int = 48) -> list[
     return links
 
 
-def _grouped(batches, keys: list[str]):
-    """Runs of rows with equal keys, from batches sorted by them; keeps one group at a time."""
+def _grouped(batches):
+    """The rows (x, words) of each region, from batches sorted by region; one region at a time."""
     now, group = None, []
     for batch in batches:
-        cols = [batch.column(batch.schema.get_field_index(k)).to_pylist() for k in keys]
-        rest = [batch.column(i).to_pylist() for i, name in enumerate(batch.schema.names) if name not in keys]
-        for row in zip(zip(*cols), *rest):
-            if row[0] != now:
+        x, words = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        for i, region in enumerate(batch.column(1).to_pylist()):
+            region = tuple(region.values())
+            if region != now:
                 if group:
-                    yield now, group
-                now, group = row[0], []
-            group.append(row[1:])
+                    yield group
+                now, group = region, []
+            group.append((x[i], words[i]))
     if group:
-        yield now, group
+        yield group
 
 
 def _join_regions(batches, percent: int):
     a, b = [], []
-    for _, rows in _grouped(batches, ["p", "i", "j"]):
+    for rows in _grouped(batches):
         for i, j in region_links([np.frombuffer(w, dtype=np.uint64) for _, w in rows], percent):
             a.append(rows[i][0])
             b.append(rows[j][0])
@@ -218,12 +219,31 @@ def _to_pivot(batches, percent: int):
         yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(x, pa.int64()), pa.array(1 - both / np.maximum(union, 1)), pa.array(100 * both >= percent * union)], names=["p", "x", "d", "near"])
 
 
-def _dealt(members: DataFrame, weights: DataFrame, block_bytes: int) -> DataFrame:
-    """(p, i, j, x): a region over `block_bytes` is cut into blocks, and each pair of blocks is a group of its own."""
-    blocks = weights.select("p", F.ceil(F.col("bytes") / block_bytes).cast("int").alias("nb"))
+def _with_sets(docs: DataFrame, at: DataFrame, size: int) -> DataFrame:
+    """(x, region, words): the documents of `at` (x, region) with their sets, read from their texts."""
+    at = at.withColumnRenamed("x", "doc_id")
+    return docs.join(small_side(at, SMALL_ROWS), "doc_id").select("doc_id", "text", "region").mapInArrow(lambda it: _set_rows(it, size), "x long, region struct<r:bigint,i:int,j:int>, words binary")
+
+
+def _blocks(members: DataFrame, bytes_of: DataFrame, block_bytes: int) -> DataFrame:
+    """(x, region): a region over `block_bytes` is cut into blocks, and each pair of blocks is a group of its own."""
+    blocks = members.join(bytes_of, "x").groupBy("p").agg(F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("nb"))
     at = members.join(blocks, "p").withColumn("own", F.pmod(F.xxhash64("x"), F.col("nb")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other")
-    return at.select("p", "x", "own", other).select("p", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "x")
+    at = at.select("p", "x", "own", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
+    return at.select("x", F.struct(F.col("p").alias("r"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("region"))
+
+
+def _large_regions(docs: DataFrame, regions: DataFrame, bytes_of: DataFrame, size: int, percent: int, block_bytes: int) -> DataFrame:
+    """(a, b): links of chains too large for one task, pivot by pivot: first the distances to the pivot, then what it leaves open in blocks."""
+    members = kept(regions.union(regions.select(F.col("p").alias("x"), "p").distinct()).select("p", "x"))
+    wanted = members.select("x").distinct().withColumn("region", F.struct(F.lit(0).cast("long").alias("r"), F.lit(0).alias("i"), F.lit(0).alias("j")))
+    sets = kept(_with_sets(docs, wanted, size).select("x", "words"))
+    pivots = sets.select(F.col("x").alias("p"), F.col("words").alias("pivot"))
+    far = kept(members.where("x <> p").join(sets, "x").join(pivots, "p").select("p", "x", "words", "pivot").mapInArrow(lambda it: _to_pivot(it, percent), "p long, x long, d double, near boolean"))
+    reach = far.where("not near").groupBy("p").agg((F.min("d") - (1 - percent / 100) - 1e-9).alias("least"))
+    at = _blocks(kept(far.join(reach, "p").where("not near or d >= least").select("p", "x")), bytes_of, block_bytes)
+    near = at.join(sets, "x").select("x", "region", "words").repartition("region").sortWithinPartitions("region")
+    return far.where("near").select(F.col("p").alias("a"), F.col("x").alias("b")).union(near.mapInArrow(lambda it: _join_regions(it, percent), "a long, b long"))
 
 
 def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -248,26 +268,16 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, block_byt
     cells = prefixes.select(F.col("doc_id").alias("x"), F.xxhash64("doc_id").alias("h"), F.explode("prefix").alias("token"))
     pivot = F.first("x").over(W.partitionBy("token").orderBy("h", "x"))
     regions = kept(cells.select("x", pivot.alias("p")).where("x <> p").distinct())
-    members = regions.union(regions.select(F.col("p").alias("x"), "p").distinct()).select("p", "x")
-
-    wanted = small_side(members.select(F.col("x").alias("doc_id")).distinct(), SMALL_ROWS)
-    sets = kept(docs.join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: _set_rows(it, size), "x long, words binary"))
-    weights = members.join(sets.select("x", F.length("words").alias("bytes")), "x").groupBy("p").agg(F.sum("bytes").alias("bytes"))
-    weights = kept(weights)
-    large = weights.where(F.col("bytes") > block_bytes).select("p")
-    links, dealt = [], _dealt(members.join(weights.where(F.col("bytes") <= block_bytes), "p", "left_semi"), weights, block_bytes)
+
+    bytes_of = classes.groupBy(F.col("rep").alias("x")).agg((8 * F.sum("n")).alias("bytes"))
+    chained = kept(components(regions).select(F.col("node").alias("x"), F.col("component").alias("r")))
+    large = kept(chained.join(bytes_of, "x").groupBy("r").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > block_bytes).select("r"))
+    whole = chained.join(small_side(large, SMALL_ROWS), "r", "left_anti")
+    joined = "a long, b long"
+    near = _with_sets(docs, whole.select("x", F.struct("r", F.lit(0).alias("i"), F.lit(0).alias("j")).alias("region")), size)
+    merged = near.repartition("region").sortWithinPartitions("region").mapInArrow(lambda it: _join_regions(it, percent), joined)
     if not large.isEmpty():
-        pivots = sets.select(F.col("x").alias("p"), F.col("words").alias("pivot"))
-        far = members.join(large, "p", "left_semi").where("x <> p").join(sets, "x").join(pivots, "p").select("p", "x", "words", "pivot")
-        far = kept(far.mapInArrow(lambda it: _to_pivot(it, percent), "p long, x long, d double, near boolean"))
-        links.append(far.where("near").select(F.col("p").alias("a"), F.col("x").alias("b")))
-        reach = far.where("not near").groupBy("p").agg((F.min("d") - (1 - percent / 100) - 1e-9).alias("least"))
-        open_ = far.join(reach, "p").where("not near or d >= least").select("p", "x")
-        heavy = open_.join(sets.select("x", F.length("words").alias("bytes")), "x").groupBy("p").agg(F.sum("bytes").alias("bytes"))
-        dealt = dealt.union(_dealt(open_, heavy, block_bytes))
-    near = dealt.join(sets, "x").select("p", "i", "j", "x", "words").repartition("p", "i", "j").sortWithinPartitions("p", "i", "j")
-    links.append(near.mapInArrow(lambda it: _join_regions(it, percent), "a long, b long"))
-    merged = links[0] if len(links) == 1 else links[0].union(links[1])
+        merged = merged.union(_large_regions(docs, regions.join(chained.join(large, "r", "left_semi"), "x", "left_semi"), bytes_of, size, percent, block_bytes))
     found = components(merged).select(F.col("node").alias("rep"), F.col("component").alias("least"))
     named = classes.join(found, "rep", "left").select("n", "f1", "f2", F.coalesce("least", "rep").alias("least"))
     out = prints.join(named, ["n", "f1", "f2"], "left")
