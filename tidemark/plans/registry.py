@@ -28,3 +28,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return _SQL
+
+
+from tidemark.plans import media  # noqa: E402, F401  registers its queries
