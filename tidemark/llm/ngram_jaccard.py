@@ -8,14 +8,16 @@
    document of least hash in the cell is its pivot and every document of the
    cell belongs to the pivot's Voronoi region. A document near several pivots
    is replicated to each of their regions, and every linked pair meets in one.
-3. Inside a region distances to pivots are computed exactly. The triangle
-   inequality then cuts the region into windows: what is within reach of the
-   pivot is linked to it; only documents outside and those whose distance to
+3. Members of a region are first held apart by their distances to fixed pivots:
+   the classes of a hash partition of all shingles (`sketch`). By the triangle
+   inequality these rule out most pairs exactly and cut the regions into small
+   chains of documents that may be similar; only their sets are sent, once each.
+4. In a chain distances to pivots are computed exactly: what is within reach
+   of a pivot is linked to it; only documents outside and those whose distance to
    the pivot is within the threshold of an outside one go on, split between
-   two pivots with the boundary replicated to both sides, recursively.
-4. Regions that share documents are joined as one, so that a set is sent once.
-   Where that outgrows a task the regions are joined one by one: first to their
-   pivots, as a distributed join; what a pivot leaves open, block by block.
+   two pivots with the boundary replicated to both sides, recursively. A chain
+   that outgrows a task is joined to its regions' pivots as a distributed join;
+   what a pivot leaves open is joined block by block.
 5. Links (a spanning set of each region's links) are merged by connected
    components.
 
@@ -46,6 +48,8 @@ MAX_FREQUENT = 1 << 18
 #: Ids up to this number are broadcast (16 MB); beyond it Spark joins by shuffle.
 SMALL_ROWS = 1_000_000
 BLOCK_BYTES = 24 << 20
+#: Members of a region compared by their sketches in one task; larger regions go block by block.
+BLOCK_ROWS = 4_000
 
 
 def _sets(batches, size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -88,6 +92,55 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def sketch(words: np.ndarray) -> np.ndarray:
+    """How many shingles a set has in each of 64, 128, ... hash classes, about one class for eight shingles.
+
+    The classes are disjoint pivots: by the triangle inequality the differences
+    of two sketches add up to no more than the sets' symmetric difference.
+    """
+    level = min(max(0, (len(words) // 8 - 1).bit_length() - 6), 6)
+    return np.bincount((_text.mix(words) >> np.uint64(58 - level)).astype(np.int64), minlength=64 << level).astype(np.uint16)
+
+
+def sketch_links(sizes: np.ndarray, sketches: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """A spanning set of the pairs whose sketches leave it open that they are similar enough."""
+    m, forest, links = len(sizes), _Union(len(sizes)), []
+    level = np.array([len(s) for s in sketches])
+    at = {k: np.flatnonzero(level == k) for k in np.unique(level)}
+    own = {k: np.stack([sketches[i] for i in v]).astype(np.int32) for k, v in at.items()}
+    # a set of the next level is compared in the coarser classes; farther levels differ too much in size
+    coarse = {k: x.reshape(len(x), -1, 2).sum(2) for k, x in own.items()}
+    root = np.arange(m)
+    for i in range(m):
+        k = level[i]
+        row = sketches[i].astype(np.int32)
+        for other, matrix, mine in ((k, own, row), (2 * k, coarse, row), (k // 2, own, row.reshape(-1, 2).sum(1))):
+            if other not in at:
+                continue
+            j = at[other]
+            open_ = np.flatnonzero((root[j] != root[i]) & (100 * np.minimum(sizes[j], sizes[i]) >= percent * np.maximum(sizes[j], sizes[i])))
+            if not len(open_):
+                continue
+            apart = np.abs(matrix[other][open_] - mine).sum(1)
+            for x in j[open_[apart * (100 + percent) <= (sizes[j[open_]] + sizes[i]) * (100 - percent)]].tolist():
+                if forest.join(i, x):
+                    links.append((i, x))
+                    root[root == max(root[i], root[x])] = min(root[i], root[x])
+    return links
+
+
+def _sketch_regions(batches, percent: int):
+    a, b = [], []
+    for rows in _grouped(batches):
+        pairs = sketch_links(np.array([r[1][0] for r in rows]), [np.frombuffer(r[1][1], np.uint16) for r in rows], percent)
+        a += [rows[i][0] for i, _ in pairs]
+        b += [rows[j][0] for _, j in pairs]
+        if len(a) > 50_000:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            a, b = [], []
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _prefixes(batches, size: int, percent: int, frequent):
     known, count = frequent.value
     for rows, sets in _sets(batches, size):
@@ -100,7 +153,7 @@ def _prefixes(batches, size: int, percent: int, frequent):
                 if weight.any():
                     s = s[np.lexsort((s, weight))]
             out.append(s[:k].copy())
-        yield pa.RecordBatch.from_arrays([rows.column(0), _text.long_array(out)], names=["doc_id", "prefix"])
+        yield pa.RecordBatch.from_arrays([rows.column(0), _text.long_array(out), pa.array([sketch(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "prefix", "sketch"])
 
 
 def _set_rows(batches, size: int):
@@ -180,10 +233,11 @@ def region_links(sets: list[np.ndarray], percent: int, split: int = 48) -> list[
 
 
 def _grouped(batches):
-    """The rows (x, words) of each region, from batches sorted by region; one region at a time."""
+    """The rows (x, third column) of each region, from batches sorted by region; one region at a time."""
     now, group = None, []
     for batch in batches:
-        x, words = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+        x = batch.column(0).to_pylist()
+        words = [tuple(w.values()) for w in batch.column(2).to_pylist()] if pa.types.is_struct(batch.column(2).type) else batch.column(2).to_pylist()
         for i, region in enumerate(batch.column(1).to_pylist()):
             region = tuple(region.values())
             if region != now:
@@ -246,7 +300,7 @@ def _large_regions(docs: DataFrame, regions: DataFrame, bytes_of: DataFrame, siz
     return far.where("near").select(F.col("p").alias("a"), F.col("x").alias("b")).union(near.mapInArrow(lambda it: _join_regions(it, percent), "a long, b long"))
 
 
-def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of `docs` (doc_id, text).
 
     Two documents link when 100 * |A & B| >= percent * |A | B|; component_id is
@@ -264,16 +318,21 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, block_byt
     frequent = spark.sparkContext.broadcast((tokens[order], often["seen"].to_numpy(np.int64)[order]))
 
     reps = small_side(classes.select(F.col("rep").alias("doc_id")).distinct(), SMALL_ROWS)
-    prefixes = docs.where("doc_id is not null").mapInArrow(lambda it: _prefixes(it, size, percent, frequent), "doc_id long, prefix array<long>").join(reps, "doc_id", "left_semi")
+    prefixes = docs.where("doc_id is not null").mapInArrow(lambda it: _prefixes(it, size, percent, frequent), "doc_id long, prefix array<long>, sketch binary")
+    prefixes = kept(prefixes.join(reps, "doc_id", "left_semi"))
     cells = prefixes.select(F.col("doc_id").alias("x"), F.xxhash64("doc_id").alias("h"), F.explode("prefix").alias("token"))
     pivot = F.first("x").over(W.partitionBy("token").orderBy("h", "x"))
     regions = kept(cells.select("x", pivot.alias("p")).where("x <> p").distinct())
+    members = regions.union(regions.select(F.col("p").alias("x"), "p").distinct()).select("p", "x")
 
+    joined = "a long, b long"
     bytes_of = classes.groupBy(F.col("rep").alias("x")).agg((8 * F.sum("n")).alias("bytes"))
-    chained = kept(components(regions).select(F.col("node").alias("x"), F.col("component").alias("r")))
+    light = classes.select(F.col("rep").alias("x"), F.lit(1).alias("bytes")).distinct()
+    drawn = prefixes.select(F.col("doc_id").alias("x"), "sketch").join(classes.select(F.col("rep").alias("x"), "n"), "x").select("x", F.struct("n", "sketch").alias("held"))
+    at = _blocks(members, light, block_rows).join(drawn, "x").select("x", "region", "held").repartition("region").sortWithinPartitions("region")
+    chained = kept(components(at.mapInArrow(lambda it: _sketch_regions(it, percent), joined)).select(F.col("node").alias("x"), F.col("component").alias("r")))
     large = kept(chained.join(bytes_of, "x").groupBy("r").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > block_bytes).select("r"))
     whole = chained.join(small_side(large, SMALL_ROWS), "r", "left_anti")
-    joined = "a long, b long"
     near = _with_sets(docs, whole.select("x", F.struct("r", F.lit(0).alias("i"), F.lit(0).alias("j")).alias("region")), size)
     merged = near.repartition("region").sortWithinPartitions("region").mapInArrow(lambda it: _join_regions(it, percent), joined)
     if not large.isEmpty():
