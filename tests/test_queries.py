@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SMALL, TINY, same_as_sql
+from compare import SMALL, TINY, same_as_sql
 
 from tidemark.plans import registry
 
