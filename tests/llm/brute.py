@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import random
 import re
 from collections import defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def prose(r: random.Random, n: int, names: int = 400) -> list[str]:
+    return ["w%d" % r.randrange(names) for _ in range(n)]
+
+
 def low(text: str) -> str:
     return re.sub("[A-Z]", lambda m: m[0].lower(), text)
 

@@ -5,10 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-
-
-def prose(r: random.Random, n: int, names: int = 400) -> list[str]:
-    return ["w%d" % r.randrange(names) for _ in range(n)]
+from brute import prose
 
 
 @pytest.fixture(scope="session")

@@ -38,3 +38,14 @@ def bounded(df: DataFrame, rows: int) -> bool:
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """df with a broadcast hint if it has at most `rows` rows (of a few fixed-width columns), else df as it is."""
     return F.broadcast(df) if bounded(df, rows) else df
+
+
+def wrapped(docs: DataFrame, *own: str) -> DataFrame:
+    """The columns `own` and, in one struct __rest, the others, whose names then can't clash with any."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in own]
+    return docs.select(*own, (F.struct(*rest) if rest else F.lit(0)).alias("__rest"))
+
+
+def unwrapped(df: DataFrame, columns: list[str], *own: str) -> DataFrame:
+    """The `columns` that wrapped() put away, in their order."""
+    return df.select(*(F.col(c) if c in own else F.col("__rest").getField(c).alias(c) for c in columns))

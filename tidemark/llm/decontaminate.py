@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
-from tidemark.llm._store import kept, small_side
+from tidemark.llm._store import kept, small_side, unwrapped, wrapped
 
 #: Shingles of the items held against the documents at a time (8 bytes each, with their item 12).
 BLOCK_SHINGLES = 2_000_000
@@ -138,4 +138,5 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = 5, percent: i
 def without_items(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs`, all columns kept, whose doc_id has no contained item."""
     hit = kept(contained_items(docs, items, size, percent).select(F.col("doc_id").alias("__hit")).distinct())
-    return docs.join(small_side(hit, SMALL_ROWS), docs["doc_id"] == F.col("__hit"), "left_anti")
+    left = wrapped(docs, "doc_id").join(small_side(hit, SMALL_ROWS), F.col("doc_id") == F.col("__hit"), "left_anti")
+    return unwrapped(left, docs.columns, "doc_id")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import kept, small_side
+from tidemark.llm._store import kept, small_side, unwrapped, wrapped
 
 MAX_LEVELS = 24
 SMALL_ROWS = 300_000
@@ -116,5 +116,5 @@ def without_repeated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
 
     A document of which only white space is left has its text in earlier ones and goes; one that had no text before stays.
     """
-    out = line_report(docs, min_lines)
-    return out.where(F.col("__lines").isNull() | (F.trim(F.col("text"), F.lit("\t\n\x0b\x0c\r ")) != "")).select(*(F.col(f"`{c}`") for c in docs.columns))
+    out = line_report(wrapped(docs, "doc_id", "text"), min_lines)
+    return unwrapped(out.where(F.col("__lines").isNull() | (F.trim(F.col("text"), F.lit("\t\n\x0b\x0c\r ")) != "")), docs.columns, "doc_id", "text")

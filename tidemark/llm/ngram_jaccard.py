@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
-from tidemark.llm._store import kept, small_side
+from tidemark.llm._store import kept, small_side, unwrapped, wrapped
 from tidemark.llm.components import components
 
 CHUNK = 4_000_000
@@ -347,4 +347,5 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` that are the smallest doc_id of their component, all columns kept; repeated rows of one doc_id stay once if their texts are equal."""
     classes = jaccard_classes(docs, size, percent)
     gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(small_side(gone, SMALL_ROWS), docs["doc_id"] == F.col("__gone"), "left_anti")
+    left = wrapped(docs, "doc_id").join(small_side(gone, SMALL_ROWS), F.col("doc_id") == F.col("__gone"), "left_anti")
+    return unwrapped(left, docs.columns, "doc_id")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
-from tidemark.llm._store import small_side
+from tidemark.llm._store import small_side, unwrapped, wrapped
 
 BITS = 18
 SIZES = (3, 4, 5, 6)
@@ -191,4 +191,4 @@ def score(docs: DataFrame, model: NgramModel, name: str = "score") -> DataFrame:
 
 def without_toxic(docs: DataFrame, model: NgramModel, at_least: float = 0.5) -> DataFrame:
     """The rows of `docs`, all columns kept, whose score is below `at_least`."""
-    return score(docs, model, "__score").where(F.col("__score") < at_least).drop("__score")
+    return unwrapped(score(wrapped(docs, "text"), model, "__score").where(F.col("__score") < at_least), docs.columns, "text")
