@@ -128,9 +128,10 @@ def _pack(batches, capacity: int):
     """Rows of a task, grouped by `part`, with bin and offset; and the partition's bins and bound."""
     import pyarrow.compute as pc
 
-    rows = pa.Table.from_batches(list(batches))
-    if not rows.num_rows:
+    held = [b for b in batches if b.num_rows]
+    if not held:
         return
+    rows = pa.Table.from_batches(held)
     part = rows.column("part").to_numpy()
     for p in np.unique(part):
         own = rows.filter(pc.equal(rows.column("part"), int(p))).combine_chunks()
