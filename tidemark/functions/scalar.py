@@ -39,3 +39,9 @@ def range_errors(minimum: int, maximum: int) -> Column:
     ))
     bad = F.col("start_frame").isNull() | F.col("end_frame").isNull() | (F.col("start_frame") < 0) | (duration <= 0)
     return F.when(bad, F.array(F.lit("invalid half-open frame range"))).otherwise(reasons)
+
+
+def seconds_to_frame(seconds: Column, fps: str, mode: str = "nearest") -> Column:
+    """Exact decimal product as a frame: "nearest" (halves up), "floor" or "ceil"."""
+    product = seconds.cast("decimal(20,6)") * F.lit(fps).cast("decimal(10,5)")
+    return {"nearest": lambda x: F.round(x, 0), "floor": F.floor, "ceil": F.ceil}[mode](product).cast("long")

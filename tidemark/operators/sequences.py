@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+
 def _order():
     return W.partitionBy("source_id").orderBy("idx")
 
@@ -83,3 +84,32 @@ def rebase(words: DataFrame, clips: DataFrame, bucket_ms: int = 60_000) -> DataF
     c = clips.withColumn("bucket", buckets(F.col("clip_start"), F.col("clip_end")))
     both = w.join(c, ["source_id", "bucket"]).where("end_ms > clip_start and start_ms < clip_end").where(F.floor(F.greatest("start_ms", "clip_start") / bucket_ms) == F.col("bucket"))
     return both.select("source_id", "clip_id", "word", F.greatest(F.lit(0), F.col("start_ms") - F.col("clip_start")).alias("start_ms"), (F.least("end_ms", "clip_end") - F.col("clip_start")).alias("end_ms"), F.col("idx").alias("parent_idx"), F.col("start_ms").alias("parent_start_ms"), F.col("end_ms").alias("parent_end_ms"))
+
+
+def _frame(ms, fps: int, half: str):
+    """Frame of a time in milliseconds: halves to the even frame ("even") or up ("up")."""
+    return F.bround(ms * F.lit(fps).cast("decimal(6,0)") / F.lit(1000).cast("decimal(4,0)"), 0).cast("long") if half == "even" else F.floor((ms * fps * 2 + 1000) / 2000).cast("long")
+
+
+def cue_frames(cues: DataFrame, totals: DataFrame, fps: int = 30, least: int = 8) -> DataFrame:
+    """(source_id, number, start_frame, end_frame, text): each cue lasts to the next one's start (0.4 s for the last), `least` frames, and not beyond the source's total; cues left empty go."""
+    order = W.partitionBy("source_id").orderBy("number")
+    own = cues.select("source_id", "number", "text", _frame(F.col("start_ms"), fps, "even").alias("start_frame"), _frame(F.col("end_ms"), fps, "even").alias("own_end"))
+    end = F.coalesce(F.lead("start_frame").over(order), F.col("own_end") + round(0.4 * fps))
+    own = own.withColumn("end_frame", F.greatest(F.col("start_frame") + least, end)).join(totals, "source_id")
+    own = own.withColumn("end_frame", F.least("end_frame", "total"))
+    return own.where("start_frame < total and end_frame > start_frame").select("source_id", "number", "start_frame", "end_frame", "text")
+
+
+def caption_pages(pages: DataFrame, show_from: int, hide_from: int, fps: int = 30, trim: int = 0, tail: int = 9) -> DataFrame:
+    """(source_id, number, start_frame, end_frame): pages (start_ms, end_ms of the last token) stay until their words end and a tail, the next page, or `hide_from`; none shows before `show_from`."""
+    order = W.partitionBy("source_id").orderBy("number")
+    own = pages.select("source_id", "number", (_frame(F.col("start_ms"), fps, "up") - trim).alias("start"), (_frame(F.col("end_ms"), fps, "up") - trim).alias("spoken"))
+    end = F.least(F.lit(hide_from), F.coalesce(F.lead("start").over(order), F.lit(hide_from)), F.col("spoken") + tail)
+    out = own.select("source_id", "number", F.greatest("start", F.lit(show_from)).cast("long").alias("start_frame"), end.cast("long").alias("end_frame"))
+    return out.where("end_frame > start_frame")
+
+
+def caption_tokens(words: DataFrame) -> DataFrame:
+    """(source_id, idx, token): words as caption tokens; all but a source's first begin with a blank."""
+    return words.select("source_id", "idx", F.when(F.col("idx") == 0, F.col("word")).otherwise(F.concat(F.lit(" "), F.col("word"))).alias("token"))

@@ -42,3 +42,65 @@ def smooth(track: DataFrame, window: int = 5) -> DataFrame:
     first, last = F.first("cx").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)), F.last("cx").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
     total = F.sum("cx").over(order.rowsBetween(-r, r)) + F.greatest(F.lit(0), r + 1 - i) * first + F.greatest(F.lit(0), i + r - n) * last
     return track.select("source_id", "shot_id", "frame", total.cast("long").alias("total"))
+
+
+def fill(track: DataFrame, default: int) -> DataFrame:
+    """(source_id, shot_id, frame, cx): missing values on the line between their neighbours by row, ends held, `default` where a shot has none. In thousandths."""
+    order = W.partitionBy("source_id", "shot_id").orderBy("frame")
+    own = track.withColumn("i", F.row_number().over(order))
+    known = F.when(F.col("cx").isNotNull(), F.struct("i", "cx"))
+    own = own.withColumn("a", F.last(known, True).over(order.rowsBetween(W.unboundedPreceding, 0))).withColumn("b", F.first(known, True).over(order.rowsBetween(0, W.unboundedFollowing)))
+    line = F.expr("case when a is null and b is null then null when a is null then b.cx * 1000 when b is null or a.i = b.i then a.cx * 1000 else a.cx * 1000 + (b.cx - a.cx) * 1000 * (i - a.i) div (b.i - a.i) end")
+    return own.select("source_id", "shot_id", "frame", F.coalesce(line, F.lit(default * 1000)).cast("long").alias("cx"))
+
+
+def _fold(track: DataFrame, state: str, step: str, name: str) -> DataFrame:
+    """A fold over each shot's values in order; a step sees `acc.s` (the state, null at first) and `x.v`. A shot is the unit of work: its rows are one array."""
+    own = track.groupBy("source_id", "shot_id").agg(F.array_sort(F.collect_list(F.struct("frame", F.col(name).alias("v")))).alias("items"))
+    out = f"aggregate(items, named_struct('s', cast(null as {state}), 'out', cast(array() as array<struct<frame:bigint,v:bigint>>)), (acc, x) -> {step}).out"
+    return own.select("source_id", "shot_id", F.inline(F.expr(out))).select("source_id", "shot_id", "frame", F.col("v").alias(name))
+
+
+def dead_zone(track: DataFrame, radius: int, name: str = "cx") -> DataFrame:
+    """The value holds while the input stays within `radius` of it, else follows at that distance."""
+    v = f"if(acc.s is null, x.v, least(greatest(acc.s, x.v - {radius}L), x.v + {radius}L))"
+    return _fold(track, "bigint", f"named_struct('s', {v}, 'out', array_append(acc.out, named_struct('frame', x.frame, 'v', {v})))", name)
+
+
+def limit_motion(track: DataFrame, velocity: int, acceleration: int, name: str = "cx") -> DataFrame:
+    """The value follows with at most `velocity` a row, which changes by at most `acceleration` a row; it starts at rest."""
+    wanted = f"least(greatest(x.v - acc.s.v, -{velocity}L), {velocity}L)"
+    speed = f"least(greatest(acc.s.d + least(greatest({wanted} - acc.s.d, -{acceleration}L), {acceleration}L), -{velocity}L), {velocity}L)"
+    d, v = f"if(acc.s is null, 0L, {speed})", f"if(acc.s is null, x.v, acc.s.v + {speed})"
+    return _fold(track, "struct<v:bigint,d:bigint>", f"named_struct('s', named_struct('v', {v}, 'd', {d}), 'out', array_append(acc.out, named_struct('frame', x.frame, 'v', {v})))", name)
+
+
+def crop_track(samples: DataFrame, width: int, crop: int, window: int = 5, radius: int = 20_000, velocity: int = 60_000, acceleration: int = 25_000) -> DataFrame:
+    """(source_id, shot_id, frame, cx, x): filled, smoothed, held in a dead zone and limited centres, and the crop's left edge inside the source; in thousandths."""
+    smoothed = smooth(fill(samples, width // 2), window).select("source_id", "shot_id", "frame", F.expr(f"total div {window}").alias("cx"))
+    moved = limit_motion(dead_zone(smoothed, radius), velocity, acceleration)
+    x = F.least(F.greatest(F.col("cx") - crop * 500, F.lit(0)), F.lit((width - crop) * 1000))
+    return moved.withColumn("x", x.cast("long"))
+
+
+def track_errors(crops: DataFrame, videos: DataFrame, out_width: int, out_height: int) -> DataFrame:
+    """(source_id, passed, errors) of crop frames (source_id, frame, x, y, width, height) against videos (source_id, w, h, total): order, count, and the first offending frame."""
+    aspect = out_width / out_height
+    rule = (
+        F.when((F.col("width") <= 0) | (F.col("height") <= 0), "non-positive crop")
+        .when((F.col("x") < -0.5) | (F.col("y") < -0.5), "crop origin outside source")
+        .when((F.col("x") + F.col("width") > F.col("w") + 0.5) | (F.col("y") + F.col("height") > F.col("h") + 0.5), "crop exceeds source bounds")
+        .when(F.abs(F.col("width") / F.col("height") - aspect) > 0.01, "crop aspect does not match output")
+    )
+    # the video's row is joined by key, so a track's rows shuffle once for both the join and the sums
+    own = crops.join(videos, "source_id").withColumn("rule", rule)
+    wrong = F.when(F.col("rule").isNotNull(), F.col("frame"))
+    sums = own.groupBy("source_id").agg(F.min("frame").alias("least"), F.max("frame").alias("most"), F.count("*").alias("n"), F.count_distinct("frame").alias("d"), F.min(wrong).alias("at"), F.min_by("rule", wrong).alias("rule"))
+    both = videos.join(sums, "source_id", "left")
+    errors = F.when(F.col("n").isNull(), F.array(F.lit("no frame records"))).otherwise(F.array_compact(F.array(
+        F.when((F.col("d") < F.col("n")) | (F.col("most") - F.col("least") + 1 != F.col("n")), "frame records are not continuous"),
+        F.when(F.col("least") != 0, "frame records must start at 0"),
+        F.when(F.col("n") != F.col("total"), F.format_string("expected %d records, found %d", "total", "n")),
+        F.when(F.col("rule").isNotNull(), F.format_string("frame %d: %s", "at", "rule")),
+    )))
+    return both.select("source_id", (F.size(errors) == 0).alias("passed"), F.array_join(errors, "; ").alias("errors"))

@@ -30,4 +30,4 @@ def oracle_sql() -> dict[str, str]:
     return _SQL
 
 
-from tidemark.plans import media  # noqa: E402, F401  registers its queries
+from tidemark.plans import checks, footage, media  # noqa: E402, F401  they register their queries

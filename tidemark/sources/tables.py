@@ -37,3 +37,59 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = table(spark, sf_dir, "events").withColumn("frame", frame).withColumn("k", first).where("k = 1")
     cx = F.when(F.col("event_type") != "error", F.floor(F.col("value") * 16).cast("long") % 1920)
     return own.select(F.col("user_id").alias("source_id"), "frame", F.floor(F.col("frame") / 240).alias("shot_id"), cx.alias("cx"), (F.col("event_id") % 100).alias("confidence"))
+
+
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of scene-change logs, many sources: source_id, line_no, line. Views give a time (every 50th is unreadable), clicks fire, the rest is chatter."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) - 1704067200000000
+    ms = F.floor(micros / 1_000_000).cast("long")
+    time = F.format_string("[scene @ 0x1] n:1 pts_time:%d.%03d ", F.floor(ms / 1000), ms % 1000)
+    bad = F.lit("[scene @ 0x1] n:1 pts_time:N/A")
+    line = F.when(F.col("event_type") == "view", F.when(F.col("event_id") % 50 == 0, bad).otherwise(time)).when(F.col("event_type") == "click", "lavfi.scene_score=0.5").otherwise("frame= 10 fps=0.0")
+    return table(spark, sf_dir, "events").select(F.col("user_id").alias("source_id"), F.col("event_id").alias("line_no"), line.alias("line"))
+
+
+def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source_id, total): frames of every source on the scene logs' grid."""
+    micros = F.unix_micros(F.col("ts").cast("timestamp")) - 1704067200000000
+    frame = F.floor(F.floor(micros / 1_000_000) * 25 / 1000).cast("long")
+    return table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("source_id")).agg((F.max(frame) - 40).alias("total")).where("total > 0")
+
+
+def media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered media and what was expected of them, one a part."""
+    k = F.col("p_partkey")
+    pick = lambda n, *v: F.get(F.array(*(F.lit(x) for x in v)), (k % n).cast("int"))
+    return table(spark, sf_dir, "part").select(
+        k.alias("media_id"), pick(3, 1080, 720, 1920).alias("width"), pick(3, 1920, 1280, 1080).alias("height"), pick(5, "30000/1001", "30/1", "0/0", "junk", "25").alias("rate"), (k * 7 % 1000).cast("long").alias("frames"),
+        pick(4, 1080, 1080, 0, 1080).alias("want_width"), pick(4, 1920, 1920, 1920, 1920).alias("want_height"), pick(7, 30.0, 29.97, 0.0, 25.0, 30.0, 30.0, 30.0).alias("want_fps"), (k * 7 % 1000 + k % 4 - 1).cast("long").alias("want_frames"),
+        F.when(k % 13 != 0, -(k % 70)).alias("mean_db"), (-(k % 30)).alias("lufs"), F.when(k % 17 != 0, -(k % 5) / 10).alias("peak"), (-(k * 3 % 90)).alias("edge_db"),
+    )
+
+
+def media_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(media_id, log): texts with none to seven black stretches."""
+    k = F.col("p_partkey")
+    one = lambda i: F.concat(F.lit("[black @ 1] black_start:"), (k % 3 + i).cast("string"), F.lit(".25 black_end:"), (k % 3 + i + 1).cast("string"), F.lit("\n"))
+    return table(spark, sf_dir, "part").select(k.alias("media_id"), F.concat(F.lit("ffmpeg\n"), *(F.when(k % 8 > i, one(i)).otherwise("") for i in range(7))).alias("log"))
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, clip, contract_id): the clips of every run."""
+    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").alias("clip"), F.col("l_partkey").alias("contract_id"))
+
+
+def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(contract_id, file_id, sha)."""
+    return table(spark, sf_dir, "part").where("p_size % 7 <> 0").select(F.col("p_partkey").alias("contract_id"), (F.col("p_partkey") * 3 % 5000).alias("file_id"), (F.col("p_partkey") % 4).cast("string").alias("sha"))
+
+
+def files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_id, sha): files as they are now."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("file_id"), (F.col("c_custkey") * 7 % 4).cast("string").alias("sha"))
+
+
+def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(run_id, seq, action): the log of every run's review."""
+    action = F.when(F.col("event_type") == "signup", "plan").when(F.col("event_type") == "purchase", "plan-uncertain").when(F.col("event_type") == "error", "fail").when(F.col("event_type") == "click", "accept").when(F.col("event_id") % 2 == 0, "approve").otherwise("publish")
+    return table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), action.alias("action"))
