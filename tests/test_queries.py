@@ -23,3 +23,10 @@ def test_entry(spark):
 
 def test_flagship_at_the_larger_scale(spark):
     assert same_as_sql(spark, registry.queries()["rank_topk"], registry.oracle_sql()["rank_topk"], SMALL) > 0
+
+
+def test_weights_must_total_one():
+    from tidemark.functions.scalar import composite
+
+    with pytest.raises(ValueError, match="total 1"):
+        composite({"hook": "0.5", "emotion": "0.4"})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,7 +13,9 @@ BLOCKING = ("midSentence", "missingPayoff", "requiresPriorContext")
 
 
 def composite(weights: dict[str, str] = WEIGHTS) -> Column:
-    """Exact weighted sum, half up at three decimals."""
+    """Exact weighted sum, half up at three decimals; the weights must total exactly 1."""
+    if sum(map(Decimal, weights.values())) != 1:
+        raise ValueError("weights must total 1")
     total = sum((F.col(n) * F.lit(w).cast("decimal(3,2)") for n, w in weights.items()), F.lit(0).cast("decimal(4,1)"))
     return F.round(total, 3).cast("decimal(8,3)")
 
@@ -45,3 +49,13 @@ def seconds_to_frame(seconds: Column, fps: str, mode: str = "nearest") -> Column
     """Exact decimal product as a frame: "nearest" (halves up), "floor" or "ceil"."""
     product = seconds.cast("decimal(20,6)") * F.lit(fps).cast("decimal(10,5)")
     return {"nearest": lambda x: F.round(x, 0), "floor": F.floor, "ceil": F.ceil}[mode](product).cast("long")
+
+
+def supplied_or(own: Column, fallback: Column) -> Column:
+    """A supplied text if it holds any, else the fallback."""
+    return F.coalesce(F.nullif(own, F.lit("")), fallback)
+
+
+def first_nonzero(*values: Column) -> Column:
+    """The first value that is neither null nor 0."""
+    return F.coalesce(*(F.nullif(v, F.lit(0)) for v in values))

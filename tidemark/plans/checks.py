@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import seconds_to_frame
-from tidemark.operators import findings, media, runs
+from tidemark.functions.scalar import first_nonzero, seconds_to_frame, supplied_or
+from tidemark.operators import findings, media, ranking, runs, tracks
+from tidemark.plans.media import _CANDIDATES, _TRACK
 from tidemark.plans.registry import query
 from tidemark.sources import tables
 
@@ -90,3 +91,40 @@ def review_states(spark, sf_dir):
 @query("leftover_tokens", """SELECT doc_id, tokens FROM (SELECT doc_id, concat_ws(',', CASE WHEN contains(text, 'er') THEN 'er' END, CASE WHEN contains(text, 'sh,') THEN 'sh,' END, CASE WHEN contains(text, 'th.') THEN 'th.' END) AS tokens FROM documents) WHERE tokens <> ''""")
 def leftover_tokens(spark, sf_dir):
     return runs.leftover_tokens(tables.table(spark, sf_dir, "documents"), "doc_id", ["th.", "sh,", "er"])
+
+
+@query("clip_contracts", f"""WITH RECURSIVE {_CANDIDATES} SELECT source_id, CAST(place AS INTEGER) AS rank, printf('%02d-%s', CAST(place AS INTEGER), CASE WHEN event_id % 3 = 0 THEN 'clip' || event_id ELSE id END) AS name,
+    n AS end_frame, least(75, greatest(0, n - 1)) AS hook_frames, n // 2 AS mid_frame FROM p WHERE place <= 5""")
+def clip_contracts(spark, sf_dir):
+    """Name, timeline and hook card of every selected clip; a supplied id wins over the stable one."""
+    own = ranking.rank(tables.candidates(spark, sf_dir)).where("status = 'selected'")
+    given = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("clip"), F.col("event_id").cast("string"))).otherwise("")
+    n = F.col("end_frame") - F.col("start_frame")
+    hook = F.least(F.bround(F.lit(2.5) * 30, 0).cast("long"), F.greatest(F.lit(0), n - 1))
+    return own.select("source_id", "rank", F.format_string("%02d-%s", F.col("rank"), supplied_or(given, F.col("id"))).alias("name"), n.alias("end_frame"), hook.alias("hook_frames"), F.floor(n / 2).alias("mid_frame"))
+
+
+@query("expected_specs", """SELECT p_partkey AS media_id, CASE WHEN p_partkey % 3 <> 0 THEN 1080 WHEN p_partkey % 5 > 1 THEN 720 WHEN p_size > 10 THEN p_size ELSE NULL END AS want_width FROM part""")
+def expected_specs(spark, sf_dir):
+    """What is expected of a medium: asked for, else of its stage, else of its timeline; 0 and null ask for nothing."""
+    k = F.col("p_partkey")
+    asked, stage, timeline = F.when(k % 3 != 0, 1080).otherwise(0), F.when(k % 5 > 1, 720).when(k % 5 == 1, 0), F.when(F.col("p_size") > 10, F.col("p_size")).otherwise(0)
+    return tables.table(spark, sf_dir, "part").select(k.alias("media_id"), first_nonzero(asked, stage, timeline).alias("want_width"))
+
+
+@query("box_centres", """SELECT event_id, (event_id % 100 + event_id % 100 + event_id % 9) / 2.0::DOUBLE AS cx, (event_id % 70 + event_id % 70 + event_id % 11) / 2.0::DOUBLE AS cy, event_id % 11 AS height FROM events""")
+def box_centres(spark, sf_dir):
+    e = F.col("event_id")
+    own = tables.table(spark, sf_dir, "events").select(e, (e % 100).alias("x0"), (e % 70).alias("y0"), (e % 100 + e % 9).alias("x1"), (e % 70 + e % 11).alias("y1"))
+    return own.select("event_id", ((F.col("x0") + F.col("x1")) / 2).alias("cx"), ((F.col("y0") + F.col("y1")) / 2).alias("cy"), (F.col("y1") - F.col("y0")).alias("height"))
+
+
+@query("accepted_ranges", f"""WITH {_TRACK}, w AS (SELECT source_id, frame, confidence < 30 AS weak, lead(frame) OVER o AS following, row_number() OVER o AS i FROM t WINDOW o AS (PARTITION BY source_id ORDER BY frame)),
+    g AS (SELECT *, i - row_number() OVER (PARTITION BY source_id, weak ORDER BY frame) AS run FROM w),
+    r AS (SELECT source_id, min(frame) AS start_frame, max(coalesce(following, frame + 1)) AS end_frame FROM g WHERE weak GROUP BY source_id, run)
+    SELECT source_id, count(*) FILTER (end_frame - start_frame <= 5) AS n_accepted, count(*) FILTER (end_frame - start_frame > 5) AS n_unresolved, 'dev' AS reviewed_by FROM r GROUP BY source_id""")
+def accepted_ranges(spark, sf_dir):
+    """Weak ranges of a source that a review accepts (the short ones) and those left open."""
+    own = tracks.weak_ranges(tracks.interpolate(tables.detections(spark, sf_dir)), 30)
+    short = F.col("end_frame") - F.col("start_frame") <= 5
+    return own.groupBy("source_id").agg(F.count_if(short).alias("n_accepted"), F.count_if(~short).alias("n_unresolved")).withColumn("reviewed_by", F.lit("dev"))
