@@ -40,6 +40,12 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if bounded(df, rows) else df
 
 
+def small_lists(df: DataFrame, column: str, values: int) -> DataFrame:
+    """df with a broadcast hint if its rows and the values in its lists `column` are at most `values` together, else df as it is."""
+    held = df.agg(F.count("*") + F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0]
+    return F.broadcast(df) if held <= values else df
+
+
 def wrapped(docs: DataFrame, *own: str) -> DataFrame:
     """The columns `own` and, in one struct __rest, the others, whose names then can't clash with any."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in own]

@@ -27,10 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import kept, small_side, unwrapped, wrapped
+from tidemark.llm._store import kept, small_lists, unwrapped, wrapped
 
 MAX_LEVELS = 24
-SMALL_ROWS = 300_000
+#: Documents and line numbers up to this number are broadcast (about 64 MB); beyond it Spark joins by shuffle.
+SMALL_VALUES = 8_000_000
 
 
 def _bare(line: str) -> Column:
@@ -104,7 +105,7 @@ def line_report(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     """
     gone = kept(deleted_lines(docs, min_lines).select(F.col("doc_id").alias("__doc"), F.col("h").alias("__h"), F.col("lines").alias("__lines"), F.col("longest").alias("__longest")))
     key = (docs["doc_id"] == F.col("__doc")) & (F.xxhash64(docs["text"]) == F.col("__h"))
-    both = docs.join(small_side(gone, SMALL_ROWS), key, "left").drop("__doc", "__h")
+    both = docs.join(small_lists(gone, "__lines", SMALL_VALUES), key, "left").drop("__doc", "__h")
     split = both.withColumn("__parts", F.when(F.col("__lines").isNotNull(), F.split("text", "\n")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), "__lines")
     left = F.array_join(F.transform(stay, lambda i: F.get("__parts", i)), "\n")

@@ -19,13 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
-from tidemark.llm._store import kept, small_side
+from tidemark.llm._store import kept, small_lists
 
 SPAN = 3
 MIN_WORDS = 12
 #: A sentence of more words (tables, lists, text without stops) is divided behind about every eighth word, chosen by its hash.
 LONG = 24
-SMALL_ROWS = 200_000
+#: Documents and places up to this number are broadcast (about 64 MB); beyond it Spark joins by shuffle.
+SMALL_VALUES = 8_000_000
 
 _STOP = np.zeros(256, dtype=bool)
 _STOP[list(b".!?")] = True
@@ -129,7 +130,7 @@ def without_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = M
     """`docs`, all columns kept, with repeated spans removed from `text`, and __sentences and __removed counted."""
     keyed = _keyed(docs)
     places = kept(repeated_spans(keyed, span, min_words).groupBy("doc_id", "version").agg(F.collect_list("place").alias("__places")).select(F.col("doc_id").alias("__doc"), F.col("version").alias("__of"), "__places"))
-    both = keyed.join(small_side(places, SMALL_ROWS), (F.col("doc_id").cast("long") == F.col("__doc")) & (F.col("__version") == F.col("__of")), "left")
+    both = keyed.join(small_lists(places, "__places", SMALL_VALUES), (F.col("doc_id").cast("long") == F.col("__doc")) & (F.col("__version") == F.col("__of")), "left")
     both = both.withColumn("text", F.col("text").cast("string")).select(*(F.col(f"`{c}`") for c in docs.columns), "__places")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" if f.name != "text" else "text string" for f in docs.schema]
     keep = docs.columns
