@@ -21,6 +21,12 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "4m") -> None:
+    """From now on the session's Arrow batches hold at most so many rows and bytes (or one row), so that a task holds few whole texts at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """`df` written once as Parquet in the shared folder and read again: it cuts the lineage and survives lost executors."""
     spark = df.sparkSession

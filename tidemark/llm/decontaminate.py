@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
-from tidemark.llm._store import kept, small_side, unwrapped, wrapped
+from tidemark.llm._store import kept, small_batches, small_side, unwrapped, wrapped
 
 #: Shingles of the items held against the documents at a time (8 bytes each, with their item 12).
 BLOCK_SHINGLES = 2_000_000
@@ -115,6 +115,7 @@ def _search(batches, block, percent: int):
 def contained_items(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_found): the items (item_id, text) contained in documents (doc_id, text)."""
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     items = items.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     sets = items.mapInArrow(lambda it: _item_sets(it, size), "item_id long, width long, shingles array<long>").where("size(shingles) > 0").distinct()

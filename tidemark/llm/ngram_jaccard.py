@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
-from tidemark.llm._store import kept, small_side, unwrapped, wrapped
+from tidemark.llm._store import kept, small_batches, small_side, unwrapped, wrapped
 from tidemark.llm.components import components
 
 CHUNK = 4_000_000
@@ -307,6 +307,7 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, block_byt
     the smallest doc_id reachable by links.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     first = kept(docs.mapInArrow(lambda it: _fingerprints(it, size), "doc_id long, n long, f1 long, f2 long, token long, seen long"))

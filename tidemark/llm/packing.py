@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import kept
+from tidemark.llm._store import kept, small_batches
 
 CAPACITY = 1024
 END = 2
@@ -73,6 +73,7 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, pattern: str | None =
         import public_tokenizers
 
         vocabulary, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    small_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return given.mapInArrow(lambda it: _pieces(it, vocabulary, pattern, capacity, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
-from tidemark.llm._store import small_side, unwrapped, wrapped
+from tidemark.llm._store import small_batches, small_side, unwrapped, wrapped
 
 BITS = 18
 SIZES = (3, 4, 5, 6)
@@ -29,6 +29,10 @@ FIT_ROWS = 1500
 #: A log-count ratio counts if it is so many of its standard errors from none.
 MIN_Z = 2.5
 PARTS = 16
+#: Bytes of text whose n-grams are held at a time: a byte begins up to four of them, and each takes about 50 bytes while it is counted.
+SLICE_BYTES = 1 << 18
+#: Texts of the sample held against the weights at a time.
+BLOCK = 500
 #: Labels up to this number are broadcast (16 MB); beyond it Spark joins by shuffle.
 SMALL_ROWS = 1_000_000
 _LOW = np.arange(256, dtype=np.uint8)
@@ -74,7 +78,7 @@ def _class_counts(batches):
     counts, texts = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
     for batch in batches:
         label = batch.column(1).to_pylist()
-        for first, end, data, offsets in _text.string_slices(batch, "text"):
+        for first, end, data, offsets in _text.string_slices(batch, "text", SLICE_BYTES):
             ids, row = _grams(data, offsets)
             both = np.unique((row.astype(np.int64) << BITS) | ids)
             own = np.array(label[first:end])
@@ -100,7 +104,7 @@ def _summed(batches):
 def _vectors(batches, used):
     used = used.value
     for batch in batches:
-        for first, end, data, offsets in _text.string_slices(batch, "text"):
+        for first, end, data, offsets in _text.string_slices(batch, "text", SLICE_BYTES):
             ids, row = _grams(data, offsets)
             at = np.searchsorted(row[order := np.argsort(row, kind="stable")], np.arange(end - first + 1))
             out_ids, out_n = [], []
@@ -116,18 +120,27 @@ def _fit(vectors: list, ratio: np.ndarray, steps: int = 120, l2: float = 1e-4) -
     """Logistic regression by Adam on the whole sample at each step; classes weigh alike."""
     y = np.array([v[0] for v in vectors], dtype=np.float64)
     cols = [np.frombuffer(v[1], np.int32) for v in vectors]
-    flat = np.concatenate(cols)
-    row = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
-    x = np.concatenate([np.frombuffer(v[2], np.float32) for v in vectors]) * ratio[flat] * 100.0
+    # entries of BLOCK texts at a time: (first row, rows, n-gram, row, value)
+    blocks = []
+    for at in range(0, len(cols), BLOCK):
+        flat = np.concatenate(cols[at : at + BLOCK])
+        share = np.concatenate([np.frombuffer(v[2], np.float32) for v in vectors[at : at + BLOCK]])
+        row = np.repeat(np.arange(len(cols[at : at + BLOCK]), dtype=np.int32), [len(c) for c in cols[at : at + BLOCK]])
+        blocks.append((at, len(cols[at : at + BLOCK]), flat, row, (share * ratio[flat] * 100.0).astype(np.float32)))
+    del cols
+    vectors.clear()
     weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, len(y) - y.sum()))
     # start from naive Bayes itself: every scaled feature counts with weight 1
     w, b = np.ones(len(ratio)), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = np.bincount(row, x * w[flat], minlength=len(y)) + b
-        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight
-        gw = np.bincount(flat, x * g[row], minlength=len(w)) + l2 * w
-        gb = g.sum()
+        gw, gb = l2 * w, 0.0
+        for at, rows, flat, row, x in blocks:
+            own = slice(at, at + rows)
+            z = np.bincount(row, x * w[flat], minlength=rows) + b
+            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[own]) * weight[own]
+            gw += np.bincount(flat, x * g[row], minlength=len(w))
+            gb += g.sum()
         m, v = 0.9 * m + 0.1 * gw, 0.999 * v + 0.001 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         a, c = 1 - 0.9**t, 1 - 0.999**t
@@ -145,6 +158,7 @@ class NgramModel:
 
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> NgramModel:
     """A model from documents (doc_id, text) and labels (doc_id, label 0 or 1)."""
+    small_batches(docs.sparkSession)
     pairs = labels.where("doc_id is not null and label in (0, 1)").select("doc_id", F.col("label").cast("long").alias("label")).distinct()
     taught = docs.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text")).join(small_side(pairs, SMALL_ROWS), "doc_id")
     schema = "label long, part long, n binary"
@@ -172,7 +186,7 @@ def _scores(batches, model, name: str):
     m: NgramModel = model.value
     for batch in batches:
         z = np.full(batch.num_rows, m.intercept)
-        for first, end, data, offsets in _text.string_slices(batch, "__text"):
+        for first, end, data, offsets in _text.string_slices(batch, "__text", SLICE_BYTES):
             ids, row = _grams(data, offsets)
             total = np.bincount(row, minlength=end - first)
             z[first:end] += np.bincount(row, m.weights[ids], minlength=end - first) / np.maximum(total, 1)
@@ -182,6 +196,7 @@ def _scores(batches, model, name: str):
 
 def score(docs: DataFrame, model: NgramModel, name: str = "score") -> DataFrame:
     """`docs` with a column `name`: the chance that the text's label is 1."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in docs.columns if c != name]
     given = docs.select(*(F.col(f"`{c}`") for c in rest), F.col("text").cast("string").alias("__text"))
