@@ -50,6 +50,15 @@ def test_line_dedup_of_repeated_rows_and_nothing(spark):
     assert line_dedup.line_report(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_long_single_lines_between_unique_neighbours(spark):
+    r = random.Random(4)
+    passage, short = " ".join(prose(r, 50)), " ".join(prose(r, 49))
+    rows = [(d, f"own {d}\n{'  ' * d}{passage}\n{short}{' end %d' % d if d % 2 else ''}\nlast {d}") for d in range(1, 5)] + [(6, passage), (7, f"{passage}\nx\n{passage}"), (None, passage)]
+    out = {x["doc_id"]: x["text"] for x in line_dedup.without_repeated_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
+    texts = dict(rows)
+    assert out == {1: texts[1], 2: f"own 2\n{short}\nlast 2", 3: f"own 3\n{short} end 3\nlast 3", 4: "own 4\nlast 4", 7: "x", None: passage}
+
+
 def test_line_dedup_query_equals_sql(spark):
     assert same_as_sql(spark, queries.QUERIES["op8_line_dedup"], queries.SQL["op8_line_dedup"]) == 200
 

@@ -15,6 +15,8 @@ Built by distributed prefix doubling, DataFrame operations only:
    occurrence by (doc_id, text hash, line) stays; a later one is marked, and its
    neighbours chain into maximal runs. Later levels give `n_common`, the
    power of two up to which a later run is known to agree with another copy.
+4. With `long_words`, a single line of so many words is a run as well: its
+   first occurrence stays, later ones go whatever their neighbours are.
 
 Null texts have no lines and stay null. Rows with a null doc_id stay as they
 are. Rows with equal doc_id and text are one row to the search: what is deleted
@@ -27,21 +29,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import kept, small_lists, unwrapped, wrapped
+from tidemark.llm._store import kept, small_lists, small_side, unwrapped, wrapped
 
 MAX_LEVELS = 24
 #: Documents and line numbers up to this number are broadcast (about 64 MB); beyond it Spark joins by shuffle.
 SMALL_VALUES = 8_000_000
+#: Long lines held more than once are broadcast up to this number.
+SMALL_ROWS = 1_000_000
+#: Words from which a line is a passage of its own.
+LONG_WORDS = 50
 
 
 def _bare(line: str) -> Column:
     return F.trim(F.col(line), F.lit("\t\x0b\x0c\r "))
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """(d, pos, id1, id2): every line that is not blank of documents (doc_id, text); d is a struct of doc_id and a text hash."""
+def _has_words(line: str, least: int) -> Column:
+    short = F.length(line) < 2 * least - 1  # so many words have that many characters at least
+    return F.when(short, False).otherwise(F.size(F.split(line, "[\\t\\x0b\\x0c\\r ]+")) >= least)
+
+
+def lines(docs: DataFrame, least_words: int = 1) -> DataFrame:
+    """(d, pos, id1, id2): every line that is not blank, and has `least_words`, of documents (doc_id, text); d is a struct of doc_id and a text hash."""
     own = docs.where("doc_id is not null and text is not null").select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h")).alias("d"), F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    own = own.select("d", "pos", _bare("line").alias("line")).where("line <> ''").select("d", "pos", F.xxhash64("line").alias("id1"), F.hash("line").alias("id2"))
+    own = own.select("d", "pos", _bare("line").alias("line")).where("line <> ''")
+    if least_words > 1:
+        own = own.where(_has_words("line", least_words))
+    own = own.select("d", "pos", F.xxhash64("line").alias("id1"), F.hash("line").alias("id2"))
     repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
     return own if repeated.isEmpty() else own.distinct()
 
@@ -52,11 +66,26 @@ def _ranked(pairs: DataFrame) -> DataFrame:
     return kept(classes.repartitionByRange("r1", "r2").sortWithinPartitions("r1", "r2").withColumn("rank", F.monotonically_increasing_id() + 1))
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = 2) -> DataFrame:
-    """(d, pos, until, n_common): line numbers between which a later copy of a run of `min_lines` lines lies.
+def _long_lines(docs: DataFrame, long_words: int) -> DataFrame:
+    """(d, pos, until, n_common): the later copies of single lines of `long_words` words or more."""
+    every = kept(lines(docs, long_words))
+    at = F.struct("d", "pos")
+    firsts = kept(every.groupBy("id1", "id2").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    later = every.join(small_side(firsts, SMALL_ROWS), ["id1", "id2"]).where(at != F.col("first"))
+    return later.select("d", "pos", F.col("pos").alias("until"), F.lit(1).alias("n_common"))
+
 
-    n_common is the largest of min_lines, 2 * min_lines, ... up to which the run that starts there occurs elsewhere too.
+def repeated_runs(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
+    """(d, pos, until, n_common): line numbers between which a later copy lies of a run of `min_lines` lines, or of a single line of `long_words` words.
+
+    n_common is the largest of min_lines, 2 * min_lines, ... up to which the run that starts there occurs elsewhere too; 1 for a single line.
     """
+    runs = _runs_of_lines(docs, min_lines)
+    return runs if long_words is None or min_lines == 1 else runs.union(_long_lines(docs, long_words))
+
+
+def _runs_of_lines(docs: DataFrame, min_lines: int) -> DataFrame:
+    """repeated_runs() of `min_lines` lines."""
     every = lines(docs)
     often = every.groupBy("id1", "id2").agg(F.count("*").alias("n")).where("n > 1")
     first = kept(often.repartitionByRange("id1", "id2").sortWithinPartitions("id1", "id2").select("id1", "id2", (F.monotonically_increasing_id() + 1).alias("rank")))
@@ -90,20 +119,20 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     return later.join(most, ["d", "seq"]).select("d", "pos", "until", "n_common")
 
 
-def deleted_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def deleted_lines(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
     """(doc_id, h, lines, longest): for each document that loses any, the numbers of the lines to delete, and its largest n_common."""
-    later = kept(repeated_runs(docs, min_lines))
+    later = kept(repeated_runs(docs, min_lines, long_words))
     covered = later.select("d", F.explode(F.sequence("pos", "until")).alias("line")).groupBy("d").agg(F.collect_set("line").alias("lines"))
     most = later.groupBy("d").agg(F.max("n_common").alias("longest"))
     return covered.join(most, "d").select("d.doc_id", "d.h", "lines", "longest")
 
 
-def line_report(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def line_report(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
     """`docs` with __lines (null: nothing to delete) and __longest, and the later copies of repeated runs deleted from `text`.
 
     Blank lines inside a deleted run go with it.
     """
-    gone = kept(deleted_lines(docs, min_lines).select(F.col("doc_id").alias("__doc"), F.col("h").alias("__h"), F.col("lines").alias("__lines"), F.col("longest").alias("__longest")))
+    gone = kept(deleted_lines(docs, min_lines, long_words).select(F.col("doc_id").alias("__doc"), F.col("h").alias("__h"), F.col("lines").alias("__lines"), F.col("longest").alias("__longest")))
     key = (docs["doc_id"] == F.col("__doc")) & (F.xxhash64(docs["text"]) == F.col("__h"))
     both = docs.join(small_lists(gone, "__lines", SMALL_VALUES), key, "left").drop("__doc", "__h")
     split = both.withColumn("__parts", F.when(F.col("__lines").isNotNull(), F.split("text", "\n")))
@@ -112,10 +141,10 @@ def line_report(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     return split.withColumn("text", F.when(F.col("__lines").isNull(), F.col("text")).otherwise(left)).drop("__parts")
 
 
-def without_repeated_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
-    """`docs`, all columns kept, without the later copies of repeated line runs.
+def without_repeated_lines(docs: DataFrame, min_lines: int = 2, long_words: int | None = LONG_WORDS) -> DataFrame:
+    """`docs`, all columns kept, without the later copies of repeated line runs and of long single lines.
 
     A document of which only white space is left has its text in earlier ones and goes; one that had no text before stays.
     """
-    out = line_report(wrapped(docs, "doc_id", "text"), min_lines)
+    out = line_report(wrapped(docs, "doc_id", "text"), min_lines, long_words)
     return unwrapped(out.where(F.col("__lines").isNull() | (F.trim(F.col("text"), F.lit("\t\n\x0b\x0c\r ")) != "")), docs.columns, "doc_id", "text")
