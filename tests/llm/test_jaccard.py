@@ -45,6 +45,18 @@ def test_empty_table_and_extra_columns(spark, near_copies):
     assert {r["doc_id"] for r in left.collect()} == want
 
 
+def test_repeated_rows_and_reused_ids(spark):
+    r = random.Random(6)
+    a, b, c = (brute.prose(r, 90) for _ in range(3))
+    near = lambda text, k: " ".join([*text[:-1], "end%d" % k])
+    rows = [(1, near(a, 1)), (5, near(a, 2)), (5, near(b, 1)), (7, near(b, 2)), (8, near(c, 1)), (8, near(c, 1)), (3, near(c, 2)), (9, near(c, 3)), (9, "alone it is"), (9, "alone it is"), (2, "twice"), (2, "twice"), (4, None), (4, None), (None, near(a, 1)), (None, near(a, 1))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert result(ngram_jaccard.jaccard_classes(df)) == sorted(brute.jaccard(rows), key=repr)
+    got = sorted(map(tuple, ngram_jaccard.one_of_each(df).collect()), key=repr)
+    # 5 holds two texts: the one is a later copy of 1's, the other is the first of its group
+    assert got == sorted([(1, near(a, 1)), (5, near(b, 1)), (3, near(c, 2)), (9, "alone it is"), (2, "twice"), (4, None), *rows[-2:]], key=repr)
+
+
 def test_all_null(spark):
     df = spark.createDataFrame([(None, None), (None, "a b c d e f"), (1, None)], SCHEMA)
     assert tidy(ngram_jaccard.jaccard_classes(df).toPandas()) == [(1.0, 1.0, 0.0), (None, None, 0.0), (None, None, 2.0)]

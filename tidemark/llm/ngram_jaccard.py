@@ -300,15 +300,45 @@ def _large_regions(docs: DataFrame, regions: DataFrame, bytes_of: DataFrame, siz
     return far.where("near").select(F.col("p").alias("a"), F.col("x").alias("b")).union(near.mapInArrow(lambda it: _join_regions(it, percent), "a long, b long"))
 
 
+def _row_numbers(docs: DataFrame) -> DataFrame | None:
+    """(doc_id, h, row, n): a number for each doc_id and text hash h, in the order of both, and how many rows hold them; None where every doc_id is single."""
+    own = docs.where("doc_id is not null")
+    if own.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return None
+    pairs = own.groupBy("doc_id", F.xxhash64("text").alias("h")).agg(F.count("*").alias("n"))
+    return kept(pairs.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").withColumn("row", F.monotonically_increasing_id()))
+
+
+def _numbered(docs: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(doc_id, text) with the number of doc_id and text for a doc_id."""
+    own = docs.withColumn("h", F.xxhash64("text")).join(small_side(numbers.drop("n"), SMALL_ROWS), ["doc_id", "h"], "left")
+    return kept(own.select(F.col("row").alias("doc_id"), "text"))
+
+
+def _read(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id), one row per row of `docs` (doc_id, text).
 
     Two documents link when 100 * |A & B| >= percent * |A | B|; component_id is
     the smallest doc_id reachable by links.
     """
+    docs = _read(docs)
+    numbers = _row_numbers(docs)
+    if numbers is None:
+        return _classes(docs, size, percent, block_bytes, block_rows)
+    found = _classes(_numbered(docs, numbers), size, percent, block_bytes, block_rows).select(F.col("doc_id").alias("row"), "n_shingles", F.col("component_id").alias("least"))
+    named = numbers.select("row", "doc_id")
+    least = numbers.select(F.col("row").alias("least"), F.col("doc_id").alias("component_id"))
+    return found.join(named, "row", "left").join(least, "least", "left").select("doc_id", "n_shingles", "component_id")
+
+
+def _classes(docs: DataFrame, size: int, percent: int, block_bytes: int = BLOCK_BYTES, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """jaccard_classes() of rows (doc_id, text) whose doc_id stands for one text."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     first = kept(docs.mapInArrow(lambda it: _fingerprints(it, size), "doc_id long, n long, f1 long, f2 long, token long, seen long"))
     prints = first.where("n is not null").select("doc_id", "n", "f1", "f2")
@@ -345,8 +375,22 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80, block_byt
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that are the smallest doc_id of their component, all columns kept; repeated rows of one doc_id stay once if their texts are equal."""
-    classes = jaccard_classes(docs, size, percent)
-    gone = classes.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    left = wrapped(docs, "doc_id").join(small_side(gone, SMALL_ROWS), F.col("doc_id") == F.col("__gone"), "left_anti")
-    return unwrapped(left, docs.columns, "doc_id")
+    """The rows of `docs` that are the first of their component by doc_id and text hash, all columns kept.
+
+    Of rows with equal doc_id and equal text one stays; rows with a null doc_id all stay.
+    """
+    own = _read(docs)
+    numbers = _row_numbers(own)
+    if numbers is None:
+        gone = _classes(own, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+        left = wrapped(docs, "doc_id").join(small_side(gone, SMALL_ROWS), F.col("doc_id") == F.col("__gone"), "left_anti")
+        return unwrapped(left, docs.columns, "doc_id")
+    later = _classes(_numbered(own, numbers), size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("row")).distinct()
+    marks = numbers.join(later.withColumn("later", F.lit(True)), "row", "left").select(F.col("doc_id").alias("__doc"), F.col("h").alias("__h"), "n", F.coalesce("later", F.lit(False)).alias("__later"))
+    marks = kept(marks.where("__later or n > 1").drop("n"))
+    key = (F.col("doc_id").cast("long") == F.col("__doc")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__h"))
+    both = wrapped(docs, "doc_id", "text").join(small_side(marks, SMALL_ROWS), key, "left").where("__later is null or not __later")
+    again = both.where("__doc is not null")
+    again = again.groupBy("__doc", "__h").agg(F.first(F.struct("doc_id", "text", "__rest")).alias("row")).select("row.*")
+    left = both.where("__doc is null").select("doc_id", "text", "__rest").union(again)
+    return unwrapped(left, docs.columns, "doc_id", "text")
