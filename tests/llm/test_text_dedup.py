@@ -92,6 +92,31 @@ def test_substring_dedup_of_long_sentences_and_odd_rows(spark):
     assert substring_dedup.without_repeated_spans(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_substring_dedup_of_passages_cut_inside_sentences(spark):
+    r = random.Random(11)
+    rows, passages = [], []
+    for k in range(30):
+        words = prose(r, 50, 10**6)
+        for stop in range(7 + k % 9, 50, 15 + k % 8):  # sentences of 15 to 22 words
+            words[stop] += "."
+        passages.append(words)
+        for copy in range(2):
+            edges = [prose(r, r.randrange(3, 12), 10**6) for _ in range(2)]
+            rows.append((100 * copy + k, "Own start here. " + " ".join([*edges[0], *words, *edges[1]]) + ". Own end here."))
+    out = {x["doc_id"]: x for x in substring_dedup.without_repeated_spans(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for k, words in enumerate(passages):
+        assert out[k]["text"] == dict(rows)[k] and out[k]["__removed"] == 0
+        left = out[100 + k]["text"].split()
+        assert 0 < out[100 + k]["__removed"] <= out[100 + k]["__sentences"]
+        assert sum(w not in left for w in words) >= 20 and all(w in left for w in dict(rows)[100 + k].split() if w not in words)
+
+
+def test_substring_dedup_of_one_repeated_word(spark):
+    rows = [(1, "a " * 60), (2, "b " + "a " * 60 + "c")]
+    out = {x["doc_id"]: x["text"].split() for x in substring_dedup.without_repeated_spans(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert 0 < len(out[1]) <= 60 and len(out[2]) < 25 and {"b", "c"} <= set(out[2])
+
+
 def test_substring_dedup_query(spark):
     out = queries.op1_substring_dedup(spark, "/root/testdata/sf0.001").toPandas()
     assert len(out) == 200 and (out["n_removed"] > 0).any() and (out["n_removed"] <= out["n_sentences"]).all()
