@@ -77,6 +77,16 @@ def test_templates_without_a_name_go_by_their_count(spark):
     assert html_text.main_text(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("page", ["<div class=wrap><article><h1>T</h1><div class=body><p>Copied text</p></div></article></div>", "<nav>Menu {n}</nav><div class=body><h1>T</h1><p>Copied text</p></div><footer>{n}</footer>"])
+def test_copied_pages_keep_their_text_and_templates_go_on_large_hosts(spark, page):
+    own = "<body><div><em>Box</em> of the site</div><div><p>Own words {n} here</p></div></body>"
+    rows = [(n, "http://a.b/" + str(n), f"<body>{page.format(n=n)}</body>") for n in range(12)]
+    rows += [(100 + n, "http://a.b/" + str(n), own.format(n=n) if n < 12 else f"<body><p>Other {n}</p></body>") for n in range(1500)]
+    out = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {out[n] for n in range(12)} == {"T\nCopied text"}
+    assert [out[100 + n] for n in range(12)] == [f"Own words {n} here" for n in range(12)]
+
+
 def test_query_returns_every_page(spark):
     out = queries.op2_html_extraction(spark, TINY).toPandas()
     assert len(out) == duckdb.sql(f"select count(*) from '{TINY}/pages.parquet'").fetchall()[0][0]

@@ -3,12 +3,14 @@
 1. Every page is read into elements. A subtree's hash covers its tags, its
    attributes and its text; the hashes of a page are counted once per page.
 2. Spark counts pages for each (host, subtree). What recurs on at least
-   `min_pages` pages and `min_share` of the host's pages is template.
+   `min_pages` pages is template, however large the host.
 3. A page's text is taken from its article (else its main element, else its
    body), without template subtrees, without elements whose tag, role, class or
    id says that they are menus, headers, footers, sidebars, notices,
    adverts, forms, reader comments or code, and without markup. Paragraphs and
    headings of an article stay even where they recur, since articles are copied.
+   A page whose articles all recur as they are (else its main elements, else the
+   smallest element around its visible text) is a copy: what recurs in them stays.
 
 Character references are decoded; white space inside a block becomes one
 space; blocks join by a newline. A null page has an empty text; a null url
@@ -30,7 +32,6 @@ from pyspark.sql import functions as F
 from tidemark.llm._store import bounded, kept
 
 MIN_PAGES = 10
-MIN_SHARE = 0.01
 #: Template subtrees up to this number are broadcast (8 bytes each); beyond it pages are joined with theirs.
 SMALL_TEMPLATES = 1_000_000
 
@@ -138,16 +139,48 @@ class _Page:
                 return True
         return False
 
+    def _copied(self, template: np.ndarray, hidden: list[bool]) -> list[bool]:
+        """A flag for each element in or around the content of a page that is a copy as a whole."""
+        n = len(self.tags)
+        copied = [False] * n
+        for tag in ("article", "main"):
+            roots = [e for e in range(1, n) if self.tags[e] == tag and not hidden[e]]
+            if roots:
+                break
+        else:
+            common: list[int] | None = None
+            for e in {e for e, text in self.pieces if e > 0 and not hidden[e] and text.strip()}:
+                path = [e]
+                while path[-1]:
+                    path.append(self.parents[path[-1]])
+                path.reverse()
+                common = path if common is None else [a for a, b in zip(common, path) if a == b]
+            roots = common[-1:] if common else []
+        if not roots or not all(e and template[e - 1] for e in roots):
+            return copied
+        for e in roots:
+            copied[e] = True
+        for e in range(1, n):
+            copied[e] = copied[e] or (copied[self.parents[e]] and self.parents[e] > 0)
+        for e in roots:
+            while e := self.parents[e]:
+                copied[e] = True
+        return copied
+
     def text(self, template: np.ndarray) -> str:
         """template: a flag for each element whose subtree is the site's."""
         n = len(self.tags)
-        gone, inside = [False] * n, [False] * n  # inside an article or main element
+        hidden, inside = [False] * n, [False] * n  # by tag or name; inside an article or main element
         for e in range(1, n):
             p, tag = self.parents[e], self.tags[e]
             inside[e] = inside[p] or tag in ("article", "main")
+            named = self._named(e, inside[p]) and (tag not in ("html", "body", "main"))
+            hidden[e] = hidden[p] or tag in _DROPPED or (tag == "header" and not inside[p]) or named
+        copied, gone = self._copied(template, hidden), [False] * n
+        for e in range(1, n):
+            p, tag = self.parents[e], self.tags[e]
             frame = tag in ("html", "body", "main", "article")
-            named = self._named(e, inside[p]) and (not frame or tag == "article")
-            gone[e] = gone[p] or tag in _DROPPED or (tag == "header" and not inside[p]) or (named and tag not in ("html", "body", "main")) or (bool(template[e - 1]) and not frame and not (inside[e] and tag in _PROSE))
+            gone[e] = hidden[e] or gone[p] or (bool(template[e - 1]) and not frame and not copied[e] and not (inside[e] and tag in _PROSE))
         for wanted in ("article", "main"):
             if any(self.tags[e] == wanted and not gone[e] for e in range(1, n)):
                 break
@@ -201,12 +234,10 @@ def _subtrees(batches):
     yield from rows()
 
 
-def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, subtree): hashes of element subtrees that recur across the pages (url, html) of a host."""
-    counts = kept(pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(_subtrees, "host string, subtree long, n long").groupBy("host", "subtree").agg(F.sum("n").alias("n")))
-    size = counts.where("subtree = 0").select("host", F.col("n").alias("pages"))
-    often = counts.where(F.col("subtree") != 0).where(F.col("n") >= min_pages)
-    return often.join(size, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "subtree")
+    counts = pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(_subtrees, "host string, subtree long, n long").groupBy("host", "subtree").agg(F.sum("n").alias("n"))
+    return counts.where((F.col("subtree") != 0) & (F.col("n") >= min_pages)).select("host", "subtree")
 
 
 def _texts(batches, known, keep: list[str]):
@@ -232,10 +263,10 @@ def _texts(batches, known, keep: list[str]):
         yield pa.RecordBatch.from_arrays([*(batch.column(index[n]) for n in keep), texts, pa.array([len(t) for t in out], pa.int64())], names=[*keep, "text", "n_chars"])
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, small: int = SMALL_TEMPLATES) -> DataFrame:
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, small: int = SMALL_TEMPLATES) -> DataFrame:
     """`pages` (url, html and more; html itself left out) with `text` and `n_chars`."""
     spark = pages.sparkSession
-    found = kept(templates(pages, min_pages, min_share))
+    found = kept(templates(pages, min_pages))
     keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
     given = pages.select(*(F.col(f"`{c}`") for c in keep), F.col("url").cast("string").alias("__url"), F.col("html").cast("string").alias("__html"))
     if bounded(found, small):
