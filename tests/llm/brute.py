@@ -9,6 +9,21 @@ from collections import defaultdict
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+class Union:
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            i = self.up[i]
+        return i
+
+    def join(self, i: int, j: int) -> bool:
+        i, j = self.root(i), self.root(j)
+        self.up[i] = j
+        return i != j
+
+
 def prose(r: random.Random, n: int, names: int = 400) -> list[str]:
     return ["w%d" % r.randrange(names) for _ in range(n)]
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import brute
 import numpy as np
@@ -67,7 +68,7 @@ def test_region_links_span_all_links():
     for _ in range(20):
         base = r.integers(0, 1 << 60, 80).astype(np.uint64)
         sets = [np.unique(np.where(r.random(80) < 0.06, r.integers(0, 1 << 60, 80).astype(np.uint64), base)) for _ in range(r.integers(2, 130))]
-        forest = ngram_jaccard._Union(len(sets))
+        forest = brute.Union(len(sets))
         for i, j in ngram_jaccard.region_links(sets, 80, split=8):
             both = len(np.intersect1d(sets[i], sets[j]))
             assert 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both)
@@ -79,12 +80,28 @@ def test_region_links_span_all_links():
                     assert forest.root(i) == forest.root(j)
 
 
+def test_groups_that_are_alike_but_not_linked():
+    r = np.random.default_rng(5)
+    draw = lambda n: r.integers(0, 1 << 60, n).astype(np.uint64)
+    core, sets = draw(100), []
+    for _ in range(40):  # about 0.63 from group to group
+        base = np.concatenate([core, draw(29)])
+        sets += [np.unique(np.concatenate([base[1 + k :], draw(1)])) for k in range(10)]
+    began = time.time()
+    links = ngram_jaccard.region_links(sets, 80)
+    assert time.time() - began < 3
+    forest = brute.Union(len(sets))
+    for i, j in links:
+        assert i // 10 == j // 10 and forest.join(i, j)
+    assert len({forest.root(i) for i in range(len(sets))}) == 40
+
+
 def test_sketches_rule_out_no_link():
     r = np.random.default_rng(4)
     for n in (6, 60, 700, 5000):
         base = r.integers(0, 1 << 60, n).astype(np.uint64)
         sets = [np.unique(np.where(r.random(n) < 0.1 * r.random(), r.integers(0, 1 << 60, n).astype(np.uint64), base)[: n - r.integers(0, n // 6 + 1)]) for _ in range(12)]
-        forest = ngram_jaccard._Union(len(sets))
+        forest = brute.Union(len(sets))
         for i, j in ngram_jaccard.sketch_links(np.array([len(s) for s in sets]), [ngram_jaccard.sketch(s) for s in sets], 80):
             forest.join(i, j)
         for i in range(len(sets)):

@@ -52,6 +52,26 @@ def small_lists(df: DataFrame, column: str, values: int) -> DataFrame:
     return F.broadcast(df) if held <= values else df
 
 
+#: Rows from which a key is hot: its rows are joined where they lie instead of being sent to one task.
+HOT_ROWS = 1000
+#: Hot keys are broadcast up to this number; there are no more than rows / HOT_ROWS of them.
+MAX_HOT_KEYS = 1_000_000
+
+
+def hot_join(left: DataFrame, right: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """left joined with `right`, a kept table of one row a key that counts the key's rows of left in `n` (left out of the result).
+
+    Rows of hot keys meet a broadcast of just those keys, the others are shuffled, so that no task gets all rows of a key.
+    """
+    hot = right.where(F.col(n) > HOT_ROWS)
+    held = hot.limit(MAX_HOT_KEYS + 1).count()
+    if not held or held > MAX_HOT_KEYS:
+        return left.join(right.drop(n), keys)
+    near = left.join(F.broadcast(hot.drop(n)), keys)
+    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(F.col(n) <= HOT_ROWS).drop(n), keys)
+    return near.unionByName(rest)
+
+
 def wrapped(docs: DataFrame, *own: str) -> DataFrame:
     """The columns `own` and, in one struct __rest, the others, whose names then can't clash with any."""
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in own]

@@ -2,23 +2,26 @@
 
 1. Every text becomes its set of hashed word shingles. Documents with equal
    sets form a class; only the class's smallest id goes on.
-2. Pivots and regions. Shingles have one global order (rare before frequent,
-   then by hash). Two sets within the distance share one of their first
-   `n - ceil(t * n) + 1` shingles, so each such shingle is a ground cell: the
-   document of least hash in the cell is its pivot and every document of the
-   cell belongs to the pivot's Voronoi region. A document near several pivots
-   is replicated to each of their regions, and every linked pair meets in one.
+2. Ground cells. Shingles have one global order (rare before frequent, then by
+   hash). Of two linked sets the larger holds a shared shingle among its first
+   `n - ceil(t * n) + 1` and the other among its still fewer first ones
+   (`index_length`), so each shingle is a cell, and cells with one pivot (the
+   document of least hash that holds the shingle as an indexed one) are one region.
 3. Members of a region are first held apart by their distances to fixed pivots:
    the classes of a hash partition of all shingles (`sketch`). By the triangle
    inequality these rule out most pairs exactly and cut the regions into small
    chains of documents that may be similar; only their sets are sent, once each.
 4. In a chain distances to pivots are computed exactly: what is within reach
-   of a pivot is linked to it; only documents outside and those whose distance to
-   the pivot is within the threshold of an outside one go on, split between
-   two pivots with the boundary replicated to both sides, recursively. A chain
-   that outgrows a task is joined to its regions' pivots as a distributed join;
-   what a pivot leaves open is joined block by block.
-5. Links (a spanning set of each region's links) are merged by connected
+   of a pivot is linked to it. What is left is split where distances leave a gap
+   wider than the threshold, or between two pivots with the boundary replicated,
+   and goes on recursively (`region_links`).
+5. A region or chain too large for one task becomes Voronoi regions in Spark
+   (`_voronoi_links`): documents are assigned to the nearest of a few pivots by
+   exact distance, boundary documents are replicated within the windows that the
+   triangle inequality gives, and documents far from all pivots form a region of
+   their own. What is linked with the pivots already needs no comparison with
+   itself: only the others are held against all, block by block.
+6. Links (a spanning set of each region's links) are merged by connected
    components.
 
 Texts that are null or have no words are empty: they link with nothing. Each
@@ -34,11 +37,10 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
-from tidemark.llm._store import kept, small_batches, small_side, unwrapped, wrapped
+from tidemark.llm._store import hot_join, kept, small_batches, small_side, unwrapped, wrapped
 from tidemark.llm.components import components
 
 CHUNK = 4_000_000
@@ -47,9 +49,14 @@ FREQUENT = 8
 MAX_FREQUENT = 1 << 18
 #: Ids up to this number are broadcast (16 MB); beyond it Spark joins by shuffle.
 SMALL_ROWS = 1_000_000
+#: Sets of a region or chain joined in one task, in bytes and in rows; larger ones become Voronoi regions.
 BLOCK_BYTES = 24 << 20
-#: Members of a region compared by their sketches in one task; larger regions go block by block.
 BLOCK_ROWS = 4_000
+#: Pivots of a large region, on average, and the distance from which a document belongs to none of them.
+PIVOTS = 8
+FAR = 0.6
+#: Sets of pivots sent to the tasks at a time.
+PIVOT_BYTES = 32 << 20
 
 
 def _sets(batches, size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -92,6 +99,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def index_length(n: int, percent: int) -> int:
+    """How many first shingles of a set must meet the prefix of any set at least as large that is similar enough."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1 if n else 0
+
+
 def sketch(words: np.ndarray) -> np.ndarray:
     """How many shingles a set has in each of 64, 128, ... hash classes, about one class for eight shingles.
 
@@ -102,9 +114,10 @@ def sketch(words: np.ndarray) -> np.ndarray:
     return np.bincount((_text.mix(words) >> np.uint64(58 - level)).astype(np.int64), minlength=64 << level).astype(np.uint16)
 
 
-def sketch_links(sizes: np.ndarray, sketches: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning set of the pairs whose sketches leave it open that they are similar enough."""
-    m, forest, links = len(sizes), _Union(len(sizes)), []
+def sketch_links(sizes: np.ndarray, sketches: list[np.ndarray], percent: int, indexed: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning set of the pairs, of which one is `indexed`, whose sketches leave it open that they are similar enough."""
+    m, links = len(sizes), []
+    indexed = np.ones(m, bool) if indexed is None else indexed
     level = np.array([len(s) for s in sketches])
     at = {k: np.flatnonzero(level == k) for k in np.unique(level)}
     own = {k: np.stack([sketches[i] for i in v]).astype(np.int32) for k, v in at.items()}
@@ -117,28 +130,29 @@ def sketch_links(sizes: np.ndarray, sketches: list[np.ndarray], percent: int) ->
         for other, matrix, mine in ((k, own, row), (2 * k, coarse, row), (k // 2, own, row.reshape(-1, 2).sum(1))):
             if other not in at:
                 continue
-            j = at[other]
-            open_ = np.flatnonzero((root[j] != root[i]) & (100 * np.minimum(sizes[j], sizes[i]) >= percent * np.maximum(sizes[j], sizes[i])))
+            begin = int(np.searchsorted(at[other], i, side="right"))
+            j = at[other][begin:]
+            fits = (root[j] != root[i]) & (100 * np.minimum(sizes[j], sizes[i]) >= percent * np.maximum(sizes[j], sizes[i]))
+            open_ = np.flatnonzero(fits if indexed[i] else fits & indexed[j])
             if not len(open_):
                 continue
-            apart = np.abs(matrix[other][open_] - mine).sum(1)
+            apart = np.abs(matrix[other][begin + open_] - mine).sum(1)
             for x in j[open_[apart * (100 + percent) <= (sizes[j[open_]] + sizes[i]) * (100 - percent)]].tolist():
-                if forest.join(i, x):
+                if root[x] != root[i]:
                     links.append((i, x))
-                    root[root == max(root[i], root[x])] = min(root[i], root[x])
+                    root[root == root[x]] = root[i]
     return links
 
 
+def _pairs(a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def _sketch_regions(batches, percent: int):
-    a, b = [], []
     for rows in _grouped(batches):
-        pairs = sketch_links(np.array([r[1][0] for r in rows]), [np.frombuffer(r[1][1], np.uint16) for r in rows], percent)
-        a += [rows[i][0] for i, _ in pairs]
-        b += [rows[j][0] for _, j in pairs]
-        if len(a) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-            a, b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        held = [h for _, h in rows]
+        pairs = sketch_links(np.array([h[0] for h in held]), [np.frombuffer(h[1], np.uint16) for h in held], percent, np.array([h[2] for h in held]))
+        yield _pairs([rows[i][0] for i, _ in pairs], [rows[j][0] for _, j in pairs])
 
 
 def _prefixes(batches, size: int, percent: int, frequent):
@@ -153,7 +167,8 @@ def _prefixes(batches, size: int, percent: int, frequent):
                 if weight.any():
                     s = s[np.lexsort((s, weight))]
             out.append(s[:k].copy())
-        yield pa.RecordBatch.from_arrays([rows.column(0), _text.long_array(out), pa.array([sketch(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "prefix", "sketch"])
+        own = pa.array([index_length(len(s), percent) for s in sets], pa.int32())
+        yield pa.RecordBatch.from_arrays([rows.column(0), _text.long_array(out), own, pa.array([sketch(s).tobytes() for s in sets], pa.binary())], names=["doc_id", "prefix", "own", "sketch"])
 
 
 def _set_rows(batches, size: int):
@@ -161,36 +176,25 @@ def _set_rows(batches, size: int):
         yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array([s.tobytes() for s in sets], pa.binary())], names=["x", "region", "words"])
 
 
-class _Union:
-    def __init__(self, n: int):
-        self.up = np.arange(n)
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return int(i)
+def region_links(sets: list[np.ndarray], percent: int, split: int = 48, label: np.ndarray | None = None, pivots: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """A spanning set of the links between sorted sets: pivots, gaps and windows by the triangle inequality, recursion.
 
-    def join(self, i: int, j: int) -> bool:
-        i, j = self.root(i), self.root(j)
-        if i == j:
-            return False
-        self.up[max(i, j)] = min(i, j)
-        return True
-
-
-def region_links(sets: list[np.ndarray], percent: int, split: int = 48) -> list[tuple[int, int]]:
-    """A spanning set of the links between sorted sets: pivots, windows by the triangle inequality, recursion."""
+    `label` names sets that are known to be linked already; with `pivots` only
+    links of those are looked for. Every pivot leaves its cell, and a cell is cut
+    in two only where the parts together are little larger than it is, so the work
+    grows with the sets outside the largest component times the cell, no faster.
+    """
     m = len(sets)
     size = np.array([len(s) for s in sets])
+    label = np.arange(m) if label is None else label.copy()
+    able = np.ones(m, bool) if pivots is None else pivots
     _, flat = np.unique(np.concatenate(sets), return_inverse=True)
     starts = np.concatenate([[0], np.cumsum(size)])
     # postings: the members that hold each word, so that a pivot meets only the sets it shares words with
     member = np.repeat(np.arange(m), size)[np.argsort(flat, kind="stable")]
     posting = np.concatenate([[0], np.cumsum(np.bincount(flat))])
     eps = 1 - percent / 100 + 1e-9
-    forest, links = _Union(m), []
+    links: list[tuple[int, int]] = []
 
     def against(p: int, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distances of a cell to a pivot; links to it are made."""
@@ -200,35 +204,44 @@ def region_links(sets: list[np.ndarray], percent: int, split: int = 48) -> list[
         both = np.bincount(member[at], minlength=m)[cell]
         union = size[cell] + size[p] - both
         near = 100 * both >= percent * union
-        links.extend((int(p), int(x)) for x in cell[near] if x != p and forest.join(int(p), int(x)))
+        for x in cell[near]:
+            if label[x] != label[p]:
+                links.append((int(p), int(x)))
+                label[label == label[x]] = label[p]
         return 1 - both / union, near
 
-    def settled(cell: np.ndarray) -> bool:
-        first = forest.root(int(cell[0]))
-        return all(forest.root(int(x)) == first for x in cell[1:])
-
-    todo = [np.arange(m)[size > 0]]
+    todo = [np.lexsort((np.arange(m), size))[(size == 0).sum() :]]
     while todo:
         cell = todo.pop()
-        if len(cell) < 2 or settled(cell):
+        names, count = np.unique(label[cell], return_counts=True)
+        if len(names) < 2:
             continue
-        p = cell[0]
-        cell = cell[1:]
+        outside = cell[(label[cell] != names[count.argmax()]) & able[cell]]
+        if not len(outside):  # pivots of the largest component are still open if others are none
+            outside = cell[able[cell]]
+            if not len(outside):
+                continue
+        p = int(outside[0])
+        cell = cell[cell != p]
         d, near = against(p, cell)
-        if near.all():
-            continue
-        keep = ~near | (d >= d[~near].min() - eps)
-        order = np.argsort(d[keep], kind="stable")
-        cell, d = cell[keep][order], d[keep][order]
-        if len(cell) <= split:
-            cuts = np.flatnonzero(np.diff(d) > eps) + 1
-            todo += np.split(cell, cuts)
+        if not near.all():
+            keep = ~near | (d >= d[~near].min() - eps)
+            cell, d = cell[keep], d[keep]
+        else:  # all are linked with the pivot
             continue
-        q = cell[-1]
-        cell, d = cell[:-1], d[:-1]
-        e, _ = against(q, cell)
-        sides = [cell[d - e <= 2 * eps], cell[e - d <= 2 * eps]]
-        todo += [cell] if max(map(len, sides)) == len(cell) else sides
+        order = np.argsort(d, kind="stable")
+        ranks = d[order]
+        parts = np.split(cell[order], np.flatnonzero(np.diff(ranks) > eps) + 1)
+        if len(parts) == 1 and len(cell) > split:
+            q = int(cell[order[-1]])
+            if able[q]:
+                held, d = cell[order[:-1]], ranks[:-1]
+                e, _ = against(q, held)
+                parts = [held]
+                sides = [held[d - e <= 2 * eps], held[d > e]]
+                if 20 * sum(map(len, sides)) <= 23 * len(held) and 20 * max(map(len, sides)) <= 17 * len(held):
+                    parts = sides
+        todo += [np.sort(x) if len(parts) > 1 else x for x in parts]
     return links
 
 
@@ -239,7 +252,6 @@ def _grouped(batches):
         x = batch.column(0).to_pylist()
         words = [tuple(w.values()) for w in batch.column(2).to_pylist()] if pa.types.is_struct(batch.column(2).type) else batch.column(2).to_pylist()
         for i, region in enumerate(batch.column(1).to_pylist()):
-            region = tuple(region.values())
             if region != now:
                 if group:
                     yield group
@@ -250,54 +262,94 @@ def _grouped(batches):
 
 
 def _join_regions(batches, percent: int):
-    a, b = [], []
     for rows in _grouped(batches):
-        for i, j in region_links([np.frombuffer(w, dtype=np.uint64) for _, w in rows], percent):
-            a.append(rows[i][0])
-            b.append(rows[j][0])
-        if len(a) > 50_000:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-            a, b = [], []
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        pairs = region_links([np.frombuffer(w, dtype=np.uint64) for _, w in rows], percent)
+        yield _pairs([rows[i][0] for i, _ in pairs], [rows[j][0] for _, j in pairs])
 
 
-def _to_pivot(batches, percent: int):
+def _join_blocks(batches, percent: int):
+    """Links of the members with `side` to all members of a block; the others are one component by region and label."""
+    for rows in _grouped(batches):
+        held: dict[int, tuple] = {}
+        for x, (words, label, side) in rows:
+            held[x] = (words, label, side or (x in held and held[x][2]))
+        xs = sorted(held, key=lambda x: (len(held[x][0]), x))
+        _, label = np.unique([held[x][1] for x in xs], return_inverse=True)
+        pairs = region_links([np.frombuffer(held[x][0], dtype=np.uint64) for x in xs], percent, label=label, pivots=np.array([held[x][2] for x in xs]))
+        yield _pairs([xs[i] for i, _ in pairs], [xs[j] for _, j in pairs])
+
+
+def _to_pivots(batches, percent: int, sent):
+    """Rows (region, x, cell, pivot) of documents (region, x, words): a row with a pivot is a link to it, one with a cell (-1: far from all) is a place."""
+    pivots, eps = sent.value, 1 - percent / 100 + 1e-9
     for batch in batches:
-        p, x, words, pivot = (batch.column(i).to_pylist() for i in range(4))
-        both, union = [], []
-        for w, v in zip(words, pivot):
-            w, v = np.frombuffer(w, np.uint64), np.frombuffer(v, np.uint64)
-            both.append(len(np.intersect1d(w, v, assume_unique=True)))
-            union.append(len(w) + len(v) - both[-1])
-        both, union = np.array(both, np.int64), np.array(union, np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(p, pa.int64()), pa.array(x, pa.int64()), pa.array(1 - both / np.maximum(union, 1)), pa.array(100 * both >= percent * union)], names=["p", "x", "d", "near"])
+        rows: list[tuple] = []
+        for region, x, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            words, d = np.frombuffer(words, np.uint64), []
+            for p, own in pivots.get(region, ()):
+                at = np.minimum(np.searchsorted(own, words), len(own) - 1)
+                both = int((own[at] == words).sum())
+                d.append(1 - both / (len(own) + len(words) - both))
+                if 100 * both >= percent * (len(own) + len(words) - both) and p != x:
+                    rows.append((region, x, None, p))
+            least = min(d, default=1.0)
+            if least < FAR:
+                a = d.index(least)
+                rows += [(region, x, k, None) for k in range(a + 1) if k == a or d[k] <= least + 2 * eps]
+            if least >= FAR - eps:
+                rows.append((region, x, -1, None))
+        columns = zip(*rows) if rows else [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64()))], names=["region", "x", "cell", "pivot"])
+
+
+def _voronoi_links(docs: DataFrame, members: DataFrame, size: int, percent: int, block_bytes: int, block_rows: int) -> DataFrame:
+    """(a, b): links inside large regions, each given by its members (region, x).
+
+    Windows: of two linked documents with nearest pivots a < b the second is
+    within 2 * eps of its own distance to a; one with no pivot nearer than FAR
+    meets the other at FAR - eps from it at least.
+    """
+    spark = docs.sparkSession
+    members = kept(members)
+    sets = kept(_with_sets(docs, members.select("x", F.lit(0).cast("long").alias("region")).distinct(), size).select("x", "words"))
+    sizes = kept(members.join(sets.select("x", F.length("words").alias("bytes")), "x").groupBy("region").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")))
+    drawn = members.join(small_side(sizes.select("region", F.col("n").alias("of")), SMALL_ROWS), "region").where(F.pmod(F.xxhash64("x", "region"), F.col("of")) < PIVOTS).select("region", "x")
+    pivots = kept(drawn.join(sets, "x").select("region", "x", "words"))
+    blocks = max(1, -(-(pivots.agg(F.sum(F.length("words"))).first()[0] or 0) // PIVOT_BYTES))
+    placed = None
+    for i in range(blocks):
+        here = F.pmod(F.xxhash64("region"), F.lit(blocks)) == i
+        own: dict[int, list] = {}
+        for region, x, words in pivots.where(here).sort("region", "x").collect():  # one block of the pivots
+            own.setdefault(region, []).append((x, np.frombuffer(words, np.uint64)))
+        sent = spark.sparkContext.broadcast(own)
+        at = members.where(here).join(sets, "x").select("region", "x", "words").mapInArrow(lambda it, sent=sent: _to_pivots(it, percent, sent), "region long, x long, cell int, pivot long")
+        placed = at if placed is None else placed.union(at)
+    placed = kept(placed)
+    links = placed.where("pivot is not null").select(F.col("x").alias("a"), F.col("pivot").alias("b"))
+    named = components(links).select(F.col("node").alias("x"), F.col("component").alias("label"))
+    # the most frequent component of a region needs no comparison with itself
+    own = placed.where("cell is not null").join(named, "x", "left").select("region", "cell", "x", F.coalesce("label", "x").alias("label"))
+    own = kept(own)
+    main = own.groupBy("region", "label").agg(F.count("*").alias("n")).groupBy("region").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
+    own = own.join(small_side(kept(main), SMALL_ROWS), "region")
+    own = kept(own.select(F.xxhash64("region", "cell").alias("at"), "x", "label", (F.col("label") != F.col("main")).alias("u")))
+    weight = F.length("words") / F.lit(float(block_bytes) / 2) + F.lit(2.0 / block_rows)
+    cells = own.join(sets.select("x", weight.alias("w")), "x").groupBy("at").agg(F.sum(F.when(F.col("u"), F.col("w"))).alias("bu"), F.sum("w").alias("bm"))
+    cells = kept(cells.where("bu > 0").select("at", F.ceil("bu").cast("int").alias("bu"), F.ceil("bm").cast("int").alias("bm")))
+    own = own.join(small_side(cells, SMALL_ROWS), "at")
+    i, j = F.pmod(F.xxhash64("x", F.lit(1)), F.col("bu")).cast("int"), F.pmod(F.xxhash64("x"), F.col("bm")).cast("int")
+    left = own.where("u").select("at", "x", "label", F.lit(True).alias("side"), i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("bm") - 1)).alias("j"))
+    right = own.select("at", "x", "label", F.lit(False).alias("side"), F.explode(F.sequence(F.lit(0), F.col("bu") - 1)).alias("i"), j.alias("j"))
+    pairs = left.union(right).join(sets, "x").select("x", F.xxhash64("at", "i", "j").alias("region"), F.struct("words", "label", "side").alias("held"))
+    found = pairs.repartition("region").sortWithinPartitions("region", "x").mapInArrow(lambda it: _join_blocks(it, percent), "a long, b long")
+    return links.union(found)
 
 
 def _with_sets(docs: DataFrame, at: DataFrame, size: int) -> DataFrame:
     """(x, region, words): the documents of `at` (x, region) with their sets, read from their texts."""
     at = at.withColumnRenamed("x", "doc_id")
-    return docs.join(small_side(at, SMALL_ROWS), "doc_id").select("doc_id", "text", "region").mapInArrow(lambda it: _set_rows(it, size), "x long, region struct<r:bigint,i:int,j:int>, words binary")
-
-
-def _blocks(members: DataFrame, bytes_of: DataFrame, block_bytes: int) -> DataFrame:
-    """(x, region): a region over `block_bytes` is cut into blocks, and each pair of blocks is a group of its own."""
-    blocks = members.join(bytes_of, "x").groupBy("p").agg(F.ceil(F.sum("bytes") / block_bytes).cast("int").alias("nb"))
-    at = members.join(blocks, "p").withColumn("own", F.pmod(F.xxhash64("x"), F.col("nb")).cast("int"))
-    at = at.select("p", "x", "own", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other"))
-    return at.select("x", F.struct(F.col("p").alias("r"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("region"))
-
-
-def _large_regions(docs: DataFrame, regions: DataFrame, bytes_of: DataFrame, size: int, percent: int, block_bytes: int) -> DataFrame:
-    """(a, b): links of chains too large for one task, pivot by pivot: first the distances to the pivot, then what it leaves open in blocks."""
-    members = kept(regions.union(regions.select(F.col("p").alias("x"), "p").distinct()).select("p", "x"))
-    wanted = members.select("x").distinct().withColumn("region", F.struct(F.lit(0).cast("long").alias("r"), F.lit(0).alias("i"), F.lit(0).alias("j")))
-    sets = kept(_with_sets(docs, wanted, size).select("x", "words"))
-    pivots = sets.select(F.col("x").alias("p"), F.col("words").alias("pivot"))
-    far = kept(members.where("x <> p").join(sets, "x").join(pivots, "p").select("p", "x", "words", "pivot").mapInArrow(lambda it: _to_pivot(it, percent), "p long, x long, d double, near boolean"))
-    reach = far.where("not near").groupBy("p").agg((F.min("d") - (1 - percent / 100) - 1e-9).alias("least"))
-    at = _blocks(kept(far.join(reach, "p").where("not near or d >= least").select("p", "x")), bytes_of, block_bytes)
-    near = at.join(sets, "x").select("x", "region", "words").repartition("region").sortWithinPartitions("region")
-    return far.where("near").select(F.col("p").alias("a"), F.col("x").alias("b")).union(near.mapInArrow(lambda it: _join_regions(it, percent), "a long, b long"))
+    return docs.join(small_side(at, SMALL_ROWS), "doc_id").select("doc_id", "text", "region").mapInArrow(lambda it: _set_rows(it, size), "x long, region long, words binary")
 
 
 def _row_numbers(docs: DataFrame) -> DataFrame | None:
@@ -349,25 +401,31 @@ def _classes(docs: DataFrame, size: int, percent: int, block_bytes: int = BLOCK_
     frequent = spark.sparkContext.broadcast((tokens[order], often["seen"].to_numpy(np.int64)[order]))
 
     reps = small_side(classes.select(F.col("rep").alias("doc_id")).distinct(), SMALL_ROWS)
-    prefixes = docs.where("doc_id is not null").mapInArrow(lambda it: _prefixes(it, size, percent, frequent), "doc_id long, prefix array<long>, sketch binary")
+    prefixes = docs.where("doc_id is not null").mapInArrow(lambda it: _prefixes(it, size, percent, frequent), "doc_id long, prefix array<long>, own int, sketch binary")
     prefixes = kept(prefixes.join(reps, "doc_id", "left_semi"))
-    cells = prefixes.select(F.col("doc_id").alias("x"), F.xxhash64("doc_id").alias("h"), F.explode("prefix").alias("token"))
-    pivot = F.first("x").over(W.partitionBy("token").orderBy("h", "x"))
-    regions = kept(cells.select("x", pivot.alias("p")).where("x <> p").distinct())
-    members = regions.union(regions.select(F.col("p").alias("x"), "p").distinct()).select("p", "x")
+    cells = prefixes.select(F.col("doc_id").alias("x"), "own", F.posexplode("prefix").alias("at", "token")).select("x", "token", (F.col("at") < F.col("own")).alias("indexed"))
+    pivot = F.min(F.when(F.col("indexed"), F.struct(F.xxhash64("x").alias("h"), "x")))["x"]
+    tokens = kept(cells.groupBy("token").agg(pivot.alias("p"), F.count("*").alias("n")).where("n > 1 and p is not null"))
+    members = kept(hot_join(cells, tokens, ["token"]).groupBy("p", "x").agg(F.max("indexed").alias("indexed")))
+    hot = kept(members.groupBy("p").agg(F.count("*").alias("n")).where(F.col("n") > block_rows).select("p"))
 
     joined = "a long, b long"
-    bytes_of = classes.groupBy(F.col("rep").alias("x")).agg((8 * F.sum("n")).alias("bytes"))
-    light = classes.select(F.col("rep").alias("x"), F.lit(1).alias("bytes")).distinct()
-    drawn = prefixes.select(F.col("doc_id").alias("x"), "sketch").join(classes.select(F.col("rep").alias("x"), "n"), "x").select("x", F.struct("n", "sketch").alias("held"))
-    at = _blocks(members, light, block_rows).join(drawn, "x").select("x", "region", "held").repartition("region").sortWithinPartitions("region")
+    own = classes.select(F.col("rep").alias("x"), "n")
+    drawn = prefixes.select(F.col("doc_id").alias("x"), "sketch").join(own, "x").select("x", "n", "sketch")
+    some_hot = not hot.isEmpty()
+    cool = members.join(small_side(hot, SMALL_ROWS), "p", "left_anti") if some_hot else members
+    at = cool.join(drawn, "x").select("x", F.col("p").alias("region"), F.struct("n", "sketch", "indexed").alias("held")).repartition("region").sortWithinPartitions("region", "x")
     chained = kept(components(at.mapInArrow(lambda it: _sketch_regions(it, percent), joined)).select(F.col("node").alias("x"), F.col("component").alias("r")))
-    large = kept(chained.join(bytes_of, "x").groupBy("r").agg(F.sum("bytes").alias("bytes")).where(F.col("bytes") > block_bytes).select("r"))
-    whole = chained.join(small_side(large, SMALL_ROWS), "r", "left_anti")
-    near = _with_sets(docs, whole.select("x", F.struct("r", F.lit(0).alias("i"), F.lit(0).alias("j")).alias("region")), size)
-    merged = near.repartition("region").sortWithinPartitions("region").mapInArrow(lambda it: _join_regions(it, percent), joined)
-    if not large.isEmpty():
-        merged = merged.union(_large_regions(docs, regions.join(chained.join(large, "r", "left_semi"), "x", "left_semi"), bytes_of, size, percent, block_bytes))
+    large = chained.join(own, "x").groupBy("r").agg((8 * F.sum("n")).alias("bytes"), F.count("*").alias("n"))
+    large = kept(large.where((F.col("bytes") > block_bytes) | (F.col("n") > block_rows)).select("r"))
+    some_large = not large.isEmpty()
+    whole = chained.join(small_side(large, SMALL_ROWS), "r", "left_anti") if some_large else chained
+    near = _with_sets(docs, whole.select("x", F.col("r").alias("region")), size)
+    merged = near.repartition("region").sortWithinPartitions("region", "x").mapInArrow(lambda it: _join_regions(it, percent), joined)
+    if some_hot or some_large:
+        held = members.join(small_side(hot, SMALL_ROWS), "p", "left_semi").select(F.xxhash64("p").alias("region"), "x")
+        held = held.union(chained.join(small_side(large, SMALL_ROWS), "r", "left_semi").select(F.xxhash64("r", F.lit(1)).alias("region"), "x"))
+        merged = merged.union(_voronoi_links(docs, held, size, percent, block_bytes, block_rows))
     found = components(merged).select(F.col("node").alias("rep"), F.col("component").alias("least"))
     named = classes.join(found, "rep", "left").select("n", "f1", "f2", F.coalesce("least", "rep").alias("least"))
     out = prints.join(named, ["n", "f1", "f2"], "left")
