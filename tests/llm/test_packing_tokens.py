@@ -78,6 +78,14 @@ def test_query_over_the_table(spark, tokenizer):
     assert n <= packing.lower_bound(np.array([p["length"] for p in out]), 1024) + 1
 
 
+def test_very_long_texts(spark, tokenizer):
+    docs = [(1, " " * 1_000_000), (2, "ab" * 300_000), (3, "x" + "\n" * 400_000 + "<|endoftext|>"), (4, "word " * 200_000)]
+    df = spark.createDataFrame(docs, SCHEMA)
+    whole(packing.pack_documents(df).collect(), docs, tokenizer, 1024)
+    counts = {r["id"]: r["n_tokens"] for r in token_counts.section_tokens(df, "doc_id", ["text"]).collect()}
+    assert counts == {d: len(tokenizer.encode(t, add_special_tokens=False).ids) for d, t in docs}
+
+
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], SCHEMA)).collect() == []
 

@@ -6,7 +6,7 @@ piece may be shorter than the capacity. Pieces are dealt to partitions and each
 partition is packed by best-fit decreasing. A lower bound by dual feasible
 functions certifies its number of bins: where bins and bound agree the
 partition is closed; partitions with a gap pool their documents, are dealt
-anew and packed again, until nothing is gained.
+anew and packed again, until next to nothing is gained (`LEAST_GAIN`).
 
 Texts that are null count as empty: one piece that holds only the end token.
 Rows with a null doc_id are packed too; repeated rows are packed each.
@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -29,30 +30,56 @@ CAPACITY = 1024
 END = 2
 #: Pieces dealt to a partition, on average.
 PARTITION_PIECES = 40_000
-MAX_ROUNDS = 4
+#: Rounds go on while one saves a sequence in so many of those it repacks (and one at least).
+LEAST_GAIN = 10_000
 SPECIAL = "<|endoftext|>"
 
 
-def encoder(vocabulary: str, pattern: str):
-    """A tiktoken encoder of byte-level BPE ranks; it gives the ids that the same vocabulary gives in `tokenizers`, several times as fast."""
-    import tiktoken
+class Encoder:
+    """Ids of a byte-level BPE: by `tiktoken` over its ranks, several times as fast as `tokenizers`, which the JSON file is for.
 
-    with open(vocabulary, "rb") as f:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
+    Where tiktoken gives up (its splitter's stack ends on a run of about a million blanks) the text goes to `tokenizers`.
+    """
+
+    def __init__(self, vocabulary: str, pattern: str, file: str):
+        import tiktoken
+
+        with open(vocabulary, "rb") as f:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self.lengths = np.zeros(len(ranks) + 1, np.int64)
+        for token, rank in ranks.items():
+            self.lengths[rank] = len(token)
+        self.lengths[len(ranks)] = len(SPECIAL)
+        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={SPECIAL: len(ranks)})
+        self.file, self.whole = file, None
+
+    def encode(self, text: str) -> list[int]:
+        """The special token's string counts as that token, as `tokenizers` takes it by default."""
+        try:
+            return self.fast.encode(text, allowed_special={SPECIAL}) if SPECIAL in text else self.fast.encode_ordinary(text)
+        except (KeyboardInterrupt, SystemExit):
+            raise
+        except BaseException:  # a panic of the native code is not an Exception
+            if self.whole is None:
+                from tokenizers import Tokenizer
 
+                self.whole = Tokenizer.from_file(self.file)
+            return self.whole.encode(text, add_special_tokens=False).ids
 
-def encode(enc, text: str) -> list[int]:
-    """Ids of a text; the special token's string counts as that token, as `tokenizers` takes it by default."""
-    return enc.encode(text, allowed_special={SPECIAL}) if SPECIAL in text else enc.encode_ordinary(text)
 
+def public_vocabulary() -> tuple[str, str, str]:
+    """The public 50k byte-level BPE: its ranks, their pre-tokenising pattern, and its file for `tokenizers`."""
+    import public_tokenizers
 
-def _pieces(batches, vocabulary: str, pattern: str, capacity: int, end: int):
-    enc = encoder(vocabulary, pattern)
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("byte_bpe_50k.json")
+
+
+def _pieces(batches, vocabulary: tuple[str, str, str], capacity: int, end: int):
+    enc = Encoder(*vocabulary)
     for batch in batches:
         out: list[tuple] = []
         for row, text in enumerate(batch.column(1)):
-            ids = encode(enc, text.as_py() or "")
+            ids = enc.encode(text.as_py() or "")
             ids.append(end)
             n = len(ids)
             flat = np.array(ids, dtype="<u4")
@@ -63,19 +90,16 @@ def _pieces(batches, vocabulary: str, pattern: str, capacity: int, end: int):
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(piece.astype(np.int32)), *(pa.array(x) for x in (start, length, crc))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
-def pieces(docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
+def pieces(docs: DataFrame, vocabulary: tuple[str, str, str] | None = None, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of documents (doc_id, text).
 
-    `vocabulary` is a file of byte-level BPE ranks that every executor can read
-    (by default the public 50k one), `pattern` its pre-tokenising pattern.
+    `vocabulary` names a byte-level BPE in files that every executor can read: its
+    ranks, their pre-tokenising pattern and its `tokenizers` file; by default the public 50k one.
     """
-    if vocabulary is None:
-        import public_tokenizers
-
-        vocabulary, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    vocabulary = vocabulary or public_vocabulary()
     small_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(lambda it: _pieces(it, vocabulary, pattern, capacity, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return given.mapInArrow(lambda it: _pieces(it, vocabulary, capacity, end), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, int]:
@@ -160,28 +184,28 @@ def packed(rows: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PA
     left = rows.where(F.col("length") < capacity)
     number = max(1, round(left.count() / partition_pieces))
     closed, best = [], None
-    for seed in range(MAX_ROUNDS):
+    for seed in count():
         # a partition goes whole to one task; several may share one
         now = kept(_dealt(left, number, seed).repartition(number, "part").mapInArrow(lambda it: _pack(it, capacity), schema))
-        parts = now.select("part", "bins", "bound").distinct().agg(F.sum("bins"), F.sum(F.when(F.col("bins") > F.col("bound"), F.col("bins"))), F.count(F.when(F.col("bins") > F.col("bound"), 1))).first()
-        if best is not None and parts[0] >= best[1]:
-            closed.append((best[0], best[2]))  # dealing anew gained nothing: the last packing of these documents stands
-            break
-        shut, gap = now.where("bins = bound"), now.where("bins > bound")
-        closed.append((shut, seed))
-        if not parts[2]:
+        own = now.groupBy("part").agg(F.max("bins").alias("bins"), F.max("bound").alias("bound"), F.count("*").alias("n"))
+        is_open = F.col("bins") > F.col("bound")
+        made, rest, parts, n = own.agg(F.sum("bins"), F.sum(F.when(is_open, F.col("bins"))), F.count_if(is_open), F.sum(F.when(is_open, F.col("n")))).first()
+        if best is not None and made > best[1] - max(1, best[1] // LEAST_GAIN):
+            closed.append(best[0] if made >= best[1] else now)  # dealing anew gained next to nothing
             break
-        if seed == MAX_ROUNDS - 1:
-            closed.append((gap, seed))
+        closed.append(now.where("bins = bound"))
+        if not parts:
             break
-        best, left, number = (gap, parts[1], seed), gap, max(1, parts[2] // 2)
+        left = now.where("bins > bound")
+        # half as many partitions, but none over eight times the size
+        best, number = (left, rest), max(1, parts // 2, round(n / (8 * partition_pieces)))
     out = full.select("doc_id", "piece", "start", "length", "ids_crc32", (F.monotonically_increasing_id() + (1 << 62)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    for i, (df, seed) in enumerate(closed):
-        number = F.lit(i * MAX_ROUNDS + seed).cast("long")
-        out = out.union(df.select("doc_id", "piece", "start", "length", "ids_crc32", (F.shiftleft(number, 56) + F.shiftleft("part", 28) + F.col("bin")).alias("sequence_id"), "offset"))
+    for i, df in enumerate(closed):
+        number = F.lit(i).cast("long")
+        out = out.union(df.select("doc_id", "piece", "start", "length", "ids_crc32", (F.shiftleft(number, 52) + F.shiftleft("part", 28) + F.col("bin")).alias("sequence_id"), "offset"))
     return out
 
 
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, end: int = END, vocabulary: tuple[str, str, str] | None = None) -> DataFrame:
     """Pieces of all documents, packed."""
-    return packed(kept(pieces(docs, vocabulary, pattern, capacity, end)), capacity)
+    return packed(kept(pieces(docs, vocabulary, capacity, end)), capacity)

@@ -20,15 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.packing import SPECIAL, encode, encoder
+from tidemark.llm._store import small_batches
+from tidemark.llm.packing import Encoder, public_vocabulary
 
 
-def spans(enc, lengths: np.ndarray, text: str) -> tuple[np.ndarray, np.ndarray]:
+def spans(enc: Encoder, text: str) -> tuple[np.ndarray, np.ndarray]:
     """(start, end) in characters of each token of a text."""
-    ids = np.array(encode(enc, text), np.int64)
+    ids = np.array(enc.encode(text), np.int64)
     raw = np.frombuffer(text.encode(), np.uint8)
-    stop = np.cumsum(lengths[ids])
-    start = stop - lengths[ids]
+    stop = np.cumsum(enc.lengths[ids])
+    start = stop - enc.lengths[ids]
     lead = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # characters that begin before a byte
     inside = np.append((raw & 0xC0) == 0x80, False)
     return lead[start] - inside[start], lead[stop]
@@ -47,9 +48,8 @@ def attribute(start: np.ndarray, end: np.ndarray, edges: np.ndarray, rule: str =
     return first, crosses
 
 
-def _counts(batches, fields: list[str], separator: str, by_line: bool, rule: str, vocabulary: str, pattern: str):
-    enc = encoder(vocabulary, pattern)
-    lengths = np.array([*(len(enc.decode_single_token_bytes(i)) for i in range(enc.n_vocab - 1)), len(SPECIAL)], np.int64)
+def _counts(batches, fields: list[str], separator: str, by_line: bool, rule: str, vocabulary: tuple[str, str, str]):
+    enc = Encoder(*vocabulary)
     for batch in batches:
         columns = [batch.column(i + 1).to_pylist() for i in range(len(fields))]
         out: list[tuple[np.ndarray, ...]] = []
@@ -64,7 +64,7 @@ def _counts(batches, fields: list[str], separator: str, by_line: bool, rule: str
                     field.append(i)
                     number.append(k)
             edges = np.array(edges, np.int64)
-            start, end = spans(enc, lengths, separator.join(v or "" for v in values))
+            start, end = spans(enc, separator.join(v or "" for v in values))
             # an empty section shares its start with the next one: side="right" gives tokens to the last of them
             section, crosses = attribute(start, end, edges, rule)
             n = len(field)
@@ -78,7 +78,7 @@ def _counts(batches, fields: list[str], separator: str, by_line: bool, rule: str
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0][cut])), pa.array(np.array(fields, dtype=object)[field[cut]], pa.string()), *(pa.array(c[cut]) for c in cols[1:])], names=["id", "field", "section", "start", "end", "n_tokens", "n_crossing"])
 
 
-def section_tokens(df: DataFrame, id: str, fields: list[str], by_line: bool = False, separator: str = "\n", rule: str = "first", vocabulary: str | None = None, pattern: str | None = None) -> DataFrame:
+def section_tokens(df: DataFrame, id: str, fields: list[str], by_line: bool = False, separator: str = "\n", rule: str = "first", vocabulary: tuple[str, str, str] | None = None) -> DataFrame:
     """(id, field, section, start, end, n_tokens, n_crossing), one row per section of each row of df.
 
     Without `by_line` a field is one section; with it each of its lines is, and
@@ -86,9 +86,7 @@ def section_tokens(df: DataFrame, id: str, fields: list[str], by_line: bool = Fa
     """
     if rule not in ("first", "most"):
         raise ValueError("rule is first or most")
-    if vocabulary is None:
-        import public_tokenizers
-
-        vocabulary, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    vocabulary = vocabulary or public_vocabulary()
+    small_batches(df.sparkSession)
     given = df.select(F.col(id).cast("long").alias("id"), *(F.col(f).cast("string").alias(f"f{i}") for i, f in enumerate(fields)))
-    return given.mapInArrow(lambda it: _counts(it, fields, separator, by_line, rule, vocabulary, pattern), "id long, field string, section long, start long, end long, n_tokens long, n_crossing long")
+    return given.mapInArrow(lambda it: _counts(it, fields, separator, by_line, rule, vocabulary), "id long, field string, section long, start long, end long, n_tokens long, n_crossing long")
