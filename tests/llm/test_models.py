@@ -35,8 +35,8 @@ def test_held_out_accuracy(spark, name, label, modulus, remainder, _):
 
 
 def frame(spark, module, rows):
-    schema = "doc_id long, text string, n_chars long, ids string, label string, __rest int"
-    return spark.createDataFrame([(d, t, len(t or ""), "a", "b", 1) for d, t in rows], schema)
+    schema = "doc_id long, text string, n_chars long, ids string, label string, __rest int, __text string, __chars int, __score int"
+    return spark.createDataFrame([(d, t, len(t or ""), "a", "b", 1, "t", 2, 3) for d, t in rows], schema)
 
 
 @pytest.mark.parametrize("module", [quality, toxicity])
@@ -78,10 +78,51 @@ def test_pairwise_sum_is_the_sum_of_squares_identity():
     assert np.isclose(m.margin(dense, np.zeros(3, int), word, share)[0], want)
 
 
-def test_log_count_ratios_count_texts(spark):
-    texts = [b"ab ab cd", b"ab"]
-    data = np.frombuffer(b"".join(texts), np.uint8)
-    ids, row = toxicity._grams(data, np.array([0, len(texts[0]), len(data)]))
-    # " ab", "ab ", " ab " for each ab, the same for cd
-    assert np.bincount(row).tolist() == [9, 3] and len(set(ids[row == 0])) == 6 and set(ids[row == 1]) <= set(ids[row == 0])
+ODD_TEXTS = ["Ab ab\tCD", "", "a", "\u00fcn\u00ef \u6f22\u5b57\u6f22\u5b57 \U0001f642\U0001f642\U0001f642 \u00e9", " \n", "\u0434\u0430 \u0434\u0430\u0434\u0430", "ab " * 50, "\u6f22", "x\u00fc"]
+
+
+def brute_grams(text: str) -> list[str]:
+    padded = " " + "".join(" " if c in "\t\n\v\f\r" else c.lower() if "A" <= c <= "Z" else c for c in text) + " "
+    return [g for n in toxicity.SIZES for i in range(len(padded) - n + 1) if " " not in (g := padded[i : i + n])[1:-1]]
+
+
+def test_grams_are_of_characters():
+    raw = [t.encode() for t in ODD_TEXTS]
+    ids, row = toxicity._grams(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    seen: dict[str, int] = {}
+    for i, t in enumerate(ODD_TEXTS):
+        own, want = ids[row == i], brute_grams(t)
+        assert len(own) == len(want)
+        alone = {g: toxicity._grams(np.frombuffer(g.encode(), np.uint8), np.array([0, len(g.encode())])) for g in set(want) if " " not in g}
+        for g, (inner, _) in alone.items():  # a gram's id is the same wherever it lies
+            k = next(k for k, x in enumerate(brute_grams(g)) if x == g)
+            assert seen.setdefault(g, int(inner[k])) == int(inner[k]) and want.count(g) <= (own == inner[k]).sum()
+        assert len(set(own.tolist())) == len(set(want))
+
+
+def test_log_count_ratios_equal_brute_force(spark):
+    r = np.random.default_rng(2)
+    rows = [(" ".join(r.choice(["vile", "tea", "\u6f22\u5b57", "lake", "curse"], 4, p=[0.3, 0.1, 0.1, 0.1, 0.4] if i % 2 else [0.1, 0.3, 0.3, 0.2, 0.1])), int(i % 2)) for i in range(60)] + [(None, 1), ("", 0)]
+    n, texts = toxicity.class_counts(spark.createDataFrame(rows, "text string, label long").repartition(5))
+    assert texts.tolist() == [31, 31]
+    ratio = toxicity.log_count_ratios(n, texts)
+    where: dict[str, int] = {}
+    for t, _ in rows:
+        raw = (t or "").encode()
+        ids, _ = toxicity._grams(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        where |= dict(zip(brute_grams(t or ""), ids.tolist()))
+    assert n.sum() == sum(len(set(brute_grams(t or ""))) for t, _ in rows) and len(set(where.values())) == len(where)
+    for g, i in where.items():
+        held = [sum(g in brute_grams(t or "") for t, y in rows if y == c) for c in (0, 1)]
+        assert n[:, i].tolist() == held
+        want = np.log((held[1] + 1) / 33) - np.log((held[0] + 1) / 33)
+        assert np.isclose(ratio[i], want if abs(want) >= toxicity.MIN_Z * np.sqrt(1 / (held[0] + 1) + 1 / (held[1] + 1)) else 0)
     assert len(queries.op10_toxicity(spark, TINY).collect()) == 200
+
+
+def test_statistics_are_those_of_all_rows(spark):
+    rows = [("a b c" * i, float(i)) for i in range(1, 30)] + [(None, None)]
+    mean, spread = quality.statistics_scale(spark.createDataFrame(rows, "text string, n_chars double").repartition(3))
+    raw = [(t or "").encode() for t, _ in rows]
+    dense = quality.features(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), np.array([n or 0.0 for _, n in rows]))[0]
+    assert np.allclose(mean, dense.mean(0)) and np.allclose(spread, dense.std(0) + 1e-6)

@@ -5,8 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -78,6 +79,16 @@ def wrapped(docs: DataFrame, *own: str) -> DataFrame:
     return docs.select(*own, (F.struct(*rest) if rest else F.lit(0)).alias("__rest"))
 
 
+def scored(docs: DataFrame, kernel, name: str, **own: Column) -> DataFrame:
+    """`docs` with a double column `name`, in place of one that they may have.
+
+    `kernel` is a function for mapInArrow from batches of __rest (all columns) and the columns `own` to (__rest, __score).
+    """
+    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__rest"), *(column.alias(c) for c, column in own.items()))
+    out = given.mapInArrow(kernel, StructType([given.schema["__rest"], StructField("__score", DoubleType())]))
+    return out.select(*(F.col("__rest").getField(c).alias(c) for c in docs.columns if c != name), F.col("__score").alias(name))
+
+
 def unwrapped(df: DataFrame, columns: list[str], *own: str) -> DataFrame:
     """The `columns` that wrapped() put away, in their order."""
     return df.select(*(F.col(c) if c in own else F.col("__rest").getField(c).alias(c) for c in columns))

@@ -8,7 +8,7 @@ line-broken it is) and its declared length beside its real one. The machine scor
 
 so all pairwise interactions cost one pass (the sum-of-squares identity). It
 is fitted on a bounded sample of the labelled training rows, `FIT_ROWS` of each class
-by hash order of doc_id; the spread of the statistics is taken over the same sample.
+by hash order of doc_id; mean and spread of the statistics are those of all training rows.
 
 Null and empty texts have no words and are scored by their statistics. A null
 n_chars counts as 0. Rows whose label or doc_id is null teach nothing; a doc_id
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
+from tidemark.llm._store import scored, small_batches
 
 BITS = 16
 RANK = 6
@@ -96,9 +97,9 @@ class Machine:
             z = z + 0.5 * (total * total - square)
         return z
 
-    def fit(self, dense, row, word, share, y, steps: int = STEPS, rate: float = 0.03, l2: float = 1e-4) -> Machine:
-        """Adam on the logistic loss of the whole sample; classes weigh alike."""
-        self.mean, self.spread = dense.mean(0), dense.std(0) + 1e-6
+    def fit(self, dense, row, word, share, y, steps: int = STEPS, rate: float = 0.03, l2: float = 1e-4, scale: tuple | None = None) -> Machine:
+        """Adam on the logistic loss of the whole sample; classes weigh alike. `scale` is (mean, spread) of the statistics, else the sample's."""
+        self.mean, self.spread = scale or (dense.mean(0), dense.std(0) + 1e-6)
         d, rows, k = self.scaled(dense), len(dense), len(self.w) - N_DENSE
         weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
         used = np.unique(word)
@@ -150,8 +151,29 @@ def _rows(batches):
             yield pa.RecordBatch.from_arrays([batch.column(2).slice(first, end - first), pa.array([r.tobytes() for r in dense], pa.binary()), cut(word, np.int32), cut(share, np.float32)], names=["label", "dense", "words", "share"])
 
 
+def _sums(batches):
+    """(at, n, s, ss): for each statistic the rows, sum and sum of squares of a task."""
+    n, s, ss = 0, np.zeros(N_DENSE), np.zeros(N_DENSE)
+    for batch in batches:
+        declared = np.array(batch.column(1).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.float64)
+        for first, end, data, offsets in _text.string_slices(batch, "text"):
+            dense = features(data, offsets, declared[first:end])[0]
+            n, s, ss = n + len(dense), s + dense.sum(0), ss + (dense**2).sum(0)
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(N_DENSE)), pa.array(np.full(N_DENSE, n)), pa.array(s), pa.array(ss)], names=["at", "n", "s", "ss"])
+
+
+def statistics_scale(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, spread) of the dense statistics over all rows (text, n_chars)."""
+    sums = docs.select("text", "n_chars").mapInArrow(_sums, "at long, n long, s double, ss double").groupBy("at").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss")).orderBy("at").toPandas()
+    if not len(sums) or not sums["n"][0]:
+        return np.zeros(N_DENSE), np.ones(N_DENSE)
+    mean = (sums["s"] / sums["n"]).to_numpy()
+    return mean, np.sqrt(np.maximum((sums["ss"] / sums["n"]).to_numpy() - mean**2, 0)) + 1e-6
+
+
 def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machine:
     """A machine from documents (doc_id, text, n_chars) and labels (doc_id, label 0 or 1)."""
+    small_batches(docs.sparkSession)
     pairs = labels.where("doc_id is not null and label in (0, 1)").select("doc_id", F.col("label").cast("long").alias("label")).distinct()
     sample = None
     for c in (0, 1):
@@ -167,24 +189,21 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machine
         return machine
     words = [np.frombuffer(r["words"], np.int32) for r in held]
     row = np.repeat(np.arange(len(y)), [len(w) for w in words])
-    return machine.fit(np.array([np.frombuffer(r["dense"]) for r in held]), row, np.concatenate(words).astype(np.int64), np.concatenate([np.frombuffer(r["share"], np.float32) for r in held]).astype(np.float64), y)
+    return machine.fit(np.array([np.frombuffer(r["dense"]) for r in held]), row, np.concatenate(words).astype(np.int64), np.concatenate([np.frombuffer(r["share"], np.float32) for r in held]).astype(np.float64), y, scale=statistics_scale(given))
 
 
-def _scores(batches, machine, name: str):
+def _scores(batches, machine):
     m: Machine = machine.value
     for batch in batches:
-        index = {n: i for i, n in enumerate(batch.schema.names)}
-        declared = np.array(batch.column(index["__chars"]).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.float64)
+        declared = np.array(batch.column(2).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.float64)
         z = np.zeros(batch.num_rows)
-        for first, end, data, offsets in _text.string_slices(batch, "__text"):
+        for first, end, data, offsets in _text.string_slices(batch, "text"):
             z[first:end] = m.margin(*features(data, offsets, declared[first:end]))
-        keep = [n for n in index if n not in ("__text", "__chars")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(index[n]) for n in keep), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=[*keep, name])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], names=["__rest", "__score"])
 
 
 def score(docs: DataFrame, machine: Machine, name: str = "score") -> DataFrame:
-    """`docs` with a column `name`: the chance that the text's label is 1."""
+    """`docs` with a column `name`, in place of one that they may have: the chance that the text's label is 1."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(machine)
-    keep = [f for f in docs.schema if f.name != name]
-    given = docs.select(*(F.col(f"`{f.name}`") for f in keep), F.col("text").cast("string").alias("__text"), F.col("n_chars").cast("double").alias("__chars"))
-    return given.mapInArrow(lambda it: _scores(it, sent, name), ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), f"`{name}` double"]))
+    return scored(docs, lambda it: _scores(it, sent), name, text=F.col("text").cast("string"), n_chars=F.col("n_chars").cast("double"))
