@@ -3,18 +3,21 @@
 1. Every page is read into elements. A subtree's hash covers its tags, its
    attributes and its text; the hashes of a page are counted once per page.
 2. Spark counts pages for each (host, subtree). What recurs on at least
-   `min_pages` pages is template, however large the host.
-3. A page's text is taken from its article (else its main element, else its
-   body), without template subtrees, without elements whose tag, role, class or
-   id says that they are menus, headers, footers, sidebars, notices,
-   adverts, forms, reader comments or code, and without markup. Paragraphs and
-   headings of an article stay even where they recur, since articles are copied.
+   `min_pages` pages is template, however large the host; on a host of fewer pages
+   than twice that, what at least three and at least half of its pages hold.
+3. A page's text is taken from its main element that holds an article, else its
+   articles, else its main element, else its body: without template subtrees, without
+   elements whose tag or role, or whose whole class or id, says that they are menus, headers, footers, sidebars, notices,
+   adverts, forms, reader comments or code, and without markup. Paragraphs,
+   headings, lists and tables of an article stay even where they recur: articles quote
+   each other and are copied, in part or whole.
    A page whose articles all recur as they are (else its main elements, else the
    smallest element around its visible text) is a copy: what recurs in them stays.
 
 Character references are decoded; white space inside a block becomes one
 space; blocks join by a newline. A null page has an empty text; a null url
-is a host of its own. Repeated rows are separate pages.
+is a host of its own. Repeated rows are separate pages. Columns `text` and `n_chars`
+of the input give way to the result's.
 """
 
 from __future__ import annotations
@@ -28,14 +31,19 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tidemark.llm._store import bounded, kept
+from tidemark.llm._store import bounded, kept, small_batches, small_side
 
 MIN_PAGES = 10
+#: Pages of a small host that must share a template.
+LEAST_PAGES = 3
+#: Small hosts up to this number are broadcast; beyond it Spark joins by shuffle.
+SMALL_ROWS = 1_000_000
 #: Template subtrees up to this number are broadcast (8 bytes each); beyond it pages are joined with theirs.
 SMALL_TEMPLATES = 1_000_000
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SPACE = re.compile(r"\s+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,10 +54,26 @@ _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li td th dd dt b i em str
 _CLOSED_BY_BLOCK = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("ul ol dl table div section article main body html td th".split())
-_NAMES = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|adsense|banner|promo(?:tion)?|sponsor(?:ed)?|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|sidebar|rail|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|toolbar|header|masthead|topbar|footer|copyright|comments?|commentlist|disqus|respond|replies|share|sharing|social|related|recommended|widget|skip|search)(?=$|[\s_\d-])", re.I)
+#: Words that name boilerplate where a class or id holds nothing else than them, numbers and words of place.
+_NAMES = frozenset(
+    "ad ads advert adverts advertisement adsense banner promo promotion sponsor sponsored cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar rail "
+    "menu nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar header masthead topbar footer copyright comment comments commentlist disqus respond replies share sharing social related recommended widget skip search".split()
+)
+_PLACES = frozenset(
+    "site page main global top bottom left right upper lower primary secondary inner outer wrapper wrap container content box block area section list item items link links bar panel row col column slot unit zone group holder "
+    "post posts article articles story stories news reader user form button buttons btn icon icons text title message to us".split()
+)
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 
+def _boilerplate(name: str, inside: bool) -> bool:
+    """Whether a class or id is made of words for boilerplate and places; `inside` an article a header holds its heading."""
+    parts = [x.lower() for x in _PARTS.findall(name)]
+    named = [x for x in parts if x in _NAMES]
+    return bool(named) and all(x in _NAMES or x in _PLACES or x.isdigit() for x in parts) and not (inside and "header" in named)
+
+
 class _Page:
     """Elements in page order: tag, parent, attributes; and the text pieces between tags with the element they lie in."""
 
@@ -131,8 +155,8 @@ class _Page:
     def _named(self, e: int, inside: bool) -> bool:
         for name, value in _ATTRIBUTE.findall(self.attributes[e]) if self.attributes[e] else ():
             name, value = name.lower(), value.strip("\"'")
-            if name in ("class", "id") and any(not inside or "header" not in m[0].lower() for m in _NAMES.finditer(value)):
-                return True  # an article's own header holds its heading
+            if name in ("class", "id") and any(_boilerplate(x, inside) for x in (value.split() if name == "class" else [value])):
+                return True
             if name == "role" and value.lower() in _ROLES or name == "hidden" or name == "aria-hidden" and value.lower() == "true":
                 return True
             if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -181,14 +205,16 @@ class _Page:
             p, tag = self.parents[e], self.tags[e]
             frame = tag in ("html", "body", "main", "article")
             gone[e] = hidden[e] or gone[p] or (bool(template[e - 1]) and not frame and not copied[e] and not (inside[e] and tag in _PROSE))
-        for wanted in ("article", "main"):
-            if any(self.tags[e] == wanted and not gone[e] for e in range(1, n)):
-                break
-        else:
-            wanted = ""
+        articles = [e for e in range(1, n) if self.tags[e] == "article" and not gone[e]]
+        around = set()  # main elements that hold an article
+        for e in articles:
+            while e := self.parents[e]:
+                if self.tags[e] == "main":
+                    around.add(e)
+        wanted = around or set(articles) or {e for e in range(1, n) if self.tags[e] == "main" and not gone[e]}
         root = [not wanted] * n
         for e in range(1, n):
-            root[e] = not wanted or root[self.parents[e]] or self.tags[e] == wanted
+            root[e] = not wanted or root[self.parents[e]] or e in wanted
         blocks: list[list[str]] = [[]]
         for e, text in self.pieces:
             if e < 0:
@@ -237,16 +263,19 @@ def _subtrees(batches):
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     """(host, subtree): hashes of element subtrees that recur across the pages (url, html) of a host."""
     counts = pages.select(F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(_subtrees, "host string, subtree long, n long").groupBy("host", "subtree").agg(F.sum("n").alias("n"))
-    return counts.where((F.col("subtree") != 0) & (F.col("n") >= min_pages)).select("host", "subtree")
+    counts = kept(counts.where((F.col("n") >= min(min_pages, LEAST_PAGES)) | (F.col("subtree") == 0)))
+    own = counts.where("subtree <> 0")
+    small = counts.where((F.col("subtree") == 0) & (F.col("n") < 2 * min_pages)).select("host", F.col("n").alias("pages"))
+    on_small = own.where(F.col("n") < min_pages).join(small_side(small, SMALL_ROWS), "host").where(2 * F.col("n") >= F.col("pages"))
+    return own.where(F.col("n") >= min_pages).select("host", "subtree").union(on_small.select("host", "subtree"))
 
 
-def _texts(batches, known, keep: list[str]):
+def _texts(batches, known):
     fixed = known.value if known is not None else None
     for batch in batches:
-        index = {n: i for i, n in enumerate(batch.schema.names)}
-        own = batch.column(index["__known"]).to_pylist() if fixed is None else None
+        own = batch.column(3).to_pylist() if fixed is None else None
         out = []
-        for i, (url, source) in enumerate(zip(batch.column(index["__url"]).to_pylist(), batch.column(index["__html"]).to_pylist())):
+        for i, (url, source) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
             if not source:
                 out.append("")
                 continue
@@ -259,25 +288,25 @@ def _texts(batches, known, keep: list[str]):
             else:
                 template = np.zeros(len(hashes), bool)
             out.append(page.text(template))
-        texts = pa.array(out, pa.string())
-        yield pa.RecordBatch.from_arrays([*(batch.column(index[n]) for n in keep), texts, pa.array([len(t) for t in out], pa.int64())], names=[*keep, "text", "n_chars"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["__rest", "text", "n_chars"])
 
 
 def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, small: int = SMALL_TEMPLATES) -> DataFrame:
     """`pages` (url, html and more; html itself left out) with `text` and `n_chars`."""
     spark = pages.sparkSession
+    small_batches(spark)
     found = kept(templates(pages, min_pages))
     keep = [c for c in pages.columns if c not in ("html", "text", "n_chars")]
-    given = pages.select(*(F.col(f"`{c}`") for c in keep), F.col("url").cast("string").alias("__url"), F.col("html").cast("string").alias("__html"))
+    given = pages.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("__rest"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     if bounded(found, small):
         sent = spark.sparkContext.broadcast(np.sort(found.select("subtree").toPandas()["subtree"].to_numpy(np.int64).view(np.uint64)))
     else:  # each host's templates go to its pages; a page is found again by its own subtrees
         sent = None
-        pages_of = given.withColumn("__row", F.monotonically_increasing_id())
-        marks = pages_of.select("__row", "__url", "__html").mapInArrow(_page_subtrees, "row long, subtree long").join(found.select("subtree"), "subtree")
-        given = pages_of.join(marks.groupBy("row").agg(F.collect_set("subtree").alias("__known")), F.col("row") == F.col("__row"), "left").drop("row", "__row")
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema if f.name in keep), "text string", "n_chars long"])
-    return given.mapInArrow(lambda it: _texts(it, sent, keep), schema)
+        numbered = kept(given.withColumn("row", F.monotonically_increasing_id()))
+        marks = numbered.select("row", "url", "html").mapInArrow(_page_subtrees, "row long, subtree long").join(found.select("subtree"), "subtree")
+        given = numbered.join(marks.groupBy("row").agg(F.collect_set("subtree").alias("known")), "row", "left").select("__rest", "url", "html", "known")
+    out = given.mapInArrow(lambda it: _texts(it, sent), StructType([given.schema["__rest"], StructField("text", StringType()), StructField("n_chars", LongType())]))
+    return out.select(*(F.col("__rest").getField(c).alias(c) for c in keep), "text", "n_chars")
 
 
 def _page_subtrees(batches):
