@@ -34,7 +34,19 @@ def test_long_repeats_and_longest(spark):
     rows = [(1, "a\n" + run + "\nb"), (2, run), (3, "c\n\n" + run), (4, "d")]
     out = {r["doc_id"]: r for r in line_dedup.line_report(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert [out[d]["text"] for d in (1, 2, 3, 4)] == [rows[0][1], "", "c\n", "d"]
-    assert out[3]["__longest"] == 32 and out[4]["__longest"] is None
+    assert out[3]["__longest"] == 37 and out[4]["__longest"] is None
+
+
+def test_longest_common_prefixes_equal_brute_force(spark):
+    r = random.Random(12)
+    rows = [(d, "\n".join(r.choice("abc") for _ in range(r.randrange(1, 24)))) for d in range(14)] + [(20, "\n".join("a" * 30))]
+    rows += [(d, "\n".join([own, *(f"shared {k}" for k in range(21)), own])) for d, own in ((21, "own 1"), (22, "own 2"))]
+    got = {(x["d"]["doc_id"], x["pos"]): x["n_common"] for x in line_dedup.repeated_runs(spark.createDataFrame(rows, SCHEMA)).collect()}
+    suffixes = [((d, i), t.split("\n")[i:]) for d, t in rows for i in range(len(t.split("\n")))]
+    shared = lambda a, b: next((k for k in range(min(len(a), len(b))) if a[k] != b[k]), min(len(a), len(b)))
+    first: dict[tuple, list] = {}
+    want = {at: shared(own, first[tuple(own[:2])]) for at, own in suffixes if len(own) > 1 and first.setdefault(tuple(own[:2]), own) is not own}
+    assert got == want and max(want.values()) > 16
 
 
 def test_line_dedup_stage_drops_emptied_documents_only(spark):
