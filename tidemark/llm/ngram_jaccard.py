@@ -43,8 +43,8 @@ from tidemark.llm import _text
 from tidemark.llm._store import hot_join, kept, small_batches, small_side, unwrapped, wrapped
 from tidemark.llm.components import components
 
-CHUNK = 4_000_000
-FREQUENT = 8
+CHUNK = 2_000_000
+FREQUENT = 6
 #: Shingles whose order depends on their count. Only the order of prefixes depends on it, never a result.
 MAX_FREQUENT = 1 << 18
 #: Ids up to this number are broadcast (16 MB); beyond it Spark joins by shuffle.

@@ -56,7 +56,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the later copies of repeated line runs: doc_id, n_deleted, longest, text."""
-    out = line_dedup.line_report(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.line_report(_table(spark, sf_dir, "documents").select("doc_id", "text"), long_words=line_dedup.LONG_WORDS)
     return out.select("doc_id", F.coalesce(F.size("__lines"), F.lit(0)).cast("long").alias("n_deleted"), F.coalesce("__longest", F.lit(0)).cast("long").alias("longest"), "text")
 
 
@@ -86,21 +86,24 @@ _SHINGLES = """
 SQL: dict[str, str] = {
     "op4_exact_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
-            FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+            FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
-            SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
-            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+            SELECT a.r, a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_sum(list_transform(range(1, least(len(a.q), len(b.q)) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 50 = 0
         )
-        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
-        FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5
     """,
     "op5_benchmark_decontamination": f"""
-        WITH d AS ({_SHINGLES.format(id="doc_id", words=_WORDS, table="documents")}),
-             b AS ({_SHINGLES.format(id="item_id", words=_WORDS, table="benchmark")}),
-             n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id)
+        WITH iw AS (SELECT item_id, {_WORDS} AS w FROM benchmark), dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+             i AS (SELECT *, least(len(w), 5) AS m FROM iw WHERE len(w) > 0),
+             b AS (SELECT DISTINCT item_id, m, array_to_string(list_slice(w, k, k + m - 1), ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS k FROM i)),
+             n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id),
+             d AS (SELECT DISTINCT doc_id, m, array_to_string(list_slice(w, k, k + m - 1), ' ') AS s
+                   FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM dw, (SELECT DISTINCT m FROM i) WHERE len(w) >= m))
         SELECT doc_id, item_id, CAST(any_value(n_shingles) AS BIGINT) AS n_shingles, CAST(count(*) AS BIGINT) AS n_found
-        FROM d JOIN b USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n_shingles)
+        FROM d JOIN b USING (m, s) JOIN n USING (item_id) GROUP BY doc_id, item_id HAVING 100 * count(*) >= 80 * any_value(n_shingles)
     """,
     "op6_ngram_jaccard_join": f"""
         WITH RECURSIVE d AS MATERIALIZED ({_SHINGLES.format(id="doc_id", words=_WORDS, table="documents")}),
@@ -116,12 +119,15 @@ SQL: dict[str, str] = {
         WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS p FROM documents),
              l AS (SELECT doc_id, i AS pos, trim(p[i + 1], chr(9) || chr(11) || chr(12) || chr(13) || ' ') AS line FROM (SELECT doc_id, p, unnest(range(0, len(p))) AS i FROM raw)),
              k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS seq FROM l WHERE line <> ''),
-             g AS (SELECT doc_id, list(line ORDER BY seq) AS w, list(pos ORDER BY seq) AS ps FROM k GROUP BY doc_id),
-             r AS (SELECT doc_id, m, i, ps[i] AS pos, ps[i + 1] AS until, md5(array_to_string(list_slice(w, i, i + m - 1), chr(10))) AS h
-                   FROM (SELECT doc_id, w, ps, m, unnest(range(1, len(w) - m + 2)) AS i FROM g, (SELECT unnest([2, 4, 8, 16, 32, 64, 128, 256, 512, 1024]) AS m) WHERE len(w) >= m)),
-             c AS (SELECT *, count(*) OVER (PARTITION BY m, h) AS n, row_number() OVER (PARTITION BY m, h ORDER BY doc_id, i) AS k FROM r),
-             later AS (SELECT doc_id, i, pos, until FROM c WHERE m = 2 AND k > 1),
-             most AS (SELECT doc_id, max(m) AS longest FROM c JOIN later USING (doc_id, i) WHERE n > 1 GROUP BY doc_id),
+             w AS (SELECT doc_id, pos, seq, line, lead(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS following, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50 AS long FROM k),
+             p2 AS (SELECT a.doc_id AS d, a.seq AS s, b.doc_id AS e, b.seq AS t, (b.doc_id, b.seq) < (a.doc_id, a.seq) AS after
+                    FROM w a JOIN w b ON a.line = b.line AND (a.doc_id <> b.doc_id OR a.seq <> b.seq)),
+             island AS (SELECT *, s - row_number() OVER (PARTITION BY d, e, s - t ORDER BY s) AS g FROM p2 WHERE after),
+             run AS (SELECT d AS doc_id, s AS seq, e, t, max(s) OVER (PARTITION BY d, e, s - t, g) - s + 1 AS n FROM island),
+             suffix AS (SELECT w.doc_id, pos, following, long, n, row_number() OVER (PARTITION BY w.doc_id, seq ORDER BY e, t) AS k, row_number() OVER (PARTITION BY w.doc_id, seq, n >= 2 ORDER BY e, t) AS k2 FROM run JOIN w USING (doc_id, seq)),
+             later AS (SELECT doc_id, pos, following AS until, n AS common FROM suffix WHERE n >= 2 AND k2 = 1
+                       UNION ALL SELECT doc_id, pos, pos, n FROM suffix WHERE long AND k = 1),
+             most AS (SELECT doc_id, max(common) AS longest FROM later GROUP BY doc_id),
              gone AS (SELECT doc_id, list(DISTINCT x) AS xs FROM (SELECT doc_id, unnest(range(pos, until + 1)) AS x FROM later) GROUP BY doc_id)
         SELECT raw.doc_id, CAST(coalesce(len(gone.xs), 0) AS BIGINT) AS n_deleted, CAST(coalesce(most.longest, 0) AS BIGINT) AS longest,
                CASE WHEN gone.xs IS NULL THEN raw.text

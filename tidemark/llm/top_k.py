@@ -1,22 +1,24 @@
 """Exact top-k by inner product: norm-sorted candidates, partial sums in a rotated basis, Cauchy-Schwarz bounds.
 
-Components are quantised to floor(scale * x), so scores are integers and exact.
+Components are quantised to floor(scale * x), so scores are whole numbers and exact.
 
 1. The rotation is the eigenvector basis of the vectors' second-moment matrix
-   (the right singular vectors of the whole table), summed in Spark from one
-   small matrix a task. Most of a product lies in its first dimensions.
-2. Candidates are range-partitioned by descending length. The longest
-   vectors give each query k scores to begin with: a floor on its k-th score.
-3. In a task candidates are taken in blocks by descending length. A query skips
-   a block, and all that follow, when |q| * |x| of the block's longest can't
-   reach its floor; in a block it skips vectors whose partial product plus the
-   product of the residual lengths can't. What is left is scored exactly.
-4. A task's k best for each query are merged by rank in Spark.
-
-Queries are read in blocks of `QUERY_BLOCK`, each broadcast and held against all
-candidates. Null vectors and those with null or non-finite components take no
-part, nor do rows with a null id or with another dimension than most rows have
-(the larger on ties). Rows of one id are candidates each; no row of a query's own id is its candidate.
+   (the right singular vectors of the whole table), whose entries are summed in
+   Spark. Most of a product lies in its first dimensions.
+2. Candidates are range-partitioned by descending length into ranges of about
+   `RANGE_ROWS`. The longest vectors give each query k scores to begin with: a
+   floor on its k-th score. Queries are range-partitioned into blocks by floor over
+   length, so that a block needs the ranges up to one length and none beyond.
+3. Each block meets each range that it needs in one task, all in one job. There
+   candidates are taken by descending length: a query skips a slice, and all that follow,
+   when |q| * |x| of the slice's longest can't reach its floor; in a slice it skips
+   vectors whose partial product plus the product of the residual lengths can't. What is left is scored exactly.
+4. The k best of each query in each range are merged by rank in Spark.
+
+Null vectors, empty ones and those with null or non-finite components take no
+part, nor do rows with a null id. A vector of fewer components than another
+counts as zero in the others. Each row is a query or candidate of its own, also
+where ids repeat: a row meets all rows but itself. Scores beyond a long are given as its ends.
 """
 
 from __future__ import annotations
@@ -30,129 +32,141 @@ from pyspark.sql import functions as F
 from tidemark.llm._store import kept
 
 QUERY_BLOCK = 4096
-BLOCK = 1024
+RANGE_ROWS = 32_768
+#: Candidates held against a block of queries at a time.
+SLICE = 1024
 LEADING = 16
 SEEDS = 4096
 #: Against rounding in the rotated floats; scores are whole numbers.
 SLACK = 1e-6
+#: Products of lengths below this are sums of exact doubles.
+EXACT = float(1 << 53)
+_ENDS = -(1 << 63), (1 << 63) - 1
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(np.float64) if len(column) else np.zeros((0, 0))
+def _matrix(column, size: int) -> np.ndarray:
+    """Lists of doubles as rows of `size`, filled up with zeros."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    n = np.asarray(column.value_lengths().to_numpy(zero_copy_only=False), np.int64)
+    out = np.zeros((len(n), size))
+    out[np.arange(size)[None] < n[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
+    return out
 
 
 def quantised(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, q, norm2): whole-number vectors of the usual dimension."""
+    """(vec_id, q, norm2, row): vectors of whole numbers, held as doubles."""
     x = F.transform("embedding", lambda v: v.cast("double"))
     good = F.col("x").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)))
-    rows = rows.select("vec_id", F.transform("x", lambda v: F.floor(v * F.lit(float(scale))).cast("long")).alias("q"))
-    usual = rows.groupBy(F.size("q").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    if usual is None:
-        return rows.withColumn("norm2", F.lit(0).cast("long"))
-    norm2 = F.aggregate("q", F.lit(0).cast("long"), lambda a, v: a + v * v)
-    return rows.where(F.size("q") == usual["n"]).withColumn("norm2", norm2)
+    whole = lambda v: F.when(F.abs(v) < EXACT, F.floor(v).cast("double")).otherwise(v)
+    rows = rows.select("vec_id", F.transform(F.transform("x", lambda v: v * F.lit(float(scale))), whole).alias("q"))
+    return rows.withColumn("norm2", F.aggregate("q", F.lit(0.0), lambda a, v: a + v * v)).withColumn("row", F.monotonically_increasing_id())
 
 
-def _moments(batches):
-    total = None
+def _moments(batches, size: int):
+    """The entries (at, m) of a task's second-moment matrix."""
+    total = np.zeros((size, size))
     for batch in batches:
-        x = _matrix(batch.column(0))
-        if len(x):
-            total = x.T @ x if total is None else total + x.T @ x
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["m"])
+        x = _matrix(batch.column(0), size)
+        total += x.T @ x
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(size * size)), pa.array(total.ravel())], names=["at", "m"])
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    other = ids != own
-    ids, scores = ids[other], scores[other]
+def _products(x: np.ndarray, q: np.ndarray) -> list[int] | np.ndarray:
+    """Exact inner products of the rows of x with q."""
+    if np.sqrt((x**2).sum(1).max() * (q**2).sum()) < EXACT:
+        return (x @ q).astype(np.int64)
+    own = [int(v) for v in q]
+    return np.array([min(max(sum(int(a) * b for a, b in zip(row, own)), _ENDS[0]), _ENDS[1]) for row in x], np.int64)
+
+
+def _floors(batches, seeds, k: int, size: int):
+    """Queries with `floor`, the k-th best of their products with the longest vectors, and its share of their length."""
+    rows, x = seeds.value
+    for batch in batches:
+        own, q = batch.column(1).to_numpy(), _matrix(batch.column(2), size)
+        floor = np.full(len(q), -np.inf)
+        for at in range(0, len(q), 256):
+            part = q[at : at + 256]
+            norms = np.sqrt((part**2).sum(1))[:, None] * np.sqrt((x**2).sum(1))[None]
+            score = np.minimum(part @ x.T - SLACK * norms, float(_ENDS[1]))  # no more than the score
+            score[own[at : at + 256, None] == rows[None]] = -np.inf
+            if score.shape[1] >= k:
+                floor[at : at + 256] = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
+        norm = np.sqrt((q**2).sum(1))
+        ratio = np.where(norm > 0, floor / np.where(norm > 0, norm, 1), -np.inf)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(floor), pa.array(ratio)], names=["vec_id", "row", "q", "floor", "ratio"])
+
+
+def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     if len(scores) > k:
-        cut = np.partition(scores, len(scores) - k)[len(scores) - k]
-        near = scores >= cut
+        near = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
         ids, scores = ids[near], scores[near]
-    order = np.lexsort((ids, -scores))[:k]
+    order = np.lexsort((ids, ~scores))[:k]  # ~s falls as s rises, at both ends too
     return ids[order], scores[order]
 
 
-class _Queries:
-    def __init__(self, ids: np.ndarray, q: np.ndarray, basis: np.ndarray, floor: np.ndarray):
-        self.ids, self.q, self.floor = ids, q, floor
-        self.basis = basis
-        turned = q @ basis
-        self.lead = turned[:, :LEADING]
-        self.rest = np.sqrt(np.maximum((turned[:, LEADING:] ** 2).sum(1), 0))
-        self.norm = np.sqrt((q**2).sum(1))
-
-
-def _search(batches, sent, k: int):
-    s: _Queries = sent.value
-    ids, rows = [], []
-    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in s.ids]
-    floor = s.floor.copy()
-
-    def blocks():
-        for batch in batches:  # sorted by descending length
-            for at in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(at, BLOCK)
-                yield part.column(0).to_numpy(), _matrix(part.column(1))
-
-    for ids, x in blocks():
-        norm = np.sqrt((x**2).sum(1))
-        live = np.flatnonzero(s.norm * norm.max() * (1 + SLACK) + SLACK >= floor)
+def _search(left: pa.Table, right: pa.Table, basis: np.ndarray, k: int) -> pa.Table:
+    """The k best candidates (row, vec_id, q) of a range for each query (row, vec_id, q, floor) of a block."""
+    size = len(basis)
+    x, q = _matrix(left.column("q"), size), _matrix(right.column("q"), size)
+    norms = np.sqrt((x**2).sum(1))
+    order = np.argsort(-norms, kind="stable")
+    x, norms = x[order], norms[order]
+    rows, ids = left.column("row").to_numpy()[order], left.column("vec_id").to_numpy()[order]
+    own, asked = right.column("row").to_numpy(), right.column("vec_id").to_numpy()
+    floor, length = right.column("floor").to_numpy().copy(), np.sqrt((q**2).sum(1))
+    turned = q @ basis
+    lead, rest = turned[:, :LEADING], np.sqrt((turned[:, LEADING:] ** 2).sum(1))
+    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q)
+    for at in range(0, len(x), SLICE):
+        part, norm = x[at : at + SLICE], norms[at : at + SLICE]
+        live = np.flatnonzero(length * norm[0] * (1 + SLACK) + SLACK >= floor)
         if not len(live):
-            for _ in batches:  # every later vector is shorter; read on so that the sender ends
-                pass
-            break
-        turned = x @ s.basis
-        rest = np.sqrt(np.maximum((turned[:, LEADING:] ** 2).sum(1), 0))
-        bound = s.lead[live] @ turned[:, :LEADING].T + np.outer(s.rest[live], rest)
-        bound += SLACK * np.outer(s.norm[live], norm) + SLACK
-        for row, i in enumerate(live):
-            near = np.flatnonzero(bound[row] >= floor[i])
+            break  # every later vector is shorter
+        own_turned = part @ basis
+        bound = lead[live] @ own_turned[:, :LEADING].T + np.outer(rest[live], np.sqrt((own_turned[:, LEADING:] ** 2).sum(1)))
+        bound += SLACK * np.outer(length[live], norm) + SLACK
+        for i, reach in zip(live.tolist(), bound):
+            near = np.flatnonzero((np.minimum(reach, float(_ENDS[1])) >= floor[i]) & (rows[at : at + SLICE] != own[i]))
             if not len(near):
                 continue
-            score = (x[near] @ s.q[i]).astype(np.int64)  # whole numbers below 2**53: exact
-            b = _best(np.concatenate([best[i][0], ids[near]]), np.concatenate([best[i][1], score]), s.ids[i], k)
-            best[i] = b
-            if len(b[1]) == k:
-                floor[i] = max(floor[i], b[1][-1])
+            score = _products(part[near], q[i])
+            best[i] = _best(np.concatenate([best[i][0], ids[at + near]]), np.concatenate([best[i][1], score]), k)
+            if len(best[i][1]) == k:
+                floor[i] = max(floor[i], float(best[i][1][-1]) - SLACK * abs(float(best[i][1][-1])))
     n = [len(b[0]) for b in best]
-    if sum(n):
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(s.ids, n)), pa.array(np.concatenate([b[0] for b in best])), pa.array(np.concatenate([b[1] for b in best]))], names=["query_id", "vec_id", "score"])
+    flat = lambda j: np.concatenate([b[j] for b in best]) if best else np.zeros(0, np.int64)
+    return pa.table({"query_row": np.repeat(own, n), "query_id": np.repeat(asked, n), "vec_id": flat(0), "score": flat(1)})
 
 
-def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256) -> DataFrame:
+def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_block: int = QUERY_BLOCK, range_rows: int = RANGE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) of vectors (vec_id, embedding); `is_query` is a condition on vec_id."""
     spark = vectors.sparkSession
     rows = kept(quantised(vectors, scale))
-    given = "query_id long, vec_id long, score long"
-    merged = None
-    moments = [np.frombuffer(r["m"]) for r in rows.select("q").mapInArrow(_moments, "m binary").collect()]
-    if moments:
-        size = int(round(len(moments[0]) ** 0.5))
-        values, basis = np.linalg.eigh(sum(moments).reshape(size, size))
-        basis = basis[:, np.argsort(-values)]
-        seeds = rows.orderBy(F.desc("norm2"), "vec_id").limit(SEEDS).select("vec_id", "q").toPandas()
-        seed_ids, seed = seeds["vec_id"].to_numpy(), np.array(seeds["q"].tolist(), dtype=np.float64)
-        queries = rows.where(is_query).groupBy("vec_id").agg(F.min("q").alias("q"))  # a query id with several vectors asks with the least
-        blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-        queries = kept(queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))))
-        ordered = rows.repartitionByRange(F.desc("norm2"), "vec_id").sortWithinPartitions(F.desc("norm2"), "vec_id").select("vec_id", "q")
-        for (block,) in sorted(queries.select("block").distinct().collect()):
-            own = queries.where(F.col("block") == block).toPandas()
-            ids, q = own["vec_id"].to_numpy(), np.array(own["q"].tolist(), dtype=np.float64)
-            floor = np.full(len(ids), -np.inf)
-            for at in range(0, len(ids), 256):
-                score = q[at : at + 256] @ seed.T
-                score[ids[at : at + 256, None] == seed_ids[None]] = -np.inf
-                if score.shape[1] >= k:
-                    floor[at : at + 256] = np.partition(score, score.shape[1] - k, axis=1)[:, score.shape[1] - k]
-            sent = spark.sparkContext.broadcast(_Queries(ids, q, basis, floor))
-            found = ordered.mapInArrow(lambda it, sent=sent: _search(it, sent, k), given)
-            merged = found if merged is None else merged.union(found)
-    if merged is None:
+    asked = rows.where(is_query)
+    count, size = rows.agg(F.count("*"), F.max(F.size("q"))).first()
+    n_queries = asked.count()
+    if not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return merged.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    moments = rows.select("q").mapInArrow(lambda it: _moments(it, size), "at long, m double").groupBy("at").agg(F.sum("m").alias("m")).orderBy("at").toPandas()  # one entry for each pair of dimensions
+    values, basis = np.linalg.eigh(moments["m"].to_numpy().reshape(size, size))
+    basis = basis[:, np.argsort(-values)]
+    longest = rows.orderBy(F.desc("norm2"), "vec_id").limit(SEEDS).select("row", "q").toArrow()
+    seeds = spark.sparkContext.broadcast((longest.column("row").to_numpy(), _matrix(longest.column("q"), size)))
+
+    number = max(1, -(-count // range_rows))
+    ranges = kept(rows.repartitionByRange(number, F.desc("norm2"), "row").select(F.spark_partition_id().alias("r"), "row", "vec_id", "q", "norm2"))
+    floors = asked.select("vec_id", "row", "q").mapInArrow(lambda it: _floors(it, seeds, k, size), "vec_id long, row long, q array<double>, floor double, ratio double")
+    number = max(1, -(-n_queries // query_block))
+    blocks = kept(floors.repartitionByRange(number, F.desc("ratio"), "row").select(F.spark_partition_id().alias("b"), "row", "vec_id", "q", "floor", "ratio"))
+    # which ranges a block needs: one number a range and one a block
+    lengths = sorted(((r["norm2"] ** 0.5, r["r"]) for r in ranges.groupBy("r").agg(F.max("norm2").alias("norm2")).collect()), reverse=True)
+    least = blocks.groupBy("b").agg(F.min("ratio").alias("ratio")).collect()
+    pairs = [(b, [r for n, r in lengths if n * (1 + SLACK) + SLACK >= ratio or ratio == -np.inf]) for b, ratio in least]
+    cells = kept(spark.createDataFrame(pairs, "b int, rs array<int>").select("b", F.explode("rs").alias("r")))
+    left = ranges.join(cells, "r").select("b", "r", "row", "vec_id", "q").groupBy("b", "r")
+    right = blocks.join(cells, "b").select("b", "r", "row", "vec_id", "q", "floor").groupBy("b", "r")
+    found = left.cogroup(right).applyInArrow(lambda x, y: _search(x, y, basis, k), "query_row long, query_id long, vec_id long, score long")
+    rank = F.row_number().over(W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
+    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
