@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import composite, range_errors, stable_id
+from pyspark.sql.types import StringType
+
+from tidemark.functions.scalar import WEIGHTS, composite, range_errors, stable_id, supplied_or
+from tidemark.operators.folds import fold
 
 
 def islands(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
@@ -19,29 +22,42 @@ def islands(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
 def suppress(ranked: DataFrame, percent: int = 50) -> DataFrame:
     """Greedy suppression in rank order per source: `suppressor` is the first kept row that overlaps by percent of the shorter range; null for kept rows.
 
-    Only ranges of one island can overlap, so an island's rows, in rank order, are one fold.
+    Only ranges of one island can overlap, so an island's rows, in rank order, are one fold; its state is the kept ranges.
     """
-    item = F.struct("position", "id", "start_frame", "end_frame")
-    groups = islands(ranked, "source_id", "start_frame", "end_frame").groupBy("source_id", "island").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    kind = "array<struct<position:int,id:string,start_frame:bigint,end_frame:bigint,suppressor:string>>"
-    step = f"""aggregate(items, cast(array() as {kind}), (acc, x) -> array_append(acc, named_struct('position', x.position, 'id', x.id, 'start_frame', x.start_frame, 'end_frame', x.end_frame,
-        'suppressor', get(filter(acc, k -> k.suppressor is null and 100 * greatest(0, least(k.end_frame, x.end_frame) - greatest(k.start_frame, x.start_frame))
-                                          >= {percent} * least(k.end_frame - k.start_frame, x.end_frame - x.start_frame)), 0).id)))"""
-    return groups.select("source_id", F.inline(F.expr(step)))
-
-
-def rank(candidates: DataFrame, count: int = 5, minimum: int = 600, maximum: int = 1800, percent: int = 50) -> DataFrame:
-    """Every candidate with id, composite, rank (null unless selected), status and reasons."""
-    own = candidates.withColumn("id", stable_id(F.col("source_id"), F.col("start_frame"), F.col("end_frame"))).withColumn("errors", range_errors(minimum, maximum))
-    own = own.withColumn("composite", F.when(F.size("errors") == 0, composite()))
+
+    def step(kept: list, id_: str, start: int, end: int):
+        for other, a, b in kept:
+            if 100 * max(0, min(b, end) - max(a, start)) >= percent * min(b - a, end - start):
+                return kept, other
+        kept.append((id_, start, end))
+        return kept, None
+
+    own = islands(ranked, "source_id", "start_frame", "end_frame").select("source_id", "island", "position", "id", "start_frame", "end_frame")
+    return fold(own, ["source_id", "island"], ["position"], ["id", "start_frame", "end_frame"], "suppressor", StringType(), list, step)
+
+
+def rank(candidates: DataFrame, count: int = 5, minimum: float = 20, maximum: float = 60, percent: int = 50, diverse: bool = True, weights: dict[str, str] = WEIGHTS) -> DataFrame:
+    """Every candidate with id, composite, rank (null unless selected), status and reasons.
+
+    A supplied `id` wins over the stable one. Limits are seconds at `fps` (30 where there is no such column).
+    """
+    given = candidates if "fps" in candidates.columns else candidates.withColumn("fps", F.lit(30.0))
+    stable = stable_id(F.col("source_id"), F.coalesce("start_frame", F.lit(-1)), F.coalesce("end_frame", F.lit(-1)))
+    own = given.withColumn("id", supplied_or(F.col("id"), stable) if "id" in given.columns else stable).withColumn("errors", range_errors(minimum, maximum, weights))
+    own = own.withColumn("composite", F.when(F.size("errors") == 0, composite(weights)))
     order = W.partitionBy("source_id").orderBy(F.desc("composite"), "start_frame", "id", "event_id")
     valid = own.where(F.size("errors") == 0).withColumn("position", F.row_number().over(order))
     judged = valid.join(suppress(valid, percent).select("source_id", "position", "suppressor"), ["source_id", "position"])
     kept = judged.where("suppressor is null")
     again = F.row_number().over(W.partitionBy("source_id", "topic_key").orderBy("position")) > 1
-    kept = kept.withColumn("again", again).withColumn("place", F.row_number().over(W.partitionBy("source_id").orderBy("again", "position")))
+    kept = kept.withColumn("again", again if diverse else F.lit(False)).withColumn("place", F.row_number().over(W.partitionBy("source_id").orderBy("again", "position")))
     columns = ["source_id", "event_id", "id", "start_frame", "end_frame", "topic_key", "composite"]
     chosen = kept.select(*columns, F.when(F.col("place") <= count, F.col("place")).alias("rank"), F.when(F.col("place") <= count, "selected").otherwise("rejected").alias("status"), F.when(F.col("place") <= count, "ranked by composite and diversity").otherwise("outside requested count").alias("reasons"))
     lost = judged.where("suppressor is not null").select(*columns, F.lit(None).cast("int").alias("rank"), F.lit("rejected").alias("status"), F.concat(F.lit("overlaps "), F.col("suppressor")).alias("reasons"))
     wrong = own.where(F.size("errors") > 0).select(*columns, F.lit(None).cast("int").alias("rank"), F.lit("rejected").alias("status"), F.array_join("errors", "; ").alias("reasons"))
     return chosen.union(lost).union(wrong)
+
+
+def in_order(ranked: DataFrame) -> DataFrame:
+    """Ranked candidates by source: the selected by rank, then the rejected by start and id."""
+    return ranked.orderBy("source_id", F.col("rank").asc_nulls_last(), F.coalesce("start_frame", F.lit(-1)), "id", "event_id")

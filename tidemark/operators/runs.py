@@ -2,14 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from tidemark.operators.folds import fold
 
 CAP = 20
+#: The stages of a run, in order.
+STAGES = ("discovered", "analyzed", "ranked", "selected", "materialized", "directed", "handoffs-ready", "built", "rendered", "qc-passed", "delivered")
+#: What an action makes of a state; None: of any state.
+TRANSITIONS = {
+    ("plan", None): "review-pending",
+    ("plan-uncertain", None): "uncertain",
+    ("fail", None): "failed",
+    ("accept", "uncertain"): "review-pending",
+    ("approve", "review-pending"): "ready",
+    ("publish", "ready"): "published",
+}
+
 
+def run_errors(manifest: DataFrame, contracts: DataFrame, files: DataFrame, runs: DataFrame | None = None) -> DataFrame:
+    """(run_id, ready, n_clips, errors) of manifests (run_id, clip, contract_id), contracts (contract_id, file_id, sha) and files (file_id, sha).
 
-def run_errors(manifest: DataFrame, contracts: DataFrame, files: DataFrame) -> DataFrame:
-    """(run_id, ready, n_clips, errors) of manifests (run_id, clip, contract_id), contracts (contract_id, file_id, sha) and files (file_id, sha): the first `CAP` errors in clip order."""
+    `runs` (run_id, sha_planned, sha_now, ranked) adds what is wrong with a run itself; then come its clips' errors in order, `CAP` in all.
+    """
     held = manifest.join(contracts.withColumn("known", F.lit(True)), "contract_id", "left").join(files.withColumnRenamed("sha", "now"), "file_id", "left")
     error = (
         F.when(F.col("known").isNull(), F.concat(F.lit("missing contract: "), F.col("contract_id").cast("string")))
@@ -18,7 +35,15 @@ def run_errors(manifest: DataFrame, contracts: DataFrame, files: DataFrame) -> D
     )
     own = held.withColumn("error", F.when(error.isNotNull(), F.struct("clip", error.alias("error"))))
     out = own.groupBy("run_id").agg(F.count("*").alias("n_clips"), F.array_sort(F.collect_list("error")).alias("e"))
-    return out.select("run_id", (F.size("e") == 0).alias("ready"), "n_clips", F.array_join(F.transform(F.slice("e", 1, CAP), lambda x: x["error"]), "; ").alias("errors"))
+    errors = F.transform("e", lambda x: x["error"])
+    if runs is not None:
+        out = runs.join(out, "run_id", "left")
+        whole = F.array_compact(F.array(
+            F.when(~F.col("sha_now").eqNullSafe(F.col("sha_planned")), "source fingerprint changed"),
+            F.when(~F.coalesce("ranked", F.lit(False)), "ranked-shorts.json is missing"),
+        ))
+        errors = F.concat(whole, F.coalesce(errors, F.array().cast("array<string>")))
+    return out.select("run_id", (F.size(errors) == 0).alias("ready"), F.coalesce("n_clips", F.lit(0)).alias("n_clips"), F.array_join(F.slice(errors, 1, CAP), "; ").alias("errors"))
 
 
 def approvals(manifests: DataFrame) -> DataFrame:
@@ -37,16 +62,36 @@ def review_states(events: DataFrame) -> DataFrame:
     plan starts a review (with `uncertain` ranges, or not), accept resolves them, approve makes a
     pending review ready, fail ends it until the next plan, publish needs a ready one. What a state does not allow is refused.
     """
-    log = events.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("seq", "action"))).alias("log"))
-    to = """case when x.action = 'plan' then 'review-pending' when x.action = 'plan-uncertain' then 'uncertain' when x.action = 'fail' then 'failed'
-        when x.action = 'accept' and acc.status = 'uncertain' then 'review-pending' when x.action = 'approve' and acc.status = 'review-pending' then 'ready'
-        when x.action = 'publish' and acc.status = 'ready' then 'published' end"""
-    step = f"named_struct('status', coalesce({to}, acc.status), 'refused', acc.refused + if({to} is null, 1L, 0L))"
-    end = F.expr(f"aggregate(log, named_struct('status', 'new', 'refused', 0L), (acc, x) -> {step})")
-    return log.select("run_id", end.alias("s")).select("run_id", "s.status", F.col("s.refused").alias("n_refused"))
-
-
-def leftover_tokens(texts: DataFrame, key: str, tokens: list[str]) -> DataFrame:
-    """(key, tokens): template tokens that a text (key, text) still holds, sorted; only texts that hold any."""
-    held = F.array_sort(F.array_compact(F.array(*(F.when(F.col("text").contains(t), t) for t in tokens))))
+    def step(state, action):
+        status, refused = state["status"], state["refused"]
+        to = TRANSITIONS.get((action, None)) or TRANSITIONS.get((action, status))
+        state = {"status": to or status, "refused": refused + (to is None)}
+        return state, state
+
+    kind = StructType([StructField("status", StringType()), StructField("refused", LongType())])
+    own = fold(events, ["run_id"], ["seq"], ["action"], "state", kind, lambda: {"status": "new", "refused": 0}, step)
+    return own.groupBy("run_id").agg(F.max_by("state", "seq").alias("s")).select("run_id", "s.status", F.col("s.refused").alias("n_refused"))
+
+
+def leftover_tokens(texts: DataFrame, key: str) -> DataFrame:
+    """(key, tokens): template tokens (upper-case names between double underscores) that a text (key, text) still holds, sorted; only texts that hold any."""
+    held = F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit("__[A-Z_]+__"), F.lit(0))))
     return texts.select(key, F.array_join(held, ",").alias("tokens")).where("tokens <> ''")
+
+
+def run_stages(clips: DataFrame) -> DataFrame:
+    """(run_id, stage, position, status, n_clips): every stage of the runs of clips (run_id, clip); found and cut ones are complete, the others pending."""
+    stage = F.posexplode(F.array(*map(F.lit, STAGES))).alias("position", "stage")
+    own = clips.groupBy("run_id").agg(F.count("*").alias("n_clips")).select("run_id", "n_clips", stage)
+    done = F.col("stage").isin("discovered", "materialized")
+    return own.select("run_id", "stage", "position", F.when(done, "complete").otherwise("pending").alias("status"), F.when(F.col("stage") == "materialized", F.col("n_clips")).alias("n_clips"))
+
+
+def imported(validated: DataFrame) -> DataFrame:
+    """Foreign manifests (passed, errors) as external ones; the status they came with counts for nothing."""
+    return validated.withColumn("tier", F.lit("external")).withColumn("status", F.when(F.col("passed"), "review-pending").otherwise("failed"))
+
+
+def accepted(ranges: DataFrame, reviewer: str, note: str, accept: Column) -> DataFrame:
+    """Ranges with who accepted them and why where `accept` holds; the others stay unresolved."""
+    return ranges.select("*", F.when(accept, "accepted").otherwise("unresolved").alias("state"), F.when(accept, F.lit(reviewer)).alias("accepted_by"), F.when(accept, F.lit(note)).alias("note"))

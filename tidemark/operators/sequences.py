@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
+
+from tidemark.operators.folds import fold
 
 
 def _order():
     return W.partitionBy("source_id").orderBy("idx")
 
 
-def word_errors(words: DataFrame) -> DataFrame:
-    """(source_id, idx, error): times that are not ordered, inside a word and against the word before."""
-    previous = lambda c: F.lag(c).over(_order())
+def word_errors(words: DataFrame, total_ms: Column | None = None) -> DataFrame:
+    """(source_id, idx, error): words without text, and times that are missing, not ordered inside a word or against the last word with times, or beyond the source's end by over 250 ms."""
+    timed = F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()
+    previous = lambda c: F.last(F.when(timed, F.col(c)), True).over(_order().rowsBetween(W.unboundedPreceding, -1))
     own = words.withColumn("ps", previous("start_ms")).withColumn("pe", previous("end_ms"))
     errors = F.array_compact(F.array(
-        F.when(F.trim(F.coalesce("word", F.lit(""))) == "", "blank word"),
-        F.when((F.col("start_ms") < 0) | (F.col("end_ms") <= F.col("start_ms")), "invalid range"),
-        F.when((F.col("start_ms") < F.col("ps")) | (F.col("end_ms") < F.col("pe")), "not monotonic"),
+        F.when(F.regexp_replace(F.coalesce("word", F.lit("")), r"\s+", "") == "", "blank word"),
+        F.when(~timed, "times must be finite"),
+        F.when(timed & ((F.col("start_ms") < 0) | (F.col("end_ms") <= F.col("start_ms"))), "invalid range"),
+        F.when(timed & ((F.col("start_ms") < F.col("ps")) | (F.col("end_ms") < F.col("pe"))), "not monotonic"),
+        F.when(timed & (F.col("end_ms") > total_ms + 250), "beyond the source") if total_ms is not None else F.lit(None).cast("string"),
     ))
     return own.select("source_id", "idx", F.explode(errors).alias("error"))
 
@@ -36,42 +44,51 @@ def repair(words: DataFrame, least_ms: int = 10) -> DataFrame:
     return own.select("source_id", "idx", "word", start.cast("long").alias("start_ms"), F.col("end").cast("long").alias("end_ms"))
 
 
-def _folded(words: DataFrame, state: str, start: str, step: str) -> DataFrame:
-    """A fold over the words of each source, in order; it returns ranges of ordinals as `from_idx`, `to_idx` (exclusive)."""
+def _segments(words: DataFrame, step) -> DataFrame:
+    """(source_id, number, from_idx, to_idx, start_ms, end_ms, text): segments whose words a fold over each source numbers.
+
+    `step(state, start, end, gap, last, word)` sees the state that it gave before, None at a segment's first word, and gives None where the segment ends.
+    """
     gap = F.coalesce(F.lead("start_ms").over(_order()) - F.col("end_ms"), F.lit(0))
     own = words.withColumn("gap", gap).withColumn("last", F.lead("idx").over(_order()).isNull())
-    items = own.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("idx", "start_ms", "end_ms", "gap", "last", "word"))).alias("w"))
-    out = items.select("source_id", F.expr(f"aggregate(w, named_struct({start}, 'out', cast(array() as array<struct<from_idx:bigint,to_idx:bigint>>)), (acc, x) -> {step}).out").alias("out"))
-    return out.select("source_id", F.posexplode("out").alias("number", "r")).select("source_id", F.col("number").cast("long").alias("number"), "r.from_idx", "r.to_idx")
 
+    def numbered(state, *row):
+        number, inner = state
+        number += inner is None
+        inner = step(inner, *row)
+        return (number, inner), number
 
-def _texts(words: DataFrame, ranges: DataFrame, text: Column) -> DataFrame:
-    """Start, end and text of ranges of ordinals: each word finds its range by the last range start before it."""
-    starts = ranges.select("source_id", F.col("from_idx").alias("idx"), F.col("number").alias("n"))
-    at = F.last("n", ignorenulls=True).over(_order())
-    own = words.join(starts, ["source_id", "idx"], "left").withColumn("number", at)
+    own = fold(own, ["source_id"], ["idx"], ["start_ms", "end_ms", "gap", "last", "word"], "number", LongType(), lambda: (-1, None), numbered)
     first, last = F.min_by("start_ms", "idx"), F.max_by("end_ms", "idx")
-    return own.groupBy("source_id", "number").agg(F.min("idx").alias("from_idx"), (F.max("idx") + 1).alias("to_idx"), first.alias("start_ms"), last.alias("end_ms"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "word"))), lambda x: x["word"]), " ").alias("text"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", "word"))), lambda x: x["word"]), " ")
+    return own.groupBy("source_id", "number").agg(F.min("idx").alias("from_idx"), (F.max("idx") + 1).alias("to_idx"), first.alias("start_ms"), last.alias("end_ms"), text.alias("text"))
 
 
 def semantic_windows(words: DataFrame, least: int = 8000, target: int = 10000, most: int = 12000, pause: int = 1000) -> DataFrame:
-    """Windows that close at `most` ms, or past `least` at a sentence end or pause, or past `target` at a short gap."""
-    elapsed = "(x.end_ms - coalesce(acc.s, x.start_ms))"
-    close = f"({elapsed} >= {most} or ({elapsed} >= {least} and (x.word rlike '[.?!]$' or x.gap >= {pause})) or ({elapsed} >= {target} and x.gap >= 350) or x.last)"
-    step = f"""named_struct('s', if({close}, cast(null as bigint), coalesce(acc.s, x.start_ms)), 'i', if({close}, cast(null as bigint), coalesce(acc.i, x.idx)),
-        'out', if({close}, array_append(acc.out, named_struct('from_idx', coalesce(acc.i, x.idx), 'to_idx', x.idx + 1)), acc.out))"""
-    ranges = _folded(words, "", "'s', cast(null as bigint), 'i', cast(null as bigint)", step)
-    return _texts(words, ranges, F.col("word"))
+    """Windows that close at `most` ms, or past `least` at a sentence end or pause, or past `target` at a short gap; with their `id`."""
+
+    def step(start, begin, end, gap, last, word):
+        start = begin if start is None else start
+        past = end - start
+        ends = past >= most or (past >= least and ((word or "")[-1:] in (".", "?", "!") or gap >= pause)) or (past >= target and gap >= 350)
+        return None if ends else start
+
+    return _segments(words, step).withColumn("id", F.format_string("window-%04d", F.col("number") + 1))
+
+
+_SENTENCE_END = re.compile(r"""[.?!]["')\]]*$""")
 
 
 def cues(words: DataFrame, pause: int = 350, chars: int = 62, span: int = 4000) -> DataFrame:
     """Caption cues: they break at a sentence end (quotes may follow), else at a pause, else at length or duration."""
-    length = "(coalesce(acc.n + 1, 0) + length(x.word))"
-    close = f"(x.word rlike '[.?!][\"\\'\\\\)\\\\]]*$' or (not x.last and x.gap >= {pause}) or {length} >= {chars} or x.end_ms - coalesce(acc.s, x.start_ms) >= {span} or x.last)"
-    step = f"""named_struct('s', if({close}, cast(null as bigint), coalesce(acc.s, x.start_ms)), 'i', if({close}, cast(null as bigint), coalesce(acc.i, x.idx)), 'n', if({close}, cast(null as int), {length}),
-        'out', if({close}, array_append(acc.out, named_struct('from_idx', coalesce(acc.i, x.idx), 'to_idx', x.idx + 1)), acc.out))"""
-    ranges = _folded(words, "", "'s', cast(null as bigint), 'i', cast(null as bigint), 'n', cast(null as int)", step)
-    return _texts(words, ranges, F.col("word"))
+
+    def step(state, begin, end, gap, last, word):
+        start, n = (begin, -1) if state is None else state
+        n += 1 + len(word or "")
+        ends = bool(_SENTENCE_END.search(word or "")) or (not last and gap >= pause) or n >= chars or end - start >= span
+        return None if ends else (start, n)
+
+    return _segments(words, step)
 
 
 def rebase(words: DataFrame, clips: DataFrame, bucket_ms: int = 60_000) -> DataFrame:
@@ -113,3 +130,13 @@ def caption_pages(pages: DataFrame, show_from: int, hide_from: int, fps: int = 3
 def caption_tokens(words: DataFrame) -> DataFrame:
     """(source_id, idx, token): words as caption tokens; all but a source's first begin with a blank."""
     return words.select("source_id", "idx", F.when(F.col("idx") == 0, F.col("word")).otherwise(F.concat(F.lit(" "), F.col("word"))).alias("token"))
+
+
+def active_tokens(words: DataFrame, fps: int, every: int) -> DataFrame:
+    """(source_id, frame, idx): the words that are spoken at every so many frames: from their start on and before their end.
+
+    A word names its frames itself, so there is no join.
+    """
+    first = lambda ms: F.ceil(ms * fps / (1000 * every)).cast("long")  # noqa: E731  of the frames 0, every, 2 * every, ... the first at or behind a time
+    own = words.withColumn("a", F.greatest(F.lit(0), first(F.col("start_ms")))).withColumn("z", first(F.col("end_ms"))).where("z > a")
+    return own.select("source_id", F.explode(F.transform(F.sequence(F.col("a"), F.col("z") - 1), lambda f: f * every)).alias("frame"), "idx")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
+
+from tidemark.operators.folds import fold
 
 
 def cuts_from_log(lines: DataFrame, fps: int) -> DataFrame:
@@ -25,17 +28,17 @@ def cuts_from_log(lines: DataFrame, fps: int) -> DataFrame:
 def build_shots(cuts: DataFrame, totals: DataFrame, least: int = 12) -> DataFrame:
     """(source_id, shot_id, start_frame, end_frame): shots tile [0, total); a cut counts if `least` frames lie since the last one that counted, and so many follow.
 
-    A fold over a source's distinct cuts; a source has as many as its own length allows.
+    A fold over a source's distinct cuts, whose state is the last one that counted.
     """
-    own = cuts.join(totals, "source_id").where("frame < total").groupBy("source_id").agg(F.array_sort(F.collect_set("frame")).alias("cuts"))
-    both = totals.join(own, "source_id", "left").where("total > 0")
-    taken = f"aggregate(coalesce(cuts, array()), cast(array() as array<bigint>), (acc, x) -> if(x - coalesce(try_element_at(acc, -1), 0L) >= {least}, array_append(acc, x), acc))"
-    both = both.withColumn("taken", F.expr(f"if(size(cuts) > 0, {taken}, cast(array() as array<bigint>))"))
-    both = both.withColumn("taken", F.expr(f"if(size(taken) > 0 and total - try_element_at(taken, -1) < {least}, slice(taken, 1, size(taken) - 1), taken)"))
-    points = F.concat(F.array(F.lit(0).cast("long")), "taken")
-    out = both.select("source_id", "total", F.posexplode(points).alias("i", "start_frame"))
-    end = F.coalesce(F.lead("start_frame").over(W.partitionBy("source_id").orderBy("i")), F.col("total"))
-    return out.select("source_id", F.format_string("shot-%03d", F.col("i") + 1).alias("shot_id"), "start_frame", end.alias("end_frame"))
+    own = cuts.join(totals, "source_id").where("frame < total").select("source_id", "frame", "total").distinct()
+    step = lambda held, frame: (frame, True) if frame - held >= least else (held, False)
+    taken = fold(own, ["source_id"], ["frame"], ["frame"], "taken", BooleanType(), int, step).where("taken")
+    final = F.max("frame").over(W.partitionBy("source_id"))
+    taken = taken.withColumn("final", final).where(f"frame <> final or total - frame >= {least}")
+    points = totals.where("total > 0").select("source_id", F.lit(0).cast("long").alias("start_frame"), "total").union(taken.select("source_id", "frame", "total"))
+    order = W.partitionBy("source_id").orderBy("start_frame")
+    end = F.coalesce(F.lead("start_frame").over(order), F.col("total"))
+    return points.select("source_id", F.format_string("shot-%03d", F.row_number().over(order)).alias("shot_id"), "start_frame", end.alias("end_frame"))
 
 
 def sample_frames(totals: DataFrame, shots: DataFrame, every: int) -> DataFrame:
@@ -61,3 +64,13 @@ def stills(shots: DataFrame) -> DataFrame:
         F.struct(F.lit("last").alias("role"), (F.col("end_frame") - 1).alias("frame")),
     )
     return shots.select("source_id", "shot_id", F.inline(roles))
+
+
+def still_crops(stills: DataFrame, crops: DataFrame) -> DataFrame:
+    """Stills (source_id, shot_id, role, frame) with the crop of their frame; those without one go."""
+    return stills.join(crops.drop("shot_id"), ["source_id", "frame"])
+
+
+def sampled_detections(frames: DataFrame, detections: DataFrame) -> DataFrame:
+    """Sampled frames (source_id, frame) with what was found there; null where nothing was."""
+    return frames.join(detections, ["source_id", "frame"], "left")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from tidemark.operators.folds import fold
 
 
 def interpolate(samples: DataFrame) -> DataFrame:
@@ -25,23 +28,69 @@ def interpolate(samples: DataFrame) -> DataFrame:
     return own.select("source_id", "shot_id", "frame", cx.alias("cx"), confidence.alias("confidence"))
 
 
-def weak_ranges(records: DataFrame, least: int) -> DataFrame:
-    """(source_id, start_frame, end_frame): runs of frames with confidence under `least`; a run may cross shots and ends at the next strong frame."""
+def frame_records(shots: DataFrame, samples: DataFrame, width: int, height: int) -> DataFrame:
+    """One record for every frame of every shot: (source_id, shot_id, frame, cx, cy, box_height, confidence, flags, detector).
+
+    shots are (source_id, shot_id, start_frame, end_frame), samples (source_id, shot_id, frame, x0, y0, x1, y1, confidence, detector)
+    with a null box where nothing was found. Positions are in thousandths. Up to the first anchor the first holds, from the last on the
+    last with its own confidence; between two a frame lies on their line with the lesser confidence and the earlier one's detector.
+    A shot without anchors has the source's centre, no box, and a flag, as have frames without confidence.
+    """
+    kind = "struct<frame:bigint,cx:bigint,cy:bigint,h:bigint,confidence:double,detector:string>"
+    anchor = F.struct(F.col("frame").cast("long"), ((F.col("x0") + F.col("x1")) * 500).cast("long"), ((F.col("y0") + F.col("y1")) * 500).cast("long"), ((F.col("y1") - F.col("y0")) * 1000).cast("long"), F.col("confidence").cast("double"), "detector").cast(kind)
+    found = samples.where("x0 is not null").select("source_id", "shot_id", F.col("frame").cast("long").alias("frame"), anchor.alias("anchor"), F.lit(1).alias("kind"))
+    frames = shots.where("end_frame > start_frame").select("source_id", "shot_id", F.explode(F.expr("sequence(cast(start_frame as bigint), cast(end_frame as bigint) - 1)")).alias("frame"), F.lit(None).cast(kind).alias("anchor"), F.lit(0).alias("kind"))
+    order = W.partitionBy("source_id", "shot_id").orderBy("frame", "kind")  # a frame comes before the sample that lies on it
+    every = frames.unionByName(found).withColumns({
+        "prev": F.last("anchor", True).over(order.rowsBetween(W.unboundedPreceding, -1)),
+        "next": F.first("anchor", True).over(order.rowsBetween(0, W.unboundedFollowing)),
+        "final": F.last("anchor", True).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
+    }).where("kind = 0")
+    case = lambda none, first, last, mid: F.when(F.col("final").isNull(), none).when(F.col("prev").isNull(), first).when(F.col("frame") >= F.col("final.frame"), last).otherwise(mid)
+    on_line = lambda c: F.expr(f"prev.{c} + (next.{c} - prev.{c}) * (frame - prev.frame) div (next.frame - prev.frame)")
+    value = lambda c, none: case(F.lit(none).cast("long"), F.col(f"next.{c}"), F.col(f"final.{c}"), on_line(c)).alias(c)
+    confidence = F.round(case(F.lit(0.0), F.col("next.confidence"), F.col("final.confidence"), F.least("prev.confidence", "next.confidence")), 4)
+    detector = case(F.lit("center"), F.col("next.detector"), F.col("final.detector"), F.col("prev.detector"))
+    flags = F.when(confidence > 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("no-detection")))
+    return every.select("source_id", "shot_id", "frame", value("cx", width * 500), value("cy", height * 500), value("h", None).alias("box_height"), confidence.alias("confidence"), flags.alias("flags"), detector.alias("detector"))
+
+
+def static_records(totals: DataFrame, cx: int, cy: int) -> DataFrame:
+    """One record for every frame of sources (source_id, total) whose subject is known to stay at (cx, cy), in thousandths."""
+    frames = totals.where("total > 0").select("source_id", F.lit("shot-001").alias("shot_id"), F.explode(F.expr("sequence(0L, cast(total as bigint) - 1)")).alias("frame"))
+    return frames.select("*", F.lit(cx).cast("long").alias("cx"), F.lit(cy).cast("long").alias("cy"), F.lit(None).cast("long").alias("box_height"), F.lit(1.0).alias("confidence"), F.array().cast("array<string>").alias("flags"), F.lit("static").alias("detector"))
+
+
+def weak_ranges(records: DataFrame, least: float) -> DataFrame:
+    """(source_id, start_frame, end_frame): runs of frames with confidence under `least` or with any of `flags` (where there is such a column); a run may cross shots and ends at the next strong frame."""
     order = W.partitionBy("source_id").orderBy("frame")
-    own = records.withColumn("weak", F.col("confidence") < least).withColumn("following", F.lead("frame").over(order))
+    weak = F.coalesce("confidence", F.lit(0)) < least
+    if "flags" in records.columns:
+        weak = weak | (F.size(F.coalesce("flags", F.array().cast("array<string>"))) > 0)
+    own = records.withColumn("weak", weak).withColumn("following", F.lead("frame").over(order))
     change = F.when(F.col("weak") != F.coalesce(F.lag("weak").over(order), ~F.col("weak")), 1).otherwise(0)
     own = own.withColumn("change", change).withColumn("run", F.sum("change").over(order))
     return own.where("weak").groupBy("source_id", "run").agg(F.min("frame").alias("start_frame"), F.max(F.coalesce("following", F.col("frame") + 1)).alias("end_frame")).drop("run")
 
 
-def smooth(track: DataFrame, window: int = 5) -> DataFrame:
-    """(source_id, shot_id, frame, total): the centred window's sum with the ends repeated beyond the edges; divide by the window for the mean."""
+def smooth(track: DataFrame, window: int = 5, name: str = "cx") -> DataFrame:
+    """The rows of a track with the centred window's sum as `total` (the ends repeated beyond the edges) and the `width` that divides it.
+
+    The window is made odd, and no wider than the shot is long.
+    """
     part = W.partitionBy("source_id", "shot_id")
-    order, r = part.orderBy("frame"), window // 2
+    order = part.orderBy("frame")
     n, i = F.count("*").over(part), F.row_number().over(order)
-    first, last = F.first("cx").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)), F.last("cx").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    total = F.sum("cx").over(order.rowsBetween(-r, r)) + F.greatest(F.lit(0), r + 1 - i) * first + F.greatest(F.lit(0), i + r - n) * last
-    return track.select("source_id", "shot_id", "frame", total.cast("long").alias("total"))
+    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    asked = F.least(F.lit(max(1, window)), n)
+    odd = asked + F.when(asked % 2 == 0, 1).otherwise(0)
+    width = F.when(odd <= n, odd).otherwise(n - F.when(n % 2 == 0, 1).otherwise(0))
+    own = track.withColumns({"__n": n, "__i": i, "width": F.greatest(F.lit(1), width).cast("long"), "__first": F.first(name).over(whole), "__last": F.last(name).over(whole)})
+    total = F.lit(None).cast("long")
+    for r in range(window // 2 + 1):  # a window's frame is fixed, so there is a sum for each radius that a short shot may have
+        own_sum = F.sum(name).over(order.rowsBetween(-r, r)) + F.greatest(F.lit(0), r + 1 - F.col("__i")) * F.col("__first") + F.greatest(F.lit(0), F.col("__i") + r - F.col("__n")) * F.col("__last")
+        total = F.when(F.col("width") == 2 * r + 1, own_sum).otherwise(total)
+    return own.withColumn("total", total.cast("long")).drop("__n", "__i", "__first", "__last")
 
 
 def fill(track: DataFrame, default: int) -> DataFrame:
@@ -54,35 +103,109 @@ def fill(track: DataFrame, default: int) -> DataFrame:
     return own.select("source_id", "shot_id", "frame", F.coalesce(line, F.lit(default * 1000)).cast("long").alias("cx"))
 
 
-def _fold(track: DataFrame, state: str, step: str, name: str) -> DataFrame:
-    """A fold over each shot's values in order; a step sees `acc.s` (the state, null at first) and `x.v`. A shot is the unit of work: its rows are one array."""
-    own = track.groupBy("source_id", "shot_id").agg(F.array_sort(F.collect_list(F.struct("frame", F.col(name).alias("v")))).alias("items"))
-    out = f"aggregate(items, named_struct('s', cast(null as {state}), 'out', cast(array() as array<struct<frame:bigint,v:bigint>>)), (acc, x) -> {step}).out"
-    return own.select("source_id", "shot_id", F.inline(F.expr(out))).select("source_id", "shot_id", "frame", F.col("v").alias(name))
+def _held(before: int | None, v: int, radius: int) -> int:
+    return v if before is None else min(max(before, v - radius), v + radius)
+
+
+def _followed(before: tuple | None, v: int, velocity: int, acceleration: int) -> tuple[int, int]:
+    """(value, speed) behind `before`; it starts at rest."""
+    if before is None:
+        return v, 0
+    at, speed = before
+    wanted = min(max(v - at, -velocity), velocity)
+    speed = min(max(speed + min(max(wanted - speed, -acceleration), acceleration), -velocity), velocity)
+    return at + speed, speed
+
+
+def _folded(track: DataFrame, name: str, step) -> DataFrame:
+    own = fold(track.select("source_id", "shot_id", "frame", name), ["source_id", "shot_id"], ["frame"], [name], "__out", LongType(), lambda: None, step)
+    return own.select("source_id", "shot_id", "frame", F.col("__out").alias(name))
 
 
 def dead_zone(track: DataFrame, radius: int, name: str = "cx") -> DataFrame:
     """The value holds while the input stays within `radius` of it, else follows at that distance."""
-    v = f"if(acc.s is null, x.v, least(greatest(acc.s, x.v - {radius}L), x.v + {radius}L))"
-    return _fold(track, "bigint", f"named_struct('s', {v}, 'out', array_append(acc.out, named_struct('frame', x.frame, 'v', {v})))", name)
+    return _folded(track, name, lambda state, v: (held := _held(state, v, radius), held))
 
 
 def limit_motion(track: DataFrame, velocity: int, acceleration: int, name: str = "cx") -> DataFrame:
     """The value follows with at most `velocity` a row, which changes by at most `acceleration` a row; it starts at rest."""
-    wanted = f"least(greatest(x.v - acc.s.v, -{velocity}L), {velocity}L)"
-    speed = f"least(greatest(acc.s.d + least(greatest({wanted} - acc.s.d, -{acceleration}L), {acceleration}L), -{velocity}L), {velocity}L)"
-    d, v = f"if(acc.s is null, 0L, {speed})", f"if(acc.s is null, x.v, acc.s.v + {speed})"
-    return _fold(track, "struct<v:bigint,d:bigint>", f"named_struct('s', named_struct('v', {v}, 'd', {d}), 'out', array_append(acc.out, named_struct('frame', x.frame, 'v', {v})))", name)
+    return _folded(track, name, lambda state, v: (now := _followed(state, v, velocity, acceleration), now[0]))
 
 
 def crop_track(samples: DataFrame, width: int, crop: int, window: int = 5, radius: int = 20_000, velocity: int = 60_000, acceleration: int = 25_000) -> DataFrame:
     """(source_id, shot_id, frame, cx, x): filled, smoothed, held in a dead zone and limited centres, and the crop's left edge inside the source; in thousandths."""
-    smoothed = smooth(fill(samples, width // 2), window).select("source_id", "shot_id", "frame", F.expr(f"total div {window}").alias("cx"))
+    smoothed = smooth(fill(samples, width // 2), window).select("source_id", "shot_id", "frame", F.expr("total div width").alias("cx"))
     moved = limit_motion(dead_zone(smoothed, radius), velocity, acceleration)
     x = F.least(F.greatest(F.col("cx") - crop * 500, F.lit(0)), F.lit((width - crop) * 1000))
     return moved.withColumn("x", x.cast("long"))
 
 
+def crop_frames(records: DataFrame, width: int, height: int, out_width: int, out_height: int, fps: int = 30, zoom: tuple[float, float] | None = None, subject_height: int | None = None) -> DataFrame:
+    """A crop for every record of frame_records(): (source_id, shot_id, frame, x, y, width, height, zoom, confidence, flags); pixels in thousandths, zoom in millionths.
+
+    Both axes are smoothed over 0.35 s, held in a dead zone of 45 pixels (half of it upright) and limited to 1300 pixels a second,
+    changing by 5200 a second. The crop is the largest of the wanted aspect, divided by the zoom, 4 % above the centre, inside the source.
+    With `zoom` (least, most) it brings subjects to `subject_height`, else to the shot's median height (45 % of the source where there is none),
+    smoothed over a second, at most 0.12 a second and 0.5 a second faster.
+    """
+    if out_width <= 0 or out_height <= 0:
+        raise ValueError("output dimensions must be positive")
+    least, most = (1.0, 1.0) if zoom is None else zoom
+    if least < 1.0:
+        raise ValueError("min_zoom must be at least 1.0")
+    if most < least:
+        raise ValueError("max_zoom must be greater than or equal to min_zoom")
+    if subject_height is not None and subject_height <= 0:
+        raise ValueError("target_subject_height must be positive")
+    wide = width * out_height >= height * out_width
+    native_w, native_h = (height * 1000 * out_width // out_height, height * 1000) if wide else (width * 1000, width * 1000 * out_height // out_width)
+    low, high = round(least * 10**6), round(most * 10**6)
+    own = records
+    for c in ("cx", "cy"):
+        own = smooth(own, max(1, round(0.35 * fps)), c).withColumn(c, F.expr("total div width")).drop("total", "width")
+    if zoom is not None:
+        known = F.when(F.col("box_height").isNotNull(), F.greatest("box_height", F.lit(1000)))
+        wanted = F.lit(subject_height * 1000) if subject_height is not None else F.floor(F.coalesce(F.median(known).over(W.partitionBy("source_id", "shot_id")), F.lit(height * 450.0)))
+        own = own.withColumn("__wanted", wanted.cast("long")).withColumn("__h", known)
+        if subject_height is None:
+            raw = F.expr(f"{low} * __wanted div __h")
+        else:
+            raw = F.expr("1000000 * __wanted div __h")
+        own = own.withColumn("z", F.coalesce(F.least(F.greatest(raw, F.lit(low)), F.lit(high)), F.lit(low)).cast("long"))
+        own = smooth(own, max(3, round(fps)), "z").withColumn("z", F.expr("total div width")).drop("total", "width")
+    else:
+        own = own.withColumn("z", F.lit(10**6).cast("long"))
+    pan, pan_more = 1_300_000 // fps, 5_200_000 // fps**2
+    grow, grow_more = 120_000 // fps, 500_000 // fps**2
+
+    def step(state, x, y, z):
+        hx, hy, fx, fy, fz = state or (None,) * 5
+        hx, hy = _held(hx, x, 45_000), _held(hy, y, 22_500)
+        fx, fy, fz = _followed(fx, hx, pan, pan_more), _followed(fy, hy, pan, pan_more), _followed(fz, z, grow, grow_more)
+        return (hx, hy, fx, fy, fz), {"x": fx[0], "y": fy[0], "z": min(max(fz[0], low), high)}
+
+    kind = StructType([StructField(c, LongType()) for c in "xyz"])
+    own = fold(own.select("source_id", "shot_id", "frame", "cx", "cy", "z", "confidence", "flags"), ["source_id", "shot_id"], ["frame"], ["cx", "cy", "z"], "m", kind, lambda: None, step)
+    own = own.select("source_id", "shot_id", "frame", "confidence", "flags", "m.*").withColumn("w", F.expr(f"{native_w}000000L div z")).withColumn("h", F.expr(f"{native_h}000000L div z"))
+    x = F.least(F.greatest(F.expr("x - w div 2"), F.lit(0)), F.lit(width * 1000) - F.col("w"))
+    y = F.least(F.greatest(F.expr("y - h * 4 div 100 - h div 2"), F.lit(0)), F.lit(height * 1000) - F.col("h"))
+    return own.select("source_id", "shot_id", "frame", x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("w").alias("width"), F.col("h").alias("height"), F.col("z").alias("zoom"), "confidence", "flags")
+
+
+def crop_lines(crops: DataFrame, fps: int) -> DataFrame:
+    """(source_id, frame, line): a command for every crop, in thousandths, at its time; sources/documents.py writes them in frame order."""
+    pixels = lambda c: [F.expr(f"{c} div 1000"), F.expr(f"{c} % 1000")]
+    line = F.format_string("%.9f crop w %d.%03d, crop h %d.%03d, crop x %d.%03d, crop y %d.%03d;", F.col("frame") / F.lit(float(fps)), *pixels("width"), *pixels("height"), *pixels("x"), *pixels("y"))
+    return crops.select("source_id", "frame", line.alias("line"))
+
+
+def canvas_transforms(crops: DataFrame, out_width: int, out_height: int) -> DataFrame:
+    """(source_id, frame, scale, dx, dy, error): how each crop fills a canvas; an error where its aspect is another."""
+    sx, sy = F.lit(float(out_width)) / (F.col("width") / 1000.0), F.lit(float(out_height)) / (F.col("height") / 1000.0)
+    own = crops.withColumn("sx", sx).withColumn("sy", sy)
+    return own.select("source_id", "frame", F.col("sx").alias("scale"), (-(F.col("x") / 1000.0) * F.col("sx")).alias("dx"), (-(F.col("y") / 1000.0) * F.col("sy")).alias("dy"), F.when(F.abs(F.col("sx") - F.col("sy")) > 0.001, "Crop aspect does not match the canvas").alias("error"))
+
+
 def track_errors(crops: DataFrame, videos: DataFrame, out_width: int, out_height: int) -> DataFrame:
     """(source_id, passed, errors) of crop frames (source_id, frame, x, y, width, height) against videos (source_id, w, h, total): order, count, and the first offending frame."""
     aspect = out_width / out_height

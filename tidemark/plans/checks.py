@@ -4,23 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import first_nonzero, seconds_to_frame, supplied_or
+from tidemark.functions.scalar import first_nonzero, printed_rate, seconds_to_frame
 from tidemark.operators import findings, media, ranking, runs, tracks
 from tidemark.plans.media import _CANDIDATES, _TRACK
 from tidemark.plans.registry import query
-from tidemark.sources import tables
+from tidemark.sources import documents, tables
 
 _MEDIA = """
     m AS (SELECT p_partkey AS media_id, [1080, 720, 1920][p_partkey % 3 + 1] AS width, [1920, 1280, 1080][p_partkey % 3 + 1] AS height, [30000 / 1001.0::DOUBLE, 30.0, 0.0, 0.0, 25.0][p_partkey % 5 + 1] AS fps, p_partkey * 7 % 1000 AS frames,
           [1080, 1080, 0, 1080][p_partkey % 4 + 1] AS ww, 1920 AS wh, [30.0, 29.97, 0.0, 25.0, 30.0, 30.0, 30.0][p_partkey % 7 + 1]::DOUBLE AS wf, p_partkey * 7 % 1000 + p_partkey % 4 - 1 AS wn,
-          CASE WHEN p_partkey % 13 <> 0 THEN -(p_partkey % 70) END AS mean_db, -(p_partkey % 30) AS lufs, CASE WHEN p_partkey % 17 <> 0 THEN -(p_partkey % 5) / 10.0 END AS peak, -(p_partkey * 3 % 90) AS edge_db FROM part),
-    f AS (SELECT media_id, unnest([
+          p_partkey % 211 / 10.0 AS duration, p_partkey % 19 <> 0 AS has_video, p_partkey % 7 <> 0 AS has_audio FROM part),
+    f AS (SELECT media_id, unnest(CASE WHEN NOT has_video THEN [{'c': 'video-stream', 's': 'fail', 'd': 'no video stream found'}] ELSE [
         {'c': 'dimensions', 's': CASE WHEN ww = 0 OR (width = ww AND height = wh) THEN 'pass' ELSE 'fail' END,
          'd': CASE WHEN ww = 0 THEN width || 'x' || height || ' (no expectation supplied)' WHEN width = ww AND height = wh THEN width || 'x' || height ELSE 'expected ' || ww || 'x' || wh || ', rendered ' || width || 'x' || height END},
-        {'c': 'orientation', 's': CASE WHEN height > width THEN 'pass' ELSE 'warn' END, 'd': CASE WHEN height > width THEN 'vertical' ELSE 'not vertical: ' || width || 'x' || height END},
+        {'c': 'orientation', 's': CASE WHEN height > width THEN 'pass' ELSE 'warn' END, 'd': CASE WHEN height > width THEN 'vertical' ELSE 'not vertical (' || width || 'x' || height || '); short-form platforms expect 9:16' END},
         {'c': 'fps', 's': CASE WHEN wf = 0 OR abs(fps - wf) < 0.05 THEN 'pass' ELSE 'fail' END,
-         'd': CASE WHEN wf = 0 THEN printf('%.3f', fps) || ' (no expectation supplied)' WHEN abs(fps - wf) < 0.05 THEN printf('%.3f', fps) ELSE printf('expected %.3f, rendered %.3f', wf, fps) END},
-        {'c': 'frame-count', 's': CASE WHEN wn = 0 OR abs(frames - wn) <= 1 THEN 'pass' ELSE 'fail' END, 'd': CASE WHEN wn = 0 OR abs(frames - wn) <= 1 THEN CAST(frames AS VARCHAR) ELSE 'expected ' || wn || ', rendered ' || frames END}]) AS r FROM m)
+         'd': CASE WHEN wf = 0 THEN printf('%.3f', fps) || ' (no expectation supplied)' WHEN abs(fps - wf) < 0.05 THEN printf('%.3f', fps) ELSE 'expected ' || wf || printf(', rendered %.3f', fps) END},
+        {'c': 'frame-count', 's': CASE WHEN wn = 0 OR abs(frames - wn) <= 1 THEN 'pass' ELSE 'fail' END, 'd': CASE WHEN wn = 0 OR abs(frames - wn) <= 1 THEN CAST(frames AS VARCHAR) ELSE 'expected ' || wn || ', rendered ' || frames END},
+        {'c': 'duration', 's': 'pass', 'd': printf('%.3fs', duration)},
+        {'c': 'codecs', 's': 'pass', 'd': 'video:h264' || CASE WHEN has_audio THEN ', audio:aac' ELSE '' END}] END) AS r FROM m),
+    lm AS (SELECT p_partkey AS media_id, p_partkey AS k, p_partkey % 7 <> 0 AS audio, p_partkey % 211 / 10.0 AS duration, CASE WHEN p_partkey % 13 <> 0 THEN CAST('-' || p_partkey % 70 || '.5' AS DOUBLE) END AS mean,
+           CASE WHEN p_partkey % 17 <> 0 THEN CAST('-' || p_partkey * 3 % 90 || '.5' AS DOUBLE) END AS head, CASE WHEN p_partkey % 31 <> 0 THEN CAST('-' || p_partkey * 7 % 90 || '.5' AS DOUBLE) END AS tail,
+           CAST('-' || p_partkey % 30 || '.25' AS DOUBLE) AS lufs, CAST('-' || p_partkey % 3 || '.50' AS DOUBLE) AS peak FROM part),
+    ln AS (SELECT k AS media_id, mean, duration, head, tail, unnest(list_filter([
+        {'c': 'decode', 's': CASE WHEN k % 3 = 0 THEN 'pass' ELSE 'fail' END, 'd': CASE WHEN k % 3 = 0 THEN 'every frame decoded cleanly' ELSE k % 3 || ' decode error(s); file may be truncated or corrupt' END},
+        {'c': 'frozen-frames', 's': CASE WHEN k % 4 = 0 THEN 'pass' ELSE 'warn' END, 'd': CASE WHEN k % 4 = 0 THEN 'none detected' ELSE k % 4 || ' frozen stretch(es) of 1s or longer' END},
+        CASE WHEN NOT audio THEN {'c': 'audio-present', 's': 'fail', 'd': 'no audio stream; a silent short is a wasted upload'} END,
+        CASE WHEN audio THEN {'c': 'audio-level', 's': CASE WHEN mean IS NULL THEN 'warn' WHEN mean <= -60 THEN 'fail' ELSE 'pass' END,
+            'd': CASE WHEN mean IS NULL THEN 'could not measure mean volume' WHEN mean <= -60 THEN printf('audio is effectively silent (%.1f dB mean)', mean) ELSE printf('%.1f dB mean', mean) END} END,
+        CASE WHEN audio THEN {'c': 'loudness', 's': CASE WHEN k % 23 <> 0 AND k % 29 <> 0 AND lufs BETWEEN -16 AND -8 THEN 'pass' ELSE 'warn' END,
+            'd': CASE WHEN k % 23 = 0 THEN 'could not measure loudness' WHEN k % 29 = 0 THEN 'loudness output was not parseable' WHEN lufs BETWEEN -16 AND -8 THEN printf('%.1f LUFS integrated', lufs - 0.01)
+                      ELSE printf('%.1f LUFS is outside the -16.0 to -8.0 range platforms normalise toward', lufs - 0.01) END} END,
+        CASE WHEN audio AND k % 23 <> 0 AND k % 29 <> 0 THEN {'c': 'true-peak', 's': CASE WHEN peak > -0.1 THEN 'fail' ELSE 'pass' END, 'd': CASE WHEN peak > -0.1 THEN printf('%.2f dBTP exceeds -0.1 dBTP and will clip on playback', peak) ELSE printf('%.2f dBTP', peak) END} END,
+        CASE WHEN audio AND (duration <= 0.6 OR mean IS NULL) THEN {'c': 'boundaries', 's': 'warn', 'd': CASE WHEN duration <= 0.6 THEN 'clip too short to measure boundaries' ELSE 'clip level unknown; cannot judge boundaries' END} END,
+        CASE WHEN audio AND duration > 0.6 AND mean IS NOT NULL THEN {'c': 'boundary-head', 's': CASE WHEN head <= mean - 8 THEN 'pass' ELSE 'warn' END,
+            'd': CASE WHEN head IS NULL THEN 'could not measure' WHEN head <= mean - 8 THEN printf('%.1f dB against a %.1f dB clip mean - starts below speech level', head, mean)
+                      ELSE printf('%.1f dB in the first 0.15s sits at speech level for this clip (%.1f dB mean); it may start mid-syllable - listen to it', head, mean) END} END,
+        CASE WHEN audio AND duration > 0.6 AND mean IS NOT NULL THEN {'c': 'boundary-tail', 's': CASE WHEN tail <= mean - 8 THEN 'pass' ELSE 'warn' END,
+            'd': CASE WHEN tail IS NULL THEN 'could not measure' WHEN tail <= mean - 8 THEN printf('%.1f dB against a %.1f dB clip mean - ends below speech level', tail, mean)
+                      ELSE printf('%.1f dB in the last 0.15s sits at speech level for this clip (%.1f dB mean); it may end mid-syllable - listen to it', tail, mean) END} END], lambda x: x IS NOT NULL)) AS r FROM lm)
 """
 
 
@@ -29,15 +51,22 @@ def spec_findings(spark, sf_dir):
     return media.spec_findings(tables.media(spark, sf_dir), "media_id")
 
 
-@query("media_verdicts", f"""WITH {_MEDIA}, l AS (SELECT media_id, unnest([CASE WHEN mean_db IS NULL THEN 'warn' WHEN mean_db <= -60 THEN 'fail' ELSE 'pass' END, CASE WHEN lufs BETWEEN -16 AND -8 THEN 'pass' ELSE 'warn' END,
-        CASE WHEN peak IS NULL THEN 'warn' WHEN peak > -0.1 THEN 'fail' ELSE 'pass' END, CASE WHEN edge_db <= mean_db - 8 THEN 'pass' ELSE 'warn' END]) AS s FROM m),
-    a AS (SELECT media_id, r.s AS s FROM f UNION ALL SELECT media_id, s FROM l), g AS (SELECT media_id, CAST(count_if(s = 'fail') AS BIGINT) AS n_fail, CAST(count_if(s = 'warn') AS BIGINT) AS n_warn, CAST(count_if(s = 'pass') AS BIGINT) AS n_pass FROM a GROUP BY media_id)
+def _level_findings(spark, sf_dir):
+    return media.level_findings(media.logged_levels(tables.measurements(spark, sf_dir)), "media_id")
+
+
+@query("level_findings", f"WITH {_MEDIA} SELECT media_id, r.c AS check, r.s AS status, r.d AS detail FROM ln")
+def level_findings(spark, sf_dir):
+    """What the logs of measuring tools say about levels, loudness, edges, still stretches and decoding."""
+    return _level_findings(spark, sf_dir)
+
+
+@query("media_verdicts", f"""WITH {_MEDIA}, a AS (SELECT media_id, r.s AS s FROM f UNION ALL SELECT media_id, r.s FROM ln),
+    g AS (SELECT media_id, CAST(count_if(s = 'fail') AS BIGINT) AS n_fail, CAST(count_if(s = 'warn') AS BIGINT) AS n_warn, CAST(count_if(s = 'pass') AS BIGINT) AS n_pass FROM a GROUP BY media_id)
     SELECT media_id, CASE WHEN n_fail > 0 THEN 'fail' WHEN n_warn > 0 THEN 'warn' ELSE 'pass' END AS verdict, n_fail, n_warn, n_pass FROM g""")
 def media_verdicts(spark, sf_dir):
-    """All findings of a medium, of its format and of its levels, rolled up."""
-    own = tables.media(spark, sf_dir)
-    every = media.spec_findings(own, "media_id").unionByName(media.level_findings(own, "media_id"), allowMissingColumns=True)
-    return findings.report(every, "media_id")
+    """All findings of a medium, of its format and of its measurements, rolled up."""
+    return findings.report(media.spec_findings(tables.media(spark, sf_dir), "media_id").unionByName(_level_findings(spark, sf_dir)), "media_id")
 
 
 @query("black_ranges", """WITH p AS (SELECT p_partkey AS media_id, p_partkey % 8 AS n, p_partkey % 3 AS o FROM part WHERE true)
@@ -63,10 +92,15 @@ def frame_times(spark, sf_dir):
 
 @query("run_errors", """WITH h AS (SELECT l_orderkey AS run_id, l_linenumber AS clip, l_partkey AS cid, p_partkey IS NOT NULL AS known, p_partkey * 3 % 5000 AS fid, p_partkey % 4 AS sha, c_custkey AS f, c_custkey * 7 % 4 AS cur
         FROM lineitem LEFT JOIN part ON p_partkey = l_partkey AND p_size % 7 <> 0 LEFT JOIN customer ON c_custkey = p_partkey * 3 % 5000),
-    e AS (SELECT run_id, clip, CASE WHEN NOT known THEN 'missing contract: ' || cid WHEN f IS NULL THEN 'missing media: ' || fid WHEN cur <> sha THEN 'stale media: ' || fid END AS error FROM h)
-    SELECT run_id, count(error) = 0 AS ready, count(*) AS n_clips, coalesce(string_agg(error, '; ' ORDER BY clip, error), '') AS errors FROM e GROUP BY run_id""")
+    e AS (SELECT run_id, clip, CASE WHEN NOT known THEN 'missing contract: ' || cid WHEN f IS NULL THEN 'missing media: ' || fid WHEN cur <> sha THEN 'stale media: ' || fid END AS error FROM h),
+    g AS (SELECT run_id, count(*) AS n_clips, list(error ORDER BY clip, error) FILTER (error IS NOT NULL) AS es FROM e GROUP BY run_id),
+    r AS (SELECT o_orderkey AS run_id, list_concat(CASE WHEN o_custkey % 5 = 0 THEN ['source fingerprint changed'] ELSE [] END, CASE WHEN o_orderkey % 6 = 0 THEN ['ranked-shorts.json is missing'] ELSE [] END, coalesce(es, [])) AS es, coalesce(n_clips, 0) AS n_clips
+          FROM orders LEFT JOIN g ON run_id = o_orderkey)
+    SELECT run_id, len(es) = 0 AS ready, n_clips, array_to_string(list_slice(es, 1, 20), '; ') AS errors FROM r""")
 def run_errors(spark, sf_dir):
-    return runs.run_errors(tables.manifest(spark, sf_dir), tables.contracts(spark, sf_dir), tables.files(spark, sf_dir))
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    own = tables.table(spark, sf_dir, "orders").select(k.alias("run_id"), F.lit("a").alias("sha_planned"), F.when(c % 5 == 0, "b").otherwise("a").alias("sha_now"), F.when(k % 6 != 0, True).alias("ranked"))
+    return runs.run_errors(tables.manifest(spark, sf_dir), tables.contracts(spark, sf_dir), tables.files(spark, sf_dir), own)
 
 
 @query("approvals", """SELECT o_orderkey AS run_id, b = '' AS ready, b AS blockers FROM (SELECT o_orderkey, concat_ws('; ', CASE WHEN o_orderkey % 5 = 0 THEN 'validation failed' END,
@@ -88,20 +122,39 @@ def review_states(spark, sf_dir):
     return runs.review_states(tables.reviews(spark, sf_dir))
 
 
-@query("leftover_tokens", """SELECT doc_id, tokens FROM (SELECT doc_id, concat_ws(',', CASE WHEN contains(text, 'er') THEN 'er' END, CASE WHEN contains(text, 'sh,') THEN 'sh,' END, CASE WHEN contains(text, 'th.') THEN 'th.' END) AS tokens FROM documents) WHERE tokens <> ''""")
+@query("leftover_tokens", r"""SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(replace(replace(text, ' er', ' __ER__'), 'sh,', '__SH_LEFT__x__lower__'), '__[A-Z_]+__'))), ',') AS tokens
+    FROM documents WHERE len(regexp_extract_all(replace(replace(text, ' er', ' __ER__'), 'sh,', '__SH_LEFT__x__lower__'), '__[A-Z_]+__')) > 0""")
 def leftover_tokens(spark, sf_dir):
-    return runs.leftover_tokens(tables.table(spark, sf_dir, "documents"), "doc_id", ["th.", "sh,", "er"])
+    text = F.replace(F.replace(F.col("text"), F.lit(" er"), F.lit(" __ER__")), F.lit("sh,"), F.lit("__SH_LEFT__x__lower__"))
+    return runs.leftover_tokens(tables.table(spark, sf_dir, "documents").select("doc_id", text.alias("text")), "doc_id")
 
 
-@query("clip_contracts", f"""WITH RECURSIVE {_CANDIDATES} SELECT source_id, CAST(place AS INTEGER) AS rank, printf('%02d-%s', CAST(place AS INTEGER), CASE WHEN event_id % 3 = 0 THEN 'clip' || event_id ELSE id END) AS name,
-    n AS end_frame, least(75, greatest(0, n - 1)) AS hook_frames, n // 2 AS mid_frame FROM p WHERE place <= 5""")
-def clip_contracts(spark, sf_dir):
-    """Name, timeline and hook card of every selected clip; a supplied id wins over the stable one."""
+_CLIPS = f"""{_CANDIDATES},
+    clips AS (SELECT source_id, CAST(place AS INTEGER) AS rank, id, start_frame, end_frame, topic_key, CAST(composite AS DOUBLE) AS composite, n, CASE WHEN source_id % 5 = 0 THEN 29.97 ELSE 30.0 END::DOUBLE AS fps FROM p WHERE place <= 5)"""
+
+
+def _clips(spark, sf_dir):
     own = ranking.rank(tables.candidates(spark, sf_dir)).where("status = 'selected'")
-    given = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("clip"), F.col("event_id").cast("string"))).otherwise("")
-    n = F.col("end_frame") - F.col("start_frame")
-    hook = F.least(F.bround(F.lit(2.5) * 30, 0).cast("long"), F.greatest(F.lit(0), n - 1))
-    return own.select("source_id", "rank", F.format_string("%02d-%s", F.col("rank"), supplied_or(given, F.col("id"))).alias("name"), n.alias("end_frame"), hook.alias("hook_frames"), F.floor(n / 2).alias("mid_frame"))
+    fps = F.when(F.col("source_id") % 5 == 0, 29.97).otherwise(30.0)
+    return own.withColumn("n", F.col("end_frame") - F.col("start_frame")).withColumn("fps", fps).withColumn("composite", F.col("composite").cast("double"))
+
+
+@query("clip_contracts", f"""WITH RECURSIVE {_CLIPS} SELECT source_id, rank, printf('%02d-%s', rank, id) AS name, n AS end_frame, CASE WHEN fps = 30 THEN '30' ELSE '29.97' END AS fps,
+    least(75, greatest(0, n - 1)) AS hook_frames, n // 2 AS mid_frame FROM clips""")
+def clip_contracts(spark, sf_dir):
+    """Name, timeline and hook card of every selected clip."""
+    own = _clips(spark, sf_dir)
+    hook = F.least(F.bround(F.col("fps") * 2.5, 0).cast("long"), F.greatest(F.lit(0), F.col("n") - 1))
+    return own.select("source_id", "rank", F.format_string("%02d-%s", "rank", "id").alias("name"), F.col("n").alias("end_frame"), printed_rate(F.col("fps")).alias("fps"), hook.alias("hook_frames"), F.expr("n div 2").alias("mid_frame"))
+
+
+@query("clip_documents", f"""WITH RECURSIVE {_CLIPS} SELECT source_id, id, CAST(json_object('schemaVersion', 1, 'rangeSemantics', '[startFrame,endFrameExclusive)', 'id', id, 'rank', rank,
+    'source', json_object('parentSha256', sha256(CAST(source_id AS VARCHAR)), 'sourceRange', json_object('startFrame', start_frame, 'endFrameExclusive', end_frame)),
+    'timeline', json_object('startFrame', 0, 'endFrameExclusive', n, 'fps', fps, 'width', 1080, 'height', 1920), 'selection', json_object('composite', composite, 'topicKey', topic_key, 'hookText', NULL)) AS VARCHAR) AS document FROM clips""")
+def clip_documents(spark, sf_dir):
+    """The contract of every selected clip as one nested document."""
+    own = _clips(spark, sf_dir)
+    return documents.contract_documents(own.select("*", F.sha2(F.col("source_id").cast("string").cast("binary"), 256).alias("sha256"), F.col("n").alias("n_frames"), F.lit(1080).alias("width"), F.lit(1920).alias("height")))
 
 
 @query("expected_specs", """SELECT p_partkey AS media_id, CASE WHEN p_partkey % 3 <> 0 THEN 1080 WHEN p_partkey % 5 > 1 THEN 720 WHEN p_size > 10 THEN p_size ELSE NULL END AS want_width FROM part""")

@@ -74,8 +74,8 @@ _FILLED = f"""{_TRACK},
 
 _CROPS = f"""{_FILLED},
     hn AS (SELECT source_id, shot_id, max(i) AS n FROM filled GROUP BY ALL),
-    ho AS (SELECT f.source_id, f.shot_id, f.frame, f.i, greatest(1, least(hn.n, f.i + k)) AS at FROM filled f JOIN hn USING (source_id, shot_id), (SELECT unnest([-2, -1, 0, 1, 2]) AS k)),
-    sm AS MATERIALIZED (SELECT o.source_id, o.shot_id, o.frame, o.i, CAST(sum(f.cx) AS BIGINT) // 5 AS v FROM ho o JOIN filled f ON f.source_id = o.source_id AND f.shot_id = o.shot_id AND f.i = o.at GROUP BY ALL),
+    ho AS (SELECT f.source_id, f.shot_id, f.frame, f.i, greatest(1, least(hn.n, f.i + k)) AS at FROM filled f JOIN hn USING (source_id, shot_id), (SELECT unnest([-2, -1, 0, 1, 2]) AS k) WHERE 2 * abs(k) < CASE WHEN n >= 5 THEN 5 WHEN n >= 3 THEN 3 ELSE 1 END),
+    sm AS MATERIALIZED (SELECT o.source_id, o.shot_id, o.frame, o.i, CAST(sum(f.cx) AS BIGINT) // count(*) AS v FROM ho o JOIN filled f ON f.source_id = o.source_id AND f.shot_id = o.shot_id AND f.i = o.at GROUP BY ALL),
     dz(source_id, shot_id, i, frame, o) AS (
         SELECT source_id, shot_id, i, frame, v FROM sm WHERE i = 1
         UNION ALL SELECT sm.source_id, sm.shot_id, sm.i, sm.frame, least(greatest(dz.o, sm.v - 20000), sm.v + 20000) FROM dz JOIN sm ON sm.source_id = dz.source_id AND sm.shot_id = dz.shot_id AND sm.i = dz.i + 1),

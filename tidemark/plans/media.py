@@ -12,11 +12,14 @@ from tidemark.sources import tables
 _CANDIDATES = """
     e AS (SELECT user_id AS source_id, event_id, event_type AS topic_key, (epoch_us(ts) - 1704067200000000) // 24000000 AS start_frame,
           (epoch_us(ts) - 1704067200000000) // 24000000 + 450 + event_id * 37 % 1500 AS end_frame,
-          event_id * 7 % 103 AS a, event_id * 11 % 103 AS b, event_id * 13 % 103 AS c, event_id * 17 % 103 AS d, event_id * 19 % 103 AS f FROM events),
-    c AS (SELECT *, substr(sha256(source_id || ':' || start_frame || ':' || end_frame), 1, 12) AS id, end_frame - start_frame AS n,
+          CASE WHEN user_id % 4 = 1 THEN 60 ELSE 30 END AS fps,
+          event_id * 7 % 103 AS a, event_id * 11 % 103 AS b, CASE WHEN event_id % 29 <> 0 THEN event_id * 13 % 103 END AS c, event_id * 17 % 103 AS d, event_id * 19 % 103 AS f FROM events),
+    c AS (SELECT *, CASE WHEN event_id % 3 = 0 THEN 'clip' || event_id ELSE substr(sha256(source_id || ':' || start_frame || ':' || end_frame), 1, 12) END AS id, end_frame - start_frame AS n,
           CAST((30 * a + 20 * b + 15 * c + 20 * d + 15 * f) / 1000.0 AS DECIMAL(8,3)) AS composite,
-          concat_ws('; ', CASE WHEN end_frame - start_frame < 600 THEN 'below minimum duration' END, CASE WHEN end_frame - start_frame > 1800 THEN 'above maximum duration' END,
-                    CASE WHEN event_id % 11 = 0 THEN 'blocking flags: midSentence' END, CASE WHEN greatest(a, b, c, d, f) > 100 THEN 'score out of range' END) AS errors FROM e),
+          concat_ws('; ', CASE WHEN end_frame - start_frame < 20 * fps THEN 'below minimum duration' END, CASE WHEN end_frame - start_frame > 60 * fps THEN 'above maximum duration' END,
+                    CASE WHEN event_id % 11 = 0 THEN 'blocking flags: midSentence' END,
+                    CASE WHEN a > 100 THEN 'score hook must be between 0 and 10' WHEN b > 100 THEN 'score selfContainedness must be between 0 and 10' WHEN c IS NULL THEN 'score emotion is missing' WHEN c > 100 THEN 'score emotion must be between 0 and 10'
+                         WHEN d > 100 THEN 'score payoffDensity must be between 0 and 10' WHEN f > 100 THEN 'score retention must be between 0 and 10' END) AS errors FROM e),
     v AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY composite DESC, start_frame, id, event_id) AS k FROM c WHERE errors = ''),
     g(source_id, k, kept, lost) AS (
         SELECT source_id, CAST(0 AS BIGINT), CAST([] AS STRUCT(id VARCHAR, s BIGINT, t BIGINT)[]), CAST(NULL AS VARCHAR) FROM (SELECT DISTINCT source_id FROM v)
@@ -64,8 +67,8 @@ def rank_topk(spark, sf_dir):
     UNION ALL SELECT source_id, event_id, id, 'rejected', 'overlaps ' || lost FROM j WHERE lost IS NOT NULL
     UNION ALL SELECT source_id, event_id, id, 'rejected', errors FROM c WHERE errors <> ''""")
 def rank_reasons(spark, sf_dir):
-    """Every candidate with its state and why."""
-    return ranking.rank(tables.candidates(spark, sf_dir)).select("source_id", "event_id", "id", "status", "reasons")
+    """Every candidate with its state and why, in the order of the report."""
+    return ranking.in_order(ranking.rank(tables.candidates(spark, sf_dir))).select("source_id", "event_id", "id", "status", "reasons")
 
 
 @query("word_errors", f"""WITH {_WORDS}, l AS (SELECT *, lag(start_ms) OVER w AS ps, lag(end_ms) OVER w AS pe FROM words WINDOW w AS (PARTITION BY source_id ORDER BY idx))
@@ -94,7 +97,7 @@ def _segments(close: str) -> str:
         FROM r JOIN l USING (source_id, idx) GROUP BY r.source_id, r.number"""
 
 
-@query("semantic_windows", _segments("end_ms - s >= 12000 OR (end_ms - s >= 8000 AND (regexp_matches(word, '[.?!]$') OR gap >= 1000)) OR (end_ms - s >= 10000 AND gap >= 350)"))
+@query("semantic_windows", "SELECT *, printf('window-%04d', CAST(number + 1 AS INTEGER)) AS id FROM (" + _segments("end_ms - s >= 12000 OR (end_ms - s >= 8000 AND (regexp_matches(word, '[.?!]$') OR gap >= 1000)) OR (end_ms - s >= 10000 AND gap >= 350)") + ")")
 def semantic_windows(spark, sf_dir):
     return sequences.semantic_windows(tables.words(spark, sf_dir))
 
@@ -121,19 +124,20 @@ def interpolate_track(spark, sf_dir):
     return tracks.interpolate(tables.detections(spark, sf_dir))
 
 
-@query("weak_ranges", f"""WITH {_TRACK}, w AS (SELECT source_id, frame, confidence < 30 AS weak, lead(frame) OVER o AS following, row_number() OVER o AS i FROM t WINDOW o AS (PARTITION BY source_id ORDER BY frame)),
+@query("weak_track_ranges", f"""WITH {_TRACK}, w AS (SELECT source_id, frame, confidence < 30 AS weak, lead(frame) OVER o AS following, row_number() OVER o AS i FROM t WINDOW o AS (PARTITION BY source_id ORDER BY frame)),
     g AS (SELECT *, i - row_number() OVER (PARTITION BY source_id, weak ORDER BY frame) AS run FROM w)
     SELECT source_id, min(frame) AS start_frame, max(coalesce(following, frame + 1)) AS end_frame FROM g WHERE weak GROUP BY source_id, run""")
-def weak_ranges(spark, sf_dir):
+def weak_track_ranges(spark, sf_dir):
     return tracks.weak_ranges(tracks.interpolate(tables.detections(spark, sf_dir)), 30)
 
 
 @query("smooth_track", f"""WITH {_TRACK}, u AS (SELECT *, row_number() OVER (PARTITION BY source_id, shot_id ORDER BY frame) AS i FROM t WHERE cx IS NOT NULL),
     h AS (SELECT source_id, shot_id, max(i) AS n FROM u GROUP BY ALL),
-    o AS (SELECT u.source_id, u.shot_id, u.frame, greatest(1, least(h.n, u.i + k)) AS at FROM u JOIN h USING (source_id, shot_id), (SELECT unnest([-2, -1, 0, 1, 2]) AS k))
-    SELECT o.source_id, o.shot_id, o.frame, CAST(sum(u.cx) AS BIGINT) AS total FROM o JOIN u ON u.source_id = o.source_id AND u.shot_id = o.shot_id AND u.i = o.at GROUP BY ALL""")
+    o AS (SELECT u.source_id, u.shot_id, u.frame, greatest(1, least(h.n, u.i + k)) AS at, k FROM u JOIN (SELECT *, CASE WHEN n >= 5 THEN 5 WHEN n >= 3 THEN 3 ELSE 1 END AS w FROM h) h USING (source_id, shot_id), (SELECT unnest([-2, -1, 0, 1, 2]) AS k) WHERE 2 * abs(k) < w)
+    SELECT o.source_id, o.shot_id, o.frame, CAST(sum(u.cx) AS BIGINT) AS total, count(*) AS width FROM o JOIN u ON u.source_id = o.source_id AND u.shot_id = o.shot_id AND u.i = o.at GROUP BY ALL""")
 def smooth_track(spark, sf_dir):
-    return tracks.smooth(tracks.interpolate(tables.detections(spark, sf_dir)).where("cx is not null"))
+    own = tracks.smooth(tracks.interpolate(tables.detections(spark, sf_dir)).where("cx is not null"))
+    return own.select("source_id", "shot_id", "frame", "total", "width")
 
 
 @query("findings_report", """WITH f AS (SELECT d.doc_id, unnest([CASE WHEN n_chars < 100 THEN 'fail' WHEN n_chars < 400 THEN 'warn' ELSE 'pass' END, CASE WHEN lang IN ('en', 'de', 'fr') THEN 'pass' ELSE 'warn' END,

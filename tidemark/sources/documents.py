@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalar import SCORE_NAMES
+
 #: The fields of a candidate document.
 CANDIDATE = "id string, startFrame long, endFrameExclusive long, topicKey string, scores map<string,double>, rejectionFlags array<string>"
 
@@ -19,6 +21,24 @@ def read_candidates(spark: SparkSession, path: str, schema: str = CANDIDATE) ->
     return text.select("file", F.posexplode(items).alias("idx", "c")).where("c is not null").select("file", "idx", "c.*")
 
 
+def ranking_input(candidates: DataFrame, fps: float) -> DataFrame:
+    """read_candidates() as operators/ranking.py takes them: one source a file, exact scores, ranges at `fps`."""
+    score = lambda name: F.try_element_at("scores", F.lit(name)).cast("decimal(9,4)")
+    flags = F.coalesce("rejectionFlags", F.array().cast("array<string>"))
+    return candidates.select(F.col("file").alias("source_id"), F.col("idx").alias("event_id"), "id", F.lit(float(fps)).alias("fps"), F.col("startFrame").alias("start_frame"), F.col("endFrameExclusive").alias("end_frame"), F.col("topicKey").alias("topic_key"), flags.alias("flags"), *(score(name).alias(c) for c, name in SCORE_NAMES.items()))
+
+
+def contract_documents(clips: DataFrame) -> DataFrame:
+    """(source_id, id, document): the contract of every clip (source_id, id, rank, sha256, start_frame, end_frame, n_frames, fps, width, height, composite, topic_key) as a nested JSON text."""
+    document = F.struct(
+        F.lit(1).alias("schemaVersion"), F.lit("[startFrame,endFrameExclusive)").alias("rangeSemantics"), "id", "rank",
+        F.struct(F.col("sha256").alias("parentSha256"), F.struct(F.col("start_frame").alias("startFrame"), F.col("end_frame").alias("endFrameExclusive")).alias("sourceRange")).alias("source"),
+        F.struct(F.lit(0).alias("startFrame"), F.col("n_frames").alias("endFrameExclusive"), "fps", "width", "height").alias("timeline"),
+        F.struct("composite", F.col("topic_key").alias("topicKey"), F.lit(None).cast("string").alias("hookText")).alias("selection"),
+    )
+    return clips.select("source_id", "id", F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))
+
+
 def _colons(schema: str) -> str:
     return ", ".join(f.strip().replace(" ", ":", 1) for f in _fields(schema))
 

@@ -12,12 +12,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored half-open frame ranges, many sources: source_id, start_frame, end_frame, topic_key, flags, five scores."""
+    """Scored half-open frame ranges, many sources: source_id, id (some have none), fps, start_frame, end_frame, topic_key, flags, five scores (some lack one)."""
     micros = F.unix_micros(F.col("ts").cast("timestamp")) - 1704067200000000
     start = F.floor(micros / 24_000_000).cast("long")
     scores = [(F.col("event_id") * k % 103 / 10).cast("decimal(4,1)").alias(n) for n, k in zip(("hook", "self_contained", "emotion", "payoff", "retention"), (7, 11, 13, 17, 19))]
     flags = F.when(F.col("event_id") % 11 == 0, F.array(F.lit("midSentence"))).otherwise(F.array().cast("array<string>"))
-    return table(spark, sf_dir, "events").select(F.col("user_id").alias("source_id"), "event_id", start.alias("start_frame"), (start + 450 + F.col("event_id") * 37 % 1500).alias("end_frame"), F.col("event_type").alias("topic_key"), flags.alias("flags"), *scores)
+    scores[2] = F.when(F.col("event_id") % 29 != 0, scores[2]).alias("emotion")  # some candidates lack a score
+    fps = F.when(F.col("user_id") % 4 == 1, 60.0).otherwise(30.0).alias("fps")
+    given = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("clip"), F.col("event_id").cast("string"))).otherwise("").alias("id")
+    return table(spark, sf_dir, "events").select(F.col("user_id").alias("source_id"), "event_id", given, fps, start.alias("start_frame"), (start + 450 + F.col("event_id") * 37 % 1500).alias("end_frame"), F.col("event_type").alias("topic_key"), flags.alias("flags"), *scores)
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +42,25 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select(F.col("user_id").alias("source_id"), "frame", F.floor(F.col("frame") / 240).alias("shot_id"), cx.alias("cx"), (F.col("event_id") % 100).alias("confidence"))
 
 
+def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections on a coarse frame grid, many sources: source_id, frame, shot_id, x0, y0, x1, y1 (null: nothing found), confidence, detector. One row per frame."""
+    own = table(spark, sf_dir, "events").withColumn("frame", F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - 1704067200000000) / 1_200_000_000).cast("long"))
+    first = F.row_number().over(W.partitionBy("user_id", "frame").orderBy("event_id"))
+    own = own.withColumn("k", first).where("k = 1")
+    e, found = F.col("event_id"), F.col("event_type") != "error"
+    x, y = F.floor(F.col("value") * 16).cast("long") % 1700, e % 700
+    detector = F.get(F.array(F.lit("yolo"), F.lit("hog"), F.lit("haar")), (e % 3).cast("int"))
+    corner = lambda v, name: F.when(found, v).alias(name)
+    return own.select(F.col("user_id").alias("source_id"), "frame", F.floor(F.col("frame") / 240).alias("shot_id"), corner(x, "x0"), corner(y, "y0"), corner(x + 60 + e % 91, "x1"), corner(y + 100 + e % 281, "y1"), ((e % 100) / 100.0).alias("confidence"), detector.alias("detector"))
+
+
+def track_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(source_id, shot_id, start_frame, end_frame): shots of 240 frames up to the last detection of a source."""
+    own = boxes(spark, sf_dir).groupBy("source_id").agg((F.max("frame") + 1).alias("total"))
+    own = own.select("source_id", "total", F.explode(F.expr("sequence(0L, (total - 1) div 240)")).alias("shot_id"))
+    return own.select("source_id", "shot_id", (F.col("shot_id") * 240).alias("start_frame"), F.least((F.col("shot_id") + 1) * 240, F.col("total")).alias("end_frame"))
+
+
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of scene-change logs, many sources: source_id, line_no, line. Views give a time (every 50th is unreadable), clicks fire, the rest is chatter."""
     micros = F.unix_micros(F.col("ts").cast("timestamp")) - 1704067200000000
@@ -63,7 +85,22 @@ def media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         k.alias("media_id"), pick(3, 1080, 720, 1920).alias("width"), pick(3, 1920, 1280, 1080).alias("height"), pick(5, "30000/1001", "30/1", "0/0", "junk", "25").alias("rate"), (k * 7 % 1000).cast("long").alias("frames"),
         pick(4, 1080, 1080, 0, 1080).alias("want_width"), pick(4, 1920, 1920, 1920, 1920).alias("want_height"), pick(7, 30.0, 29.97, 0.0, 25.0, 30.0, 30.0, 30.0).alias("want_fps"), (k * 7 % 1000 + k % 4 - 1).cast("long").alias("want_frames"),
-        F.when(k % 13 != 0, -(k % 70)).alias("mean_db"), (-(k % 30)).alias("lufs"), F.when(k % 17 != 0, -(k % 5) / 10).alias("peak"), (-(k * 3 % 90)).alias("edge_db"),
+        (k % 211 / 10).alias("duration"), (k % 19 != 0).alias("has_video"), (k % 7 != 0).alias("has_audio"),
+    ).withColumn("streams", F.array_compact(F.array(F.when(F.col("has_video"), F.struct(F.lit("video").alias("codec_type"), F.lit("h264").alias("codec_name"))), F.when(F.col("has_audio"), F.struct(F.lit("audio").alias("codec_type"), F.lit("aac").alias("codec_name"))))))
+
+
+def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(media_id, has_audio, duration and logs): what tools printed about levels, loudness, edges, still stretches and decoding; some of it can't be read."""
+    k = F.col("p_partkey")
+    text = lambda v: F.concat(F.lit("-"), v.cast("string"))
+    volume = lambda v, bad: F.when(k % bad != 0, F.concat(F.lit("[parsed] n_samples: 9\n[parsed] mean_volume: "), text(v), F.lit(".5 dB\n"))).otherwise("[parsed] no samples\n")
+    block = F.concat(F.lit('{\n "input_i" : "'), text(k % 30), F.lit('.25",\n "input_tp" : "'), text(k % 3), F.lit(".50"), F.lit('"\n}\n'))
+    loudness = F.when(k % 23 == 0, "nothing\n").when(k % 29 == 0, F.lit('{"input_i" : broken}\n')).otherwise(F.concat(F.lit('{ "input_i" : "-99.0", "input_tp" : "9.0" }\nlater\n'), block))
+    freeze = F.repeat(F.lit("[freeze] freeze_start: 1.5\n"), (k % 4).cast("int"))
+    decode = F.concat(F.repeat(F.lit("broken packet\n"), (k % 3).cast("int")), F.lit(" \n"))
+    return table(spark, sf_dir, "part").select(
+        k.alias("media_id"), (k % 7 != 0).alias("has_audio"), (k % 211 / 10).alias("duration"), volume(k % 70, 13).alias("audio_log"), volume(k * 3 % 90, 17).alias("head_log"), volume(k * 7 % 90, 31).alias("tail_log"),
+        loudness.alias("loudness_log"), freeze.alias("freeze_log"), decode.alias("decode_log"),
     )
 
 
