@@ -175,14 +175,15 @@ def crop_frames(records: DataFrame, width: int, height: int, out_width: int, out
         own = smooth(own, max(3, round(fps)), "z").withColumn("z", F.expr("total div width")).drop("total", "width")
     else:
         own = own.withColumn("z", F.lit(10**6).cast("long"))
-    pan, pan_more = 1_300_000 // fps, 5_200_000 // fps**2
-    grow, grow_more = 120_000 // fps, 500_000 // fps**2
+    # positions and zoom move in thousandths of their units, so that rounding does not add up
+    pan, pan_more = 1_300_000_000 // fps, 5_200_000_000 // fps**2
+    grow, grow_more = 120_000_000 // fps, 500_000_000 // fps**2
 
     def step(state, x, y, z):
         hx, hy, fx, fy, fz = state or (None,) * 5
-        hx, hy = _held(hx, x, 45_000), _held(hy, y, 22_500)
-        fx, fy, fz = _followed(fx, hx, pan, pan_more), _followed(fy, hy, pan, pan_more), _followed(fz, z, grow, grow_more)
-        return (hx, hy, fx, fy, fz), {"x": fx[0], "y": fy[0], "z": min(max(fz[0], low), high)}
+        hx, hy = _held(hx, 1000 * x, 45_000_000), _held(hy, 1000 * y, 22_500_000)
+        fx, fy, fz = _followed(fx, hx, pan, pan_more), _followed(fy, hy, pan, pan_more), _followed(fz, 1000 * z, grow, grow_more)
+        return (hx, hy, fx, fy, fz), {"x": fx[0] // 1000, "y": fy[0] // 1000, "z": min(max(fz[0] // 1000, low), high)}
 
     kind = StructType([StructField(c, LongType()) for c in "xyz"])
     own = fold(own.select("source_id", "shot_id", "frame", "cx", "cy", "z", "confidence", "flags"), ["source_id", "shot_id"], ["frame"], ["cx", "cy", "z"], "m", kind, lambda: None, step)

@@ -70,13 +70,13 @@ _CROPPED = f"""{_RECORDS},
                                trunc(sum(b.z) FILTER (2 * abs(k) < a.w2) / any_value(a.w2)) AS z
            FROM cz a, (SELECT unnest(range(-15, 16)) AS k), cz b WHERE 2 * abs(k) < a.w2 AND b.source_id = a.source_id AND b.shot_id = a.shot_id AND b.i = greatest(1, least(a.n, a.i + k)) GROUP BY ALL),
     mo(source_id, shot_id, i, hx, hy, x, y, z, dx, dy, dz) AS (
-        SELECT source_id, shot_id, i, CAST(x AS BIGINT), CAST(y AS BIGINT), CAST(x AS BIGINT), CAST(y AS BIGINT), CAST(z AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM sm WHERE i = 1
+        SELECT source_id, shot_id, i, CAST(x * 1000 AS BIGINT), CAST(y * 1000 AS BIGINT), CAST(x * 1000 AS BIGINT), CAST(y * 1000 AS BIGINT), CAST(z * 1000 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM sm WHERE i = 1
         UNION ALL SELECT source_id, shot_id, i, hx, hy, x + vx, y + vy, z + vz, vx, vy, vz FROM (
-            SELECT source_id, shot_id, i, hx, hy, x, y, z, least(greatest(dx + least(greatest(least(greatest(hx - x, -43333), 43333) - dx, -5777), 5777), -43333), 43333) AS vx,
-                   least(greatest(dy + least(greatest(least(greatest(hy - y, -43333), 43333) - dy, -5777), 5777), -43333), 43333) AS vy, least(greatest(dz + least(greatest(least(greatest(tz - z, -4000), 4000) - dz, -555), 555), -4000), 4000) AS vz
-            FROM (SELECT sm.source_id, sm.shot_id, sm.i, CAST(least(greatest(mo.hx, sm.x - 45000), sm.x + 45000) AS BIGINT) AS hx, CAST(least(greatest(mo.hy, sm.y - 22500), sm.y + 22500) AS BIGINT) AS hy, mo.x, mo.y, mo.z, CAST(sm.z AS BIGINT) AS tz, mo.dx, mo.dy, mo.dz
+            SELECT source_id, shot_id, i, hx, hy, x, y, z, least(greatest(dx + least(greatest(least(greatest(hx - x, -43333333), 43333333) - dx, -5777777), 5777777), -43333333), 43333333) AS vx,
+                   least(greatest(dy + least(greatest(least(greatest(hy - y, -43333333), 43333333) - dy, -5777777), 5777777), -43333333), 43333333) AS vy, least(greatest(dz + least(greatest(least(greatest(tz - z, -4000000), 4000000) - dz, -555555), 555555), -4000000), 4000000) AS vz
+            FROM (SELECT sm.source_id, sm.shot_id, sm.i, CAST(least(greatest(mo.hx, (sm.x - 45000) * 1000), (sm.x + 45000) * 1000) AS BIGINT) AS hx, CAST(least(greatest(mo.hy, (sm.y - 22500) * 1000), (sm.y + 22500) * 1000) AS BIGINT) AS hy, mo.x, mo.y, mo.z, CAST(sm.z * 1000 AS BIGINT) AS tz, mo.dx, mo.dy, mo.dz
                   FROM mo JOIN sm ON sm.source_id = mo.source_id AND sm.shot_id = mo.shot_id AND sm.i = mo.i + 1))),
-    cs AS (SELECT sm.source_id, sm.shot_id, sm.frame, sm.confidence, mo.x, mo.y, least(greatest(mo.z, 1000000), 1250000) AS zoom FROM mo JOIN sm USING (source_id, shot_id, i)),
+    cs AS (SELECT sm.source_id, sm.shot_id, sm.frame, sm.confidence, mo.x // 1000 AS x, mo.y // 1000 AS y, least(greatest(mo.z // 1000, 1000000), 1250000) AS zoom FROM mo JOIN sm USING (source_id, shot_id, i)),
     ch AS (SELECT *, 607500000000 // zoom AS width, 1080000000000 // zoom AS height FROM cs),
     crops AS MATERIALIZED (SELECT source_id, shot_id, frame, CAST(least(greatest(CAST(trunc(x - width // 2) AS BIGINT), 0), 1920000 - width) AS BIGINT) AS x, CAST(least(greatest(y - height * 4 // 100 - height // 2, 0), 1080000 - height) AS BIGINT) AS y, width, height, zoom, confidence FROM ch)"""
 
