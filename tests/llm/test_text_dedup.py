@@ -51,7 +51,9 @@ def test_longest_common_prefixes_equal_brute_force(spark):
 
 def test_line_dedup_stage_drops_emptied_documents_only(spark):
     rows = [(1, "a\nb", "x"), (2, "a\nb", "y"), (3, "", "z"), (4, None, "q")]
-    out = line_dedup.without_repeated_lines(spark.createDataFrame(rows, SCHEMA + ", __lines string"))
+    df = spark.createDataFrame(rows, SCHEMA + ", __lines string")
+    assert sorted(r["doc_id"] for r in line_dedup.line_report(df).collect()) == [1, 2, 3, 4]
+    out = line_dedup.without_repeated_lines(df)
     assert sorted(r["doc_id"] for r in out.collect()) == [1, 3, 4]
 
 
@@ -97,7 +99,7 @@ def test_substring_dedup_of_long_sentences_and_odd_rows(spark):
     r = random.Random(9)
     passage = " ".join(prose(r, 300, 10**6))
     rows = [(1, "Start here. " + passage + " then more of it", "k"), (2, passage, "k"), (2, passage, "k"), (3, "", "k"), (4, None, None)]
-    out = [(x["doc_id"], x["text"], x["__removed"]) for x in substring_dedup.without_repeated_spans(spark.createDataFrame(rows, SCHEMA + ", place string")).collect()]
+    out = [(x["doc_id"], x["text"], x["__removed"]) for x in substring_dedup.without_repeated_spans(spark.createDataFrame(rows, SCHEMA + ", __version string")).collect()]
     assert len(out) == 5
     assert max(len(t) for d, t, _ in out if d == 2) < len(passage) / 4  # nearly all of the later copy goes
     assert next(t for d, t, _ in out if d == 1) == rows[0][1]

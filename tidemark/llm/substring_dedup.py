@@ -23,9 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm import _text
-from tidemark.llm._store import kept, small_lists
+from tidemark.llm._store import hot_join, kept, small_batches, small_lists, wrapped
 
 SPAN = 3
 MIN_WORDS = 12
@@ -179,20 +180,26 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, version, place): every run that repeats an earlier one; place is twice the number of its first word, and 1 more for a run of pieces."""
-    keyed = docs if "__version" in docs.columns else _keyed(docs)
+    return _repeated(_keyed(docs.select("doc_id", "text")), span, min_words)
+
+
+def _repeated(keyed: DataFrame, span: int, min_words: int) -> DataFrame:
+    """repeated_spans() of rows that have their __version."""
     given = keyed.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("__version").alias("version"), F.col("text").cast("string").alias("text"))
     runs = given.mapInArrow(lambda it: _runs(it, span, min_words), "h1 long, h2 int, doc_id long, version long, place int")
     at = F.struct("doc_id", "version", "place")
-    repeated = kept(runs.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first"))
-    return runs.join(repeated, ["h1", "h2"]).where(at != F.col("first")).select("doc_id", "version", "place").distinct()
+    repeated = kept(runs.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("h1", "h2", "first", "n"))
+    return hot_join(runs, repeated, ["h1", "h2"]).where(at != F.col("first")).select("doc_id", "version", "place").distinct()
 
 
 def without_repeated_spans(docs: DataFrame, span: int = SPAN, min_words: int = MIN_WORDS) -> DataFrame:
-    """`docs`, all columns kept, with repeated spans removed from `text`, and __sentences and __removed counted."""
-    keyed = _keyed(docs)
-    places = kept(repeated_spans(keyed, span, min_words).groupBy("doc_id", "version").agg(F.collect_list("place").alias("__places")).select(F.col("doc_id").alias("__doc"), F.col("version").alias("__of"), "__places"))
+    """`docs`, all columns kept, with repeated spans removed from `text`, and __sentences and __removed counted (columns of these names give way)."""
+    small_batches(docs.sparkSession)
+    keyed = _keyed(wrapped(docs, "doc_id", "text"))
+    places = kept(_repeated(keyed, span, min_words).groupBy("doc_id", "version").agg(F.collect_list("place").alias("__places")).select(F.col("doc_id").alias("__doc"), F.col("version").alias("__of"), "__places"))
     both = keyed.join(small_lists(places, "__places", SMALL_VALUES), (F.col("doc_id").cast("long") == F.col("__doc")) & (F.col("__version") == F.col("__of")), "left")
-    both = both.withColumn("text", F.col("text").cast("string")).select(*(F.col(f"`{c}`") for c in docs.columns), "__places")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" if f.name != "text" else "text string" for f in docs.schema]
-    keep = docs.columns
-    return both.mapInArrow(lambda it: _remove(it, span, min_words, keep), ", ".join([*fields, "__sentences long", "__removed long"]))
+    both = both.select("doc_id", F.col("text").cast("string").alias("text"), "__rest", "__places")
+    counted = [StructField("__sentences", LongType()), StructField("__removed", LongType())]
+    out = both.mapInArrow(lambda it: _remove(it, span, min_words, ["doc_id", "text", "__rest"]), StructType([*both.schema.fields[:3], *counted]))
+    own = [F.col(c) if c in ("doc_id", "text") else F.col("__rest").getField(c).alias(c) for c in docs.columns if c not in ("__sentences", "__removed")]
+    return out.select(*own, "__sentences", "__removed")
