@@ -85,7 +85,18 @@ def test_run_equals_its_stages_and_the_query(spark, folder):
 
     out = __spark_entry__.queries()["pipeline"](spark, folder[0])
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
-    assert out.count() > 60
+    now = spark.read.parquet(os.path.join(folder[0], "documents.parquet"))
+    for _, stage in pipeline.STAGES:
+        now = pipeline.kept(stage(spark, now, folder[0]))
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    rows = sorted(map(tuple, out.select(columns).collect()))
+    assert rows == sorted(map(tuple, now.select(columns).collect())) and len(rows) > 60
+    held = defaultdict(list)
+    for r in out.collect():
+        held[r["sequence_id"]].append((r["offset"], r["length"]))
+    for own in held.values():  # gapless and within the capacity
+        ends = [0, *(sum(n for _, n in sorted(own)[: k + 1]) for k in range(len(own)))]
+        assert [at for at, _ in sorted(own)] == ends[:-1] and ends[-1] <= 1024
 
 
 def test_stages_of_an_empty_table(spark, folder, tmp_path):

@@ -34,7 +34,17 @@ def kept(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/tidemark/{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def forget(*tables: DataFrame | None) -> None:
+    """Deletes tables of kept() that nothing reads any more; others are left alone."""
+    for df in tables:
+        if (path := getattr(df, "_kept_at", None)) is not None:
+            jvm = df.sparkSession._jvm
+            jvm.org.apache.hadoop.fs.Path(path).getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(jvm.org.apache.hadoop.fs.Path(path), True)
 
 
 def bounded(df: DataFrame, rows: int) -> bool:

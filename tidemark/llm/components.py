@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import kept
+from tidemark.llm._store import forget, kept
 
 MAX_ROUNDS = 60
 
@@ -33,5 +33,6 @@ def components(links: DataFrame) -> DataFrame:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen or not state[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select(F.col("b"), F.col("b")).distinct())
-        seen, now = state, kept(_stars(now))
+        before, now, seen = now, kept(_stars(now)), state
+        forget(before)
     raise RuntimeError("components did not settle")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm._store import hot_join, kept, small_lists, unwrapped, wrapped
+from tidemark.llm._store import forget, hot_join, kept, small_lists, unwrapped, wrapped
 
 #: Documents and line numbers up to this number are broadcast (about 64 MB); beyond it Spark joins by shuffle.
 SMALL_VALUES = 8_000_000
@@ -74,6 +74,7 @@ def suffix_levels(docs: DataFrame, min_lines: int = 2, long_words: int | None =
     segment = F.col("seq") - F.row_number().over(W.partitionBy("d").orderBy("seq"))
     held = held.withColumn("segment", segment).withColumn("last", F.max("seq").over(W.partitionBy("d", "segment")))
     levels, span = [kept(held.select("d", "seq", "pos", "until", "long", "last", "rank"))], 1
+    forget(every)
     while not levels[-1].isEmpty():
         now = levels[-1]
         behind = now.select("d", (F.col("seq") - span).alias("seq"), F.col("rank").alias("r2"))
@@ -102,7 +103,8 @@ def common_prefixes(pairs: DataFrame, levels: list[DataFrame]) -> DataFrame:
         wanted = kept(wanted.join(level.select(F.col("d").alias("fd"), "at", F.col("rank").alias("wanted")), ["fd", "at"]).select("fd", "fseq", "n_common", "wanted", "n"))
         both = hot_join(now.withColumn("at", F.col("seq") + F.col("n_common")), wanted, ["fd", "fseq", "n_common"]).join(level, ["d", "at"]).where("rank = wanted")
         grown = both.select("kind", "d", "seq", F.lit(1 << j).alias("more"))
-        now = kept(now.join(grown, ["kind", "d", "seq"], "left").withColumn("n_common", F.col("n_common") + F.coalesce("more", F.lit(0))).drop("more"))
+        before, now = now, kept(now.join(grown, ["kind", "d", "seq"], "left").withColumn("n_common", F.col("n_common") + F.coalesce("more", F.lit(0))).drop("more"))
+        forget(before, wanted)
     return now
 
 
@@ -133,7 +135,9 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, long_words: int | None =
         later = single if later is None else later.union(single)
     if later is None:
         return docs.sparkSession.createDataFrame([], "d struct<doc_id:bigint,h:bigint>, pos int, until int, n_common int")
-    return common_prefixes(later, levels).select("d", "pos", "until", "n_common")
+    out = common_prefixes(later, levels)
+    forget(*levels)
+    return out.select("d", "pos", "until", "n_common")
 
 
 def deleted_lines(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
