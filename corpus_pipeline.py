@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, line_dedup, ngram_jaccard, packing, toxicity
-from tidemark.llm._store import kept
+from tidemark.llm._store import forget, kept
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +54,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over `documents`, each written as Parquet in the shared folder and read again."""
     docs = spark.read.parquet(os.path.join(sf_dir, "documents.parquet"))
     for _, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir))
+        before, docs = docs, kept(stage(spark, docs, sf_dir))
+        forget(before)
     return kept(STAGES[-1][1](spark, docs, sf_dir))
