@@ -108,6 +108,7 @@ def test_copied_pages_keep_their_text_and_templates_go_on_large_hosts(spark, pag
         ('<body><main><h1>Head</h1><article><p>kept</p></article><p>tail</p></main></body>', "Head\nkept\ntail"),
         ('<article><p class="a" "b>one<p title="x > y">two<p title=\'>\' >three</article>', "one\ntwo\nthree"),
         ('<article><div class="relatedPosts">no</div><div class="x ad-slot-3">no</div><div id="comment_12">no</div><div class="post-header"><h1>yes</h1></div></article>', "yes"),
+        ('<main><article><p>yes</p></article><div id="disqus_thread">no</div><div class="comments-area">no</div><section class="cookie-notice-bar sticky">no</section><div class="lead-in">also</div></main>', "yes\nalso"),
         ('<body><div class="site-header">no</div><p>yes &lt;&amp; &#233;</p><aside>no</aside><div role="dialog">no</div></body>', "yes <& \u00e9"),
     ],
 )

@@ -57,11 +57,14 @@ _SCOPE = frozenset("ul ol dl table div section article main body html td th".spl
 #: Words that name boilerplate where a class or id holds nothing else than them, numbers and words of place.
 _NAMES = frozenset(
     "ad ads advert adverts advertisement adsense banner promo promotion sponsor sponsored cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login sidebar rail "
-    "menu nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar header masthead topbar footer copyright comment comments commentlist disqus respond replies share sharing social related recommended widget skip search".split()
+    "menu nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar header masthead topbar footer copyright comment comments commentlist disqus respond replies share sharing social related recommended widget skip search "
+    "adsbygoogle adbox adslot adunit taboola outbrain addthis sharethis addtoany sidenav sidemenu topnav subnav navmenu megamenu siteheader sitefooter cookiebar cookiebanner skiplink commentform disclaimer".split()
 )
 _PLACES = frozenset(
     "site page main global top bottom left right upper lower primary secondary inner outer wrapper wrap container content box block area section list item items link links bar panel row col column slot unit zone group holder "
-    "post posts article articles story stories news reader user form button buttons btn icon icons text title message to us".split()
+    "post posts article articles story stories news reader readers user form button buttons btn icon icons text title message to us by with and the of for on in "
+    "thread count meta author avatar body head logo sub mini sticky fixed floating mobile desktop large small wide full half new latest popular more recent tag tags category policy privacy accept close toggle dropdown open "
+    "facebook twitter linkedin email google native display inline leaderboard rectangle skyscraper placeholder widget menu js".split()
 )
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
