@@ -14,7 +14,7 @@ from tidemark.sources import tables
 WIDTH, HEIGHT = 1920, 1080
 
 _RECORDS = """
-    be AS (SELECT user_id AS source_id, event_id AS e, event_type, value, (epoch_us(ts) - 1704067200000000) // 1200000000 AS frame FROM events),
+    be AS (SELECT user_id AS source_id, event_id AS e, event_type, value, (epoch_us(ts) - 1704067200000000) // 4800000000 AS frame FROM events),
     bs AS (SELECT *, frame // 240 AS shot_id, CAST(floor(value * 16) AS BIGINT) % 1700 AS x, e % 700 AS y FROM be QUALIFY row_number() OVER (PARTITION BY source_id, frame ORDER BY e) = 1),
     ba AS (SELECT source_id, shot_id, frame, {'f': frame, 'cx': (2 * x + 60 + e % 91) * 500, 'cy': (2 * y + 100 + e % 281) * 500, 'h': (100 + e % 281) * 1000, 'c': (e % 100) / 100.0::DOUBLE, 'd': ['yolo', 'hog', 'haar'][e % 3 + 1]} AS an FROM bs WHERE event_type <> 'error'),
     bt AS (SELECT source_id, max(frame) + 1 AS total FROM bs GROUP BY source_id),

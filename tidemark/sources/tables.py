@@ -44,7 +44,7 @@ def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detections on a coarse frame grid, many sources: source_id, frame, shot_id, x0, y0, x1, y1 (null: nothing found), confidence, detector. One row per frame."""
-    own = table(spark, sf_dir, "events").withColumn("frame", F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - 1704067200000000) / 1_200_000_000).cast("long"))
+    own = table(spark, sf_dir, "events").withColumn("frame", F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - 1704067200000000) / 4_800_000_000).cast("long"))
     first = F.row_number().over(W.partitionBy("user_id", "frame").orderBy("event_id"))
     own = own.withColumn("k", first).where("k = 1")
     e, found = F.col("event_id"), F.col("event_type") != "error"
