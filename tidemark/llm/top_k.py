@@ -140,6 +140,18 @@ def _search(left: pa.Table, right: pa.Table, basis: np.ndarray, k: int) -> pa.Ta
     return pa.table({"query_row": np.repeat(own, n), "query_id": np.repeat(asked, n), "vec_id": flat(0), "score": flat(1)})
 
 
+def _runs(ordered: DataFrame, name: str, stat, rows: int) -> tuple[DataFrame, dict[int, list]]:
+    """A range-partitioned table, kept, with `name`: the number of the run of neighbouring partitions, of about `rows` rows, that a row is in; and the stats of each run's partitions."""
+    held = kept(ordered.withColumn("part", F.spark_partition_id()))
+    ids, stats, before = [], {}, 0
+    for part, n, value in sorted(held.groupBy("part").agg(F.count("*").alias("n"), stat.alias("stat")).collect()):  # one row a partition
+        ids.append((part, before // rows))
+        stats.setdefault(before // rows, []).append(value)
+        before += n
+    named = held.sparkSession.createDataFrame(ids, f"part int, {name} int")
+    return held.join(F.broadcast(named), "part").drop("part"), stats
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_block: int = QUERY_BLOCK, range_rows: int = RANGE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) of vectors (vec_id, embedding); `is_query` is a condition on vec_id."""
     spark = vectors.sparkSession
@@ -156,15 +168,13 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_bloc
     seeds = spark.sparkContext.broadcast((longest.column("row").to_numpy(), _matrix(longest.column("q"), size)))
 
     number = max(1, -(-count // range_rows))
-    ranges = kept(rows.repartitionByRange(number, F.desc("norm2"), "row").select(F.spark_partition_id().alias("r"), "row", "vec_id", "q", "norm2"))
+    ranges, lengths = _runs(rows.repartitionByRange(number, F.desc("norm2"), "row"), "r", F.max("norm2"), range_rows)
     floors = asked.select("vec_id", "row", "q").mapInArrow(lambda it: _floors(it, seeds, k, size), "vec_id long, row long, q array<double>, floor double, ratio double")
     number = max(1, -(-n_queries // query_block))
-    blocks = kept(floors.repartitionByRange(number, F.desc("ratio"), "row").select(F.spark_partition_id().alias("b"), "row", "vec_id", "q", "floor", "ratio"))
+    blocks, ratios = _runs(floors.repartitionByRange(number, F.desc("ratio"), "row"), "b", F.min("ratio"), query_block)
     # which ranges a block needs: one number a range and one a block
-    lengths = sorted(((r["norm2"] ** 0.5, r["r"]) for r in ranges.groupBy("r").agg(F.max("norm2").alias("norm2")).collect()), reverse=True)
-    least = blocks.groupBy("b").agg(F.min("ratio").alias("ratio")).collect()
-    pairs = [(b, [r for n, r in lengths if n * (1 + SLACK) + SLACK >= ratio or ratio == -np.inf]) for b, ratio in least]
-    cells = kept(spark.createDataFrame(pairs, "b int, rs array<int>").select("b", F.explode("rs").alias("r")))
+    needs = lambda ratio: [r for r, norm2 in lengths.items() if max(norm2) ** 0.5 * (1 + SLACK) + SLACK >= ratio or ratio == -np.inf]
+    cells = kept(spark.createDataFrame([(b, needs(min(x))) for b, x in ratios.items()], "b int, rs array<int>").select("b", F.explode("rs").alias("r")))
     left = ranges.join(cells, "r").select("b", "r", "row", "vec_id", "q").groupBy("b", "r")
     right = blocks.join(cells, "b").select("b", "r", "row", "vec_id", "q", "floor").groupBy("b", "r")
     found = left.cogroup(right).applyInArrow(lambda x, y: _search(x, y, basis, k), "query_row long, query_id long, vec_id long, score long")
