@@ -36,8 +36,8 @@ WINDOW = 8
 PIECE_WORDS = 20
 #: Passages of so many words always hold a run. Runs of pieces are made only where that many words may hold none of whole sentences.
 PASSAGE = 50
-#: Documents and places up to this number are broadcast (about 64 MB); beyond it Spark joins by shuffle.
-SMALL_VALUES = 8_000_000
+#: Documents and places up to this number are broadcast (about 8 MB); beyond it Spark joins by shuffle.
+SMALL_VALUES = 1_000_000
 
 _STOP = np.zeros(256, dtype=bool)
 _STOP[list(b".!?")] = True
