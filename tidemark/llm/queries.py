@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, line_dedup, ngram_jaccard, packing, quality, substring_dedup, token_counts, top_k, toxicity
+from tidemark.llm import decontaminate, divergence, html_text, line_dedup, merkle, ngram_jaccard, packing, quality, substring_dedup, token_counts, top_k, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,9 +72,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, subroot, proof and the root folded from it, or from its tampered text."""
+    tampered = F.when(_crc_is(5, 0), merkle.lower_cased(F.col("text")))
+    return merkle.manifest(_table(spark, sf_dir, "documents"), tampered)
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_html_extraction, op3_quality_classifier, op4_exact_top_k, op5_benchmark_decontamination, op6_ngram_jaccard_join, op7_token_counts, op8_line_dedup, op9_best_fit_packing, op10_toxicity)
+    for f in (op1_substring_dedup, op2_html_extraction, op3_quality_classifier, op4_exact_top_k, op5_benchmark_decontamination, op6_ngram_jaccard_join, op7_token_counts, op8_line_dedup, op9_best_fit_packing, op10_toxicity, op12_merkle_manifest, op13_source_divergence)
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
@@ -83,6 +93,25 @@ _SHINGLES = """
     FROM (SELECT {id}, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM (SELECT {id}, {words} AS w FROM {table}) WHERE len(w) > 0)
 """
 
+#: zlib's crc32 of a text of ASCII characters, as an unsigned number.
+_CRC32 = "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1), lambda i: ascii({0}[i])::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, i: xor(v // 2, v % 2 * 3988292384))))"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, start: str) -> str:
+    """Nodes (lv, k, n, d, more) of the trees over `start`, and their siblings on the left and right."""
+    return f"""
+            {name}(lv, k, n, d, more) AS ({start}
+                UNION ALL SELECT lv + 1, k, n // 16, sha256(string_agg(d, '' ORDER BY n)), count(*) OVER (PARTITION BY k) > 1 FROM {name} WHERE more GROUP BY lv, k, n // 16),
+            {name}_side AS MATERIALIZED (
+                SELECT a.lv, a.k, a.n, coalesce(string_agg(b.d, '' ORDER BY b.n) FILTER (b.n < a.n), '') AS l, coalesce(string_agg(b.d, '' ORDER BY b.n) FILTER (b.n > a.n), '') AS r
+                FROM {name} a JOIN {name} b ON a.lv = b.lv AND a.k IS NOT DISTINCT FROM b.k AND a.n // 16 = b.n // 16 WHERE a.more GROUP BY a.lv, a.k, a.n)"""
+
+
 SQL: dict[str, str] = {
     "op4_exact_top_k": """
         WITH v AS (
@@ -134,4 +163,33 @@ SQL: dict[str, str] = {
                     ELSE array_to_string(list_transform(list_filter(range(0, len(p)), lambda i: NOT list_contains(gone.xs, i)), lambda i: p[i + 1]), chr(10)) END AS text
         FROM raw LEFT JOIN gone USING (doc_id) LEFT JOIN most USING (doc_id)
     """,
+    "op12_merkle_manifest": f"""
+        WITH RECURSIVE f AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS n FROM (
+                SELECT doc_id, source, {_leaf('text')} AS leaf, CASE WHEN {_CRC32.format("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {_leaf(_LOWER)} END AS other FROM documents)),
+            {_tree("t", "SELECT 0, source, n, leaf, count(*) OVER (PARTITION BY source) > 1 FROM f")},
+            s AS MATERIALIZED (SELECT k AS source, d, row_number() OVER (ORDER BY k NULLS FIRST) - 1 AS n FROM t WHERE NOT more),
+            {_tree("u", "SELECT 0, 0, n, d, count(*) OVER () > 1 FROM s")},
+            x AS (SELECT f.*, s.d AS subroot, s.n AS top FROM f JOIN s ON s.source IS NOT DISTINCT FROM f.source),
+            y AS (SELECT x.source, x.n, 0 AS g, lv, l, r FROM x JOIN t_side q ON q.k IS NOT DISTINCT FROM x.source AND q.n = x.n // CAST(16 ** lv AS BIGINT)
+                  UNION ALL SELECT x.source, x.n, 1, lv, l, r FROM x JOIN u_side q ON q.n = x.top // CAST(16 ** lv AS BIGINT)),
+            z AS (SELECT source, n, string_agg(l || r, '' ORDER BY g, lv) AS proof, list({{'l': l, 'r': r}} ORDER BY g, lv) AS path FROM y GROUP BY source, n),
+            v AS (SELECT x.*, (SELECT d FROM u WHERE NOT more) AS root, coalesce(proof, '') AS proof, list_reduce(list_prepend({{'l': coalesce(other, leaf), 'r': ''}}, coalesce(path, [])), lambda a, b: {{'l': sha256(b.l || a.l || b.r), 'r': ''}}).l AS folded
+                  FROM x LEFT JOIN z ON z.source IS NOT DISTINCT FROM x.source AND z.n = x.n)
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified FROM v
+    """,
+    "op13_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+             t AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+             k AS MATERIALIZED (SELECT lang, term, count(*) AS total FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+             c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+             v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM k GROUP BY lang),
+             g AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+             p AS MATERIALIZED (SELECT lang, source, term, coalesce(c.n, 0) AS n, 1 + 1000000000 * (coalesce(c.n, 0) + 2) // CAST(g.n + 2 * v AS BIGINT) AS p FROM g JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+             q AS (SELECT lang, term, 1 + 1000000000 * (total + 2) // CAST(v.n + 2 * v AS BIGINT) AS q FROM k JOIN v USING (lang)),
+             pairs AS (SELECT lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+             every AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+             marks AS (SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+        SELECT lang, source, 'pair' AS part, item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM every
+        UNION ALL SELECT lang, source, 'term', item, value, CAST(row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS INTEGER) AS rank FROM marks QUALIFY rank <= 10
+    """,
 }
