@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, divergence, html_text, line_dedup, merkle, ngram_jaccard, packing, quality, substring_dedup, token_counts, top_k, toxicity
+from tidemark.llm import decontaminate, divergence, html_text, line_dedup, merkle, ngram_jaccard, packing, pii, quality, substring_dedup, token_counts, top_k, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: the patterns' counts by kind and the hash of their spans, and all spans, those that the field adds among them."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = pii.fit(pii.labelled_texts(spark), pii.ordinary_texts(docs))
+    return pii.digest_of(pii.private_spans(docs, field, ["doc_id"]))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, subroot, proof and the root folded from it, or from its tampered text."""
     tampered = F.when(_crc_is(5, 0), merkle.lower_cased(F.col("text")))
@@ -84,7 +91,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_html_extraction, op3_quality_classifier, op4_exact_top_k, op5_benchmark_decontamination, op6_ngram_jaccard_join, op7_token_counts, op8_line_dedup, op9_best_fit_packing, op10_toxicity, op12_merkle_manifest, op13_source_divergence)
+    for f in (op1_substring_dedup, op2_html_extraction, op3_quality_classifier, op4_exact_top_k, op5_benchmark_decontamination, op6_ngram_jaccard_join, op7_token_counts, op8_line_dedup, op9_best_fit_packing, op10_toxicity, op11_pii, op12_merkle_manifest, op13_source_divergence)
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
