@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.operators import sequences
-from tidemark.sources import documents, tables
+from tidemark.sources import documents, files, tables
 from tidemark.streaming import words as streams
 
 
@@ -29,13 +29,99 @@ def test_fingerprints_and_what_to_publish(spark, tmp_path):
     (tmp_path / "x").write_bytes(b"one")
     (tmp_path / "y").write_bytes(b"\x00\xff")
     (tmp_path / "z").write_bytes(b"")
-    got = {r["file"].rpartition("/")[2]: (r["sha256"], r["size_bytes"]) for r in documents.fingerprint(spark, str(tmp_path)).collect()}
-    assert got == {"x": (hashlib.sha256(b"one").hexdigest(), 3), "y": (hashlib.sha256(b"\x00\xff").hexdigest(), 2)}
+    (tmp_path / "deep" / "er").mkdir(parents=True)
+    (tmp_path / "deep" / "er" / "w ü%20").write_bytes(b"12345")
+    (tmp_path / "deep" / "_hidden").write_bytes(b"no")
+    got = {r["file"].rpartition("/")[2]: (r["sha256"], r["size_bytes"], r["error"]) for r in files.fingerprint(spark, str(tmp_path), chunk=2).collect()}
+    assert got == {n: (hashlib.sha256(b).hexdigest(), len(b), None) for n, b in {"x": b"one", "y": b"\x00\xff", "z": b"", "w ü%20": b"12345"}.items()}
+    assert [r["size_bytes"] for r in files.fingerprint(spark, str(tmp_path / "x")).collect()] == [3]
+    with pytest.raises(FileNotFoundError):
+        files.fingerprint(spark, str(tmp_path / "none"))
     wanted = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3")], "name string, sha256 string")
     there = spark.createDataFrame([("a", "1"), ("b", "9")], "name string, sha256 string")
     assert sorted(r["name"] for r in documents.to_publish(wanted, there).collect()) == ["b", "c"]
 
 
+def test_fingerprint_of_a_file_larger_than_an_array(spark, tmp_path):
+    """3 GiB, most of them a hole: its hash, and no worker that held much of it."""
+    with open(tmp_path / "large", "wb") as f:
+        f.write(b"head")
+        f.truncate(3 << 30)
+    digest, zeros = hashlib.sha256(b"head"), bytes(1 << 24)
+    for _ in range(191):
+        digest.update(zeros)
+    digest.update(zeros[4:])
+    row = files.fingerprint(spark, str(tmp_path)).first()
+    assert (row["sha256"], row["size_bytes"]) == (digest.hexdigest(), 3 << 30)
+
+    def peak(batches):
+        import resource
+
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_arrays([pa.array([resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024])], names=["mb"])
+
+    assert max(r["mb"] for r in spark.range(64).repartition(8).mapInArrow(peak, "mb long").collect()) < 1500
+
+
+def test_unreadable_documents_are_rows(spark, tmp_path):
+    word, frame = {"word": "a", "start": 0, "end": 1.5, "more": [1]}, {"frame": 0, "crop": {"x": 0, "y": 0, "width": 9, "height": 16}}
+    contract = {"id": "c", "timeline": {"width": 9, "materialized": {"width": 4}}}
+    texts = {
+        "transcript": {"good": [word, {"word": "b"}], "none": [], "object": {"word": "a"}, "type": [word | {"end": "x"}]},
+        "candidates": {"list": [{"id": "a"}], "envelope": {"candidates": [{"id": "a"}, {"id": "b"}]}, "type": [{"startFrame": 1.5}], "other": {"x": 1}},
+        "contract": {"good": contract, "lacking": {"id": "c"}},
+        "manifest": {"good": {"source": {"path": "a"}, "output": {"width": 9, "height": 16}, "frames": [frame]}, "lacking": {"source": {}, "output": {"width": 9}}},
+    }
+    raw = {"empty": b"", "cut": b'[{"word": "a"', "more": b'[] , "x": 1', "bytes": b"\xff[]", "large": b"[" + b" " * 3000 + b"]"}
+    want = {
+        "transcript": {"good": None, "none": None, "object": "not a transcript: a field has another type", "type": "not a transcript: a field has another type"},
+        "candidates": {"list": None, "envelope": None, "type": "not a candidates: a field has another type", "other": "not a candidates: a field has another type"},
+        "contract": {"good": None, "lacking": "no field timeline"}, "manifest": {"good": None, "lacking": "no field output.height"},
+    }
+    for kind, documents_ in texts.items():
+        (tmp_path / kind).mkdir()
+        for name, value in documents_.items():
+            (tmp_path / kind / f"{name}.json").write_text(json.dumps(value))
+        for name, value in raw.items():
+            (tmp_path / kind / f"{name}.json").write_bytes(value)
+        out = {r["file"].rpartition("/")[2][:-5]: r for r in documents.read_documents(spark, str(tmp_path / kind), kind, most=2000).collect()}
+        errors = {n: r["error"] for n, r in out.items()}
+        assert {n: e for n, e in errors.items() if n not in raw} == want[kind]
+        assert {n: (errors[n] or "")[:8] for n in raw} == {"empty": "empty fi", "cut": "not JSON", "more": "not JSON", "bytes": "not UTF-", "large": "over 200"}
+        assert all((r["document"] is None) == (r["error"] is not None) for r in out.values())
+    read = documents.read_documents(spark, str(tmp_path / "transcript"), "transcript")
+    assert sorted((r["source_id"].rpartition("/")[2], r["idx"], r["word"], r["start_ms"], r["end_ms"]) for r in documents.words_of(read).collect()) == [("good.json", 0, "a", 0, 1500), ("good.json", 1, "b", None, None)]
+    assert documents.set_aside(read).count() == 6
+
+
+def test_imports_write_back_what_they_judged(spark, tmp_path):
+    def manifest(total, x=0.0):
+        return {"source": {"path": "a"}, "zz": {"b": 1, "a": 2}, "status": "ready", "video": {"width": 32, "height": 18, "totalFrames": total}, "output": {"width": 9, "height": 16}, "frames": [{"frame": k, "crop": {"x": x, "y": 0, "width": 9, "height": 16}} for k in range(3)]}
+
+    for name, value in {"good": manifest(3), "short": manifest(4), "out": manifest(3, 30.0), "bad": {}}.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(value))
+    read = documents.read_documents(spark, str(tmp_path), "manifest").cache()
+    out = documents.imported_documents(read, "now")
+    assert files.write_texts(out) == 3
+    got = {n: json.loads((tmp_path / f"{n}.json").read_text()) for n in ("good", "short", "out", "bad")}
+    assert got["good"] == manifest(3) | {"validation": {"passed": True, "errors": [], "checkedAt": "now"}, "tier": "external", "status": "review-pending", "updatedAt": "now"}
+    assert got["short"]["status"] == "failed" and got["short"]["validation"]["errors"] == ["expected 4 records, found 3"] and got["out"]["validation"]["errors"] == ["frame 0: crop exceeds source bounds"] and got["bad"] == {}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["bad.json", "good.json", "out.json", "short.json"]
+    probed = spark.createDataFrame([(r["file"], 32, 18, 4) for r in read.collect()], "source_id string, w int, h int, total long")
+    assert {r["file"].rpartition("/")[2]: r["passed"] for r in documents.imported_documents(read, "now", probed).collect()} == {"good.json": False, "short.json": False, "out.json": False}
+    read.unpersist()
+
+
+def test_canonical_json_does_not_depend_on_the_order_of_fields(spark):
+    a = spark.sql("select named_struct('y', 1, 'x', array(named_struct('b', cast(null as int), 'a', map('k', named_struct('q', 1, 'p', 2), 'c', null)))) as n, 'é' as b, map('z', 1, 'a', 2) as m")
+    b = spark.sql("select map('a', 2, 'z', 1) as m, 'é' as b, named_struct('x', array(named_struct('a', map('c', null, 'k', named_struct('p', 2, 'q', 1)), 'b', cast(null as int))), 'y', 1) as n")
+    text = '{"b":"é","m":{"a":2,"z":1},"n":{"x":[{"a":{"c":null,"k":{"p":2,"q":1}},"b":null}],"y":1}}'
+    assert [df.select(documents.canonical_json(df)).first()[0] for df in (a, b)] == [text, text] and json.dumps(json.loads(text), sort_keys=True, separators=(",", ":"), ensure_ascii=False) == text
+
+
 def test_sinks_refuse_to_overwrite(spark, tmp_path):
     df = spark.createDataFrame([(2, "x", None)], "b int, a string, c string")
     documents.write_json(df, f"{tmp_path}/json")

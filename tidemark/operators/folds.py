@@ -31,3 +31,31 @@ def fold(df: DataFrame, keys: list[str], order: list[str], inputs: list[str], ou
 
     given = df.repartition(*keys).sortWithinPartitions(*keys, *order)
     return given.mapInArrow(kernel, StructType([*df.schema.fields, StructField(out, kind)]))
+
+
+def reduced(df: DataFrame, keys: list[str], order: list[str], inputs: list[str], out: str, kind: DataType, start: Callable, step: Callable) -> DataFrame:
+    """(*keys, out): the state that `step(state, *inputs) -> state` ends with over each key's rows in order, from `start()`."""
+    n = len(keys)
+    schema = StructType([*(df.schema[c] for c in keys), StructField(out, kind)])
+    kinds = [to_arrow_type(f.dataType) for f in schema]
+
+    def kernel(batches):
+        now, state, done = None, None, []
+        for batch in batches:
+            names = batch.schema.names
+            for row in zip(*(batch.column(names.index(c)).to_pylist() for c in (*keys, *inputs))):
+                if row[:n] != now:
+                    if now is not None:
+                        done.append((*now, state))
+                    now, state = row[:n], start()
+                state = step(state, *row[n:])
+            if len(done) > 1000:
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*done), kinds)], names=schema.names)
+                done = []
+        if now is not None:
+            done.append((*now, state))
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*done), kinds)], names=schema.names)
+
+    given = df.select(*dict.fromkeys([*keys, *order, *inputs])).repartition(*keys).sortWithinPartitions(*keys, *order)
+    return given.mapInArrow(kernel, schema)

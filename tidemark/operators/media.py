@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalar import first_nonzero
+
 #: Limits in dB, LUFS and dBTP.
 SILENCE_DB, LOUDNESS_LEAST, LOUDNESS_MOST, PEAK_MOST, EDGE_DB = -60, -16, -8, -0.1, 8
 
@@ -30,6 +32,17 @@ def _passes(condition: Column, otherwise: str) -> Column:
     return F.when(condition, "pass").otherwise(otherwise)
 
 
+def expected_spec(asked: Column, timeline: Column, stage: Column) -> Column:
+    """A struct (width, height, fps, frames) of what is expected of a medium: what is `asked` for, else what its contract's `timeline` says; 0 and null ask for nothing.
+
+    At the stage `source` a timeline's `materialized` part, where there is one, stands for the timeline; only the number of
+    frames falls back to the timeline's end.
+    """
+    own = F.when((stage == "source") & timeline["materialized"].isNotNull(), timeline["materialized"]).otherwise(F.struct(*(timeline[c].alias(c) for c in ("width", "height", "fps", "totalFrames"))))
+    same = lambda c: first_nonzero(asked[c], own[c]).alias(c)
+    return F.struct(same("width"), same("height"), same("fps"), first_nonzero(asked["frames"], own["totalFrames"], timeline["endFrameExclusive"]).alias("frames"))
+
+
 def spec_findings(media: DataFrame, key: str) -> DataFrame:
     """(key, check, status, detail) of media (streams, width, height, rate, frames, duration; want_width, want_height, want_fps, want_frames, null or 0: no expectation).
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-
 from pyspark.sql.types import StringType
 
 from tidemark.functions.scalar import WEIGHTS, composite, range_errors, stable_id, supplied_or
 from tidemark.operators.folds import fold
+from tidemark.operators.intervals import Kept
 
 
 def islands(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
@@ -22,18 +22,17 @@ def islands(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
 def suppress(ranked: DataFrame, percent: int = 50) -> DataFrame:
     """Greedy suppression in rank order per source: `suppressor` is the first kept row that overlaps by percent of the shorter range; null for kept rows.
 
-    Only ranges of one island can overlap, so an island's rows, in rank order, are one fold; its state is the kept ranges.
+    Only ranges of one island can overlap, so an island's rows, in rank order, are one fold; its state is an index of the kept ranges.
     """
 
-    def step(kept: list, id_: str, start: int, end: int):
-        for other, a, b in kept:
-            if 100 * max(0, min(b, end) - max(a, start)) >= percent * min(b - a, end - start):
-                return kept, other
-        kept.append((id_, start, end))
-        return kept, None
+    def step(kept: Kept, id_: str, start: int, end: int):
+        suppressor = kept.first(start, end)
+        if suppressor is None:
+            kept.add(id_, start, end)
+        return kept, suppressor
 
     own = islands(ranked, "source_id", "start_frame", "end_frame").select("source_id", "island", "position", "id", "start_frame", "end_frame")
-    return fold(own, ["source_id", "island"], ["position"], ["id", "start_frame", "end_frame"], "suppressor", StringType(), list, step)
+    return fold(own, ["source_id", "island"], ["position"], ["id", "start_frame", "end_frame"], "suppressor", StringType(), lambda: Kept(percent), step)
 
 
 def rank(candidates: DataFrame, count: int = 5, minimum: float = 20, maximum: float = 60, percent: int = 50, diverse: bool = True, weights: dict[str, str] = WEIGHTS) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.operators.folds import fold
 
-CAP = 20
 #: The stages of a run, in order.
 STAGES = ("discovered", "analyzed", "ranked", "selected", "materialized", "directed", "handoffs-ready", "built", "rendered", "qc-passed", "delivered")
 #: What an action makes of a state; None: of any state.
@@ -25,7 +26,7 @@ TRANSITIONS = {
 def run_errors(manifest: DataFrame, contracts: DataFrame, files: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """(run_id, ready, n_clips, errors) of manifests (run_id, clip, contract_id), contracts (contract_id, file_id, sha) and files (file_id, sha).
 
-    `runs` (run_id, sha_planned, sha_now, ranked) adds what is wrong with a run itself; then come its clips' errors in order, `CAP` in all.
+    `runs` (run_id, sha_planned, sha_now, ranked) adds what is wrong with a run itself; then come its clips' errors in order, all of them.
     """
     held = manifest.join(contracts.withColumn("known", F.lit(True)), "contract_id", "left").join(files.withColumnRenamed("sha", "now"), "file_id", "left")
     error = (
@@ -43,7 +44,7 @@ def run_errors(manifest: DataFrame, contracts: DataFrame, files: DataFrame, runs
             F.when(~F.coalesce("ranked", F.lit(False)), "ranked-shorts.json is missing"),
         ))
         errors = F.concat(whole, F.coalesce(errors, F.array().cast("array<string>")))
-    return out.select("run_id", (F.size(errors) == 0).alias("ready"), F.coalesce("n_clips", F.lit(0)).alias("n_clips"), F.array_join(F.slice(errors, 1, CAP), "; ").alias("errors"))
+    return out.select("run_id", (F.size(errors) == 0).alias("ready"), F.coalesce("n_clips", F.lit(0)).alias("n_clips"), F.array_join(errors, "; ").alias("errors"))
 
 
 def approvals(manifests: DataFrame) -> DataFrame:
@@ -95,3 +96,18 @@ def imported(validated: DataFrame) -> DataFrame:
 def accepted(ranges: DataFrame, reviewer: str, note: str, accept: Column) -> DataFrame:
     """Ranges with who accepted them and why where `accept` holds; the others stay unresolved."""
     return ranges.select("*", F.when(accept, "accepted").otherwise("unresolved").alias("state"), F.when(accept, F.lit(reviewer)).alias("accepted_by"), F.when(accept, F.lit(note)).alias("note"))
+
+
+def track_counts(shots: DataFrame, sampled: DataFrame, frames: DataFrame, weak: DataFrame) -> DataFrame:
+    """(source_id, n_shots, n_sampled, n_frames, n_unresolved) of every source with shots: what the report of a reframing counts."""
+    each = lambda df, kind: df.groupBy("source_id").agg(F.count("*").alias("n")).select("source_id", F.lit(kind).alias("kind"), "n")
+    kinds = {"n_shots": shots, "n_sampled": sampled, "n_frames": frames, "n_unresolved": weak}
+    whole = reduce(DataFrame.unionByName, (each(df, kind) for kind, df in kinds.items()))
+    count = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(kind)
+    return whole.groupBy("source_id").agg(*map(count, kinds)).where("n_shots > 0")
+
+
+def selection_counts(ranked: DataFrame, count: int) -> DataFrame:
+    """(source_id, n_selected, n_requested, n_rejected) of ranked candidates."""
+    of = lambda status: F.count_if(F.col("status") == status)
+    return ranked.groupBy("source_id").agg(of("selected").alias("n_selected"), F.lit(count).cast("long").alias("n_requested"), of("rejected").alias("n_rejected"))

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from tidemark.operators import carry
 from tidemark.operators.folds import fold
 
 
@@ -16,11 +17,10 @@ def _order():
     return W.partitionBy("source_id").orderBy("idx")
 
 
-def word_errors(words: DataFrame, total_ms: Column | None = None) -> DataFrame:
-    """(source_id, idx, error): words without text, and times that are missing, not ordered inside a word or against the last word with times, or beyond the source's end by over 250 ms."""
+def _word_errors(words: DataFrame, total_ms: Column | None) -> DataFrame:
     timed = F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()
-    previous = lambda c: F.last(F.when(timed, F.col(c)), True).over(_order().rowsBetween(W.unboundedPreceding, -1))
-    own = words.withColumn("ps", previous("start_ms")).withColumn("pe", previous("end_ms"))
+    own = carry.neighbours(words.withColumn("__timed", F.when(timed, F.struct("start_ms", "end_ms"))), ["source_id"], ["idx"], "__timed")
+    own = own.withColumn("ps", F.col("prev.start_ms")).withColumn("pe", F.col("prev.end_ms"))
     errors = F.array_compact(F.array(
         F.when(F.regexp_replace(F.coalesce("word", F.lit("")), r"\s+", "") == "", "blank word"),
         F.when(~timed, "times must be finite"),
@@ -28,20 +28,40 @@ def word_errors(words: DataFrame, total_ms: Column | None = None) -> DataFrame:
         F.when(timed & ((F.col("start_ms") < F.col("ps")) | (F.col("end_ms") < F.col("pe"))), "not monotonic"),
         F.when(timed & (F.col("end_ms") > total_ms + 250), "beyond the source") if total_ms is not None else F.lit(None).cast("string"),
     ))
-    return own.select("source_id", "idx", F.explode(errors).alias("error"))
+    return own.select("source_id", "idx", F.posexplode(errors).alias("check", "error"))
+
+
+def word_errors(words: DataFrame, total_ms: Column | None = None) -> DataFrame:
+    """(source_id, idx, error): words without text, and times that are missing, not ordered inside a word or against the last word with times, or beyond the source's end by over 250 ms."""
+    return _word_errors(words, total_ms).drop("check")
+
+
+#: Errors of a transcript that its report shows.
+SHOWN = 20
+
+
+def transcript_errors(words: DataFrame, total_ms: Column | None = None, shown: int = SHOWN) -> DataFrame:
+    """(source_id, n_errors, errors): how many errors a source's words have, and the first ones in order, joined; sources without any are left out."""
+    found = _word_errors(words, total_ms)
+    counts = found.groupBy("source_id").agg(F.count("*").alias("n_errors"))
+    first = found.withColumn("place", F.row_number().over(W.partitionBy("source_id").orderBy("idx", "check"))).where(F.col("place") <= shown)
+    text = F.format_string("word %d: %s", "idx", "error")
+    lists = first.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("place", text.alias("text")))).alias("list"))
+    joined = counts.withColumnRenamed("source_id", "s").join(lists, F.col("s").eqNullSafe(F.col("source_id")))
+    return joined.select("source_id", "n_errors", F.array_join(F.transform("list", lambda x: x["text"]), "; ").alias("errors"))
 
 
 def repair(words: DataFrame, least_ms: int = 10) -> DataFrame:
     """Times made monotonic: a start is at least the end before, an end at least `least_ms` behind its start.
 
-    The running repair has a closed form: less the ordinal's share, ends are a running maximum.
+    The running repair has a closed form: less the ordinal's share, ends are a running maximum. `idx` counts a source's words from 0.
     """
     share = F.lit(least_ms) * (F.col("idx") + 1)
     raw = F.greatest("end_ms", F.col("start_ms") + least_ms) - share
-    end = share + F.greatest(F.lit(0), F.max(raw).over(_order().rowsBetween(W.unboundedPreceding, 0)))
-    own = words.withColumn("end", end)
-    start = F.greatest("start_ms", F.coalesce(F.lag("end").over(_order()), F.lit(0)))
-    return own.select("source_id", "idx", "word", start.cast("long").alias("start_ms"), F.col("end").cast("long").alias("end_ms"))
+    own = carry.running_max(words, ["source_id"], "idx", raw, "__most")
+    end = share + F.greatest(F.lit(0), F.col("__most"))
+    last = F.when(F.col("idx") > 0, share - least_ms + F.greatest(F.lit(0), F.col("__most_before"))).otherwise(0)
+    return own.select("source_id", "idx", "word", F.greatest("start_ms", last).cast("long").alias("start_ms"), end.cast("long").alias("end_ms"))
 
 
 def _segments(words: DataFrame, step) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
+from tidemark.operators import carry
 from tidemark.operators.folds import fold
 
 
@@ -19,8 +20,7 @@ def cuts_from_log(lines: DataFrame, fps: int) -> DataFrame:
     kind = F.when(F.col("line").contains("pts_time:"), "time").when(F.col("line").contains("scene_score"), "fire")
     own = lines.withColumn("kind", kind).where("kind is not null")
     t = F.expr(r"try_cast(nullif(regexp_extract(line, 'pts_time:[ ]*([0-9.]+)', 1), '') as decimal(18,3))")
-    order = W.partitionBy("source_id").orderBy("line_no")
-    own = own.withColumn("t", F.when(F.col("kind") == "time", t)).withColumn("armed", F.lag("t").over(order))
+    own = carry.before(own.withColumn("t", F.when(F.col("kind") == "time", t)), ["source_id"], "line_no", {"armed": F.col("t")})
     frame = F.bround(F.col("armed") * fps, 0).cast("long")
     return own.where("kind = 'fire' and armed is not null").select("source_id", frame.alias("frame")).where("frame > 0").distinct()
 

@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.operators.folds import fold
+from tidemark.operators import carry
+from tidemark.operators.folds import fold, reduced
 
 
 def interpolate(samples: DataFrame) -> DataFrame:
@@ -16,11 +17,8 @@ def interpolate(samples: DataFrame) -> DataFrame:
     Before the first anchor it holds the first, from the last on the last with its own confidence;
     between two it lies on their line with the lesser confidence. cx is in thousandths, rounded down.
     """
-    order = W.partitionBy("source_id", "shot_id").orderBy("frame")
     anchor = F.when(F.col("cx").isNotNull(), F.struct("frame", "cx", "confidence"))
-    own = samples.withColumn("prev", F.last(anchor, True).over(order.rowsBetween(W.unboundedPreceding, -1)))
-    own = own.withColumn("next", F.first(anchor, True).over(order.rowsBetween(0, W.unboundedFollowing)))
-    own = own.withColumn("final", F.last(anchor, True).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)))
+    own = carry.neighbours(samples.withColumn("__at", anchor), ["source_id", "shot_id"], ["frame"], "__at")
     between = F.col("prev.cx") * 1000 + F.expr("(next.cx - prev.cx) * 1000 * (frame - prev.frame) div (next.frame - prev.frame)")
     case = lambda none, first, last, mid: F.when(F.col("final").isNull(), none).when(F.col("prev").isNull(), first).when(F.col("frame") >= F.col("final.frame"), last).otherwise(mid)
     cx = case(F.lit(None).cast("long"), F.col("next.cx") * 1000, F.col("final.cx") * 1000, between)
@@ -40,12 +38,8 @@ def frame_records(shots: DataFrame, samples: DataFrame, width: int, height: int)
     anchor = F.struct(F.col("frame").cast("long"), ((F.col("x0") + F.col("x1")) * 500).cast("long"), ((F.col("y0") + F.col("y1")) * 500).cast("long"), ((F.col("y1") - F.col("y0")) * 1000).cast("long"), F.col("confidence").cast("double"), "detector").cast(kind)
     found = samples.where("x0 is not null").select("source_id", "shot_id", F.col("frame").cast("long").alias("frame"), anchor.alias("anchor"), F.lit(1).alias("kind"))
     frames = shots.where("end_frame > start_frame").select("source_id", "shot_id", F.explode(F.expr("sequence(cast(start_frame as bigint), cast(end_frame as bigint) - 1)")).alias("frame"), F.lit(None).cast(kind).alias("anchor"), F.lit(0).alias("kind"))
-    order = W.partitionBy("source_id", "shot_id").orderBy("frame", "kind")  # a frame comes before the sample that lies on it
-    every = frames.unionByName(found).withColumns({
-        "prev": F.last("anchor", True).over(order.rowsBetween(W.unboundedPreceding, -1)),
-        "next": F.first("anchor", True).over(order.rowsBetween(0, W.unboundedFollowing)),
-        "final": F.last("anchor", True).over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
-    }).where("kind = 0")
+    # a frame comes before the sample that lies on it
+    every = carry.neighbours(frames.unionByName(found), ["source_id", "shot_id"], ["frame", "kind"], "anchor").where("kind = 0")
     case = lambda none, first, last, mid: F.when(F.col("final").isNull(), none).when(F.col("prev").isNull(), first).when(F.col("frame") >= F.col("final.frame"), last).otherwise(mid)
     on_line = lambda c: F.expr(f"prev.{c} + (next.{c} - prev.{c}) * (frame - prev.frame) div (next.frame - prev.frame)")
     value = lambda c, none: case(F.lit(none).cast("long"), F.col(f"next.{c}"), F.col(f"final.{c}"), on_line(c)).alias(c)
@@ -63,14 +57,11 @@ def static_records(totals: DataFrame, cx: int, cy: int) -> DataFrame:
 
 def weak_ranges(records: DataFrame, least: float) -> DataFrame:
     """(source_id, start_frame, end_frame): runs of frames with confidence under `least` or with any of `flags` (where there is such a column); a run may cross shots and ends at the next strong frame."""
-    order = W.partitionBy("source_id").orderBy("frame")
     weak = F.coalesce("confidence", F.lit(0)) < least
     if "flags" in records.columns:
         weak = weak | (F.size(F.coalesce("flags", F.array().cast("array<string>"))) > 0)
-    own = records.withColumn("weak", weak).withColumn("following", F.lead("frame").over(order))
-    change = F.when(F.col("weak") != F.coalesce(F.lag("weak").over(order), ~F.col("weak")), 1).otherwise(0)
-    own = own.withColumn("change", change).withColumn("run", F.sum("change").over(order))
-    return own.where("weak").groupBy("source_id", "run").agg(F.min("frame").alias("start_frame"), F.max(F.coalesce("following", F.col("frame") + 1)).alias("end_frame")).drop("run")
+    own = carry.runs(records.withColumn("__weak", weak), ["source_id"], "frame", "__weak")
+    return own.select("source_id", F.col("start").alias("start_frame"), F.col("end").alias("end_frame"))
 
 
 def smooth(track: DataFrame, window: int = 5, name: str = "cx") -> DataFrame:
@@ -80,17 +71,20 @@ def smooth(track: DataFrame, window: int = 5, name: str = "cx") -> DataFrame:
     """
     part = W.partitionBy("source_id", "shot_id")
     order = part.orderBy("frame")
-    n, i = F.count("*").over(part), F.row_number().over(order)
     whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    asked = F.least(F.lit(max(1, window)), n)
-    odd = asked + F.when(asked % 2 == 0, 1).otherwise(0)
-    width = F.when(odd <= n, odd).otherwise(n - F.when(n % 2 == 0, 1).otherwise(0))
-    own = track.withColumns({"__n": n, "__i": i, "width": F.greatest(F.lit(1), width).cast("long"), "__first": F.first(name).over(whole), "__last": F.last(name).over(whole)})
-    total = F.lit(None).cast("long")
-    for r in range(window // 2 + 1):  # a window's frame is fixed, so there is a sum for each radius that a short shot may have
-        own_sum = F.sum(name).over(order.rowsBetween(-r, r)) + F.greatest(F.lit(0), r + 1 - F.col("__i")) * F.col("__first") + F.greatest(F.lit(0), F.col("__i") + r - F.col("__n")) * F.col("__last")
-        total = F.when(F.col("width") == 2 * r + 1, own_sum).otherwise(total)
-    return own.withColumn("total", total.cast("long")).drop("__n", "__i", "__first", "__last")
+    most = max(1, window) + (max(1, window) % 2 == 0)  # the width in shots that have as many frames
+    n, i, r = F.col("__n"), F.col("__i"), F.floor(F.col("width") / 2)
+    own = track.withColumns({"__n": F.count("*").over(whole), "__first": F.first(name).over(whole), "__last": F.last(name).over(whole)})
+    own = own.withColumns({"__i": F.row_number().over(order), "__sum": F.sum(F.coalesce(name, F.lit(0))).over(order.rowsBetween(W.unboundedPreceding, 0))})
+    own = own.withColumn("width", F.when(n >= most, most).otherwise(F.greatest(F.lit(1), n - F.when(n % 2 == 0, 1).otherwise(0))).cast("long"))
+    # sums up to the window's two ends: as far ahead and behind in every long shot; a short one's are looked up in a list, which the window bounds
+    total = F.last("__sum").over(whole)
+    own = own.withColumns({"__ahead": F.lead("__sum", most // 2).over(order), "__behind": F.lag("__sum", most // 2 + 1).over(order), "__all": total, "__sums": F.collect_list(F.when(n < most, F.col("__sum"))).over(whole)})
+    at = lambda k: F.get("__sums", (k - 1).cast("int"))
+    upto = F.coalesce(F.when(n >= most, F.col("__ahead")).otherwise(at(F.least(i + r, n))), F.col("__all"))
+    before = F.coalesce(F.when(n >= most, F.col("__behind")).otherwise(at(i - r - 1)), F.lit(0))
+    edges = F.greatest(F.lit(0), r + 1 - i) * F.col("__first") + F.greatest(F.lit(0), i + r - n) * F.col("__last")
+    return own.withColumn("total", (upto - before + edges).cast("long")).drop("__n", "__i", "__first", "__last", "__sum", "__ahead", "__behind", "__all", "__sums")
 
 
 def fill(track: DataFrame, default: int) -> DataFrame:
@@ -122,9 +116,28 @@ def _folded(track: DataFrame, name: str, step) -> DataFrame:
     return own.select("source_id", "shot_id", "frame", F.col("__out").alias(name))
 
 
-def dead_zone(track: DataFrame, radius: int, name: str = "cx") -> DataFrame:
-    """The value holds while the input stays within `radius` of it, else follows at that distance."""
-    return _folded(track, name, lambda state, v: (held := _held(state, v, radius), held))
+def dead_zone(track: DataFrame, radius: int, name: str = "cx", span: int | None = None) -> DataFrame:
+    """The value holds while the input stays within `radius` of it, else follows at that distance.
+
+    A row clamps the value before it, and clamps one after the other are a clamp: so chunks of a shot are folded side by
+    side into one clamp each, those are folded along the shot, and every chunk is folded again from the value that it starts with.
+    """
+    keys, clamp = ["source_id", "shot_id"], StructType([StructField(c, LongType()) for c in ("low", "high", "alone")])
+    own = track.select(*keys, "frame", name).withColumn("__chunk", carry.chunk_of("frame", span))
+
+    def compose(state, v):
+        if state is None:
+            return {"low": v - radius, "high": v + radius, "alone": v}  # alone: what it ends with if the shot begins here
+        return {c: _held(x, v, radius) for c, x in state.items()}
+
+    def along(value, low, high, alone):
+        return (alone if value is None else min(max(value, low), high)), value
+
+    chunks = reduced(own, [*keys, "__chunk"], ["frame"], [name], "m", clamp, lambda: None, compose).select(*keys, "__chunk", "m.*")
+    starts = fold(chunks, keys, ["__chunk"], ["low", "high", "alone"], "__enter", LongType(), lambda: None, along).select(*keys, "__chunk", "__enter")
+    step = lambda state, v, enter: (held := _held(enter if state is None else state, v, radius), held)
+    out = fold(carry.joined(own, starts, keys), [*keys, "__chunk"], ["frame"], [name, "__enter"], "__out", LongType(), lambda: None, step)
+    return out.select(*keys, "frame", F.col("__out").alias(name))
 
 
 def limit_motion(track: DataFrame, velocity: int, acceleration: int, name: str = "cx") -> DataFrame:
@@ -135,7 +148,14 @@ def limit_motion(track: DataFrame, velocity: int, acceleration: int, name: str =
 def crop_track(samples: DataFrame, width: int, crop: int, window: int = 5, radius: int = 20_000, velocity: int = 60_000, acceleration: int = 25_000) -> DataFrame:
     """(source_id, shot_id, frame, cx, x): filled, smoothed, held in a dead zone and limited centres, and the crop's left edge inside the source; in thousandths."""
     smoothed = smooth(fill(samples, width // 2), window).select("source_id", "shot_id", "frame", F.expr("total div width").alias("cx"))
-    moved = limit_motion(dead_zone(smoothed, radius), velocity, acceleration)
+
+    def step(state, v):
+        hold, at = state or (None, None)
+        hold = _held(hold, v, radius)
+        at = _followed(at, hold, velocity, acceleration)
+        return (hold, at), at[0]
+
+    moved = _folded(smoothed, "cx", step)  # the dead zone and the limits in one pass
     x = F.least(F.greatest(F.col("cx") - crop * 500, F.lit(0)), F.lit((width - crop) * 1000))
     return moved.withColumn("x", x.cast("long"))
 
@@ -207,9 +227,12 @@ def canvas_transforms(crops: DataFrame, out_width: int, out_height: int) -> Data
     return own.select("source_id", "frame", F.col("sx").alias("scale"), (-(F.col("x") / 1000.0) * F.col("sx")).alias("dx"), (-(F.col("y") / 1000.0) * F.col("sy")).alias("dy"), F.when(F.abs(F.col("sx") - F.col("sy")) > 0.001, "Crop aspect does not match the canvas").alias("error"))
 
 
-def track_errors(crops: DataFrame, videos: DataFrame, out_width: int, out_height: int) -> DataFrame:
-    """(source_id, passed, errors) of crop frames (source_id, frame, x, y, width, height) against videos (source_id, w, h, total): order, count, and the first offending frame."""
-    aspect = out_width / out_height
+def track_errors(crops: DataFrame, videos: DataFrame, out_width: int | None = None, out_height: int | None = None) -> DataFrame:
+    """(source_id, passed, errors) of crop frames (source_id, frame, x, y, width, height) against videos (source_id, w, h, total): order, count, and the first offending frame.
+
+    Without an output's size, each video has its own (out_width, out_height).
+    """
+    aspect = F.col("out_width") / F.col("out_height") if out_width is None else F.lit(out_width / out_height)
     rule = (
         F.when((F.col("width") <= 0) | (F.col("height") <= 0), "non-positive crop")
         .when((F.col("x") < -0.5) | (F.col("y") < -0.5), "crop origin outside source")

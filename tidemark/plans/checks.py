@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import first_nonzero, printed_rate, seconds_to_frame
+from tidemark.functions.scalar import printed_rate, seconds_to_frame
 from tidemark.operators import findings, media, ranking, runs, tracks
 from tidemark.plans.media import _CANDIDATES, _TRACK
 from tidemark.plans.registry import query
@@ -96,7 +96,7 @@ def frame_times(spark, sf_dir):
     g AS (SELECT run_id, count(*) AS n_clips, list(error ORDER BY clip, error) FILTER (error IS NOT NULL) AS es FROM e GROUP BY run_id),
     r AS (SELECT o_orderkey AS run_id, list_concat(CASE WHEN o_custkey % 5 = 0 THEN ['source fingerprint changed'] ELSE [] END, CASE WHEN o_orderkey % 6 = 0 THEN ['ranked-shorts.json is missing'] ELSE [] END, coalesce(es, [])) AS es, coalesce(n_clips, 0) AS n_clips
           FROM orders LEFT JOIN g ON run_id = o_orderkey)
-    SELECT run_id, len(es) = 0 AS ready, n_clips, array_to_string(list_slice(es, 1, 20), '; ') AS errors FROM r""")
+    SELECT run_id, len(es) = 0 AS ready, n_clips, array_to_string(es, '; ') AS errors FROM r""")
 def run_errors(spark, sf_dir):
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     own = tables.table(spark, sf_dir, "orders").select(k.alias("run_id"), F.lit("a").alias("sha_planned"), F.when(c % 5 == 0, "b").otherwise("a").alias("sha_now"), F.when(k % 6 != 0, True).alias("ranked"))
@@ -157,12 +157,18 @@ def clip_documents(spark, sf_dir):
     return documents.contract_documents(own.select("*", F.sha2(F.col("source_id").cast("string").cast("binary"), 256).alias("sha256"), F.col("n").alias("n_frames"), F.lit(1080).alias("width"), F.lit(1920).alias("height")))
 
 
-@query("expected_specs", """SELECT p_partkey AS media_id, CASE WHEN p_partkey % 3 <> 0 THEN 1080 WHEN p_partkey % 5 > 1 THEN 720 WHEN p_size > 10 THEN p_size ELSE NULL END AS want_width FROM part""")
+@query("expected_specs", """WITH c AS (SELECT p_partkey AS media_id, p_partkey AS k, p_size AS z, p_partkey % 2 = 0 AND p_partkey % 7 > 0 AS cut, p_partkey % 2 = 0 AS source FROM part),
+    e AS (SELECT media_id, CASE WHEN k % 3 <> 0 THEN 1080 ELSE 0 END AS w, CASE WHEN k % 5 = 0 THEN 1350 END AS h, CASE WHEN k % 4 = 0 THEN 25.0 WHEN k % 4 = 1 THEN 0.0 END::DOUBLE AS f, CASE WHEN k % 9 = 0 THEN k ELSE 0 END AS n,
+          CASE WHEN cut THEN CASE WHEN k % 5 > 1 THEN 720 ELSE 0 END WHEN z > 10 THEN z END AS cw, CASE WHEN cut THEN 1280 ELSE 1920 END AS ch, CASE WHEN cut THEN NULL ELSE 30.0 END::DOUBLE AS cf, CASE WHEN cut AND k % 3 > 0 THEN k % 3 * 100 END AS cn, k % 50 AS tn FROM c)
+    SELECT media_id, coalesce(nullif(w, 0), nullif(cw, 0)) AS want_width, coalesce(nullif(h, 0), nullif(ch, 0)) AS want_height, coalesce(nullif(f, 0), nullif(cf, 0)) AS want_fps, coalesce(nullif(n, 0), nullif(cn, 0), nullif(tn, 0)) AS want_frames FROM e""")
 def expected_specs(spark, sf_dir):
-    """What is expected of a medium: asked for, else of its stage, else of its timeline; 0 and null ask for nothing."""
+    """What is expected of a medium: asked for, else of its contract at its stage; 0 and null ask for nothing."""
     k = F.col("p_partkey")
-    asked, stage, timeline = F.when(k % 3 != 0, 1080).otherwise(0), F.when(k % 5 > 1, 720).when(k % 5 == 1, 0), F.when(F.col("p_size") > 10, F.col("p_size")).otherwise(0)
-    return tables.table(spark, sf_dir, "part").select(k.alias("media_id"), first_nonzero(asked, stage, timeline).alias("want_width"))
+    cut = F.when((k % 2 == 0) & (k % 7 > 0), F.struct(F.when(k % 5 > 1, 720).otherwise(0).alias("width"), F.lit(1280).alias("height"), F.lit(None).cast("double").alias("fps"), F.when(k % 3 > 0, k % 3 * 100).alias("totalFrames")))
+    timeline = F.struct(F.when(F.col("p_size") > 10, F.col("p_size")).alias("width"), F.lit(1920).alias("height"), F.lit(30.0).alias("fps"), F.lit(None).cast("long").alias("totalFrames"), (k % 50).alias("endFrameExclusive"), cut.alias("materialized"))
+    asked = F.struct(F.when(k % 3 != 0, 1080).otherwise(0).alias("width"), F.when(k % 5 == 0, 1350).alias("height"), F.when(k % 4 == 0, 25.0).when(k % 4 == 1, 0.0).alias("fps"), F.when(k % 9 == 0, k).otherwise(0).alias("frames"))
+    want = media.expected_spec(asked, timeline, F.when(k % 2 == 0, "source").otherwise("render"))
+    return tables.table(spark, sf_dir, "part").select(k.alias("media_id"), want.alias("w")).select("media_id", *(F.col(f"w.{c}").alias(f"want_{c}") for c in ("width", "height", "fps", "frames")))
 
 
 @query("box_centres", """SELECT event_id, (event_id % 100 + event_id % 100 + event_id % 9) / 2.0::DOUBLE AS cx, (event_id % 70 + event_id % 70 + event_id % 11) / 2.0::DOUBLE AS cy, event_id % 11 AS height FROM events""")

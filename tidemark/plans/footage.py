@@ -109,20 +109,36 @@ def crop_script(spark, sf_dir):
     return crop_track(spark, sf_dir).select("source_id", "frame", line.alias("line"))
 
 
-@query("track_errors", f"""WITH {_TRACK}, v AS (SELECT source_id, count(*) + source_id % 2 AS total FROM s GROUP BY source_id),
+TRACK_ERRORS = f"""WITH {_TRACK}, v AS (SELECT source_id, count(*) + source_id % 2 AS total FROM s GROUP BY source_id),
     c AS (SELECT source_id, row_number() OVER (PARTITION BY source_id ORDER BY frame) - 1 + source_id % 3 // 2 AS frame, coalesce(cx, 0) AS x, CASE WHEN confidence = 7 THEN 0 WHEN confidence = 8 THEN 700 ELSE 608 END AS width, 1080 AS height FROM s),
     r AS (SELECT *, CASE WHEN width <= 0 THEN 'non-positive crop' WHEN x < -0.5 THEN 'crop origin outside source' WHEN x + width > 1920.5 THEN 'crop exceeds source bounds' WHEN abs(width / height - 0.5625) > 0.01 THEN 'crop aspect does not match output' END AS rule FROM c),
     g AS (SELECT source_id, min(frame) AS lo, max(frame) AS hi, count(*) AS n, arg_min(rule, frame) FILTER (rule IS NOT NULL) AS rule, min(frame) FILTER (rule IS NOT NULL) AS bad FROM r GROUP BY source_id),
     j AS (SELECT v.source_id, concat_ws('; ', CASE WHEN hi - lo + 1 <> n THEN 'frame records are not continuous' END, CASE WHEN lo <> 0 THEN 'frame records must start at 0' END,
           CASE WHEN n <> total THEN 'expected ' || total || ' records, found ' || n END, CASE WHEN rule IS NOT NULL THEN 'frame ' || bad || ': ' || rule END) AS errors FROM v JOIN g USING (source_id))
-    SELECT source_id, errors = '' AS passed, errors FROM j""")
+    SELECT source_id, errors = '' AS passed, errors FROM j"""
+
+
+@query("track_errors", TRACK_ERRORS)
 def track_errors(spark, sf_dir):
+    return tracks.track_errors(*checked_crops(spark, sf_dir), 1080, 1920)
+
+
+def checked_crops(spark, sf_dir):
+    """Crops of the coarse track, some of them wrong, and their videos."""
     own = tables.detections(spark, sf_dir)
     videos = own.groupBy("source_id").agg(F.count("*").alias("n")).select("source_id", F.lit(1920).alias("w"), F.lit(1080).alias("h"), (F.col("n") + F.col("source_id") % 2).alias("total"))
     frame = F.expr("row_number() over (partition by source_id order by frame) - 1 + source_id % 3 div 2")
     width = F.when(F.col("confidence") == 7, 0).when(F.col("confidence") == 8, 700).otherwise(608)
     crops = own.select("source_id", frame.cast("long").alias("frame"), F.coalesce("cx", F.lit(0)).alias("x"), F.lit(0).alias("y"), width.alias("width"), F.lit(1080).alias("height"))
-    return tracks.track_errors(crops, videos, 1080, 1920)
+    return crops, videos
+
+
+@query("held_track", f"""WITH RECURSIVE {_FILLED}, dz(source_id, shot_id, i, frame, o) AS (SELECT source_id, shot_id, i, frame, cx FROM filled WHERE i = 1
+        UNION ALL SELECT f.source_id, f.shot_id, f.i, f.frame, least(greatest(dz.o, f.cx - 20000), f.cx + 20000) FROM dz JOIN filled f ON f.source_id = dz.source_id AND f.shot_id = dz.shot_id AND f.i = dz.i + 1)
+    SELECT source_id, shot_id, frame, o AS cx FROM dz""")
+def held_track(spark, sf_dir):
+    """A filled track held in a dead zone, chunks of a shot side by side."""
+    return tracks.dead_zone(tracks.fill(_samples(spark, sf_dir), 960), 20_000)
 
 
 _CUES = _segments("""regexp_matches(word, '[.?!]["'')\\]]*$') OR (NOT fin AND gap >= 350) OR n >= 62 OR end_ms - s >= 4000""")

@@ -97,7 +97,10 @@ def _segments(close: str) -> str:
         FROM r JOIN l USING (source_id, idx) GROUP BY r.source_id, r.number"""
 
 
-@query("semantic_windows", "SELECT *, printf('window-%04d', CAST(number + 1 AS INTEGER)) AS id FROM (" + _segments("end_ms - s >= 12000 OR (end_ms - s >= 8000 AND (regexp_matches(word, '[.?!]$') OR gap >= 1000)) OR (end_ms - s >= 10000 AND gap >= 350)") + ")")
+WINDOWS = "SELECT *, printf('window-%04d', CAST(number + 1 AS INTEGER)) AS id FROM (" + _segments("end_ms - s >= 12000 OR (end_ms - s >= 8000 AND (regexp_matches(word, '[.?!]$') OR gap >= 1000)) OR (end_ms - s >= 10000 AND gap >= 350)") + ")"
+
+
+@query("semantic_windows", WINDOWS)
 def semantic_windows(spark, sf_dir):
     return sequences.semantic_windows(tables.words(spark, sf_dir))
 

@@ -30,4 +30,4 @@ def oracle_sql() -> dict[str, str]:
     return _SQL
 
 
-from tidemark.plans import checks, footage, frames, media  # noqa: E402, F401  they register their queries
+from tidemark.plans import checks, footage, frames, media, sources  # noqa: E402, F401  they register their queries

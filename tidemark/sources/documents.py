@@ -1,24 +1,119 @@
-"""JSON documents, files and scripts: candidates in or out of an envelope, content fingerprints, sinks that never overwrite."""
+"""JSON documents: typed readers that set unreadable ones aside, tables made of them, canonical and atomic writing."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from tidemark.functions.scalar import SCORE_NAMES
+from tidemark.operators import runs, tracks
+from tidemark.sources import files
 
-#: The fields of a candidate document.
+#: The fields of each kind of document.
 CANDIDATE = "id string, startFrame long, endFrameExclusive long, topicKey string, scores map<string,double>, rejectionFlags array<string>"
+KINDS = {
+    "candidates": f"array<struct<{CANDIDATE.replace(' ', ':').replace(',:', ',')}>>",
+    "transcript": "array<struct<word:string,start:double,end:double>>",
+    "contract": (
+        "struct<id:string,rank:int,source:struct<parentPath:string,parentSha256:string,sourceRange:struct<startFrame:bigint,endFrameExclusive:bigint>,materializedPath:string,materializedFingerprint:struct<path:string,sha256:string,sizeBytes:bigint>>,"
+        "timeline:struct<startFrame:bigint,endFrameExclusive:bigint,fps:double,width:int,height:int,totalFrames:bigint,materialized:struct<width:int,height:int,fps:double,totalFrames:bigint>>,"
+        "selection:struct<scores:map<string,double>,composite:double,topicKey:string,hookText:string,suggestedTitle:string>>"
+    ),
+    "manifest": (
+        "struct<source:struct<path:string,sha256:string,sizeBytes:bigint>,video:struct<width:int,height:int,fps:double,totalFrames:bigint>,output:struct<width:int,height:int>,status:string,tier:string,"
+        "frames:array<struct<frame:bigint,crop:struct<x:double,y:double,width:double,height:double>,confidence:double,flags:array<string>>>>"
+    ),
+}
+#: Fields without which a document is none of its kind.
+NEEDED = {"contract": ("id", "timeline"), "manifest": ("source", "output.width", "output.height")}
+
+
+def _json_error(text: str) -> str | None:
+    try:
+        json.loads(text)
+    except (ValueError, RecursionError) as e:
+        return f"not JSON: {str(e)[:80]}"
+    return None
+
+
+def read_documents(spark: SparkSession, path: str, kind: str, most: int = 64 << 20) -> DataFrame:
+    """(file, document, text, error) of every file under a path, of a kind named in KINDS.
+
+    Nothing vanishes: a file that is empty, too large, not UTF-8, not JSON, or whose fields have other types or are
+    lacking, is a row with its error and no document. Fields beyond the kind's are left in `text`. Candidates may lie in an
+    object under `candidates`. A document is read whole by one task; many are spread.
+    """
+    texts = files.read_texts(spark, path, most, check=_json_error)
+    held = KINDS[kind]
+    parsed = lambda inner, options: F.from_json(F.concat(F.lit('{"d":'), "text", F.lit("}")), f"struct<d:{inner},__broken:string>", options)
+    options = {"columnNameOfCorruptRecord": "__broken"}
+    own = texts.withColumn("p", parsed(held, options))
+    document, broken = F.col("p.d"), F.col("p.__broken").isNotNull()
+    if kind == "candidates":
+        own = own.withColumn("q", parsed(f"struct<candidates:{held}>", options))
+        bare = F.ltrim(F.regexp_replace(F.substring("text", 1, 1000), r"\s", "")).startswith("[")
+        document, broken = F.when(bare, document).otherwise(F.col("q.d.candidates")), F.when(bare, broken).otherwise(F.col("q.__broken").isNotNull())
+    lacking = [F.when(document.getField(f.split(".")[0]).isNull() if "." not in f else document.getField(f.split(".")[0]).getField(f.split(".")[1]).isNull(), f"no field {f}") for f in NEEDED.get(kind, ())]
+    error = F.coalesce("error", F.when(broken | document.isNull(), f"not a {kind}: a field has another type"), *lacking)
+    return own.select("file", F.when(error.isNull(), document).alias("document"), "text", error.alias("error"))
+
+
+def set_aside(documents: DataFrame) -> DataFrame:
+    """(file, error) of the documents that could not be read."""
+    return documents.where("error is not null").select("file", "error")
+
+
+def read_candidates(spark: SparkSession, path: str) -> DataFrame:
+    """One row per candidate of candidate documents, with the file it came from; see read_documents() for those that are none."""
+    items = read_documents(spark, path, "candidates").select("file", F.posexplode("document").alias("idx", "c"))
+    return items.where("c is not null").select("file", "idx", "c.*")
+
+
+def words_of(transcripts: DataFrame) -> DataFrame:
+    """(source_id, idx, word, start_ms, end_ms) of transcript documents, a source a file; times that are no finite numbers are null."""
+    ms = lambda c: F.when(F.abs(F.col(c)) < F.lit(1e15), F.round(F.col(c) * 1000).cast("long"))
+    own = transcripts.select(F.col("file").alias("source_id"), F.posexplode("document").alias("at", "w"))
+    return own.select("source_id", F.col("at").cast("long").alias("idx"), "w.word", ms("w.start").alias("start_ms"), ms("w.end").alias("end_ms"))
 
 
-def read_candidates(spark: SparkSession, path: str, schema: str = CANDIDATE) -> DataFrame:
-    """One row per candidate of JSON documents that are an array, or an object with the array under `candidates`; with the file it came from.
+def crops_of(manifests: DataFrame) -> DataFrame:
+    """(source_id, frame, x, y, width, height) of the frames of manifest documents, a source a file."""
+    own = manifests.select(F.col("file").alias("source_id"), F.explode("document.frames").alias("f"))
+    return own.select("source_id", "f.frame", "f.crop.x", "f.crop.y", "f.crop.width", "f.crop.height")
 
-    Unreadable documents give no rows. A document is read whole by one task; many documents are spread.
+
+def videos_of(manifests: DataFrame) -> DataFrame:
+    """(source_id, w, h, total, out_width, out_height): what manifest documents say of their video and output."""
+    return manifests.where("document is not null").select(F.col("file").alias("source_id"), F.col("document.video.width").alias("w"), F.col("document.video.height").alias("h"), F.col("document.video.totalFrames").alias("total"), F.col("document.output.width").alias("out_width"), F.col("document.output.height").alias("out_height"))
+
+
+def imported_documents(manifests: DataFrame, now: str, videos: DataFrame | None = None) -> DataFrame:
+    """(file, passed, errors, status, text) of foreign manifest documents: validated anew, and their text with that, tier external and the status that follows.
+
+    `videos` (source_id, w, h, total) are probed ones; else what the documents say of their video counts. All other fields
+    of a document stay. The text has its keys in order, so it can be written back by files.write_texts().
     """
-    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    items = F.coalesce(F.from_json("value", f"candidates array<struct<{_colons(schema)}>>")["candidates"], F.from_json("value", f"array<struct<{_colons(schema)}>>"))
-    return text.select("file", F.posexplode(items).alias("idx", "c")).where("c is not null").select("file", "idx", "c.*")
+    own = videos_of(manifests)
+    if videos is not None:
+        own = own.drop("w", "h", "total").join(videos, "source_id")
+    judged = runs.imported(tracks.track_errors(crops_of(manifests), own)).withColumnRenamed("source_id", "file")
+    both = manifests.where("error is null").select("file", "text").join(judged, "file")
+
+    def kernel(batches):
+        for batch in batches:
+            columns = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("text", "passed", "errors", "status")}
+            texts = []
+            for text, passed, errors, status in zip(*columns.values()):
+                own = json.loads(text)
+                own |= {"validation": {"passed": passed, "errors": errors.split("; ") if errors else [], "checkedAt": now}, "tier": "external", "status": status, "updatedAt": now}
+                texts.append(json.dumps(own, indent=2, sort_keys=True))
+            yield batch.select(["file", "passed", "errors", "status"]).append_column("text", pa.array(texts, pa.string()))
+
+    return both.select("file", "passed", "errors", "status", "text").mapInArrow(kernel, "file string, passed boolean, errors string, status string, text string")
 
 
 def ranking_input(candidates: DataFrame, fps: float) -> DataFrame:
@@ -39,29 +134,28 @@ def contract_documents(clips: DataFrame) -> DataFrame:
     return clips.select("source_id", "id", F.to_json(document, {"ignoreNullFields": "false"}).alias("document"))
 
 
-def _colons(schema: str) -> str:
-    return ", ".join(f.strip().replace(" ", ":", 1) for f in _fields(schema))
-
-
-def _fields(schema: str) -> list[str]:
-    out, depth, at = [], 0, 0
-    for i, c in enumerate(schema):
-        depth += (c == "<") - (c == ">")
-        if c == "," and not depth:
-            out.append(schema[at:i])
-            at = i + 1
-    return [*out, schema[at:]]
+def in_key_order(value: Column, kind: DataType) -> Column:
+    """`value` with the fields of its structs and the keys of its maps in order, at every depth."""
+    if isinstance(kind, StructType):
+        fields = [in_key_order(value.getField(f.name), f.dataType).alias(f.name) for f in sorted(kind, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields)) if fields else value
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: in_key_order(x, kind.elementType))
+    if isinstance(kind, MapType):
+        keys = F.array_sort(F.map_keys(value))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: in_key_order(F.element_at(value, k), kind.valueType)))
+    return value
 
 
-def fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """(file, sha256, size_bytes) of every file under a path; Spark's scan leaves out files without content."""
-    own = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return own.select(F.col("path").alias("file"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"))
+def canonical_json(df: DataFrame) -> Column:
+    """The rows of df as JSON texts: the same bytes for the same values, whatever the order of fields and keys; nulls are written."""
+    fields = [in_key_order(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in sorted(df.schema, key=lambda f: f.name)]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """A JSON line per row with its keys in order; fails if the path has anything, and shows all rows or none."""
-    rows = df.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in sorted(df.columns))), {"ignoreNullFields": "false"}).alias("value"))
+    """A canonical JSON line per row; fails if the path has anything, and shows all rows or none."""
+    rows = df.select(canonical_json(df).alias("value"))
     rows.write.mode("errorifexists").text(path)
 
 

@@ -130,3 +130,30 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run_id, seq, action): the log of every run's review."""
     action = F.when(F.col("event_type") == "signup", "plan").when(F.col("event_type") == "purchase", "plan-uncertain").when(F.col("event_type") == "error", "fail").when(F.col("event_type") == "click", "accept").when(F.col("event_id") % 2 == 0, "approve").otherwise("publish")
     return table(spark, sf_dir, "events").select(F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), action.alias("action"))
+
+
+def transcript_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, text): a transcript document of every source of words(), times in seconds; every eleventh is cut off, every thirteenth empty."""
+    word = F.struct("idx", F.struct("word", (F.col("start_ms") / 1000.0).alias("start"), (F.col("end_ms") / 1000.0).alias("end")).alias("w"))
+    own = words(spark, sf_dir).groupBy("source_id").agg(F.to_json(F.transform(F.array_sort(F.collect_list(word)), lambda x: x["w"])).alias("text"))
+    text = F.when(F.col("source_id") % 13 == 0, "").when(F.col("source_id") % 11 == 0, F.expr("left(text, length(text) - 1)")).otherwise(F.col("text"))
+    return own.select(F.format_string("%d.json", "source_id").alias("file"), text.alias("text"))
+
+
+def conversation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, text): the texts of every conversation by turn; every seventh is empty."""
+    own = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    text = F.when(F.col("conv_id") % 7 == 0, "").otherwise(F.array_join(F.transform("turns", lambda x: F.coalesce(x["text"], F.lit(""))), "\n"))
+    return own.select(F.format_string("%d.txt", "conv_id").alias("file"), text.alias("text"))
+
+
+def manifest_documents(crops: DataFrame, videos: DataFrame) -> DataFrame:
+    """(file, text): a foreign manifest document of every source's crops (source_id, frame, x, y, width, height) and video (source_id, w, h, total); it says that it is ready. Every seventeenth lacks its output."""
+    frame = F.struct("frame", F.struct("x", "y", "width", "height").alias("crop"))
+    own = crops.groupBy("source_id").agg(F.array_sort(F.collect_list(frame)).alias("frames")).join(videos, "source_id")
+    output = F.when(F.col("source_id") % 17 != 0, F.struct(F.lit(1080).alias("width"), F.lit(1920).alias("height")))
+    document = F.struct(
+        F.struct(F.lit("a.mp4").alias("path"), F.lit("00").alias("sha256")).alias("source"), F.struct(F.col("w").alias("width"), F.col("h").alias("height"), F.col("total").alias("totalFrames")).alias("video"),
+        output.alias("output"), F.lit("ready").alias("status"), F.lit("kept").alias("note"), "frames",
+    )
+    return own.select(F.format_string("%d.json", "source_id").alias("file"), F.to_json(document).alias("text"))
