@@ -18,70 +18,81 @@ def chunk_of(order: str, span: int | None = None) -> Column:
     return F.floor(F.col(order) / (span or SPAN)).cast("long")
 
 
-def joined(rows: DataFrame, summaries: DataFrame, keys: list[str]) -> DataFrame:
-    """rows with the columns of their chunk's summary (*keys, __chunk, ...); null keys are keys like others."""
-    own = [*keys, "__chunk"]
-    renamed = summaries.withColumnsRenamed({c: f"__of_{c}" for c in own})
-    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in own]
-    return rows.join(renamed, same, "left").drop(*(f"__of_{c}" for c in own))
+def chunked(df: DataFrame, keys: list[str], order: str, span: int | None = None) -> DataFrame:
+    """df with `__key`, a struct of its keys, of which nulls are equal too, and `__chunk`."""
+    return df.withColumns({"__key": F.struct(*keys), "__chunk": chunk_of(order, span)})
+
+
+def joined(rows: DataFrame, summaries: DataFrame) -> DataFrame:
+    """Rows of chunked() with the columns of their chunk's summary (__key, __chunk, ...); rows that a window has dealt by these are not dealt again."""
+    return rows.join(summaries, ["__key", "__chunk"], "left").drop("__key", "__chunk")
 
 
 def running_max(df: DataFrame, keys: list[str], order: str, value: Column, out: str, span: int | None = None) -> DataFrame:
     """df with `out`, the largest `value` of a key's rows up to this one, and `out`_before, that of the rows before it (null in the first). `order` has no ties."""
-    own = df.withColumn("__chunk", chunk_of(order, span)).withColumn("__value", value)
-    earlier = W.partitionBy(*keys).orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
-    chunks = own.groupBy(*keys, "__chunk").agg(F.max("__value").alias("__most"))
+    own = chunked(df, keys, order, span).withColumn("__value", value)
+    earlier = W.partitionBy("__key").orderBy("__chunk").rowsBetween(W.unboundedPreceding, -1)
+    chunks = own.groupBy("__key", "__chunk").agg(F.max("__value").alias("__most"))
     chunks = chunks.withColumn("__carried", F.max("__most").over(earlier)).drop("__most")
-    local = W.partitionBy(*keys, "__chunk").orderBy(order)
+    local = W.partitionBy("__key", "__chunk").orderBy(order)
     own = own.withColumns({"__upto": F.max("__value").over(local.rowsBetween(W.unboundedPreceding, 0)), "__before": F.max("__value").over(local.rowsBetween(W.unboundedPreceding, -1))})
-    own = joined(own, chunks, keys).withColumns({out: F.greatest("__upto", "__carried"), f"{out}_before": F.greatest("__before", "__carried")})
-    return own.drop("__chunk", "__value", "__upto", "__before", "__carried")
+    own = joined(own, chunks).withColumns({out: F.greatest("__upto", "__carried"), f"{out}_before": F.greatest("__before", "__carried")})
+    return own.drop("__value", "__upto", "__before", "__carried")
 
 
 def before(df: DataFrame, keys: list[str], order: str, values: dict[str, Column], span: int | None = None) -> DataFrame:
     """df with a column for each of `values`: what it is in the key's row before; null in the first. `order` has no ties."""
-    own = df.withColumn("__chunk", chunk_of(order, span))
-    last = own.groupBy(*keys, "__chunk").agg(F.max(F.struct(order, *(v.alias(c) for c, v in values.items()))).alias("__last"))
-    last = last.withColumn("__last", F.lag("__last").over(W.partitionBy(*keys).orderBy("__chunk")))
-    local = W.partitionBy(*keys, "__chunk").orderBy(order)
+    own = chunked(df, keys, order, span)
+    last = own.groupBy("__key", "__chunk").agg(F.max(F.struct(order, *(v.alias(c) for c, v in values.items()))).alias("__last"))
+    last = last.withColumn("__last", F.lag("__last").over(W.partitionBy("__key").orderBy("__chunk")))
+    local = W.partitionBy("__key", "__chunk").orderBy(order)
     marked = own.withColumns({"__first": F.row_number().over(local) == 1, **{f"__{c}": F.lag(v).over(local) for c, v in values.items()}})
-    out = joined(marked, last, keys)
-    return out.withColumns({c: F.when(F.col("__first"), F.col("__last").getField(c)).otherwise(F.col(f"__{c}")) for c in values}).drop("__chunk", "__first", "__last", *(f"__{c}" for c in values))
+    out = joined(marked, last)
+    return out.withColumns({c: F.when(F.col("__first"), F.col("__last").getField(c)).otherwise(F.col(f"__{c}")) for c in values}).drop("__first", "__last", *(f"__{c}" for c in values))
+
 
+def neighbours(df: DataFrame, keys: list[str], order: list[str], anchor: str, anchors: DataFrame | None = None, extents: DataFrame | None = None, span: int | None = None) -> DataFrame:
+    """df with `prev`, the last `anchor` that is not null in the key's rows before, `next`, the first from this row on, and `final`, the key's last.
 
-def neighbours(df: DataFrame, keys: list[str], order: list[str], anchor: str, span: int | None = None) -> DataFrame:
-    """df with `prev`, the last `anchor` that is not null in the key's rows before, `next`, the first from this row on, and `final`, the key's last."""
-    own = df.withColumn("__chunk", chunk_of(order[0], span))
+    Where they can be had for less than all of df: `anchors` are the rows that have one, and `extents` (*keys, first, last)
+    the first and last order of each key.
+    """
+    own = chunked(df, keys, order[0], span)
+    few = own if anchors is None else chunked(anchors, keys, order[0], span)
     placed = F.when(F.col(anchor).isNotNull(), F.struct(*order, F.col(anchor).alias("__anchor")))
-    ends = own.groupBy(*keys, "__chunk").agg(F.min(placed).alias("__a"), F.max(placed).alias("__z"))
-    along = W.partitionBy(*keys).orderBy("__chunk")
+    ends = few.groupBy("__key", "__chunk").agg(F.min(placed).alias("__a"), F.max(placed).alias("__z"))
+    if anchors is not None:  # chunks without any have neighbours too
+        none = [F.lit(None).cast(ends.schema[c].dataType).alias(c) for c in ("__a", "__z")]
+        every = own.select("__key", "__chunk").distinct() if extents is None else extents.select(F.struct(*keys).alias("__key"), F.explode(F.sequence(chunk_of("first", span), chunk_of("last", span))).alias("__chunk"))
+        ends = ends.unionByName(every.select("__key", "__chunk", *none)).groupBy("__key", "__chunk").agg(F.min("__a").alias("__a"), F.max("__z").alias("__z"))
+    along = W.partitionBy("__key").orderBy("__chunk")
+    held = lambda column: column.getField("__anchor")
     ends = ends.select(
-        *keys, "__chunk", F.last("__z", True).over(along.rowsBetween(W.unboundedPreceding, -1)).getField("__anchor").alias("__prev"),
-        F.first("__a", True).over(along.rowsBetween(1, W.unboundedFollowing)).getField("__anchor").alias("__next"), F.last("__z", True).over(along.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).getField("__anchor").alias("final"),
+        "__key", "__chunk", held(F.last("__z", True).over(along.rowsBetween(W.unboundedPreceding, -1))).alias("__prev"),
+        held(F.first("__a", True).over(along.rowsBetween(1, W.unboundedFollowing))).alias("__next"), held(F.last("__z", True).over(along.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("final"),
     )
-    local = W.partitionBy(*keys, "__chunk").orderBy(*order)
+    local = W.partitionBy("__key", "__chunk").orderBy(*order)
     out = own.withColumns({"prev": F.last(anchor, True).over(local.rowsBetween(W.unboundedPreceding, -1)), "next": F.first(anchor, True).over(local.rowsBetween(0, W.unboundedFollowing))})
-    return joined(out, ends, keys).withColumns({"prev": F.coalesce("prev", "__prev"), "next": F.coalesce("next", "__next")}).drop("__chunk", "__prev", "__next")
+    return joined(out, ends).withColumns({"prev": F.coalesce("prev", "__prev"), "next": F.coalesce("next", "__next")}).drop("__prev", "__next")
 
 
 def runs(df: DataFrame, keys: list[str], order: str, holds: str, span: int | None = None) -> DataFrame:
     """(*keys, start, end) of runs of rows where the boolean column `holds`: from a run's first `order` to that of the row behind it, or one behind its last where none follows.
 
-    Runs inside a chunk are whole; those at its edges, two a chunk at most, are joined along the key. `order` has no ties.
+    Runs inside a chunk are whole; those at its edges, two a chunk at most, are joined along the key. Both take one way
+    through the data. `order` has no ties.
     """
     own = df.select(*keys, order, holds).withColumn("__chunk", chunk_of(order, span))
     local = W.partitionBy(*keys, "__chunk").orderBy(order)
-    marked = own.withColumns({"__following": F.lead(order).over(local), "__i": F.row_number().over(local), "__change": F.when(F.col(holds) != F.coalesce(F.lag(holds).over(local), ~F.col(holds)), 1).otherwise(0)})
-    marked = marked.withColumn("__run", F.sum("__change").over(local))
-    pieces = marked.where(holds).groupBy(*keys, "__chunk", "__run").agg(F.min(order).alias("start"), F.max(order).alias("__final"), F.max("__following").alias("__next"), (F.min("__i") == 1).alias("__head"), F.max(F.col("__following").isNull()).alias("__tail"))
-    inner = pieces.where("not __head and not __tail").select(*keys, "start", F.col("__next").alias("end"))
-    # the order of the first row of the next chunk that has any, and that chunk
-    along = W.partitionBy(*keys).orderBy("__chunk")
-    firsts = own.groupBy(*keys, "__chunk").agg(F.min(order).alias("__first")).withColumns({"__beyond": F.lead("__first").over(along), "__next_chunk": F.lead("__chunk").over(along)}).drop("__first")
-    edges = joined(pieces.where("__head or __tail"), firsts, keys)
-    by = W.partitionBy(*keys).orderBy("start")
-    goes_on = F.col("__head") & F.lag("__tail").over(by) & F.lag("__next_chunk").over(by).eqNullSafe(F.col("__chunk"))
-    edges = edges.withColumn("__new", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1)).withColumn("__run", F.sum("__new").over(by))
-    end = F.when(F.col("__tail"), F.coalesce("__beyond", F.col("__final") + 1)).otherwise(F.col("__next"))
-    whole = edges.withColumn("end", end).groupBy(*keys, "__run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__run")
-    return inner.unionByName(whole)
+    change = F.when(F.col(holds) != F.coalesce(F.lag(holds).over(local), ~F.col(holds)), 1).otherwise(0)
+    marked = own.withColumns({"__following": F.lead(order).over(local), "__i": F.row_number().over(local), "__change": change}).withColumn("__run", F.sum("__change").over(local))
+    pieces = marked.groupBy(*keys, "__chunk", "__run").agg(F.min(order).alias("start"), F.max(order).alias("__final"), F.max("__following").alias("__next"), (F.min("__i") == 1).alias("__head"), F.max(F.col("__following").isNull()).alias("__tail"), F.first(holds).alias("__holds"))
+    # pieces at edges meet along the key; a chunk's last piece is followed by the first of the next chunk
+    edge = F.col("__head") | F.col("__tail")
+    pieces = pieces.withColumn("__part", F.when(~edge, F.col("__chunk")))
+    by = W.partitionBy(*keys, "__part").orderBy("start")
+    pieces = pieces.withColumns({"__beyond": F.when(edge, F.lead("start").over(by)), "__before": F.when(F.col("__head") & F.lag("__tail").over(by), F.lag("__holds").over(by))})
+    fresh = F.when(edge & F.coalesce(F.col("__before") == F.col("__holds"), F.lit(False)), 0).otherwise(1)
+    pieces = pieces.withColumn("__new", fresh).withColumn("__run", F.sum("__new").over(by))
+    end = F.coalesce(F.when(F.col("__tail"), F.col("__beyond")).otherwise(F.col("__next")), F.col("__final") + 1)
+    return pieces.where("__holds").withColumn("end", end).groupBy(*keys, "__part", "__run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("__part", "__run")

@@ -5,6 +5,10 @@ from __future__ import annotations
 from bisect import bisect_left, bisect_right, insort
 
 
+#: So many kept ranges are looked through one by one.
+FEW = 16
+
+
 class _Sorted:
     """(start, end, place) tuples by start, in blocks that know their least place."""
 
@@ -57,9 +61,11 @@ class Kept:
     """
 
     def __init__(self, percent: int):
-        self.percent, self.classes, self.names = percent, {}, []
+        self.percent, self.classes, self.names, self.few = percent, {}, [], []
 
     def add(self, name, start: int, end: int) -> None:
+        if len(self.names) < FEW:
+            self.few.append((start, end))
         self.classes.setdefault((end - start).bit_length(), _Sorted()).add((start, end, len(self.names)))
         self.names.append(name)
 
@@ -68,6 +74,8 @@ class Kept:
         found, length = float("inf"), end - start
         if self.percent <= 0:
             return self.names[0] if self.names else None
+        if len(self.names) <= FEW:
+            return next((name for name, (a, b) in zip(self.names, self.few) if 100 * max(0, min(b, end) - max(a, start)) >= self.percent * min(b - a, length)), None)
         for bits, own in self.classes.items():
             most = (1 << bits) - 1  # the longest of the class
             inside = end - most + 1  # those that start before, from `start` on, end inside

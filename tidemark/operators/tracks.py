@@ -38,8 +38,9 @@ def frame_records(shots: DataFrame, samples: DataFrame, width: int, height: int)
     anchor = F.struct(F.col("frame").cast("long"), ((F.col("x0") + F.col("x1")) * 500).cast("long"), ((F.col("y0") + F.col("y1")) * 500).cast("long"), ((F.col("y1") - F.col("y0")) * 1000).cast("long"), F.col("confidence").cast("double"), "detector").cast(kind)
     found = samples.where("x0 is not null").select("source_id", "shot_id", F.col("frame").cast("long").alias("frame"), anchor.alias("anchor"), F.lit(1).alias("kind"))
     frames = shots.where("end_frame > start_frame").select("source_id", "shot_id", F.explode(F.expr("sequence(cast(start_frame as bigint), cast(end_frame as bigint) - 1)")).alias("frame"), F.lit(None).cast(kind).alias("anchor"), F.lit(0).alias("kind"))
+    extents = shots.where("end_frame > start_frame").select("source_id", "shot_id", F.col("start_frame").cast("long").alias("first"), (F.col("end_frame").cast("long") - 1).alias("last"))
     # a frame comes before the sample that lies on it
-    every = carry.neighbours(frames.unionByName(found), ["source_id", "shot_id"], ["frame", "kind"], "anchor").where("kind = 0")
+    every = carry.neighbours(frames.unionByName(found), ["source_id", "shot_id"], ["frame", "kind"], "anchor", found, extents).where("kind = 0")
     case = lambda none, first, last, mid: F.when(F.col("final").isNull(), none).when(F.col("prev").isNull(), first).when(F.col("frame") >= F.col("final.frame"), last).otherwise(mid)
     on_line = lambda c: F.expr(f"prev.{c} + (next.{c} - prev.{c}) * (frame - prev.frame) div (next.frame - prev.frame)")
     value = lambda c, none: case(F.lit(none).cast("long"), F.col(f"next.{c}"), F.col(f"final.{c}"), on_line(c)).alias(c)
@@ -69,22 +70,33 @@ def smooth(track: DataFrame, window: int = 5, name: str = "cx") -> DataFrame:
 
     The window is made odd, and no wider than the shot is long.
     """
-    part = W.partitionBy("source_id", "shot_id")
-    order = part.orderBy("frame")
-    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    most = max(1, window) + (max(1, window) % 2 == 0)  # the width in shots that have as many frames
-    n, i, r = F.col("__n"), F.col("__i"), F.floor(F.col("width") / 2)
-    own = track.withColumns({"__n": F.count("*").over(whole), "__first": F.first(name).over(whole), "__last": F.last(name).over(whole)})
-    own = own.withColumns({"__i": F.row_number().over(order), "__sum": F.sum(F.coalesce(name, F.lit(0))).over(order.rowsBetween(W.unboundedPreceding, 0))})
-    own = own.withColumn("width", F.when(n >= most, most).otherwise(F.greatest(F.lit(1), n - F.when(n % 2 == 0, 1).otherwise(0))).cast("long"))
-    # sums up to the window's two ends: as far ahead and behind in every long shot; a short one's are looked up in a list, which the window bounds
-    total = F.last("__sum").over(whole)
-    own = own.withColumns({"__ahead": F.lead("__sum", most // 2).over(order), "__behind": F.lag("__sum", most // 2 + 1).over(order), "__all": total, "__sums": F.collect_list(F.when(n < most, F.col("__sum"))).over(whole)})
-    at = lambda k: F.get("__sums", (k - 1).cast("int"))
-    upto = F.coalesce(F.when(n >= most, F.col("__ahead")).otherwise(at(F.least(i + r, n))), F.col("__all"))
-    before = F.coalesce(F.when(n >= most, F.col("__behind")).otherwise(at(i - r - 1)), F.lit(0))
-    edges = F.greatest(F.lit(0), r + 1 - i) * F.col("__first") + F.greatest(F.lit(0), i + r - n) * F.col("__last")
-    return own.withColumn("total", (upto - before + edges).cast("long")).drop("__n", "__i", "__first", "__last", "__sum", "__ahead", "__behind", "__all", "__sums")
+    return _smoothed(track, {name: window}).withColumnsRenamed({f"__total_{name}": "total", f"__width_{name}": "width"})
+
+
+def _smoothed(track: DataFrame, windows: dict[str, int]) -> DataFrame:
+    """track with `__total_c` and `__width_c` of each column c and its window, all in one way through the rows.
+
+    A window's sum is the difference of two running sums: as far ahead and behind in every shot that is long enough; a short
+    one's are looked up in a list, which the window bounds. So it costs as much whatever the window is.
+    """
+    order = W.partitionBy("source_id", "shot_id").orderBy("frame")
+    whole, upto = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing), order.rowsBetween(W.unboundedPreceding, 0)
+    n, i = F.col("__n"), F.col("__i")
+    own = track.withColumns({"__n": F.count("*").over(whole), "__i": F.row_number().over(order), **{f"__{k}_{c}": v for c in windows for k, v in (("first", F.first(c).over(whole)), ("last", F.last(c).over(whole)), ("sum", F.sum(F.coalesce(c, F.lit(0))).over(upto)))}})
+    most = {c: max(1, w) + (max(1, w) % 2 == 0) for c, w in windows.items()}  # the width in shots that have as many frames
+    looks = {}
+    for c, m in most.items():
+        total = F.col(f"__sum_{c}")
+        looks |= {f"__ahead_{c}": F.lead(total, m // 2).over(order), f"__behind_{c}": F.lag(total, m // 2 + 1).over(order), f"__all_{c}": F.last(total).over(whole), f"__sums_{c}": F.collect_list(F.when(n < m, total)).over(whole)}
+    own = own.withColumns(looks)
+    for c, m in most.items():
+        width = F.when(n >= m, m).otherwise(F.greatest(F.lit(1), n - F.when(n % 2 == 0, 1).otherwise(0))).cast("long")
+        r, at = F.floor(width / 2), lambda k, c=c: F.get(f"__sums_{c}", (k - 1).cast("int"))
+        ahead = F.coalesce(F.when(n >= m, F.col(f"__ahead_{c}")).otherwise(at(F.least(i + r, n))), F.col(f"__all_{c}"))
+        behind = F.coalesce(F.when(n >= m, F.col(f"__behind_{c}")).otherwise(at(i - r - 1)), F.lit(0))
+        edges = F.greatest(F.lit(0), r + 1 - i) * F.col(f"__first_{c}") + F.greatest(F.lit(0), i + r - n) * F.col(f"__last_{c}")
+        own = own.withColumns({f"__total_{c}": (ahead - behind + edges).cast("long"), f"__width_{c}": width})
+    return own.drop("__n", "__i", *(f"__{k}_{c}" for c in windows for k in ("first", "last", "sum", "ahead", "behind", "all", "sums")))
 
 
 def fill(track: DataFrame, default: int) -> DataFrame:
@@ -123,7 +135,7 @@ def dead_zone(track: DataFrame, radius: int, name: str = "cx", span: int | None
     side into one clamp each, those are folded along the shot, and every chunk is folded again from the value that it starts with.
     """
     keys, clamp = ["source_id", "shot_id"], StructType([StructField(c, LongType()) for c in ("low", "high", "alone")])
-    own = track.select(*keys, "frame", name).withColumn("__chunk", carry.chunk_of("frame", span))
+    own = carry.chunked(track.select(*keys, "frame", name), keys, "frame", span)
 
     def compose(state, v):
         if state is None:
@@ -133,10 +145,11 @@ def dead_zone(track: DataFrame, radius: int, name: str = "cx", span: int | None
     def along(value, low, high, alone):
         return (alone if value is None else min(max(value, low), high)), value
 
-    chunks = reduced(own, [*keys, "__chunk"], ["frame"], [name], "m", clamp, lambda: None, compose).select(*keys, "__chunk", "m.*")
-    starts = fold(chunks, keys, ["__chunk"], ["low", "high", "alone"], "__enter", LongType(), lambda: None, along).select(*keys, "__chunk", "__enter")
+    chunks = reduced(own.select("__chunk", *keys, "frame", name), [*keys, "__chunk"], ["frame"], [name], "m", clamp, lambda: None, compose).select(*keys, "__chunk", "m.*")
+    starts = fold(chunks, keys, ["__chunk"], ["low", "high", "alone"], "__enter", LongType(), lambda: None, along).select(F.struct(*keys).alias("__key"), "__chunk", "__enter")
     step = lambda state, v, enter: (held := _held(enter if state is None else state, v, radius), held)
-    out = fold(carry.joined(own, starts, keys), [*keys, "__chunk"], ["frame"], [name, "__enter"], "__out", LongType(), lambda: None, step)
+    entered = carry.joined(own, starts).withColumn("__chunk", carry.chunk_of("frame", span))
+    out = fold(entered, [*keys, "__chunk"], ["frame"], [name, "__enter"], "__out", LongType(), lambda: None, step)
     return out.select(*keys, "frame", F.col("__out").alias(name))
 
 
@@ -180,9 +193,7 @@ def crop_frames(records: DataFrame, width: int, height: int, out_width: int, out
     wide = width * out_height >= height * out_width
     native_w, native_h = (height * 1000 * out_width // out_height, height * 1000) if wide else (width * 1000, width * 1000 * out_height // out_width)
     low, high = round(least * 10**6), round(most * 10**6)
-    own = records
-    for c in ("cx", "cy"):
-        own = smooth(own, max(1, round(0.35 * fps)), c).withColumn(c, F.expr("total div width")).drop("total", "width")
+    own, windows = records, dict.fromkeys(("cx", "cy"), max(1, round(0.35 * fps)))
     if zoom is not None:
         known = F.when(F.col("box_height").isNotNull(), F.greatest("box_height", F.lit(1000)))
         wanted = F.lit(subject_height * 1000) if subject_height is not None else F.floor(F.coalesce(F.median(known).over(W.partitionBy("source_id", "shot_id")), F.lit(height * 450.0)))
@@ -192,9 +203,10 @@ def crop_frames(records: DataFrame, width: int, height: int, out_width: int, out
         else:
             raw = F.expr("1000000 * __wanted div __h")
         own = own.withColumn("z", F.coalesce(F.least(F.greatest(raw, F.lit(low)), F.lit(high)), F.lit(low)).cast("long"))
-        own = smooth(own, max(3, round(fps)), "z").withColumn("z", F.expr("total div width")).drop("total", "width")
+        windows["z"] = max(3, round(fps))
     else:
         own = own.withColumn("z", F.lit(10**6).cast("long"))
+    own = _smoothed(own, windows).withColumns({c: F.expr(f"__total_{c} div __width_{c}") for c in windows})
     # positions and zoom move in thousandths of their units, so that rounding does not add up
     pan, pan_more = 1_300_000_000 // fps, 5_200_000_000 // fps**2
     grow, grow_more = 120_000_000 // fps, 500_000_000 // fps**2
