@@ -15,6 +15,9 @@ Components are quantised to floor(scale * x), so scores are whole numbers and ex
    vectors whose partial product plus the product of the residual lengths can't. What is left is scored exactly.
 4. The k best of each query in each range are merged by rank in Spark.
 
+Vectors with a component of over LARGE, whose squares could leave the range of doubles, stay out of all that: as queries
+they meet every row, and as candidates every query, in blocks, by whole numbers.
+
 Null vectors, empty ones and those with null or non-finite components take no
 part, nor do rows with a null id. A vector of fewer components than another
 counts as zero in the others. Each row is a query or candidate of its own, also
@@ -23,6 +26,8 @@ where ids repeat: a row meets all rows but itself. Scores beyond a long are give
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,6 +47,9 @@ SLACK = 1e-6
 #: Products of lengths below this are sums of exact doubles.
 EXACT = float(1 << 53)
 _ENDS = -(1 << 63), (1 << 63) - 1
+#: Components up to this have lengths, and sums of them over a table, that are finite.
+LARGE = 1e140
+LARGE_BLOCK = 512
 
 
 def _matrix(column, size: int) -> np.ndarray:
@@ -59,8 +67,60 @@ def quantised(vectors: DataFrame, scale: int) -> DataFrame:
     good = F.col("x").isNotNull() & (F.size("x") > 0) & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("x")).where(F.col("vec_id").isNotNull() & F.coalesce(good, F.lit(False)))
     whole = lambda v: F.when(F.abs(v) < EXACT, F.floor(v).cast("double")).otherwise(v)
-    rows = rows.select("vec_id", F.transform(F.transform("x", lambda v: v * F.lit(float(scale))), whole).alias("q"))
-    return rows.withColumn("norm2", F.aggregate("q", F.lit(0.0), lambda a, v: a + v * v)).withColumn("row", F.monotonically_increasing_id())
+    scaled = F.transform("x", lambda v: v * F.lit(float(scale)))
+    rows = rows.select("vec_id", "x", scaled.alias("v")).withColumn("large", F.exists("v", lambda v: F.abs(v) > LARGE))
+    rows = rows.select("vec_id", F.when(F.col("large"), F.col("x")).otherwise(F.transform("v", whole)).alias("q"), "large")
+    return rows.withColumn("norm2", F.when(~F.col("large"), F.aggregate("q", F.lit(0.0), lambda a, v: a + v * v))).withColumn("row", F.monotonically_increasing_id())
+
+
+def _whole(q: list[float], large: bool, scale: int) -> list[int]:
+    """The whole numbers of a row, which holds them scaled unless it is large."""
+    return [int(v) * scale if abs(v) >= EXACT else math.floor(v * scale) for v in q] if large else [int(v) for v in q]
+
+
+def _exact(batches, others, k: int, scale: int, asks: bool):
+    """The k best for each query by whole numbers: rows (row, vec_id, q, large) read here meet a block of others, which are the queries if `asks`."""
+    best: dict = {}
+    for batch in batches:
+        for row, vec_id, q, large in zip(*(c.to_pylist() for c in batch.columns)):
+            own = _whole(q, large, scale)
+            for other, other_id, values in others.value:
+                if other != row:
+                    score = min(max(sum(a * b for a, b in zip(own, values)), _ENDS[0]), _ENDS[1])
+                    (query, query_id), candidate = ((other, other_id), vec_id) if asks else ((row, vec_id), other_id)
+                    held = best.setdefault(query, (query_id, []))[1]
+                    held.append((-score, candidate))
+                    if len(held) > 8 * k:
+                        held.sort()
+                        del held[k:]
+        if not asks:  # a query is read once
+            yield _found(best, k)
+            best = {}
+    if best:
+        yield _found(best, k)
+
+
+def _found(best: dict, k: int) -> pa.RecordBatch:
+    rows = [(query, query_id, candidate, -score) for query, (query_id, held) in best.items() for score, candidate in sorted(held)[:k]]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(4)], names=["query_row", "query_id", "vec_id", "score"])
+
+
+def _by_whole_numbers(rows: DataFrame, is_query, k: int, scale: int) -> DataFrame | None:
+    """What queries or candidates that are large add: blocks of them are read at the driver and held against all rows where those lie."""
+    spark, schema = rows.sparkSession, "query_row long, query_id long, vec_id long, score long"
+    columns = ["row", "vec_id", "q", "large"]
+    n, out = rows.where("large").count(), None
+    for block in range(-(-n // LARGE_BLOCK)):
+        own = rows.where("large").select(*columns, is_query.alias("asked")).where(F.pmod(F.xxhash64("row"), F.lit(-(-n // LARGE_BLOCK))) == block).collect()
+        for asks in (True, False):
+            held = [(r["row"], r["vec_id"], _whole(r["q"], True, scale)) for r in own if not asks or r["asked"]]
+            if not held:
+                continue
+            sent = spark.sparkContext.broadcast(held)
+            met = rows if asks else rows.where(is_query & ~F.col("large"))  # a large query has met all rows
+            found = met.select(*columns).mapInArrow(lambda it, sent=sent, asks=asks: _exact(it, sent, k, scale, asks), schema)
+            out = found if out is None else out.union(found)
+    return out
 
 
 def _moments(batches, size: int):
@@ -155,12 +215,16 @@ def _runs(ordered: DataFrame, name: str, stat, rows: int) -> tuple[DataFrame, di
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_block: int = QUERY_BLOCK, range_rows: int = RANGE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score) of vectors (vec_id, embedding); `is_query` is a condition on vec_id."""
     spark = vectors.sparkSession
-    rows = kept(quantised(vectors, scale))
+    every = kept(quantised(vectors, scale))
+    exact = _by_whole_numbers(every, is_query, k, scale)
+    rank = F.row_number().over(W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
+    ranked = lambda found: found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    rows = every.where("not large")
     asked = rows.where(is_query)
     count, size = rows.agg(F.count("*"), F.max(F.size("q"))).first()
     n_queries = asked.count()
     if not n_queries:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long") if exact is None else ranked(exact)
     moments = rows.select("q").mapInArrow(lambda it: _moments(it, size), "at long, m double").groupBy("at").agg(F.sum("m").alias("m")).orderBy("at").toPandas()  # one entry for each pair of dimensions
     values, basis = np.linalg.eigh(moments["m"].to_numpy().reshape(size, size))
     basis = basis[:, np.argsort(-values)]
@@ -178,5 +242,4 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_bloc
     left = ranges.join(cells, "r").select("b", "r", "row", "vec_id", "q").groupBy("b", "r")
     right = blocks.join(cells, "b").select("b", "r", "row", "vec_id", "q", "floor").groupBy("b", "r")
     found = left.cogroup(right).applyInArrow(lambda x, y: _search(x, y, basis, k), "query_row long, query_id long, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_row").orderBy(F.desc("score"), "vec_id"))
-    return found.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= k)
+    return ranked(found if exact is None else found.unionByName(exact))
