@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html.parser
 import random
+import time
 from collections import Counter
 
 import duckdb
@@ -17,7 +18,8 @@ VECTORS = "vec_id long, embedding array<float>"
 
 def brute_top(rows, step: int, k: int):
     """Sorted (query_id, rank, vec_id, score); shorter vectors are zero in the missing components, scores end at those of a long."""
-    good = [(i, [int(np.floor(np.float64(x) * 256)) for x in v]) for i, v in rows if v and i is not None and None not in v and np.isfinite(np.array(v, float)).all()]
+    whole = lambda x: int(x) * 256 if abs(x) > 2.0**60 else int(np.floor(np.float64(x) * 256))
+    good = [(i, [whole(x) for x in v]) for i, v in rows if v and i is not None and None not in v and np.isfinite(np.array(v, float)).all()]
     out = []
     for a, (i, q) in enumerate(good):
         if i % step == 0:
@@ -48,6 +50,19 @@ def test_large_components(spark):
     assert sorted((q["query_id"], q["rank"], q["vec_id"], q["score"]) for q in got.collect()) == brute_top(rows, 5, 5)
 
 
+def test_components_at_the_end_of_doubles(spark, monkeypatch):
+    """Their squares overflow; they and all other rows still meet, exactly."""
+    monkeypatch.setattr(top_k, "LARGE_BLOCK", 3)
+    r = np.random.default_rng(4)
+    rows = [(i, [float(v) for v in r.normal(size=4)]) for i in range(40)] + [(i, [float(v) for v in r.normal(size=4) * 10.0**e]) for i, e in enumerate((306, 160, 150, 139, 141, 300, 20), 40)]
+    rows += [(50, [1e306, -1e306, 1.0, 0.5]), (51, [1.0, 1.0, 2.0, 3.0]), (52, [1.7e308, 0.0, 0.0, -1.7e308]), (55, [1e306, 1e306, 0.25, 0.0]), (55, [1e306, 1e306, 0.25, 0.0])]
+    schema = "vec_id long, embedding array<double>"
+    got = top_k.top_k(spark.createDataFrame(rows, schema).repartition(3), F.col("vec_id") % 5 == 0)
+    assert sorted((q["query_id"], q["rank"], q["vec_id"], q["score"]) for q in got.collect()) == brute_top(rows, 5, 5)
+    only = spark.createDataFrame([(0, [1e306]), (1, [-1e306])], schema)
+    assert sorted(map(tuple, top_k.top_k(only, F.col("vec_id") == 0).collect())) == [(0, 1, 1, -(1 << 63))]
+
+
 def test_few_or_no_vectors(spark):
     assert top_k.top_k(spark.createDataFrame([], VECTORS), F.lit(True)).collect() == []
     two = spark.createDataFrame([(0, [1.0, 2.0], "a"), (1, [0.5, 0.25], "b")], VECTORS + ", q string")
@@ -167,6 +182,23 @@ def test_templates_equal_brute_force(spark):
             assert out[n] == "\n".join(blocks(t, h)), rows[n]
 
 
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><!--><p>text one</p><!-- x --></article>", "text one"), ("<article><!---><p>a</p><!-- - --!><p>b</p></article>", "a\nb"), ("<p>a<!-- > -- - >x--></p>", "a"),
+    ('<article><p>a</p><div class="widget">b</div><div class="notice">c</div><p id="related">d</p><div class="promotion">e</div><blockquote class="social">f</blockquote><label>g</label><div class="comments">h</div></article>', "a\nb\nc\nd\ne\nf\ng"),
+    ('<div class="notice">b</div><p>a</p><form><label>g</label></form>', "a"),
+])
+def test_comments_and_names(page, text):
+    own = html_text._Page(page)
+    assert own.text(np.zeros(len(own.tags) - 1, bool)) == text
+
+
+@pytest.mark.parametrize("page", ["</b>" * 60_000 + "<p>end</p>", "<b>" * 60_000 + "<p>end</p>", "<p><b>" * 30_000 + "</i>" * 30_000 + "end", "<li>x" * 30_000])
+def test_stray_and_unclosed_tags_take_linear_time(page):
+    began = time.time()
+    html_text._Page(page)
+    assert time.time() - began < 5
+
+
 def test_pages_with_clashing_columns(spark):
     rows = [(n, f"http://a.b/{n}", f"<body><div><em>Box</em></div><p>Own {n}</p></body>", 1, "t", 2, "r") for n in range(12)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, row int, text string, n_chars int, __rest string")

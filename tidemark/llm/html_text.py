@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -43,12 +44,12 @@ SMALL_ROWS = 1_000_000
 #: Template subtrees up to this number are broadcast (8 bytes each); beyond it pages are joined with theirs.
 SMALL_TEMPLATES = 1_000_000
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|$)", re.S)
+_TOKEN = re.compile(r"<!---?>|<!--.*?(?:--!?>|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([A-Za-z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SPACE = re.compile(r"\s+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp noembed noframes".split())
-_DROPPED = frozenset("script style noscript template head nav footer aside form iframe svg math canvas object embed audio video button select option input textarea label fieldset dialog menu map".split())
+_DROPPED = frozenset("script style noscript template head nav footer aside form iframe svg math canvas object embed audio video button select option input textarea fieldset dialog menu map".split())
 _BLOCKS = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 _PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li td th dd dt b i em strong a span u code q cite figcaption caption tr table tbody ul ol dl".split())
 _CLOSED_BY_BLOCK = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
@@ -66,15 +67,19 @@ _PLACES = frozenset(
     "thread count meta author avatar body head logo sub mini sticky fixed floating mobile desktop large small wide full half new latest popular more recent tag tags category policy privacy accept close toggle dropdown open "
     "facebook twitter linkedin email google native display inline leaderboard rectangle skyscraper placeholder widget menu js".split()
 )
+#: Those of them that stand alone inside an article, too: for comments of readers and adverts. Others, like a notice, may be of its text.
+_INSIDE = frozenset("ad ads advert adverts advertisement adsbygoogle taboola outbrain comment comments commentlist commentform disqus respond replies".split())
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 
 
 def _boilerplate(name: str, inside: bool) -> bool:
-    """Whether a class or id is made of words for boilerplate and places; `inside` an article a header holds its heading."""
+    """Whether a class or id is made of words for boilerplate and places. `inside` an article a header holds its heading, and one word alone says so only of comments and adverts."""
     parts = [x.lower() for x in _PARTS.findall(name)]
     named = [x for x in parts if x in _NAMES]
-    return bool(named) and all(x in _NAMES or x in _PLACES or x.isdigit() for x in parts) and not (inside and "header" in named)
+    if inside and ("header" in named or len(parts) == 1 and parts[0] not in _INSIDE):
+        return False
+    return bool(named) and all(x in _NAMES or x in _PLACES or x.isdigit() for x in parts)
 
 
 class _Page:
@@ -84,6 +89,7 @@ class _Page:
         self.tags, self.parents, self.attributes = ["#"], [-1], [""]
         self.pieces: list[tuple[int, str]] = []  # (element, text); a negative element ~e marks where block e begins or ends
         stack, at, n = [0], 0, len(source)
+        self.open: Counter = Counter()  # by tag, so that an end tag of none that is open costs nothing
         while at < n:
             m = _TOKEN.search(source, at)
             text = source[at : m.start() if m else n]
@@ -118,28 +124,30 @@ class _Page:
                 at = n if not end or close < 0 else close + 1
             elif tag not in _VOID and not m[3].endswith("/"):
                 stack.append(e)
+                self.open[tag] += 1
         self.kept_open = stack
 
+    def _end(self, stack: list[int], depth: int) -> None:
+        """Closes the elements from a depth on."""
+        for e in stack[depth:]:
+            self.open[self.tags[e]] -= 1
+            if self.tags[e] in _BLOCKS:
+                self.pieces.append((~e, ""))
+        del stack[depth:]
+
     def _close(self, stack: list[int], tag: str) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if self.tags[stack[depth]] == tag:
-                for e in stack[depth:]:
-                    if self.tags[e] in _BLOCKS:
-                        self.pieces.append((~e, ""))
-                del stack[depth:]
-                return
+        if self.open[tag]:
+            self._end(stack, next(d for d in range(len(stack) - 1, 0, -1) if self.tags[stack[d]] == tag))
 
     def _close_open(self, stack: list[int], tags: set, scope) -> None:
+        if not any(self.open[tag] for tag in tags):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             tag = self.tags[stack[depth]]
             if tag in tags:
-                for e in stack[depth:]:
-                    if self.tags[e] in _BLOCKS:
-                        self.pieces.append((~e, ""))
-                del stack[depth:]
-                return
+                return self._end(stack, depth)
             if tag in scope:
-                return
+                return None
 
     def hashes(self, host: str) -> np.ndarray:
         """A hash of each element's subtree, and of the host."""
