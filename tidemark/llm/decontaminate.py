@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidemark.llm import _text
 from tidemark.llm._store import kept, small_batches, small_side, unwrapped, wrapped
@@ -114,9 +115,15 @@ def _search(batches, block, percent: int):
 
 def contained_items(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80, block: int = BLOCK_SHINGLES) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_found): the items (item_id, text) contained in documents (doc_id, text)."""
+    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return _contained(docs, items, size, percent, block)
+
+
+def _contained(docs: DataFrame, items: DataFrame, size: int, percent: int, block: int) -> DataFrame:
+    """The items contained in documents whose first column, doc_id, may be of any type."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    made = StructType([docs.schema["doc_id"], *(StructField(c, LongType()) for c in ("item_id", "n_shingles", "n_found"))])
     items = items.where("item_id is not null").select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     sets = items.mapInArrow(lambda it: _item_sets(it, size), "item_id long, width long, shingles array<long>").where("size(shingles) > 0").distinct()
     sets = kept(sets)
@@ -129,15 +136,18 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = 5, percent: i
         if not rows:
             continue
         sent = spark.sparkContext.broadcast(_Block(rows, percent))
-        found = docs.mapInArrow(lambda it, sent=sent: _search(it, sent, percent), "doc_id long, item_id long, n_shingles long, n_found long")
+        found = docs.mapInArrow(lambda it, sent=sent: _search(it, sent, percent), made)
         out = found if out is None else out.union(found)
     if out is None:
-        return spark.createDataFrame([], "doc_id long, item_id long, n_shingles long, n_found long")
+        return spark.createDataFrame([], made)
     return out.distinct()
 
 
 def without_items(docs: DataFrame, items: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs`, all columns kept, whose doc_id has no contained item."""
-    hit = kept(contained_items(docs, items, size, percent).select(F.col("doc_id").alias("__hit")).distinct())
-    left = wrapped(docs, "doc_id").join(small_side(hit, SMALL_ROWS), F.col("doc_id") == F.col("__hit"), "left_anti")
-    return unwrapped(left, docs.columns, "doc_id")
+    """The rows of `docs`, all columns kept, whose text has no contained item. Rows of one doc_id are judged each by its own text; those without an id stay."""
+    key = lambda doc_id, text: F.struct(doc_id.cast("long").alias("doc_id"), F.xxhash64(text.cast("string")).alias("h"))
+    given = docs.where("doc_id is not null").select(key(F.col("doc_id"), F.col("text")).alias("doc_id"), F.col("text").cast("string").alias("text"))
+    hit = kept(_contained(given, items, size, percent, BLOCK_SHINGLES).select("doc_id.*").distinct().toDF("__hit", "__h"))
+    own = wrapped(docs, "doc_id", "text")
+    left = own.join(small_side(hit, SMALL_ROWS), (own["doc_id"].cast("long") == F.col("__hit")) & (F.xxhash64(own["text"].cast("string")) == F.col("__h")), "left_anti")
+    return unwrapped(left, docs.columns, "doc_id", "text")
