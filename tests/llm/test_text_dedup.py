@@ -6,6 +6,7 @@ import brute
 import pytest
 from brute import prose
 from compare import same_as_sql
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, line_dedup, queries, substring_dedup
 
@@ -165,3 +166,42 @@ def test_decontamination_of_nothing(spark):
 
 def test_decontamination_query_equals_sql(spark):
     assert same_as_sql(spark, queries.QUERIES["op5_benchmark_decontamination"], queries.SQL["op5_benchmark_decontamination"]) > 0
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    item = " ".join(f"w{k}" for k in range(12))
+    rows = [(1, "before it " + item, "a"), (1, "all clean words here and more", "b"), (None, item, "c"), (2, None, "d"), (1, "before it " + item, "e"), (3, item, "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __hit string")
+    left = decontaminate.without_items(docs, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert left.columns == docs.columns and sorted(r["__hit"] for r in left.collect()) == ["b", "c", "d"]
+
+
+def test_report_with_clashing_columns(spark):
+    rows = [(1, "aa bb\ncc dd\nee", "x", 1), (2, "aa bb\ncc dd\nff", "y", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __doc string, __parts int").withColumns({"__h": F.lit(1), "__lines": F.lit(0), "raw": F.lit(2), "__rest": F.lit(3)})
+    out = line_dedup.line_report(docs)
+    assert out.columns == ["doc_id", "text", "__doc", "__parts", "__h", "raw", "__rest", "__lines", "__longest"]
+    assert sorted((r["doc_id"], r["text"], r["__doc"], r["__lines"], r["__longest"]) for r in out.collect()) == [(1, rows[0][1], "x", None, None), (2, "ff", "y", [0, 1], 2)]
+
+
+def test_lines_of_two_name_all_lines_of_longer_runs(spark):
+    """The lines under later copies of whole maximal runs are those under later copies of their stretches of `min_lines`: each line of a later
+    run lies in such a stretch inside the run, which occurs before; and a later stretch is itself part of a later maximal run."""
+    r = random.Random(12)
+    rows = [(d, "\n".join(r.choice("abcdef") * 3 for _ in range(r.randrange(1, 25)))) for d in range(30)]
+    texts = {d: t.split("\n") for d, t in rows}
+    for least in (2, 3):
+        gone = {d: set() for d in texts}
+        places = [(d, k) for d in sorted(texts) for k in range(len(texts[d]))]
+        for d, k in places:
+            longest = 0
+            for e, j in places:
+                if (e, j) < (d, k):
+                    n = 0
+                    while k + n < len(texts[d]) and j + n < len(texts[e]) and texts[d][k + n] == texts[e][j + n]:
+                        n += 1
+                    longest = max(longest, n)
+            if longest >= least:
+                gone[d] |= set(range(k, k + longest))
+        got = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string"), least)
+        assert {x["doc_id"]: set(x["__lines"] or ()) for x in got.collect()} == gone

@@ -67,18 +67,15 @@ def _ranked(rows: DataFrame, *keys: str) -> DataFrame:
     return kept(classes.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("rank", F.monotonically_increasing_id()))
 
 
-def suffix_levels(docs: DataFrame, min_lines: int = 2, long_words: int | None = None, settled: bool = True) -> list[DataFrame]:
-    """For spans of 1, 2, 4, ... lines the suffixes (d, seq, pos, until, long, last, rank) whose first lines of that span occur elsewhere too; last ends their segment.
-
-    Without `settled` spans end at `min_lines`.
-    """
+def suffix_levels(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> list[DataFrame]:
+    """For spans of 1, 2, 4, ... lines the suffixes (d, seq, pos, until, long, last, rank) whose first lines of that span occur elsewhere too; last ends their segment."""
     every = kept(lines(docs, min_lines, long_words))
     held = hot_join(every, _ranked(every, "id1", "id2"), ["id1", "id2"])
     segment = F.col("seq") - F.row_number().over(W.partitionBy("d").orderBy("seq"))
     held = held.withColumn("segment", segment).withColumn("last", F.max("seq").over(W.partitionBy("d", "segment")))
     levels, span = [kept(held.select("d", "seq", "pos", "until", "long", "last", "rank"))], 1
     forget(every)
-    while (settled or 2 * span <= min_lines) and not levels[-1].isEmpty():
+    while not levels[-1].isEmpty():
         now = levels[-1]
         behind = now.select("d", (F.col("seq") - span).alias("seq"), F.col("rank").alias("r2"))
         pairs = now.where(F.col("seq") + 2 * span - 1 <= F.col("last")).withColumnRenamed("rank", "r1").join(behind, ["d", "seq"])
@@ -124,13 +121,13 @@ def _of_depth(levels: list[DataFrame], n: int) -> DataFrame | None:
     return kept(hot_join(pairs, _ranked(pairs, "r1", "r2"), ["r1", "r2"]).select(level.columns))
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = 2, long_words: int | None = None, lengths: bool = True) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
     """(d, pos, until, n_common): line numbers between which a later copy lies of a run of `min_lines` lines, or of a single line of `long_words` words.
 
-    n_common is the number of lines of the longest run that starts there and at the first occurrence too; null without `lengths`, for
-    which the suffixes are ranked only as far as the intervals that name lines need.
+    n_common, the longest common prefix, is the number of lines of the longest run that starts there and at the first occurrence too.
+    It decides: a suffix names lines if it shares `min_lines` lines with the first of its interval, or a long one.
     """
-    levels = suffix_levels(docs, min_lines, long_words, lengths)
+    levels = suffix_levels(docs, min_lines, long_words)
     later, deep = None, _of_depth(levels, min_lines)
     if deep is not None:
         later = _later(deep, 0)
@@ -139,34 +136,34 @@ def repeated_runs(docs: DataFrame, min_lines: int = 2, long_words: int | None =
         later = single if later is None else later.union(single)
     if later is None:
         return docs.sparkSession.createDataFrame([], "d struct<doc_id:bigint,h:bigint>, pos int, until int, n_common int")
-    if not lengths:
-        return later.select("d", "pos", "until", F.lit(None).cast("int").alias("n_common"))
-    out = common_prefixes(later, levels)
+    out = common_prefixes(later, levels).where(F.when(F.col("kind") == 0, F.col("n_common") >= min_lines).otherwise(F.col("n_common") >= 1))
     forget(*levels)
     return out.select("d", "pos", "until", "n_common")
 
 
-def deleted_lines(docs: DataFrame, min_lines: int = 2, long_words: int | None = None, lengths: bool = True) -> DataFrame:
+def deleted_lines(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
     """(doc_id, h, lines, longest): for each document that loses any, the numbers of the lines to delete, and its largest n_common."""
-    later = kept(repeated_runs(docs, min_lines, long_words, lengths))
+    later = kept(repeated_runs(docs, min_lines, long_words))
     covered = later.select("d", F.explode(F.sequence("pos", "until")).alias("line")).groupBy("d").agg(F.collect_set("line").alias("lines"))
     most = later.groupBy("d").agg(F.max("n_common").alias("longest"))
     return covered.join(most, "d").select("d.doc_id", "d.h", "lines", "longest")
 
 
-def line_report(docs: DataFrame, min_lines: int = 2, long_words: int | None = None, lengths: bool = True) -> DataFrame:
-    """`docs` with __lines (null: nothing to delete) and __longest (null without `lengths`), and the later copies of repeated runs deleted from `text`.
+def line_report(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
+    """`docs` with __lines (null: nothing to delete) and __longest, and the later copies of repeated runs deleted from `text`.
 
-    Blank lines inside a deleted run go with it. Columns of these two names in `docs` give way to them.
+    Blank lines inside a deleted run go with it. Columns of these two names in `docs` give way to them; others may have any name.
     """
-    docs = docs.drop("__lines", "__longest")
-    gone = kept(deleted_lines(docs, min_lines, long_words, lengths).select(F.col("doc_id").alias("__doc"), F.col("h").alias("__h"), F.col("lines").alias("__lines"), F.col("longest").alias("__longest")))
-    key = (docs["doc_id"] == F.col("__doc")) & (F.xxhash64(docs["text"]) == F.col("__h"))
-    both = docs.join(small_lists(gone, "__lines", SMALL_VALUES), key, "left").drop("__doc", "__h")
+    columns = [c for c in docs.columns if c not in ("__lines", "__longest")]
+    own = wrapped(docs.select(*(F.col(f"`{c}`") for c in columns)), "doc_id", "text")
+    gone = kept(deleted_lines(own, min_lines, long_words).select(F.col("doc_id").alias("__doc"), F.col("h").alias("__h"), F.col("lines").alias("__lines"), F.col("longest").alias("__longest")))
+    key = (own["doc_id"] == F.col("__doc")) & (F.xxhash64(own["text"]) == F.col("__h"))
+    both = own.join(small_lists(gone, "__lines", SMALL_VALUES), key, "left").drop("__doc", "__h")
     split = both.withColumn("__parts", F.when(F.col("__lines").isNotNull(), F.split("text", "\n")))
     stay = F.array_except(F.sequence(F.lit(0), F.size("__parts") - 1), "__lines")
     left = F.array_join(F.transform(stay, lambda i: F.get("__parts", i)), "\n")
-    return split.withColumn("text", F.when(F.col("__lines").isNull(), F.col("text")).otherwise(left)).drop("__parts")
+    out = split.withColumn("text", F.when(F.col("__lines").isNull(), F.col("text")).otherwise(left))
+    return out.select(*(F.col(c) if c in ("doc_id", "text") else F.col("__rest").getField(c).alias(c) for c in columns), "__lines", "__longest")
 
 
 def without_repeated_lines(docs: DataFrame, min_lines: int = 2, long_words: int | None = LONG_WORDS) -> DataFrame:
@@ -174,5 +171,5 @@ def without_repeated_lines(docs: DataFrame, min_lines: int = 2, long_words: int
 
     A document of which only white space is left has its text in earlier ones and goes; one that had no text before stays.
     """
-    out = line_report(wrapped(docs, "doc_id", "text"), min_lines, long_words, lengths=False)
+    out = line_report(wrapped(docs, "doc_id", "text"), min_lines, long_words)
     return unwrapped(out.where(F.col("__lines").isNull() | (F.trim(F.col("text"), F.lit("\t\n\x0b\x0c\r ")) != "")), docs.columns, "doc_id", "text")
