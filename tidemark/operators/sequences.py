@@ -84,8 +84,8 @@ def _segments(words: DataFrame, step) -> DataFrame:
     return own.groupBy("source_id", "number").agg(F.min("idx").alias("from_idx"), (F.max("idx") + 1).alias("to_idx"), first.alias("start_ms"), last.alias("end_ms"), text.alias("text"))
 
 
-def semantic_windows(words: DataFrame, least: int = 8000, target: int = 10000, most: int = 12000, pause: int = 1000) -> DataFrame:
-    """Windows that close at `most` ms, or past `least` at a sentence end or pause, or past `target` at a short gap; with their `id`."""
+def window_step(least: int, target: int, most: int, pause: int):
+    """The fold that closes a window at `most` ms, or past `least` at a sentence end or pause, or past `target` at a short gap."""
 
     def step(start, begin, end, gap, last, word):
         start = begin if start is None else start
@@ -93,14 +93,19 @@ def semantic_windows(words: DataFrame, least: int = 8000, target: int = 10000, m
         ends = past >= most or (past >= least and ((word or "")[-1:] in (".", "?", "!") or gap >= pause)) or (past >= target and gap >= 350)
         return None if ends else start
 
-    return _segments(words, step).withColumn("id", F.format_string("window-%04d", F.col("number") + 1))
+    return step
+
+
+def semantic_windows(words: DataFrame, least: int = 8000, target: int = 10000, most: int = 12000, pause: int = 1000) -> DataFrame:
+    """Windows that close at `most` ms, or past `least` at a sentence end or pause, or past `target` at a short gap; with their `id`."""
+    return _segments(words, window_step(least, target, most, pause)).withColumn("id", F.format_string("window-%04d", F.col("number") + 1))
 
 
 _SENTENCE_END = re.compile(r"""[.?!]["')\]]*$""")
 
 
-def cues(words: DataFrame, pause: int = 350, chars: int = 62, span: int = 4000) -> DataFrame:
-    """Caption cues: they break at a sentence end (quotes may follow), else at a pause, else at length or duration."""
+def cue_step(pause: int, chars: int, span: int):
+    """The fold that closes a cue at a sentence end (quotes may follow), else at a pause, else at length or duration."""
 
     def step(state, begin, end, gap, last, word):
         start, n = (begin, -1) if state is None else state
@@ -108,7 +113,12 @@ def cues(words: DataFrame, pause: int = 350, chars: int = 62, span: int = 4000)
         ends = bool(_SENTENCE_END.search(word or "")) or (not last and gap >= pause) or n >= chars or end - start >= span
         return None if ends else (start, n)
 
-    return _segments(words, step)
+    return step
+
+
+def cues(words: DataFrame, pause: int = 350, chars: int = 62, span: int = 4000) -> DataFrame:
+    """Caption cues: they break at a sentence end (quotes may follow), else at a pause, else at length or duration."""
+    return _segments(words, cue_step(pause, chars, span))
 
 
 def rebase(words: DataFrame, clips: DataFrame, bucket_ms: int = 60_000) -> DataFrame:
