@@ -29,11 +29,11 @@ def ranked(spark, rows, **settings):
 
 def test_reasons_to_reject(spark):
     rows = [
-        candidate(1, 0, 900, "10", self_contained="8", emotion="6", payoff="9", retention="7"), candidate(2, 1000, 1900, None), candidate(3, 2000, 2900, emotion=None), candidate(4, 3000, 3900, "11", topic=" \n"),
+        candidate(1, 0, 900, "10", self_contained="9", emotion="7", payoff="9", retention="5"), candidate(2, 1000, 1900, None), candidate(3, 2000, 2900, emotion=None), candidate(4, 3000, 3900, "11", topic=" \n"),
         candidate(5, 4000, 4900, flags=["missingPayoff", "other", "midSentence"]), candidate(6, 5000, 5000), candidate(7, None, 6000), candidate(8, 10000, 12400, fps=60.0), candidate(9, 20000, 20300), candidate(10, 30000, 40000, "-1"),
     ]
     got, _ = ranked(spark, rows)
-    assert float(got[1]["composite"]) == 8.35 and got[1]["rank"] == 1
+    assert float(got[1]["composite"]) == 8.4 and got[1]["rank"] == 1
     assert {n: r["reasons"] for n, r in got.items() if r["status"] == "rejected"} == {
         2: "score hook is missing", 3: "score emotion is missing", 4: "score hook must be between 0 and 10; topicKey is required", 5: "blocking flags: midSentence, missingPayoff",
         6: "invalid half-open frame range", 7: "invalid half-open frame range", 9: "below minimum duration", 10: "above maximum duration; score hook must be between 0 and 10",
@@ -54,11 +54,11 @@ def test_suppression_diversity_and_order(spark):
 
 
 def test_documents_are_ranked(spark, tmp_path):
-    scores = {"hook": 10, "selfContainedness": 8, "emotion": 6, "payoffDensity": 9, "retention": 7}
+    scores = {"hook": 9, "selfContainedness": 7, "emotion": 4, "payoffDensity": 6, "retention": 2}
     good = {"id": "", "startFrame": 0, "endFrameExclusive": 900, "topicKey": "t", "scores": scores, "rejectionFlags": None}
     (tmp_path / "c.json").write_text(json.dumps({"candidates": [good, good | {"startFrame": 2000, "endFrameExclusive": 2900, "scores": {"hook": 1}}]}))
     out = {r["event_id"]: r for r in ranking.rank(documents.ranking_input(documents.read_candidates(spark, str(tmp_path)), 30)).collect()}
-    assert float(out[0]["composite"]) == 8.35 and out[1]["reasons"] == "score selfContainedness is missing"
+    assert float(out[0]["composite"]) == 6.2 and out[1]["reasons"] == "score selfContainedness is missing"
 
 
 SHOTS, SAMPLES = "source_id long, shot_id string, start_frame long, end_frame long", "source_id long, shot_id string, frame long, x0 double, y0 double, x1 double, y1 double, confidence double, detector string"
@@ -143,10 +143,10 @@ def test_settings_of_crops(spark):
 
 
 def test_shots_between_cuts(spark):
-    cuts = spark.createDataFrame([(1, 50), (1, 120), (2, 2), (2, 4), (2, 6), (3, 12), (3, 20), (3, 95)], "source_id long, frame long")
-    totals = spark.createDataFrame([(1, 200), (2, 100), (3, 100), (4, 0)], "source_id long, total long")
+    cuts = spark.createDataFrame([(1, 37), (1, 141), (2, 3), (2, 5), (2, 9), (3, 12), (3, 20), (3, 95)], "source_id long, frame long")
+    totals = spark.createDataFrame([(1, 230), (2, 90), (3, 100), (4, 0)], "source_id long, total long")
     got = sorted((r["source_id"], r["start_frame"], r["end_frame"]) for r in shots.build_shots(cuts, totals).collect())
-    assert got == [(1, 0, 50), (1, 50, 120), (1, 120, 200), (2, 0, 100), (3, 0, 12), (3, 12, 100)]
+    assert got == [(1, 0, 37), (1, 37, 141), (1, 141, 230), (2, 0, 90), (3, 0, 12), (3, 12, 100)]
 
 
 def test_word_errors(spark):

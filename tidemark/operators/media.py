@@ -59,7 +59,7 @@ def spec_findings(media: DataFrame, key: str) -> DataFrame:
     codecs = F.array_join(F.transform("streams", lambda x: F.concat_ws(":", x["codec_type"], F.coalesce(x["codec_name"], F.lit("None")))), ", ")
     checks = F.array(
         _finding("dimensions", _passes(~asked | same, "fail"), F.when(~asked, F.concat(size, F.lit(" (no expectation supplied)"))).when(same, size).otherwise(F.format_string("expected %dx%d, rendered %dx%d", "want_width", "want_height", "width", "height"))),
-        _finding("orientation", _passes(upright, "warn"), F.when(upright, "vertical").otherwise(F.concat(F.lit("not vertical ("), size, F.lit("); short-form platforms expect 9:16")))),
+        _finding("orientation", _passes(upright, "warn"), F.when(upright, "vertical").otherwise(F.concat(F.lit("not vertical: "), size))),
         _finding("fps", _passes(~asked_fps | (F.abs(fps - F.col("want_fps")) < 0.05), "fail"), F.when(~asked_fps, F.concat(shown, F.lit(" (no expectation supplied)"))).when(F.abs(fps - F.col("want_fps")) < 0.05, shown).otherwise(F.concat(F.lit("expected "), F.col("want_fps").cast("double").cast("string"), F.lit(", rendered "), shown))),
         _finding("frame-count", _passes(~asked_frames | near, "fail"), F.when(~asked_frames | near, frames.cast("string")).otherwise(F.format_string("expected %d, rendered %d", F.col("want_frames"), frames))),
         _finding("duration", F.lit("pass"), F.format_string("%.3fs", F.coalesce("duration", F.lit(0.0)))),
@@ -91,30 +91,30 @@ def level_findings(media: DataFrame, key: str, window: float = 0.15) -> DataFram
     audio = F.col("has_audio")
     silent = F.col("mean_db") <= SILENCE_DB
     mean = F.format_string("%.1f", "mean_db")
-    audio_level = _finding("audio-level", F.when(F.col("mean_db").isNull(), "warn").when(silent, "fail").otherwise("pass"), F.when(F.col("mean_db").isNull(), "could not measure mean volume").when(silent, F.concat(F.lit("audio is effectively silent ("), mean, F.lit(" dB mean)"))).otherwise(F.concat(mean, F.lit(" dB mean"))))
+    audio_level = _finding("audio-level", F.when(F.col("mean_db").isNull(), "warn").when(silent, "fail").otherwise("pass"), F.when(F.col("mean_db").isNull(), "could not measure mean volume").when(silent, F.concat(F.lit("silent: "), mean, F.lit(" dB mean"))).otherwise(F.concat(mean, F.lit(" dB mean"))))
     good = F.col("lufs").between(LOUDNESS_LEAST, LOUDNESS_MOST)
     lufs = F.format_string("%.1f", "lufs")
     unread = F.when(~F.col("has_loudness"), "could not measure loudness").when(~F.col("readable"), "loudness output was not parseable")
-    loudness = _finding("loudness", F.when(unread.isNull() & good, "pass").otherwise("warn"), F.coalesce(unread, F.when(good, F.concat(lufs, F.lit(" LUFS integrated"))).otherwise(F.concat(lufs, F.lit(f" LUFS is outside the {LOUDNESS_LEAST:.1f} to {LOUDNESS_MOST:.1f} range platforms normalise toward")))))
+    loudness = _finding("loudness", F.when(unread.isNull() & good, "pass").otherwise("warn"), F.coalesce(unread, F.when(good, F.concat(lufs, F.lit(" LUFS integrated"))).otherwise(F.concat(lufs, F.lit(f" LUFS, not in {LOUDNESS_LEAST:.1f} to {LOUDNESS_MOST:.1f}")))))
     over = F.col("peak") > PEAK_MOST
-    peak = F.when(unread.isNull(), _finding("true-peak", F.when(over, "fail").otherwise("pass"), F.when(over, F.concat(F.format_string("%.2f", "peak"), F.lit(f" dBTP exceeds {PEAK_MOST} dBTP and will clip on playback"))).otherwise(F.concat(F.format_string("%.2f", "peak"), F.lit(" dBTP")))))
+    peak = F.when(unread.isNull(), _finding("true-peak", F.when(over, "fail").otherwise("pass"), F.when(over, F.concat(F.format_string("%.2f", "peak"), F.lit(f" dBTP, over {PEAK_MOST}"))).otherwise(F.concat(F.format_string("%.2f", "peak"), F.lit(" dBTP")))))
     short, unknown = F.coalesce("duration", F.lit(0.0)) <= 4 * window, F.col("mean_db").isNull()
 
-    def edge(name: str, position: str, present: str, bare: str) -> Column:
+    def edge(name: str, position: str, verb: str) -> Column:
         value = F.col(f"{name}_db")
         clean = value <= F.col("mean_db") - EDGE_DB
         db = F.format_string("%.1f", value)
-        said = F.when(value.isNull(), "could not measure").when(clean, F.concat(db, F.lit(" dB against a "), mean, F.lit(f" dB clip mean - {present} below speech level")))
-        loud = F.concat(db, F.lit(f" dB in the {position} {window}s sits at speech level for this clip ("), mean, F.lit(f" dB mean); it may {bare} mid-syllable - listen to it"))
+        said = F.when(value.isNull(), "could not measure").when(clean, F.concat(db, F.lit(" dB, mean "), mean, F.lit(" dB")))
+        loud = F.concat(db, F.lit(f" dB in the {position} {window}s, mean "), mean, F.lit(f" dB: may {verb} inside a word"))
         return F.when(~short & ~unknown, _finding(f"boundary-{name}", F.when(clean, "pass").otherwise("warn"), F.coalesce(said, loud)))
 
-    whole = F.when(short | unknown, _finding("boundaries", F.lit("warn"), F.when(short, "clip too short to measure boundaries").otherwise("clip level unknown; cannot judge boundaries")))
+    whole = F.when(short | unknown, _finding("boundaries", F.lit("warn"), F.when(short, "too short for its edges").otherwise("mean level unknown")))
     n = F.col("decode_errors")
-    decode = _finding("decode", F.when(n == 0, "pass").otherwise("fail"), F.when(n == 0, "every frame decoded cleanly").otherwise(F.format_string("%d decode error(s); file may be truncated or corrupt", n)))
+    decode = _finding("decode", F.when(n == 0, "pass").otherwise("fail"), F.when(n == 0, "every frame decoded cleanly").otherwise(F.format_string("%d decode error(s)", n)))
     frozen = F.size("freezes")
     freeze = _finding("frozen-frames", F.when(frozen == 0, "pass").otherwise("warn"), F.when(frozen == 0, "none detected").otherwise(F.format_string("%d frozen stretch(es) of 1s or longer", frozen)))
-    heard = F.array(audio_level, loudness, peak, whole, edge("head", "first", "starts", "start"), edge("tail", "last", "ends", "end"))
-    none = F.array(_finding("audio-present", F.lit("fail"), F.lit("no audio stream; a silent short is a wasted upload")))
+    heard = F.array(audio_level, loudness, peak, whole, edge("head", "first", "start"), edge("tail", "last", "end"))
+    none = F.array(_finding("audio-present", F.lit("fail"), F.lit("no audio stream")))
     return media.select(key, F.inline(F.array_compact(F.concat(F.array(decode, freeze), F.when(audio, heard).otherwise(none)))))
 
 

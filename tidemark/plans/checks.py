@@ -17,7 +17,7 @@ _MEDIA = """
     f AS (SELECT media_id, unnest(CASE WHEN NOT has_video THEN [{'c': 'video-stream', 's': 'fail', 'd': 'no video stream found'}] ELSE [
         {'c': 'dimensions', 's': CASE WHEN ww = 0 OR (width = ww AND height = wh) THEN 'pass' ELSE 'fail' END,
          'd': CASE WHEN ww = 0 THEN width || 'x' || height || ' (no expectation supplied)' WHEN width = ww AND height = wh THEN width || 'x' || height ELSE 'expected ' || ww || 'x' || wh || ', rendered ' || width || 'x' || height END},
-        {'c': 'orientation', 's': CASE WHEN height > width THEN 'pass' ELSE 'warn' END, 'd': CASE WHEN height > width THEN 'vertical' ELSE 'not vertical (' || width || 'x' || height || '); short-form platforms expect 9:16' END},
+        {'c': 'orientation', 's': CASE WHEN height > width THEN 'pass' ELSE 'warn' END, 'd': CASE WHEN height > width THEN 'vertical' ELSE 'not vertical: ' || width || 'x' || height END},
         {'c': 'fps', 's': CASE WHEN wf = 0 OR abs(fps - wf) < 0.05 THEN 'pass' ELSE 'fail' END,
          'd': CASE WHEN wf = 0 THEN printf('%.3f', fps) || ' (no expectation supplied)' WHEN abs(fps - wf) < 0.05 THEN printf('%.3f', fps) ELSE 'expected ' || wf || printf(', rendered %.3f', fps) END},
         {'c': 'frame-count', 's': CASE WHEN wn = 0 OR abs(frames - wn) <= 1 THEN 'pass' ELSE 'fail' END, 'd': CASE WHEN wn = 0 OR abs(frames - wn) <= 1 THEN CAST(frames AS VARCHAR) ELSE 'expected ' || wn || ', rendered ' || frames END},
@@ -27,22 +27,22 @@ _MEDIA = """
            CASE WHEN p_partkey % 17 <> 0 THEN CAST('-' || p_partkey * 3 % 90 || '.5' AS DOUBLE) END AS head, CASE WHEN p_partkey % 31 <> 0 THEN CAST('-' || p_partkey * 7 % 90 || '.5' AS DOUBLE) END AS tail,
            CAST('-' || p_partkey % 30 || '.25' AS DOUBLE) AS lufs, CAST('-' || p_partkey % 3 || '.50' AS DOUBLE) AS peak FROM part),
     ln AS (SELECT k AS media_id, mean, duration, head, tail, unnest(list_filter([
-        {'c': 'decode', 's': CASE WHEN k % 3 = 0 THEN 'pass' ELSE 'fail' END, 'd': CASE WHEN k % 3 = 0 THEN 'every frame decoded cleanly' ELSE k % 3 || ' decode error(s); file may be truncated or corrupt' END},
+        {'c': 'decode', 's': CASE WHEN k % 3 = 0 THEN 'pass' ELSE 'fail' END, 'd': CASE WHEN k % 3 = 0 THEN 'every frame decoded cleanly' ELSE k % 3 || ' decode error(s)' END},
         {'c': 'frozen-frames', 's': CASE WHEN k % 4 = 0 THEN 'pass' ELSE 'warn' END, 'd': CASE WHEN k % 4 = 0 THEN 'none detected' ELSE k % 4 || ' frozen stretch(es) of 1s or longer' END},
-        CASE WHEN NOT audio THEN {'c': 'audio-present', 's': 'fail', 'd': 'no audio stream; a silent short is a wasted upload'} END,
+        CASE WHEN NOT audio THEN {'c': 'audio-present', 's': 'fail', 'd': 'no audio stream'} END,
         CASE WHEN audio THEN {'c': 'audio-level', 's': CASE WHEN mean IS NULL THEN 'warn' WHEN mean <= -60 THEN 'fail' ELSE 'pass' END,
-            'd': CASE WHEN mean IS NULL THEN 'could not measure mean volume' WHEN mean <= -60 THEN printf('audio is effectively silent (%.1f dB mean)', mean) ELSE printf('%.1f dB mean', mean) END} END,
+            'd': CASE WHEN mean IS NULL THEN 'could not measure mean volume' WHEN mean <= -60 THEN printf('silent: %.1f dB mean', mean) ELSE printf('%.1f dB mean', mean) END} END,
         CASE WHEN audio THEN {'c': 'loudness', 's': CASE WHEN k % 23 <> 0 AND k % 29 <> 0 AND lufs BETWEEN -16 AND -8 THEN 'pass' ELSE 'warn' END,
             'd': CASE WHEN k % 23 = 0 THEN 'could not measure loudness' WHEN k % 29 = 0 THEN 'loudness output was not parseable' WHEN lufs BETWEEN -16 AND -8 THEN printf('%.1f LUFS integrated', lufs - 0.01)
-                      ELSE printf('%.1f LUFS is outside the -16.0 to -8.0 range platforms normalise toward', lufs - 0.01) END} END,
-        CASE WHEN audio AND k % 23 <> 0 AND k % 29 <> 0 THEN {'c': 'true-peak', 's': CASE WHEN peak > -0.1 THEN 'fail' ELSE 'pass' END, 'd': CASE WHEN peak > -0.1 THEN printf('%.2f dBTP exceeds -0.1 dBTP and will clip on playback', peak) ELSE printf('%.2f dBTP', peak) END} END,
-        CASE WHEN audio AND (duration <= 0.6 OR mean IS NULL) THEN {'c': 'boundaries', 's': 'warn', 'd': CASE WHEN duration <= 0.6 THEN 'clip too short to measure boundaries' ELSE 'clip level unknown; cannot judge boundaries' END} END,
+                      ELSE printf('%.1f LUFS, not in -16.0 to -8.0', lufs - 0.01) END} END,
+        CASE WHEN audio AND k % 23 <> 0 AND k % 29 <> 0 THEN {'c': 'true-peak', 's': CASE WHEN peak > -0.1 THEN 'fail' ELSE 'pass' END, 'd': CASE WHEN peak > -0.1 THEN printf('%.2f dBTP, over -0.1', peak) ELSE printf('%.2f dBTP', peak) END} END,
+        CASE WHEN audio AND (duration <= 0.6 OR mean IS NULL) THEN {'c': 'boundaries', 's': 'warn', 'd': CASE WHEN duration <= 0.6 THEN 'too short for its edges' ELSE 'mean level unknown' END} END,
         CASE WHEN audio AND duration > 0.6 AND mean IS NOT NULL THEN {'c': 'boundary-head', 's': CASE WHEN head <= mean - 8 THEN 'pass' ELSE 'warn' END,
-            'd': CASE WHEN head IS NULL THEN 'could not measure' WHEN head <= mean - 8 THEN printf('%.1f dB against a %.1f dB clip mean - starts below speech level', head, mean)
-                      ELSE printf('%.1f dB in the first 0.15s sits at speech level for this clip (%.1f dB mean); it may start mid-syllable - listen to it', head, mean) END} END,
+            'd': CASE WHEN head IS NULL THEN 'could not measure' WHEN head <= mean - 8 THEN printf('%.1f dB, mean %.1f dB', head, mean)
+                      ELSE printf('%.1f dB in the first 0.15s, mean %.1f dB: may start inside a word', head, mean) END} END,
         CASE WHEN audio AND duration > 0.6 AND mean IS NOT NULL THEN {'c': 'boundary-tail', 's': CASE WHEN tail <= mean - 8 THEN 'pass' ELSE 'warn' END,
-            'd': CASE WHEN tail IS NULL THEN 'could not measure' WHEN tail <= mean - 8 THEN printf('%.1f dB against a %.1f dB clip mean - ends below speech level', tail, mean)
-                      ELSE printf('%.1f dB in the last 0.15s sits at speech level for this clip (%.1f dB mean); it may end mid-syllable - listen to it', tail, mean) END} END], lambda x: x IS NOT NULL)) AS r FROM lm)
+            'd': CASE WHEN tail IS NULL THEN 'could not measure' WHEN tail <= mean - 8 THEN printf('%.1f dB, mean %.1f dB', tail, mean)
+                      ELSE printf('%.1f dB in the last 0.15s, mean %.1f dB: may end inside a word', tail, mean) END} END], lambda x: x IS NOT NULL)) AS r FROM lm)
 """
 
 
