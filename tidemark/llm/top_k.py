@@ -9,7 +9,8 @@ Components are quantised to floor(scale * x), so scores are whole numbers and ex
    `RANGE_ROWS`. The longest vectors give each query k scores to begin with: a
    floor on its k-th score. Queries are range-partitioned into blocks by floor over
    length, so that a block needs the ranges up to one length and none beyond.
-3. Each block meets each range that it needs in one task, all in one job. There
+3. A range is sent to one task for each GROUP of blocks, which takes the blocks that need it one after the other, all in one
+   job: what is copied are the queries, few against the candidates. There
    candidates are taken by descending length: a query skips a slice, and all that follow,
    when |q| * |x| of the slice's longest can't reach its floor; in a slice it skips
    vectors whose partial product plus the product of the residual lengths can't. What is left is scored exactly.
@@ -40,6 +41,8 @@ QUERY_BLOCK = 4096
 RANGE_ROWS = 32_768
 #: Candidates held against a block of queries at a time.
 SLICE = 1024
+#: Blocks that a range meets in one task.
+GROUP = 16
 LEADING = 16
 SEEDS = 4096
 #: Against rounding in the rotated floats; scores are whole numbers.
@@ -166,38 +169,76 @@ def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.n
     return ids[order], scores[order]
 
 
-def _search(left: pa.Table, right: pa.Table, basis: np.ndarray, k: int) -> pa.Table:
-    """The k best candidates (row, vec_id, q) of a range for each query (row, vec_id, q, floor) of a block."""
-    size = len(basis)
-    x, q = _matrix(left.column("q"), size), _matrix(right.column("q"), size)
-    norms = np.sqrt((x**2).sum(1))
-    order = np.argsort(-norms, kind="stable")
-    x, norms = x[order], norms[order]
-    rows, ids = left.column("row").to_numpy()[order], left.column("vec_id").to_numpy()[order]
-    own, asked = right.column("row").to_numpy(), right.column("vec_id").to_numpy()
-    floor, length = right.column("floor").to_numpy().copy(), np.sqrt((q**2).sum(1))
-    turned = q @ basis
-    lead, rest = turned[:, :LEADING], np.sqrt((turned[:, LEADING:] ** 2).sum(1))
-    best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q)
-    for at in range(0, len(x), SLICE):
-        part, norm = x[at : at + SLICE], norms[at : at + SLICE]
-        live = np.flatnonzero(length * norm[0] * (1 + SLACK) + SLACK >= floor)
-        if not len(live):
-            break  # every later vector is shorter
-        own_turned = part @ basis
-        bound = lead[live] @ own_turned[:, :LEADING].T + np.outer(rest[live], np.sqrt((own_turned[:, LEADING:] ** 2).sum(1)))
-        bound += SLACK * np.outer(length[live], norm) + SLACK
-        for i, reach in zip(live.tolist(), bound):
-            near = np.flatnonzero((np.minimum(reach, float(_ENDS[1])) >= floor[i]) & (rows[at : at + SLICE] != own[i]))
-            if not len(near):
-                continue
-            score = _products(part[near], q[i])
-            best[i] = _best(np.concatenate([best[i][0], ids[at + near]]), np.concatenate([best[i][1], score]), k)
-            if len(best[i][1]) == k:
-                floor[i] = max(floor[i], float(best[i][1][-1]) - SLACK * abs(float(best[i][1][-1])))
-    n = [len(b[0]) for b in best]
-    flat = lambda j: np.concatenate([b[j] for b in best]) if best else np.zeros(0, np.int64)
-    return pa.table({"query_row": np.repeat(own, n), "query_id": np.repeat(asked, n), "vec_id": flat(0), "score": flat(1)})
+class _Range:
+    """Candidates (row, vec_id, q) by descending length, with the leading dimensions and the residual lengths of their rotated forms."""
+
+    def __init__(self, left: pa.Table, basis: np.ndarray):
+        x = _matrix(left.column("q"), len(basis))
+        norms = np.sqrt((x**2).sum(1))
+        order = np.argsort(-norms, kind="stable")
+        self.basis, self.x, self.norms = basis, x[order], norms[order]
+        self.rows, self.ids = left.column("row").to_numpy()[order], left.column("vec_id").to_numpy()[order]
+        self.lead, self.rest = np.empty((len(x), min(LEADING, len(basis)))), np.empty(len(x))
+        for at in range(0, len(x), SLICE):
+            turned = self.x[at : at + SLICE] @ basis
+            self.lead[at : at + SLICE], self.rest[at : at + SLICE] = turned[:, :LEADING], np.sqrt((turned[:, LEADING:] ** 2).sum(1))
+
+    def search(self, right: pa.Table, k: int) -> pa.RecordBatch:
+        """The k best candidates for each query (row, vec_id, q, floor) of a block."""
+        q = _matrix(right.column("q"), len(self.basis))
+        own, asked = right.column("row").to_numpy(), right.column("vec_id").to_numpy()
+        floor, length = right.column("floor").to_numpy().copy(), np.sqrt((q**2).sum(1))
+        turned = q @ self.basis
+        lead, rest = turned[:, :LEADING], np.sqrt((turned[:, LEADING:] ** 2).sum(1))
+        best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(q)
+        for at in range(0, len(self.x), SLICE):
+            here = slice(at, at + SLICE)
+            norm = self.norms[here]
+            live = np.flatnonzero(length * norm[0] * (1 + SLACK) + SLACK >= floor)
+            if not len(live):
+                break  # every later vector is shorter
+            bound = lead[live] @ self.lead[here].T + np.outer(rest[live], self.rest[here])
+            bound += SLACK * np.outer(length[live], norm) + SLACK
+            for i, reach in zip(live.tolist(), bound):
+                near = np.flatnonzero((np.minimum(reach, float(_ENDS[1])) >= floor[i]) & (self.rows[here] != own[i]))
+                if not len(near):
+                    continue
+                score = _products(self.x[at + near], q[i])
+                best[i] = _best(np.concatenate([best[i][0], self.ids[at + near]]), np.concatenate([best[i][1], score]), k)
+                if len(best[i][1]) == k:
+                    floor[i] = max(floor[i], float(best[i][1][-1]) - SLACK * abs(float(best[i][1][-1])))
+        n = [len(b[0]) for b in best]
+        flat = lambda j: np.concatenate([b[j] for b in best]) if best else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in (np.repeat(own, n), np.repeat(asked, n), flat(0), flat(1))], names=["query_row", "query_id", "vec_id", "score"])
+
+
+def _met(batches, basis: np.ndarray, k: int):
+    """Sorted rows (r, g, kind, b, row, vec_id, q, floor): of each r and g first the candidates (kind 0), which are held, then the queries, a block at a time."""
+    now, held, candidates, block = None, [], None, []
+
+    def searched():
+        nonlocal candidates, held
+        if candidates is None:
+            candidates, held = _Range(pa.Table.from_batches(held), basis), []
+        return candidates.search(pa.Table.from_batches(block), k)
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        change = np.flatnonzero(np.any([c[1:] != c[:-1] for c in keys], axis=0)) + 1
+        for a, z in zip([0, *change], [*change, batch.num_rows]):
+            r, g, kind, b = (int(c[a]) for c in keys)
+            if now is not None and now != (r, g, kind, b):
+                if block and (held or candidates):
+                    yield searched()
+                block = []
+                if now[:2] != (r, g):
+                    candidates, held = None, []
+            now = r, g, kind, b
+            (block if kind else held).append(batch.slice(a, z - a))
+    if block and (held or candidates):
+        yield searched()
 
 
 def _runs(ordered: DataFrame, name: str, stat, rows: int) -> tuple[DataFrame, dict[int, list]]:
@@ -239,7 +280,9 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_bloc
     # which ranges a block needs: one number a range and one a block
     needs = lambda ratio: [r for r, norm2 in lengths.items() if max(norm2) ** 0.5 * (1 + SLACK) + SLACK >= ratio or ratio == -np.inf]
     cells = kept(spark.createDataFrame([(b, needs(min(x))) for b, x in ratios.items()], "b int, rs array<int>").select("b", F.explode("rs").alias("r")))
-    left = ranges.join(cells, "r").select("b", "r", "row", "vec_id", "q").groupBy("b", "r")
-    right = blocks.join(cells, "b").select("b", "r", "row", "vec_id", "q", "floor").groupBy("b", "r")
-    found = left.cogroup(right).applyInArrow(lambda x, y: _search(x, y, basis, k), "query_row long, query_id long, vec_id long, score long")
+    group = F.floor(F.col("b") / GROUP).cast("int").alias("g")
+    left = ranges.join(cells.select("r", group).distinct(), "r").select("r", "g", F.lit(0).alias("kind"), F.lit(-1).alias("b"), "row", "vec_id", "q", F.lit(0.0).alias("floor"))
+    right = blocks.join(cells, "b").select("r", group, F.lit(1).alias("kind"), "b", "row", "vec_id", "q", "floor")
+    both = left.unionByName(right).repartition("r", "g").sortWithinPartitions("r", "g", "kind", "b")
+    found = both.mapInArrow(lambda it: _met(it, basis, k), "query_row long, query_id long, vec_id long, score long")
     return ranked(found if exact is None else found.unionByName(exact))
