@@ -22,6 +22,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -68,7 +69,7 @@ def _counted(batches):
         for (lang, source), (n, docs) in held.items():
             size = len(n) + 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * size), pa.array([source] * size), pa.array([None, *n], pa.binary()).cast(pa.string()), pa.array([0, *n.values()], pa.int64()), pa.array([0, *(docs[t] for t in n)], pa.int64())],
+                [pa.array([lang] * size), pa.array([source] * size), pc.cast(pa.array([None, *n], pa.binary()), options=pc.CastOptions(target_type=pa.string(), allow_invalid_utf8=True)), pa.array([0, *n.values()], pa.int64()), pa.array([0, *(docs[t] for t in n)], pa.int64())],
                 names=["lang", "source", "term", "n", "docs"],
             )
         held.clear()
