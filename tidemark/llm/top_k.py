@@ -43,6 +43,7 @@ RANGE_ROWS = 32_768
 SLICE = 1024
 #: Blocks that a range meets in one task.
 GROUP = 16
+MOST_TASKS = 20_000
 LEADING = 16
 SEEDS = 4096
 #: Against rounding in the rotated floats; scores are whole numbers.
@@ -279,10 +280,12 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_bloc
     blocks, ratios = _runs(floors.repartitionByRange(number, F.desc("ratio"), "row"), "b", F.min("ratio"), query_block)
     # which ranges a block needs: one number a range and one a block
     needs = lambda ratio: [r for r, norm2 in lengths.items() if max(norm2) ** 0.5 * (1 + SLACK) + SLACK >= ratio or ratio == -np.inf]
-    cells = kept(spark.createDataFrame([(b, needs(min(x))) for b, x in ratios.items()], "b int, rs array<int>").select("b", F.explode("rs").alias("r")))
+    needed = [(b, needs(min(x))) for b, x in ratios.items()]
+    tasks = min(MOST_TASKS, 4 * len({(r, b // GROUP) for b, rs in needed for r in rs}))  # the work of a few bytes is large, so they are not to share a task
+    cells = kept(spark.createDataFrame(needed, "b int, rs array<int>").select("b", F.explode("rs").alias("r")))
     group = F.floor(F.col("b") / GROUP).cast("int").alias("g")
     left = ranges.join(cells.select("r", group).distinct(), "r").select("r", "g", F.lit(0).alias("kind"), F.lit(-1).alias("b"), "row", "vec_id", "q", F.lit(0.0).alias("floor"))
     right = blocks.join(cells, "b").select("r", group, F.lit(1).alias("kind"), "b", "row", "vec_id", "q", "floor")
-    both = left.unionByName(right).repartition("r", "g").sortWithinPartitions("r", "g", "kind", "b")
+    both = left.unionByName(right).repartition(tasks, "r", "g").sortWithinPartitions("r", "g", "kind", "b")
     found = both.mapInArrow(lambda it: _met(it, basis, k), "query_row long, query_id long, vec_id long, score long")
     return ranked(found if exact is None else found.unionByName(exact))
