@@ -254,8 +254,11 @@ def _runs(ordered: DataFrame, name: str, stat, rows: int) -> tuple[DataFrame, di
     return held.join(F.broadcast(named), "part").drop("part"), stats
 
 
-def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_block: int = QUERY_BLOCK, range_rows: int = RANGE_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score) of vectors (vec_id, embedding); `is_query` is a condition on vec_id."""
+def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_block: int = QUERY_BLOCK, range_rows: int | None = None) -> DataFrame:
+    """(query_id, rank, vec_id, score) of vectors (vec_id, embedding); `is_query` is a condition on vec_id.
+
+    Without `range_rows`, ranges hold RANGE_ROWS candidates, or fewer, 2,048 at least, so that small tables keep all cores busy.
+    """
     spark = vectors.sparkSession
     every = kept(quantised(vectors, scale))
     exact = _by_whole_numbers(every, is_query, k, scale)
@@ -273,6 +276,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_bloc
     longest = rows.orderBy(F.desc("norm2"), "vec_id").limit(SEEDS).select("row", "q").toArrow()
     seeds = spark.sparkContext.broadcast((longest.column("row").to_numpy(), _matrix(longest.column("q"), size)))
 
+    range_rows = range_rows or min(RANGE_ROWS, max(2048, count // (4 * spark.sparkContext.defaultParallelism)))
     number = max(1, -(-count // range_rows))
     ranges, lengths = _runs(rows.repartitionByRange(number, F.desc("norm2"), "row"), "r", F.max("norm2"), range_rows)
     floors = asked.select("vec_id", "row", "q").mapInArrow(lambda it: _floors(it, seeds, k, size), "vec_id long, row long, q array<double>, floor double, ratio double")
