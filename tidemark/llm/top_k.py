@@ -276,7 +276,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, query_bloc
     longest = rows.orderBy(F.desc("norm2"), "vec_id").limit(SEEDS).select("row", "q").toArrow()
     seeds = spark.sparkContext.broadcast((longest.column("row").to_numpy(), _matrix(longest.column("q"), size)))
 
-    range_rows = range_rows or min(RANGE_ROWS, max(2048, count // (4 * spark.sparkContext.defaultParallelism)))
+    range_rows = range_rows or min(RANGE_ROWS, max(2048, count // spark.sparkContext.defaultParallelism))
     number = max(1, -(-count // range_rows))
     ranges, lengths = _runs(rows.repartitionByRange(number, F.desc("norm2"), "row"), "r", F.max("norm2"), range_rows)
     floors = asked.select("vec_id", "row", "q").mapInArrow(lambda it: _floors(it, seeds, k, size), "vec_id long, row long, q array<double>, floor double, ratio double")
