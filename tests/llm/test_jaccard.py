@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import pytest
 from compare import same_as_sql, tidy
+from pyspark.sql import functions as F
 
 from tidemark.llm import _text, ngram_jaccard, queries
 from tidemark.llm.components import components
@@ -32,6 +33,48 @@ def test_large_regions_give_the_same(spark, near_copies, limits):
     assert got == sorted(brute.jaccard(near_copies), key=repr)
 
 
+def spied(monkeypatch):
+    """The levels of Voronoi regions that are made from now on."""
+    levels, placed = [], ngram_jaccard._placed
+    monkeypatch.setattr(ngram_jaccard, "_placed", lambda sets, members, level, *rest: levels.append(level) or placed(sets, members, level, *rest))
+    return levels
+
+
+def test_voronoi_regions_recur(spark, monkeypatch):
+    """Families of families, all of one region: a split by pivots halves it again and again."""
+    r = random.Random(11)
+    rows = []
+    for family in range(6):
+        core = brute.prose(r, 120)
+        for group in range(5):
+            base = core[: 112 + family] + ["g%d_%d_%d" % (family, group, i) for i in range(40)]
+            for copy in range(6):
+                at = r.randrange(len(base))
+                rows.append((len(rows), " ".join([*base[:at], "c%d" % len(rows), *base[at + 1 :]])))
+    docs, levels = spark.createDataFrame(rows, SCHEMA), spied(monkeypatch)
+    members = docs.select(F.lit(1).cast("long").alias("region"), F.col("doc_id").alias("x"))
+    links = ngram_jaccard._voronoi_links(docs, members, 5, 80, ngram_jaccard.BLOCK_BYTES, 12).distinct().collect()
+    sets, forest = [brute.shingles(t) for _, t in rows], brute.Union(len(rows))
+    for a, b in links:
+        both = len(sets[a] & sets[b])
+        assert 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
+        forest.join(a, b)
+    least: dict[int, int] = {}
+    for x in range(len(rows)):
+        least.setdefault(forest.root(x), x)
+    assert [least[forest.root(x)] for x in range(len(rows))] == [c for _, _, c in brute.jaccard(rows)]
+    assert max(levels) >= 1
+
+
+def test_long_chain_at_default_limits(spark, monkeypatch):
+    """A chain of more documents than one task joins, with one break in it."""
+    n = ngram_jaccard.BLOCK_ROWS + 300
+    rows = [(i, " ".join("w%d" % w for w in range(i, i + 40))) for i in range(n) if not 100 <= i < 110]
+    levels = spied(monkeypatch)
+    got = dict((d, c) for d, _, c in ngram_jaccard.jaccard_classes(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert levels and got == {d: 0 if d < 100 else 110 for d, _ in rows}
+
+
 def test_query_equals_sql(spark):
     assert same_as_sql(spark, queries.QUERIES["op6_ngram_jaccard_join"], queries.SQL["op6_ngram_jaccard_join"]) == 200
 

@@ -16,11 +16,12 @@
    wider than the threshold, or between two pivots with the boundary replicated,
    and goes on recursively (`region_links`).
 5. A region or chain too large for one task becomes Voronoi regions in Spark
-   (`_voronoi_links`): documents are assigned to the nearest of a few pivots by
+   (`_voronoi_links`): documents are assigned to the nearest of its pivots by
    exact distance, boundary documents are replicated within the windows that the
    triangle inequality gives, and documents far from all pivots form a region of
-   their own. What is linked with the pivots already needs no comparison with
-   itself: only the others are held against all, block by block.
+   their own. Regions are split again, with pivots of their own, while that at least
+   halves what is left to compare. What is linked with the pivots already needs no
+   comparison with itself: only the others are held against all, block by block.
 6. Links (a spanning set of each region's links) are merged by connected
    components.
 
@@ -40,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import _text
-from tidemark.llm._store import hot_join, kept, small_batches, small_side, unwrapped, wrapped
+from tidemark.llm._store import forget, hot_join, kept, small_batches, small_side, unwrapped, wrapped
 from tidemark.llm.components import components
 
 CHUNK = 2_000_000
@@ -52,8 +53,10 @@ SMALL_ROWS = 1_000_000
 #: Sets of a region or chain joined in one task, in bytes and in rows; larger ones become Voronoi regions.
 BLOCK_BYTES = 24 << 20
 BLOCK_ROWS = 4_000
-#: Pivots of a large region, on average, and the distance from which a document belongs to none of them.
+#: Pivots of a large region, on average: two a block of its rows, between these numbers.
 PIVOTS = 8
+MAX_PIVOTS = 64
+#: The distance from which a document belongs to no pivot.
 FAR = 0.6
 #: Sets of pivots sent to the tasks at a time.
 PIVOT_BYTES = 32 << 20
@@ -302,18 +305,12 @@ def _to_pivots(batches, percent: int, sent):
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64()))], names=["region", "x", "cell", "pivot"])
 
 
-def _voronoi_links(docs: DataFrame, members: DataFrame, size: int, percent: int, block_bytes: int, block_rows: int) -> DataFrame:
-    """(a, b): links inside large regions, each given by its members (region, x).
-
-    Windows: of two linked documents with nearest pivots a < b the second is
-    within 2 * eps of its own distance to a; one with no pivot nearer than FAR
-    meets the other at FAR - eps from it at least.
-    """
-    spark = docs.sparkSession
-    members = kept(members)
-    sets = kept(_with_sets(docs, members.select("x", F.lit(0).cast("long").alias("region")).distinct(), size).select("x", "words"))
-    sizes = kept(members.join(sets.select("x", F.length("words").alias("bytes")), "x").groupBy("region").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes")))
-    drawn = members.join(small_side(sizes.select("region", F.col("n").alias("of")), SMALL_ROWS), "region").where(F.pmod(F.xxhash64("x", "region"), F.col("of")) < PIVOTS).select("region", "x")
+def _placed(sets: DataFrame, members: DataFrame, level: int, percent: int, block_rows: int) -> DataFrame:
+    """Rows (region, x, cell, pivot) of members (region, x, u); the pivots of a region, more in a larger one, are drawn from its members with u."""
+    spark = sets.sparkSession
+    sizes = kept(members.where("u").groupBy("region").agg(F.count("*").alias("of")))
+    many = F.greatest(F.lit(PIVOTS), F.least(F.lit(MAX_PIVOTS), F.ceil(2 * F.col("of") / block_rows)))
+    drawn = members.where("u").join(small_side(sizes, SMALL_ROWS), "region").where(F.pmod(F.xxhash64("x", "region", F.lit(level)), F.col("of")) < many).select("region", "x")
     pivots = kept(drawn.join(sets, "x").select("region", "x", "words"))
     blocks = max(1, -(-(pivots.agg(F.sum(F.length("words"))).first()[0] or 0) // PIVOT_BYTES))
     placed = None
@@ -326,21 +323,65 @@ def _voronoi_links(docs: DataFrame, members: DataFrame, size: int, percent: int,
         at = members.where(here).join(sets, "x").select("region", "x", "words").mapInArrow(lambda it, sent=sent: _to_pivots(it, percent, sent), "region long, x long, cell int, pivot long")
         placed = at if placed is None else placed.union(at)
     placed = kept(placed)
-    links = placed.where("pivot is not null").select(F.col("x").alias("a"), F.col("pivot").alias("b"))
-    named = components(links).select(F.col("node").alias("x"), F.col("component").alias("label"))
-    # the most frequent component of a region needs no comparison with itself
-    own = placed.where("cell is not null").join(named, "x", "left").select("region", "cell", "x", F.coalesce("label", "x").alias("label"))
-    own = kept(own)
-    main = own.groupBy("region", "label").agg(F.count("*").alias("n")).groupBy("region").agg(F.max(F.struct("n", "label"))["label"].alias("main"))
-    own = own.join(small_side(kept(main), SMALL_ROWS), "region")
-    own = kept(own.select(F.xxhash64("region", "cell").alias("at"), "x", "label", (F.col("label") != F.col("main")).alias("u")))
-    weight = F.length("words") / F.lit(float(block_bytes) / 2) + F.lit(2.0 / block_rows)
-    cells = own.join(sets.select("x", weight.alias("w")), "x").groupBy("at").agg(F.sum(F.when(F.col("u"), F.col("w"))).alias("bu"), F.sum("w").alias("bm"))
-    cells = kept(cells.where("bu > 0").select("at", F.ceil("bu").cast("int").alias("bu"), F.ceil("bm").cast("int").alias("bm")))
-    own = own.join(small_side(cells, SMALL_ROWS), "at")
+    forget(sizes, pivots)
+    return placed
+
+
+def _marked(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """rows (region, of, x) with their label and u: whether that is another than the most frequent one of the region, which needs no comparison with itself."""
+    own = kept(rows.join(named, "x", "left").withColumn("label", F.coalesce("label", "x")))
+    main = kept(own.groupBy("region", "label").agg(F.count("*").alias("n")).groupBy("region").agg(F.max(F.struct("n", "label"))["label"].alias("main")))
+    out = kept(own.join(small_side(main, SMALL_ROWS), "region").select("region", "of", "x", "label", (F.col("label") != F.col("main")).alias("u")))
+    forget(own, main)
+    return out
+
+
+def _loads(marked: DataFrame, weights: DataFrame) -> DataFrame:
+    """(region, of, bu, bm): the half blocks that the members with u and all members of a region fill; regions without u are left out."""
+    sums = marked.join(weights, "x").groupBy("region", "of").agg(F.sum(F.when(F.col("u"), F.col("w"))).alias("bu"), F.sum("w").alias("bm"))
+    return kept(sums.where("bu > 0").select("region", "of", F.ceil("bu").cast("int").alias("bu"), F.ceil("bm").cast("int").alias("bm")))
+
+
+def _voronoi_links(docs: DataFrame, members: DataFrame, size: int, percent: int, block_bytes: int, block_rows: int) -> DataFrame:
+    """(a, b): links inside large regions, each given by its members (region, x).
+
+    Windows: of two linked documents with nearest pivots a < b the second is
+    within 2 * eps of its own distance to a; one with no pivot nearer than FAR
+    meets the other at FAR - eps from it at least. So every pair that may be
+    linked lies together in a Voronoi cell, and cells are regions again: while a
+    split at least halves the pairs of blocks left to compare, cells that fill more
+    than a block go on with pivots of their own. A region that no split helps
+    is compared as it is, members with u against all, block by block.
+    """
+    members = kept(members)
+    sets = kept(_with_sets(docs, members.select("x", F.lit(0).cast("long").alias("region")).distinct(), size).select("x", "words"))
+    weights = kept(sets.select("x", (F.length("words") / F.lit(float(block_bytes) / 2) + F.lit(2.0 / block_rows)).alias("w")))
+    todo, links, ready, level = members.withColumn("u", F.lit(True)), None, None, 0
+    while True:
+        placed = _placed(sets, todo, level, percent, block_rows)
+        own = placed.where("pivot is not null").select(F.col("x").alias("a"), F.col("pivot").alias("b"))
+        links = own if links is None else links.union(own)
+        named = components(links).select(F.col("node").alias("x"), F.col("component").alias("label"))
+        whole = _marked(todo.select("region", F.col("region").alias("of"), "x"), named)
+        cells = _marked(placed.where("cell is not null").select(F.xxhash64("region", "cell", F.lit(level)).alias("region"), F.col("region").alias("of"), "x"), named)
+        before, after = _loads(whole, weights), _loads(cells, weights)
+        pairs = F.col("bu").cast("long") * F.col("bm")
+        split = after.groupBy("of").agg(F.sum(pairs).alias("left"))
+        split = before.join(split, "of", "left").select("of", (F.coalesce("left", F.lit(0)) * 2 <= pairs).alias("halved"))
+        split = kept(split)
+        apart, again = kept(after.join(split.where("halved"), "of").select("region", "bu", "bm")), F.col("bu") > 2
+        undivided = before.join(split.where("not halved"), "of").select("region", "bu", "bm")
+        now = whole.join(small_side(undivided, SMALL_ROWS), "region").union(cells.join(small_side(apart.where(~again), SMALL_ROWS), "region"))
+        now = kept(now.select(F.xxhash64("region", F.lit(level)).alias("at"), "x", "label", "u", "bu", "bm"))
+        ready = now if ready is None else ready.union(now)
+        todo_before, todo = todo, kept(cells.join(small_side(apart.where(again), SMALL_ROWS), "region").select("region", "x", "u"))
+        forget(whole, cells, before, after, split, apart, todo_before)
+        if todo.isEmpty():
+            break
+        level += 1
     i, j = F.pmod(F.xxhash64("x", F.lit(1)), F.col("bu")).cast("int"), F.pmod(F.xxhash64("x"), F.col("bm")).cast("int")
-    left = own.where("u").select("at", "x", "label", F.lit(True).alias("side"), i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("bm") - 1)).alias("j"))
-    right = own.select("at", "x", "label", F.lit(False).alias("side"), F.explode(F.sequence(F.lit(0), F.col("bu") - 1)).alias("i"), j.alias("j"))
+    left = ready.where("u").select("at", "x", "label", F.lit(True).alias("side"), i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("bm") - 1)).alias("j"))
+    right = ready.select("at", "x", "label", F.lit(False).alias("side"), F.explode(F.sequence(F.lit(0), F.col("bu") - 1)).alias("i"), j.alias("j"))
     pairs = left.union(right).join(sets, "x").select("x", F.xxhash64("at", "i", "j").alias("region"), F.struct("words", "label", "side").alias("held"))
     found = pairs.repartition("region").sortWithinPartitions("region", "x").mapInArrow(lambda it: _join_blocks(it, percent), "a long, b long")
     return links.union(found)
