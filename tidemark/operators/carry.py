@@ -51,29 +51,50 @@ def before(df: DataFrame, keys: list[str], order: str, values: dict[str, Column]
     return out.withColumns({c: F.when(F.col("__first"), F.col("__last").getField(c)).otherwise(F.col(f"__{c}")) for c in values}).drop("__first", "__last", *(f"__{c}" for c in values))
 
 
-def neighbours(df: DataFrame, keys: list[str], order: list[str], anchor: str, anchors: DataFrame | None = None, extents: DataFrame | None = None, span: int | None = None) -> DataFrame:
-    """df with `prev`, the last `anchor` that is not null in the key's rows before, `next`, the first from this row on, and `final`, the key's last.
-
-    Where they can be had for less than all of df: `anchors` are the rows that have one, and `extents` (*keys, first, last)
-    the first and last order of each key.
-    """
-    own = chunked(df, keys, order[0], span)
-    few = own if anchors is None else chunked(anchors, keys, order[0], span)
-    placed = F.when(F.col(anchor).isNotNull(), F.struct(*order, F.col(anchor).alias("__anchor")))
-    ends = few.groupBy("__key", "__chunk").agg(F.min(placed).alias("__a"), F.max(placed).alias("__z"))
-    if anchors is not None:  # chunks without any have neighbours too
-        none = [F.lit(None).cast(ends.schema[c].dataType).alias(c) for c in ("__a", "__z")]
-        every = own.select("__key", "__chunk").distinct() if extents is None else extents.select(F.struct(*keys).alias("__key"), F.explode(F.sequence(chunk_of("first", span), chunk_of("last", span))).alias("__chunk"))
-        ends = ends.unionByName(every.select("__key", "__chunk", *none)).groupBy("__key", "__chunk").agg(F.min("__a").alias("__a"), F.max("__z").alias("__z"))
+def _along(ends: DataFrame) -> DataFrame:
+    """(__key, __chunk, __prev, __next, final) of chunks' first and last anchors (__a, __z): the last anchor of the chunks before, the first of those behind, and the key's last."""
     along = W.partitionBy("__key").orderBy("__chunk")
     held = lambda column: column.getField("__anchor")
-    ends = ends.select(
+    return ends.select(
         "__key", "__chunk", held(F.last("__z", True).over(along.rowsBetween(W.unboundedPreceding, -1))).alias("__prev"),
         held(F.first("__a", True).over(along.rowsBetween(1, W.unboundedFollowing))).alias("__next"), held(F.last("__z", True).over(along.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("final"),
     )
+
+
+def _beside(own: DataFrame, order: list[str], anchor: str) -> DataFrame:
+    """Rows of chunked() with `prev` and `next` as far as their own chunk has them."""
     local = W.partitionBy("__key", "__chunk").orderBy(*order)
-    out = own.withColumns({"prev": F.last(anchor, True).over(local.rowsBetween(W.unboundedPreceding, -1)), "next": F.first(anchor, True).over(local.rowsBetween(0, W.unboundedFollowing))})
-    return joined(out, ends).withColumns({"prev": F.coalesce("prev", "__prev"), "next": F.coalesce("next", "__next")}).drop("__prev", "__next")
+    return own.withColumns({"prev": F.last(anchor, True).over(local.rowsBetween(W.unboundedPreceding, -1)), "next": F.first(anchor, True).over(local.rowsBetween(0, W.unboundedFollowing))})
+
+
+def neighbours(df: DataFrame, keys: list[str], order: list[str], anchor: str, span: int | None = None) -> DataFrame:
+    """df with `prev`, the last `anchor` that is not null in the key's rows before, `next`, the first from this row on, and `final`, the key's last."""
+    own = chunked(df, keys, order[0], span)
+    placed = F.when(F.col(anchor).isNotNull(), F.struct(*order, F.col(anchor).alias("__anchor")))
+    ends = _along(own.groupBy("__key", "__chunk").agg(F.min(placed).alias("__a"), F.max(placed).alias("__z")))
+    return joined(_beside(own, order, anchor), ends).withColumns({"prev": F.coalesce("prev", "__prev"), "next": F.coalesce("next", "__next")}).drop("__prev", "__next")
+
+
+def stretches(anchors: DataFrame, ranges: DataFrame, keys: list[str], order: str, anchor: str, span: int | None = None) -> DataFrame:
+    """(*keys, first, last, prev, next, final): ranges (*keys, first, last) of `order`, cut behind each of the key's anchors and at chunks.
+
+    All values of a stretch have the same `prev`, the last anchor before them, and `next`, the first that is not before them; `final` is the
+    key's last. There are as many as anchors and chunks of ranges: what is between anchors is made of its stretch, without being dealt or sorted.
+    """
+    wide = span or SPAN
+    few = chunked(anchors, keys, order, span).select("__key", "__chunk", F.col(order).cast("long").alias("__at"), anchor)
+    chunk = F.explode(F.sequence(chunk_of("first", span), chunk_of("last", span))).alias("__chunk")
+    pieces = ranges.where("first <= last").select(F.struct(*keys).alias("__key"), chunk, "first", "last")
+    pieces = pieces.select("__key", "__chunk", F.greatest("first", F.col("__chunk") * wide).alias("__low"), F.least("last", F.col("__chunk") * wide + (wide - 1)).alias("__high"))
+    # a mark behind all anchors of a chunk stands for what follows the last of them
+    marks = pieces.select("__key", "__chunk").distinct().select("*", (F.col("__chunk") * wide + (wide - 1)).alias("__at"), F.lit(None).cast(few.schema[anchor].dataType).alias(anchor))
+    rows = few.withColumn("__mark", F.lit(0)).unionByName(marks.withColumn("__mark", F.lit(1)))
+    placed = F.when(F.col("__mark") == 0, F.struct("__at", F.col(anchor).alias("__anchor")))
+    ends = _along(rows.groupBy("__key", "__chunk").agg(F.min(placed).alias("__a"), F.max(placed).alias("__z")))
+    since = F.lag("__at").over(W.partitionBy("__key", "__chunk").orderBy("__at", "__mark"))
+    own = _beside(rows.withColumn("__since", since), ["__at", "__mark"], anchor).join(ends, ["__key", "__chunk"]).join(pieces, ["__key", "__chunk"])
+    first, last = F.greatest("__low", F.col("__since") + 1), F.least("__high", "__at")
+    return own.where(first <= last).select(*(F.col("__key").getField(k).alias(k) for k in keys), first.alias("first"), last.alias("last"), F.coalesce("prev", "__prev").alias("prev"), F.coalesce("next", "__next").alias("next"), "final")
 
 
 def runs(df: DataFrame, keys: list[str], order: str, holds: str, span: int | None = None) -> DataFrame:

@@ -64,13 +64,13 @@ def review_states(events: DataFrame) -> DataFrame:
     pending review ready, fail ends it until the next plan, publish needs a ready one. What a state does not allow is refused.
     """
     def step(state, action):
-        status, refused = state["status"], state["refused"]
+        status, refused = state
         to = TRANSITIONS.get((action, None)) or TRANSITIONS.get((action, status))
-        state = {"status": to or status, "refused": refused + (to is None)}
+        state = (to or status, refused + (to is None))
         return state, state
 
     kind = StructType([StructField("status", StringType()), StructField("refused", LongType())])
-    own = fold(events, ["run_id"], ["seq"], ["action"], "state", kind, lambda: {"status": "new", "refused": 0}, step)
+    own = fold(events, ["run_id"], ["seq"], ["action"], "state", kind, lambda: ("new", 0), step)
     return own.groupBy("run_id").agg(F.max_by("state", "seq").alias("s")).select("run_id", "s.status", F.col("s.refused").alias("n_refused"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tidemark.operators import carry
+from tidemark.operators import carry, folds
 from tidemark.operators.folds import fold, reduced
 
 
@@ -26,28 +26,41 @@ def interpolate(samples: DataFrame) -> DataFrame:
     return own.select("source_id", "shot_id", "frame", cx.alias("cx"), confidence.alias("confidence"))
 
 
-def frame_records(shots: DataFrame, samples: DataFrame, width: int, height: int) -> DataFrame:
+def frame_records(shots: DataFrame, samples: DataFrame, width: int, height: int, by_shot: bool = False) -> DataFrame:
     """One record for every frame of every shot: (source_id, shot_id, frame, cx, cy, box_height, confidence, flags, detector).
 
     shots are (source_id, shot_id, start_frame, end_frame), samples (source_id, shot_id, frame, x0, y0, x1, y1, confidence, detector)
     with a null box where nothing was found. Positions are in thousandths. Up to the first anchor the first holds, from the last on the
     last with its own confidence; between two a frame lies on their line with the lesser confidence and the earlier one's detector.
     A shot without anchors has the source's centre, no box, and a flag, as have frames without confidence.
+
+    Samples and shots are dealt and sorted, frames are made where the stretch between two samples lies. `by_shot` deals the stretches
+    by shot first, so that what goes along shots next does not deal the frames.
     """
     kind = "struct<frame:bigint,cx:bigint,cy:bigint,h:bigint,confidence:double,detector:string>"
     anchor = F.struct(F.col("frame").cast("long"), ((F.col("x0") + F.col("x1")) * 500).cast("long"), ((F.col("y0") + F.col("y1")) * 500).cast("long"), ((F.col("y1") - F.col("y0")) * 1000).cast("long"), F.col("confidence").cast("double"), "detector").cast(kind)
-    found = samples.where("x0 is not null").select("source_id", "shot_id", F.col("frame").cast("long").alias("frame"), anchor.alias("anchor"), F.lit(1).alias("kind"))
-    frames = shots.where("end_frame > start_frame").select("source_id", "shot_id", F.explode(F.expr("sequence(cast(start_frame as bigint), cast(end_frame as bigint) - 1)")).alias("frame"), F.lit(None).cast(kind).alias("anchor"), F.lit(0).alias("kind"))
+    found = samples.where("x0 is not null").select("source_id", "shot_id", F.col("frame").cast("long").alias("frame"), anchor.alias("anchor"))
     extents = shots.where("end_frame > start_frame").select("source_id", "shot_id", F.col("start_frame").cast("long").alias("first"), (F.col("end_frame").cast("long") - 1).alias("last"))
-    # a frame comes before the sample that lies on it
-    every = carry.neighbours(frames.unionByName(found), ["source_id", "shot_id"], ["frame", "kind"], "anchor", found, extents).where("kind = 0")
-    case = lambda none, first, last, mid: F.when(F.col("final").isNull(), none).when(F.col("prev").isNull(), first).when(F.col("frame") >= F.col("final.frame"), last).otherwise(mid)
-    on_line = lambda c: F.expr(f"prev.{c} + (next.{c} - prev.{c}) * (frame - prev.frame) div (next.frame - prev.frame)")
-    value = lambda c, none: case(F.lit(none).cast("long"), F.col(f"next.{c}"), F.col(f"final.{c}"), on_line(c)).alias(c)
-    confidence = F.round(case(F.lit(0.0), F.col("next.confidence"), F.col("final.confidence"), F.least("prev.confidence", "next.confidence")), 4)
-    detector = case(F.lit("center"), F.col("next.detector"), F.col("final.detector"), F.col("prev.detector"))
+    held = carry.stretches(found, extents, ["source_id", "shot_id"], "frame", "anchor")
+    # what a stretch's frames share is worked out once a stretch: where its line starts, how far and how long it goes, and what holds from the last anchor on
+    case = lambda none, first, last, mid: F.when(F.col("final").isNull(), none).when(F.col("prev").isNull(), first).when(F.col("next").isNull(), last).otherwise(mid)
+    fixed = lambda c, none: case(F.lit(none).cast("long"), F.col(f"next.{c}"), F.col(f"final.{c}"), F.col(f"prev.{c}")).alias(f"__{c}")
+    change = lambda c: F.when(F.col("prev").isNull() | F.col("next").isNull(), 0).otherwise(F.col(f"next.{c}") - F.col(f"prev.{c}")).alias(f"__change_{c}")
+    from_last = lambda c: F.when(F.col("prev").isNotNull(), F.col(f"final.{c}")).alias(f"__final_{c}")
+    held = held.select(
+        "source_id", "shot_id", "first", "last", *(f(c) for c in ("cx", "cy", "h") for f in (change, from_last)), fixed("cx", width * 500), fixed("cy", height * 500), fixed("h", None),
+        F.coalesce("prev.frame", F.lit(0)).alias("__since"), F.coalesce(F.col("next.frame") - F.col("prev.frame"), F.lit(1)).alias("__over"), from_last("frame"), from_last("confidence"), from_last("detector"),
+        case(F.lit(0.0), F.col("next.confidence"), F.col("final.confidence"), F.least("prev.confidence", "next.confidence")).alias("__confidence"), case(F.lit("center"), F.col("next.detector"), F.col("final.detector"), F.col("prev.detector")).alias("__detector"),
+    )
+    if by_shot:
+        held = held.repartition("source_id", "shot_id")
+    every = held.withColumn("frame", F.explode(F.sequence("first", "last")))
+    last = F.col("frame") >= F.col("__final_frame")
+    value = lambda c: F.when(last, F.col(f"__final_{c}")).otherwise(F.expr(f"__{c} + __change_{c} * (frame - __since) div __over"))
+    confidence = F.round(F.when(last, F.col("__final_confidence")).otherwise(F.col("__confidence")), 4)
+    detector = F.when(last, F.col("__final_detector")).otherwise(F.col("__detector"))
     flags = F.when(confidence > 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("no-detection")))
-    return every.select("source_id", "shot_id", "frame", value("cx", width * 500), value("cy", height * 500), value("h", None).alias("box_height"), confidence.alias("confidence"), flags.alias("flags"), detector.alias("detector"))
+    return every.select("source_id", "shot_id", "frame", value("cx").alias("cx"), value("cy").alias("cy"), value("h").alias("box_height"), confidence.alias("confidence"), flags.alias("flags"), detector.alias("detector"))
 
 
 def static_records(totals: DataFrame, cx: int, cy: int) -> DataFrame:
@@ -109,17 +122,15 @@ def fill(track: DataFrame, default: int) -> DataFrame:
     return own.select("source_id", "shot_id", "frame", F.coalesce(line, F.lit(default * 1000)).cast("long").alias("cx"))
 
 
-def _held(before: int | None, v: int, radius: int) -> int:
-    return v if before is None else min(max(before, v - radius), v + radius)
+def _held(least, most, before, v, radius: int):
+    """The value before, within `radius` of v. These rules take least and most of whole numbers, or of arrays of them."""
+    return least(most(before, v - radius), v + radius)
 
 
-def _followed(before: tuple | None, v: int, velocity: int, acceleration: int) -> tuple[int, int]:
-    """(value, speed) behind `before`; it starts at rest."""
-    if before is None:
-        return v, 0
-    at, speed = before
-    wanted = min(max(v - at, -velocity), velocity)
-    speed = min(max(speed + min(max(wanted - speed, -acceleration), acceleration), -velocity), velocity)
+def _followed(least, most, at, speed, v, velocity: int, acceleration: int):
+    """(value, speed) behind (at, speed)."""
+    wanted = least(most(v - at, -velocity), velocity)
+    speed = least(most(speed + least(most(wanted - speed, -acceleration), acceleration), -velocity), velocity)
     return at + speed, speed
 
 
@@ -140,14 +151,19 @@ def dead_zone(track: DataFrame, radius: int, name: str = "cx", span: int | None
     def compose(state, v):
         if state is None:
             return {"low": v - radius, "high": v + radius, "alone": v}  # alone: what it ends with if the shot begins here
-        return {c: _held(x, v, radius) for c, x in state.items()}
+        return {c: _held(min, max, x, v, radius) for c, x in state.items()}
 
     def along(value, low, high, alone):
         return (alone if value is None else min(max(value, low), high)), value
 
     chunks = reduced(own.select("__chunk", *keys, "frame", name), [*keys, "__chunk"], ["frame"], [name], "m", clamp, lambda: None, compose).select(*keys, "__chunk", "m.*")
     starts = fold(chunks, keys, ["__chunk"], ["low", "high", "alone"], "__enter", LongType(), lambda: None, along).select(F.struct(*keys).alias("__key"), "__chunk", "__enter")
-    step = lambda state, v, enter: (held := _held(enter if state is None else state, v, radius), held)
+
+    def step(state, v, enter):
+        before = enter if state is None else state
+        held = v if before is None else _held(min, max, before, v, radius)
+        return held, held
+
     entered = carry.joined(own, starts).withColumn("__chunk", carry.chunk_of("frame", span))
     out = fold(entered, [*keys, "__chunk"], ["frame"], [name, "__enter"], "__out", LongType(), lambda: None, step)
     return out.select(*keys, "frame", F.col("__out").alias(name))
@@ -155,7 +171,7 @@ def dead_zone(track: DataFrame, radius: int, name: str = "cx", span: int | None
 
 def limit_motion(track: DataFrame, velocity: int, acceleration: int, name: str = "cx") -> DataFrame:
     """The value follows with at most `velocity` a row, which changes by at most `acceleration` a row; it starts at rest."""
-    return _folded(track, name, lambda state, v: (now := _followed(state, v, velocity, acceleration), now[0]))
+    return _folded(track, name, lambda state, v: (now := _followed(min, max, *(state or (v, 0)), v, velocity, acceleration), now[0]))
 
 
 def crop_track(samples: DataFrame, width: int, crop: int, window: int = 5, radius: int = 20_000, velocity: int = 60_000, acceleration: int = 25_000) -> DataFrame:
@@ -163,10 +179,10 @@ def crop_track(samples: DataFrame, width: int, crop: int, window: int = 5, radiu
     smoothed = smooth(fill(samples, width // 2), window).select("source_id", "shot_id", "frame", F.expr("total div width").alias("cx"))
 
     def step(state, v):
-        hold, at = state or (None, None)
-        hold = _held(hold, v, radius)
-        at = _followed(at, hold, velocity, acceleration)
-        return (hold, at), at[0]
+        hold, at, speed = state or (v, v, 0)
+        hold = _held(min, max, hold, v, radius)
+        at, speed = _followed(min, max, at, speed, hold, velocity, acceleration)
+        return (hold, at, speed), at
 
     moved = _folded(smoothed, "cx", step)  # the dead zone and the limits in one pass
     x = F.least(F.greatest(F.col("cx") - crop * 500, F.lit(0)), F.lit((width - crop) * 1000))
@@ -174,7 +190,7 @@ def crop_track(samples: DataFrame, width: int, crop: int, window: int = 5, radiu
 
 
 def crop_frames(records: DataFrame, width: int, height: int, out_width: int, out_height: int, fps: int = 30, zoom: tuple[float, float] | None = None, subject_height: int | None = None) -> DataFrame:
-    """A crop for every record of frame_records(): (source_id, shot_id, frame, x, y, width, height, zoom, confidence, flags); pixels in thousandths, zoom in millionths.
+    """A crop for every record of frame_records(): (source_id, shot_id, frame, x, y, width, height, zoom, and confidence and flags where records have them); pixels in thousandths, zoom in millionths.
 
     Both axes are smoothed over 0.35 s, held in a dead zone of 45 pixels (half of it upright) and limited to 1300 pixels a second,
     changing by 5200 a second. The crop is the largest of the wanted aspect, divided by the zoom, 4 % above the centre, inside the source.
@@ -193,42 +209,57 @@ def crop_frames(records: DataFrame, width: int, height: int, out_width: int, out
     wide = width * out_height >= height * out_width
     native_w, native_h = (height * 1000 * out_width // out_height, height * 1000) if wide else (width * 1000, width * 1000 * out_height // out_width)
     low, high = round(least * 10**6), round(most * 10**6)
-    own, windows = records, dict.fromkeys(("cx", "cy"), max(1, round(0.35 * fps)))
+    keys, rest = ["source_id", "shot_id"], [c for c in ("confidence", "flags") if c in records.columns]
+    odd = lambda n: max(1, n) + (max(1, n) % 2 == 0)
+    windows = dict.fromkeys(("cx", "cy"), odd(round(0.35 * fps)))
+    order = W.partitionBy(*keys).orderBy("frame")
+    whole = order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    own = records.withColumns({"__i": F.row_number().over(order), "__n": F.count("*").over(whole)})
     if zoom is not None:
         known = F.when(F.col("box_height").isNotNull(), F.greatest("box_height", F.lit(1000)))
-        wanted = F.lit(subject_height * 1000) if subject_height is not None else F.floor(F.coalesce(F.median(known).over(W.partitionBy("source_id", "shot_id")), F.lit(height * 450.0)))
+        # a percentile takes the order of the rest, so that the rows are sorted once
+        wanted = F.lit(subject_height * 1000) if subject_height is not None else F.floor(F.coalesce(F.percentile(known, F.lit(0.5)).over(whole), F.lit(height * 450.0)))
         own = own.withColumn("__wanted", wanted.cast("long")).withColumn("__h", known)
         if subject_height is None:
             raw = F.expr(f"{low} * __wanted div __h")
         else:
             raw = F.expr("1000000 * __wanted div __h")
         own = own.withColumn("z", F.coalesce(F.least(F.greatest(raw, F.lit(low)), F.lit(high)), F.lit(low)).cast("long"))
-        windows["z"] = max(3, round(fps))
+        windows["z"] = odd(max(3, round(fps)))
     else:
         own = own.withColumn("z", F.lit(10**6).cast("long"))
-    own = _smoothed(own, windows).withColumns({c: F.expr(f"__total_{c} div __width_{c}") for c in windows})
     # positions and zoom move in thousandths of their units, so that rounding does not add up
     pan, pan_more = 1_300_000_000 // fps, 5_200_000_000 // fps**2
     grow, grow_more = 120_000_000 // fps, 500_000_000 // fps**2
 
-    def step(state, x, y, z):
-        hx, hy, fx, fy, fz = state or (None,) * 5
-        hx, hy = _held(hx, 1000 * x, 45_000_000), _held(hy, 1000 * y, 22_500_000)
-        fx, fy, fz = _followed(fx, hx, pan, pan_more), _followed(fy, hy, pan, pan_more), _followed(fz, 1000 * z, grow, grow_more)
-        return (hx, hy, fx, fy, fz), {"x": fx[0] // 1000, "y": fy[0] // 1000, "z": min(max(fz[0] // 1000, low), high)}
+    def begin(x, y, z):
+        return 1000 * x, 1000 * y, 1000 * x, 0 * x, 1000 * y, 0 * y, 1000 * z, 0 * z
+
+    def step(least, most, state, x, y, z):
+        hx, hy, ax, sx, ay, sy, az, sz = state
+        hx, hy = _held(least, most, hx, 1000 * x, 45_000_000), _held(least, most, hy, 1000 * y, 22_500_000)
+        ax, sx = _followed(least, most, ax, sx, hx, pan, pan_more)
+        ay, sy = _followed(least, most, ay, sy, hy, pan, pan_more)
+        az, sz = _followed(least, most, az, sz, 1000 * z, grow, grow_more)
+        return (hx, hy, ax, sx, ay, sy, az, sz), (ax // 1000, ay // 1000, least(most(az // 1000, low), high))
+
+    def kernel(batches):
+        smoothed = folds.averaged(batches, windows, "__i", "__n")
+        return folds.stepped(smoothed, keys, ["cx", "cy", "z"], ["__x", "__y", "__z"], begin, step)
 
-    kind = StructType([StructField(c, LongType()) for c in "xyz"])
-    own = fold(own.select("source_id", "shot_id", "frame", "cx", "cy", "z", "confidence", "flags"), ["source_id", "shot_id"], ["frame"], ["cx", "cy", "z"], "m", kind, lambda: None, step)
-    own = own.select("source_id", "shot_id", "frame", "confidence", "flags", "m.*").withColumn("w", F.expr(f"{native_w}000000L div z")).withColumn("h", F.expr(f"{native_h}000000L div z"))
+    own = folds.along(own.select(*keys, "frame", "cx", "cy", "z", *rest, "__i", "__n"), keys, ["frame"], ["__x", "__y", "__z"], kernel)
+    own = own.select(*keys, "frame", *rest, F.col("__x").alias("x"), F.col("__y").alias("y"), F.col("__z").alias("z")).withColumn("w", F.expr(f"{native_w}000000L div z")).withColumn("h", F.expr(f"{native_h}000000L div z"))
     x = F.least(F.greatest(F.expr("x - w div 2"), F.lit(0)), F.lit(width * 1000) - F.col("w"))
     y = F.least(F.greatest(F.expr("y - h * 4 div 100 - h div 2"), F.lit(0)), F.lit(height * 1000) - F.col("h"))
-    return own.select("source_id", "shot_id", "frame", x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("w").alias("width"), F.col("h").alias("height"), F.col("z").alias("zoom"), "confidence", "flags")
+    return own.select("source_id", "shot_id", "frame", x.cast("long").alias("x"), y.cast("long").alias("y"), F.col("w").alias("width"), F.col("h").alias("height"), F.col("z").alias("zoom"), *rest)
 
 
 def crop_lines(crops: DataFrame, fps: int) -> DataFrame:
     """(source_id, frame, line): a command for every crop, in thousandths, at its time; sources/documents.py writes them in frame order."""
-    pixels = lambda c: [F.expr(f"{c} div 1000"), F.expr(f"{c} % 1000")]
-    line = F.format_string("%.9f crop w %d.%03d, crop h %d.%03d, crop x %d.%03d, crop y %d.%03d;", F.col("frame") / F.lit(float(fps)), *pixels("width"), *pixels("height"), *pixels("x"), *pixels("y"))
+    # whole numbers put together; a format string is read anew for every row
+    number = lambda value, unit: F.concat(F.expr(f"{value} div {unit}").cast("string"), F.lit("."), F.lpad(F.expr(f"{value} % {unit}").cast("string"), len(str(unit)) - 1, "0"))
+    nanos = f"((2000000000L * frame + {fps}) div {2 * fps})"
+    line = F.concat(number(nanos, 10**9), F.lit(" crop w "), number("width", 1000), F.lit(", crop h "), number("height", 1000), F.lit(", crop x "), number("x", 1000), F.lit(", crop y "), number("y", 1000), F.lit(";"))
     return crops.select("source_id", "frame", line.alias("line"))
 
 

@@ -30,8 +30,8 @@ _RECORDS = """
         CASE k WHEN 'none' THEN 'center' WHEN 'first' THEN n.d WHEN 'last' THEN z.d ELSE p.d END AS detector FROM bl)"""
 
 
-def _records(spark, sf_dir):
-    return tracks.frame_records(tables.track_shots(spark, sf_dir), tables.boxes(spark, sf_dir), WIDTH, HEIGHT)
+def _records(spark, sf_dir, by_shot=False):
+    return tracks.frame_records(tables.track_shots(spark, sf_dir), tables.boxes(spark, sf_dir), WIDTH, HEIGHT, by_shot)
 
 
 @query("frame_records", f"""WITH {_RECORDS} SELECT source_id, shot_id, frame, cx, cy, (cx - box_height * 0.25) / 1000.0 AS box_left, (cy + box_height * 0.5) / 1000.0 AS box_bottom, confidence,
@@ -81,14 +81,16 @@ _CROPPED = f"""{_RECORDS},
     crops AS MATERIALIZED (SELECT source_id, shot_id, frame, CAST(least(greatest(CAST(trunc(x - width // 2) AS BIGINT), 0), 1920000 - width) AS BIGINT) AS x, CAST(least(greatest(y - height * 4 // 100 - height // 2, 0), 1080000 - height) AS BIGINT) AS y, width, height, zoom, confidence FROM ch)"""
 
 
-def _crops(spark, sf_dir):
-    return tracks.crop_frames(_records(spark, sf_dir), WIDTH, HEIGHT, 9, 16, zoom=(1.0, 1.25))
+def _crops(spark, sf_dir, *rest):
+    """Crops with `rest`, what else of the records is asked for: it would go through every sort and fold."""
+    records = _records(spark, sf_dir, by_shot=True).select("source_id", "shot_id", "frame", "cx", "cy", "box_height", *rest)
+    return tracks.crop_frames(records, WIDTH, HEIGHT, 9, 16, zoom=(1.0, 1.25))
 
 
 @query("crop_frames", f"WITH RECURSIVE {_CROPPED} SELECT * FROM crops")
 def crop_frames(spark, sf_dir):
     """The crop of every frame: both axes and zoom smoothed, held and limited, inside the source."""
-    return _crops(spark, sf_dir).drop("flags")
+    return _crops(spark, sf_dir, "confidence")
 
 
 @query("crop_lines", f"""WITH RECURSIVE {_CROPPED} SELECT source_id, frame, printf('%.9f crop w %d.%03d, crop h %d.%03d, crop x %d.%03d, crop y %d.%03d;', frame / 30.0::DOUBLE,

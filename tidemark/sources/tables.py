@@ -56,7 +56,8 @@ def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def track_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source_id, shot_id, start_frame, end_frame): shots of 240 frames up to the last detection of a source."""
-    own = boxes(spark, sf_dir).groupBy("source_id").agg((F.max("frame") + 1).alias("total"))
+    frame = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - 1704067200000000) / 4_800_000_000).cast("long")
+    own = table(spark, sf_dir, "events").groupBy(F.col("user_id").alias("source_id")).agg((F.max(frame) + 1).alias("total"))
     own = own.select("source_id", "total", F.explode(F.expr("sequence(0L, (total - 1) div 240)")).alias("shot_id"))
     return own.select("source_id", "shot_id", (F.col("shot_id") * 240).alias("start_frame"), F.least((F.col("shot_id") + 1) * 240, F.col("total")).alias("end_frame"))
 
