@@ -44,3 +44,8 @@ def test_crops_do_not_depend_on_batches(spark):
         got.append(sorted(map(tuple, tracks.crop_frames(own, 1920, 1080, 9, 16, zoom=(1.0, 1.25)).collect()), key=repr))
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(got[0]) == len(rows) and got[0] == got[1] == got[2]
+
+
+def test_candidates_are_folded_once(spark):
+    plan = registry.queries()["rank_reasons"](spark, TINY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan

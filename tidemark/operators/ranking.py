@@ -20,7 +20,7 @@ def islands(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
 
 
 def suppress(ranked: DataFrame, percent: int = 50) -> DataFrame:
-    """Greedy suppression in rank order per source: `suppressor` is the first kept row that overlaps by percent of the shorter range; null for kept rows.
+    """`ranked` with greedy suppression in rank order per source: `suppressor` is the first kept row that overlaps by percent of the shorter range; null for kept rows.
 
     Only ranges of one island can overlap, so an island's rows, in rank order, are one fold; its state is an index of the kept ranges.
     """
@@ -31,7 +31,7 @@ def suppress(ranked: DataFrame, percent: int = 50) -> DataFrame:
             kept.add(id_, start, end)
         return kept, suppressor
 
-    own = islands(ranked, "source_id", "start_frame", "end_frame").select("source_id", "island", "position", "id", "start_frame", "end_frame")
+    own = islands(ranked, "source_id", "start_frame", "end_frame")
     return fold(own, ["source_id", "island"], ["position"], ["id", "start_frame", "end_frame"], "suppressor", StringType(), lambda: Kept(percent), step)
 
 
@@ -46,15 +46,16 @@ def rank(candidates: DataFrame, count: int = 5, minimum: float = 20, maximum: fl
     own = own.withColumn("composite", F.when(F.size("errors") == 0, composite(weights)))
     order = W.partitionBy("source_id").orderBy(F.desc("composite"), "start_frame", "id", "event_id")
     valid = own.where(F.size("errors") == 0).withColumn("position", F.row_number().over(order))
-    judged = valid.join(suppress(valid, percent).select("source_id", "position", "suppressor"), ["source_id", "position"])
-    kept = judged.where("suppressor is null")
-    again = F.row_number().over(W.partitionBy("source_id", "topic_key").orderBy("position")) > 1
-    kept = kept.withColumn("again", again if diverse else F.lit(False)).withColumn("place", F.row_number().over(W.partitionBy("source_id").orderBy("again", "position")))
     columns = ["source_id", "event_id", "id", "start_frame", "end_frame", "topic_key", "composite"]
-    chosen = kept.select(*columns, F.when(F.col("place") <= count, F.col("place")).alias("rank"), F.when(F.col("place") <= count, "selected").otherwise("rejected").alias("status"), F.when(F.col("place") <= count, "ranked by composite and diversity").otherwise("outside requested count").alias("reasons"))
-    lost = judged.where("suppressor is not null").select(*columns, F.lit(None).cast("int").alias("rank"), F.lit("rejected").alias("status"), F.concat(F.lit("overlaps "), F.col("suppressor")).alias("reasons"))
+    # all that is told of a candidate goes through the fold once, and kept and lost ones through the same windows
+    judged = suppress(valid.select(*columns, "position"), percent).repartition("source_id").withColumn("lost", F.col("suppressor").isNotNull())
+    again = F.row_number().over(W.partitionBy("source_id", "lost", "topic_key").orderBy("position")) > 1
+    judged = judged.withColumn("again", again if diverse else F.lit(False)).withColumn("place", F.row_number().over(W.partitionBy("source_id", "lost").orderBy("again", "position")))
+    lost, chosen = F.col("lost"), ~F.col("lost") & (F.col("place") <= count)
+    reasons = F.when(lost, F.concat(F.lit("overlaps "), F.col("suppressor"))).when(chosen, "ranked by composite and diversity").otherwise("outside requested count")
+    judged = judged.select(*columns, F.when(chosen, F.col("place")).alias("rank"), F.when(chosen, "selected").otherwise("rejected").alias("status"), reasons.alias("reasons"))
     wrong = own.where(F.size("errors") > 0).select(*columns, F.lit(None).cast("int").alias("rank"), F.lit("rejected").alias("status"), F.array_join("errors", "; ").alias("reasons"))
-    return chosen.union(lost).union(wrong)
+    return judged.union(wrong)
 
 
 def in_order(ranked: DataFrame) -> DataFrame:
