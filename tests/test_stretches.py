@@ -7,7 +7,7 @@ import random
 import pytest
 from compare import TINY
 
-from tidemark.operators import carry, tracks
+from tidemark.operators import carry, folds, tracks
 from tidemark.plans import registry
 
 
@@ -49,3 +49,39 @@ def test_crops_do_not_depend_on_batches(spark):
 def test_candidates_are_folded_once(spark):
     plan = registry.queries()["rank_reasons"](spark, TINY)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "Join" not in plan
+
+
+def test_checked_crops_are_summed_where_they_lie(spark):
+    plan = registry.queries()["imported_manifests"](spark, TINY)._jdf.queryExecution().executedPlan().toString()
+    dealt = plan[: plan.index("MapInArrow")].rpartition("Exchange")[2]  # what is done with crops before their first exchange
+    assert "HashAggregate" in dealt and "Join" not in dealt and "Sort" not in dealt
+
+
+def test_crops_do_not_depend_on_what_is_gathered(spark, monkeypatch):
+    r = random.Random(4)
+    rows = [(s, h, f, r.randrange(10**6), r.randrange(10**6), r.choice([None, r.randrange(10**6)])) for s, h, n in [(1, 1, 90), (1, None, 40), *((2, h, h) for h in range(40))] for f in range(n)]
+    own = spark.createDataFrame(rows, "source_id long, shot_id long, frame long, cx long, cy long, box_height long").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    got = []
+    for together in (1, 12, folds.TOGETHER):
+        monkeypatch.setattr(folds, "TOGETHER", together)
+        got.append(sorted(map(tuple, tracks.crop_frames(own, 1920, 1080, 9, 16, zoom=(1.0, 1.25)).collect()), key=repr))
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got[0]) == len(rows) and got[0] == got[1] == got[2]
+
+
+@pytest.mark.parametrize("size", [None, 640])
+def test_errors_of_tracks(spark, size):
+    tracked = {
+        1: list(range(200)), 2: [f for f in range(200) if f != 63], 3: [*range(64), 63, *range(65, 200)], 4: list(range(-70, 70)),
+        5: [0, 1, None], 6: [None], 7: list(range(130)), 8: list(range(130)), 10: [2**40, 2**40 + 1],
+    }
+    crop = {(7, 65): (0.0, 0.0, 300.0, 360.0), (7, 64): (500.0, 0.0, 202.5, 360.0), (7, 3): (0.0, 0.0, 202.5, 360.0), (8, 128): (0.0, -1.0, 202.5, 0.0), (8, 129): (0.0, -1.0, 202.5, 360.0)}
+    rows = [(s, f, *crop.get((s, f), (10.0, 0.0, 202.5, 360.0))) for s, frames in tracked.items() for f in frames]
+    videos = spark.createDataFrame([(s, 640, 360, len(tracked.get(s, ()))) for s in (*tracked, 9)], "source_id long, w int, h int, total long")
+    if size:
+        videos = videos.drop("w", "h")
+    crops = spark.createDataFrame([*rows, (11, 0, 0.0, 0.0, 1.0, 1.0)], "source_id long, frame long, x double, y double, width double, height double").repartition(5)
+    got = {r["source_id"]: r["errors"] for r in tracks.track_errors(crops, videos, 9, 16, size, size and 360).collect()}
+    gap, start = "frame records are not continuous", "frame records must start at 0"
+    assert got == {1: "", 2: gap, 3: gap, 4: start, 5: gap, 6: gap, 7: "frame 64: crop exceeds source bounds", 8: "frame 128: non-positive crop", 9: "no frame records", 10: start}

@@ -13,6 +13,8 @@ from pyspark.sql.types import DataType, LongType, StructField, StructType
 
 #: Keys of a batch are stepped side by side where so many are, on average.
 MANY = 12
+#: Rows that along() hands to its kernel at once, where a partition has as many.
+TOGETHER = 1 << 16
 
 
 def _values(batch: pa.RecordBatch, columns: list[str]):
@@ -148,7 +150,25 @@ def stepped(batches: Iterator[pa.RecordBatch], keys: list[str], inputs: list[str
         yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, results)], names=[*names, *outs])
 
 
-def along(df: DataFrame, keys: list[str], order: list[str], outs: list[str], kernel: Callable) -> DataFrame:
-    """df with long columns `outs`, which `kernel` adds to each partition's batches, in the order of keys and `order`; rows of a key are together."""
-    given = df.repartition(*keys).sortWithinPartitions(*keys, *order)
-    return given.mapInArrow(kernel, StructType([*df.schema.fields, *(StructField(c, LongType()) for c in outs)]))
+def gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least `rows`, but for the last: the more keys a batch has, the less does a step cost each."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            yield pa.concat_batches(held)
+            held, count = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def along(df: DataFrame, keys: list[str], order: list[str], kept: list[str], outs: list[str], kernel: Callable) -> DataFrame:
+    """The columns `kept` of df and long columns `outs`, which `kernel` adds to each partition's batches, in the order of keys and `order`; rows of a key are together."""
+    given, together = df.repartition(*keys).sortWithinPartitions(*keys, *order), TOGETHER
+
+    def only(batches):
+        for batch in kernel(gathered(batches, together)):
+            yield batch.select([*kept, *outs])
+
+    return given.mapInArrow(only, StructType([*(df.schema[c] for c in kept), *(StructField(c, LongType()) for c in outs)]))

@@ -247,7 +247,7 @@ def crop_frames(records: DataFrame, width: int, height: int, out_width: int, out
         smoothed = folds.averaged(batches, windows, "__i", "__n")
         return folds.stepped(smoothed, keys, ["cx", "cy", "z"], ["__x", "__y", "__z"], begin, step)
 
-    own = folds.along(own.select(*keys, "frame", "cx", "cy", "z", *rest, "__i", "__n"), keys, ["frame"], ["__x", "__y", "__z"], kernel)
+    own = folds.along(own.select(*keys, "frame", "cx", "cy", "z", *rest, "__i", "__n"), keys, ["frame"], [*keys, "frame", *rest], ["__x", "__y", "__z"], kernel)
     own = own.select(*keys, "frame", *rest, F.col("__x").alias("x"), F.col("__y").alias("y"), F.col("__z").alias("z")).withColumn("w", F.expr(f"{native_w}000000L div z")).withColumn("h", F.expr(f"{native_h}000000L div z"))
     x = F.least(F.greatest(F.expr("x - w div 2"), F.lit(0)), F.lit(width * 1000) - F.col("w"))
     y = F.least(F.greatest(F.expr("y - h * 4 div 100 - h div 2"), F.lit(0)), F.lit(height * 1000) - F.col("h"))
@@ -270,22 +270,34 @@ def canvas_transforms(crops: DataFrame, out_width: int, out_height: int) -> Data
     return own.select("source_id", "frame", F.col("sx").alias("scale"), (-(F.col("x") / 1000.0) * F.col("sx")).alias("dx"), (-(F.col("y") / 1000.0) * F.col("sy")).alias("dy"), F.when(F.abs(F.col("sx") - F.col("sy")) > 0.001, "Crop aspect does not match the canvas").alias("error"))
 
 
-def track_errors(crops: DataFrame, videos: DataFrame, out_width: int | None = None, out_height: int | None = None) -> DataFrame:
+#: What can be wrong with a crop, in the order in which it is named.
+CROP_ERRORS = ("non-positive crop", "crop origin outside source", "crop exceeds source bounds", "crop aspect does not match output")
+
+
+def track_errors(crops: DataFrame, videos: DataFrame, out_width: int | None = None, out_height: int | None = None, width: int | None = None, height: int | None = None) -> DataFrame:
     """(source_id, passed, errors) of crop frames (source_id, frame, x, y, width, height) against videos (source_id, w, h, total): order, count, and the first offending frame.
 
-    Without an output's size, each video has its own (out_width, out_height).
+    Without an output's size, each video has its own (out_width, out_height). Where all sources have one size (width, height), videos
+    need no w and h, and crops are summed up where they lie; else a track's rows are dealt once, for the join with their video and the sums.
     """
     aspect = F.col("out_width") / F.col("out_height") if out_width is None else F.lit(out_width / out_height)
-    rule = (
-        F.when((F.col("width") <= 0) | (F.col("height") <= 0), "non-positive crop")
-        .when((F.col("x") < -0.5) | (F.col("y") < -0.5), "crop origin outside source")
-        .when((F.col("x") + F.col("width") > F.col("w") + 0.5) | (F.col("y") + F.col("height") > F.col("h") + 0.5), "crop exceeds source bounds")
-        .when(F.abs(F.col("width") / F.col("height") - aspect) > 0.01, "crop aspect does not match output")
+    w, h = (F.col("w"), F.col("h")) if width is None else (F.lit(width), F.lit(height))
+    wrong = (
+        (F.col("width") <= 0) | (F.col("height") <= 0),
+        (F.col("x") < -0.5) | (F.col("y") < -0.5),
+        (F.col("x") + F.col("width") > w + 0.5) | (F.col("y") + F.col("height") > h + 0.5),
+        F.abs(F.col("width") / F.col("height") - aspect) > 0.01,
+    )
+    own = crops if width is not None and out_width is not None else crops.join(videos, "source_id")
+    own = own.withColumn("rule", F.coalesce(*(F.when(test, k) for k, test in enumerate(wrong))))
+    # 64 frames are one row of sums, whose bits say which are there: whole numbers only, and so many times fewer rows to deal than frames
+    firsts = [f"__first_{k}" for k in range(len(wrong))]
+    own = own.groupBy("source_id", F.expr("shiftright(cast(frame as bigint), 6)").alias("__block")).agg(
+        F.min("frame").alias("least"), F.max("frame").alias("most"), F.count("*").alias("n"), F.expr("bit_or(shiftleft(1L, cast(cast(frame as bigint) & 63 as int)))").alias("__bits"),
+        *(F.min(F.when(F.col("rule") == k, F.col("frame"))).alias(c) for k, c in enumerate(firsts)),
     )
-    # the video's row is joined by key, so a track's rows shuffle once for both the join and the sums
-    own = crops.join(videos, "source_id").withColumn("rule", rule)
-    wrong = F.when(F.col("rule").isNotNull(), F.col("frame"))
-    sums = own.groupBy("source_id").agg(F.min("frame").alias("least"), F.max("frame").alias("most"), F.count("*").alias("n"), F.count_distinct("frame").alias("d"), F.min(wrong).alias("at"), F.min_by("rule", wrong).alias("rule"))
+    sums = own.groupBy("source_id").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.sum("n").alias("n"), F.coalesce(F.sum(F.bit_count("__bits")), F.lit(0)).alias("d"), *(F.min(c).alias(c) for c in firsts))
+    sums = sums.withColumn("at", F.least(*firsts)).withColumn("rule", F.coalesce(*(F.when(F.col(c) == F.col("at"), text) for c, text in zip(firsts, CROP_ERRORS))))
     both = videos.join(sums, "source_id", "left")
     errors = F.when(F.col("n").isNull(), F.array(F.lit("no frame records"))).otherwise(F.array_compact(F.array(
         F.when((F.col("d") < F.col("n")) | (F.col("most") - F.col("least") + 1 != F.col("n")), "frame records are not continuous"),

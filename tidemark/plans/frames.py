@@ -133,9 +133,9 @@ def static_records(spark, sf_dir):
     SELECT source_id, source_id % 2 = 0 AS passed, CASE WHEN source_id % 2 = 0 THEN '' ELSE 'expected ' || total || ' records, found ' || total - 1 END AS errors, 'external' AS tier, CASE WHEN source_id % 2 = 0 THEN 'review-pending' ELSE 'failed' END AS status FROM v""")
 def imported_manifests(spark, sf_dir):
     """Foreign crops are validated; the state follows from that alone."""
-    videos = tables.track_shots(spark, sf_dir).groupBy("source_id").agg(F.max("end_frame").alias("n")).select("source_id", F.lit(WIDTH).alias("w"), F.lit(HEIGHT).alias("h"), (F.col("n") + F.col("source_id") % 2).alias("total"))
+    videos = tables.track_shots(spark, sf_dir).groupBy("source_id").agg(F.max("end_frame").alias("n")).select("source_id", (F.col("n") + F.col("source_id") % 2).alias("total"))
     pixels = _crops(spark, sf_dir).select("source_id", "frame", *((F.col(c) / 1000.0).alias(c) for c in ("x", "y", "width", "height")))
-    return runs.imported(tracks.track_errors(pixels, videos, 9, 16))
+    return runs.imported(tracks.track_errors(pixels, videos, 9, 16, WIDTH, HEIGHT))
 
 
 @query("active_tokens", f"""WITH {_WORDS}, f AS (SELECT source_id, unnest(range(0, m * 30 // 1000 + 40, 40)) AS frame FROM (SELECT source_id, max(end_ms) AS m FROM words GROUP BY source_id))
