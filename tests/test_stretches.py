@@ -7,7 +7,7 @@ import random
 import pytest
 from compare import TINY
 
-from tidemark.operators import carry, folds, tracks
+from tidemark.operators import carry, folds, runs, tracks
 from tidemark.plans import registry
 
 
@@ -85,3 +85,30 @@ def test_errors_of_tracks(spark, size):
     got = {r["source_id"]: r["errors"] for r in tracks.track_errors(crops, videos, 9, 16, size, size and 360).collect()}
     gap, start = "frame records are not continuous", "frame records must start at 0"
     assert got == {1: "", 2: gap, 3: gap, 4: start, 5: gap, 6: gap, 7: "frame 64: crop exceeds source bounds", 8: "frame 128: non-positive crop", 9: "no frame records", 10: start}
+
+
+@pytest.mark.parametrize("name", ["weak_ranges", "reviewed_ranges", "track_counts"])
+def test_weak_frames_are_not_made(spark, name):
+    assert "explode(sequence(first" not in registry.queries()[name](spark, TINY)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("span", [7, 1 << 15])
+def test_stretches_count_as_their_frames(spark, monkeypatch, span):
+    monkeypatch.setattr(carry, "SPAN", span)
+    r = random.Random(span)
+    shots, samples = [], []
+    for s in (*range(25), None):
+        begin = r.randrange(-20, 20)
+        for h in range(r.randrange(1, 5)):
+            end = begin + r.randrange(0, 30)
+            shots.append((s, h, begin, end))
+            samples += [(s, h, f, *((1, 2, 3, 9) if r.random() < 0.9 else (None,) * 4), r.choice([0.0, 0.1, 0.29996, 0.3, 0.9]), "d") for f in range(begin - 3, end + 3) if h and r.random() < r.choice([0.1, 0.4])]
+            begin = end + r.choice([0, 0, 6])
+    shots = spark.createDataFrame(shots, "source_id long, shot_id long, start_frame long, end_frame long")
+    samples = spark.createDataFrame(samples, "source_id long, shot_id long, frame long, x0 int, y0 int, x1 int, y1 int, confidence double, detector string")
+    frames, own = tracks.frame_records(shots, samples, 640, 360), tracks.record_stretches(shots, samples)
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(own.selectExpr("source_id", "shot_id", "explode(sequence(frame, last_frame))", "confidence", "flags")) == rows(frames.select("source_id", "shot_id", "frame", "confidence", "flags"))
+    weak = [tracks.weak_ranges(df, 0.3) for df in (own, frames)]
+    assert rows(weak[0]) == rows(weak[1])
+    assert rows(runs.track_counts(shots, samples, own, weak[0])) == rows(runs.track_counts(shots, samples, frames, weak[1]))

@@ -97,17 +97,17 @@ def stretches(anchors: DataFrame, ranges: DataFrame, keys: list[str], order: str
     return own.where(first <= last).select(*(F.col("__key").getField(k).alias(k) for k in keys), first.alias("first"), last.alias("last"), F.coalesce("prev", "__prev").alias("prev"), F.coalesce("next", "__next").alias("next"), "final")
 
 
-def runs(df: DataFrame, keys: list[str], order: str, holds: str, span: int | None = None) -> DataFrame:
+def runs(df: DataFrame, keys: list[str], order: str, holds: str, span: int | None = None, until: str | None = None) -> DataFrame:
     """(*keys, start, end) of runs of rows where the boolean column `holds`: from a run's first `order` to that of the row behind it, or one behind its last where none follows.
 
     Runs inside a chunk are whole; those at its edges, two a chunk at most, are joined along the key. Both take one way
-    through the data. `order` has no ties.
+    through the data. `order` has no ties. A row may stand for all values from its `order` to its `until`; no other row lies between.
     """
-    own = df.select(*keys, order, holds).withColumn("__chunk", chunk_of(order, span))
+    own = df.select(*keys, order, holds, *([until] if until else [])).withColumn("__chunk", chunk_of(order, span))
     local = W.partitionBy(*keys, "__chunk").orderBy(order)
     change = F.when(F.col(holds) != F.coalesce(F.lag(holds).over(local), ~F.col(holds)), 1).otherwise(0)
     marked = own.withColumns({"__following": F.lead(order).over(local), "__i": F.row_number().over(local), "__change": change}).withColumn("__run", F.sum("__change").over(local))
-    pieces = marked.groupBy(*keys, "__chunk", "__run").agg(F.min(order).alias("start"), F.max(order).alias("__final"), F.max("__following").alias("__next"), (F.min("__i") == 1).alias("__head"), F.max(F.col("__following").isNull()).alias("__tail"), F.first(holds).alias("__holds"))
+    pieces = marked.groupBy(*keys, "__chunk", "__run").agg(F.min(order).alias("start"), F.max(until or order).alias("__final"), F.max("__following").alias("__next"), (F.min("__i") == 1).alias("__head"), F.max(F.col("__following").isNull()).alias("__tail"), F.first(holds).alias("__holds"))
     # pieces at edges meet along the key; a chunk's last piece is followed by the first of the next chunk
     edge = F.col("__head") | F.col("__tail")
     pieces = pieces.withColumn("__part", F.when(~edge, F.col("__chunk")))

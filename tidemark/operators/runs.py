@@ -99,8 +99,12 @@ def accepted(ranges: DataFrame, reviewer: str, note: str, accept: Column) -> Dat
 
 
 def track_counts(shots: DataFrame, sampled: DataFrame, frames: DataFrame, weak: DataFrame) -> DataFrame:
-    """(source_id, n_shots, n_sampled, n_frames, n_unresolved) of every source with shots: what the report of a reframing counts."""
-    each = lambda df, kind: df.groupBy("source_id").agg(F.count("*").alias("n")).select("source_id", F.lit(kind).alias("kind"), "n")
+    """(source_id, n_shots, n_sampled, n_frames, n_unresolved) of every source with shots: what the report of a reframing counts.
+
+    A row of `frames` is a frame, or stands for all from `frame` to `last_frame` where there is such a column.
+    """
+    number = lambda df: F.sum(F.col("last_frame") - F.col("frame") + 1) if "last_frame" in df.columns else F.count("*")
+    each = lambda df, kind: df.groupBy("source_id").agg(number(df).alias("n")).select("source_id", F.lit(kind).alias("kind"), "n")
     kinds = {"n_shots": shots, "n_sampled": sampled, "n_frames": frames, "n_unresolved": weak}
     whole = reduce(DataFrame.unionByName, (each(df, kind) for kind, df in kinds.items()))
     count = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("n"))), F.lit(0)).alias(kind)

@@ -26,6 +26,43 @@ def interpolate(samples: DataFrame) -> DataFrame:
     return own.select("source_id", "shot_id", "frame", cx.alias("cx"), confidence.alias("confidence"))
 
 
+def _anchored(shots: DataFrame, samples: DataFrame) -> DataFrame:
+    """(source_id, shot_id, first, last, prev, next, final): stretches of frames between anchors, see carry.stretches()."""
+    kind = "struct<frame:bigint,cx:bigint,cy:bigint,h:bigint,confidence:double,detector:string>"
+    anchor = F.struct(F.col("frame").cast("long"), ((F.col("x0") + F.col("x1")) * 500).cast("long"), ((F.col("y0") + F.col("y1")) * 500).cast("long"), ((F.col("y1") - F.col("y0")) * 1000).cast("long"), F.col("confidence").cast("double"), "detector").cast(kind)
+    found = samples.where("x0 is not null").select("source_id", "shot_id", F.col("frame").cast("long").alias("frame"), anchor.alias("anchor"))
+    extents = shots.where("end_frame > start_frame").select("source_id", "shot_id", F.col("start_frame").cast("long").alias("first"), (F.col("end_frame").cast("long") - 1).alias("last"))
+    return carry.stretches(found, extents, ["source_id", "shot_id"], "frame", "anchor")
+
+
+def _by_place(none, first, last, mid):
+    """What holds in a stretch without anchors in its shot, before the first, behind the last, and between two."""
+    return F.when(F.col("final").isNull(), none).when(F.col("prev").isNull(), first).when(F.col("next").isNull(), last).otherwise(mid)
+
+
+def _confidence():
+    """The confidence of a stretch's frames before the last anchor, and from it on (null where the stretch lies before it)."""
+    return _by_place(F.lit(0.0), F.col("next.confidence"), F.col("final.confidence"), F.least("prev.confidence", "next.confidence")), F.when(F.col("prev").isNotNull(), F.col("final.confidence"))
+
+
+def _flags(confidence):
+    return F.when(confidence > 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("no-detection")))
+
+
+def record_stretches(shots: DataFrame, samples: DataFrame) -> DataFrame:
+    """(source_id, shot_id, frame, last_frame, confidence, flags): what frame_records() gives, for stretches of frames that have it in common.
+
+    There are as many as samples and shots, whatever the frames between them.
+    """
+    before, behind = _confidence()
+    since = F.when(F.col("prev").isNotNull(), F.col("final.frame"))
+    # the frames up to the last anchor's and those from it on have confidences of their own
+    part = lambda first, last, confidence: F.struct(first.alias("frame"), last.alias("last_frame"), F.round(confidence, 4).alias("confidence"))
+    parts = F.array(part(F.col("first"), F.least(F.col("last"), since - 1), before), part(F.when(since.isNotNull(), F.greatest(F.col("first"), since)), F.col("last"), behind))
+    own = _anchored(shots, samples).select("source_id", "shot_id", F.inline(parts)).where("frame <= last_frame")
+    return own.withColumn("flags", _flags(F.col("confidence")))
+
+
 def frame_records(shots: DataFrame, samples: DataFrame, width: int, height: int, by_shot: bool = False) -> DataFrame:
     """One record for every frame of every shot: (source_id, shot_id, frame, cx, cy, box_height, confidence, flags, detector).
 
@@ -37,20 +74,15 @@ def frame_records(shots: DataFrame, samples: DataFrame, width: int, height: int,
     Samples and shots are dealt and sorted, frames are made where the stretch between two samples lies. `by_shot` deals the stretches
     by shot first, so that what goes along shots next does not deal the frames.
     """
-    kind = "struct<frame:bigint,cx:bigint,cy:bigint,h:bigint,confidence:double,detector:string>"
-    anchor = F.struct(F.col("frame").cast("long"), ((F.col("x0") + F.col("x1")) * 500).cast("long"), ((F.col("y0") + F.col("y1")) * 500).cast("long"), ((F.col("y1") - F.col("y0")) * 1000).cast("long"), F.col("confidence").cast("double"), "detector").cast(kind)
-    found = samples.where("x0 is not null").select("source_id", "shot_id", F.col("frame").cast("long").alias("frame"), anchor.alias("anchor"))
-    extents = shots.where("end_frame > start_frame").select("source_id", "shot_id", F.col("start_frame").cast("long").alias("first"), (F.col("end_frame").cast("long") - 1).alias("last"))
-    held = carry.stretches(found, extents, ["source_id", "shot_id"], "frame", "anchor")
     # what a stretch's frames share is worked out once a stretch: where its line starts, how far and how long it goes, and what holds from the last anchor on
-    case = lambda none, first, last, mid: F.when(F.col("final").isNull(), none).when(F.col("prev").isNull(), first).when(F.col("next").isNull(), last).otherwise(mid)
-    fixed = lambda c, none: case(F.lit(none).cast("long"), F.col(f"next.{c}"), F.col(f"final.{c}"), F.col(f"prev.{c}")).alias(f"__{c}")
+    fixed = lambda c, none: _by_place(F.lit(none).cast("long"), F.col(f"next.{c}"), F.col(f"final.{c}"), F.col(f"prev.{c}")).alias(f"__{c}")
     change = lambda c: F.when(F.col("prev").isNull() | F.col("next").isNull(), 0).otherwise(F.col(f"next.{c}") - F.col(f"prev.{c}")).alias(f"__change_{c}")
     from_last = lambda c: F.when(F.col("prev").isNotNull(), F.col(f"final.{c}")).alias(f"__final_{c}")
-    held = held.select(
+    before, behind = _confidence()
+    held = _anchored(shots, samples).select(
         "source_id", "shot_id", "first", "last", *(f(c) for c in ("cx", "cy", "h") for f in (change, from_last)), fixed("cx", width * 500), fixed("cy", height * 500), fixed("h", None),
-        F.coalesce("prev.frame", F.lit(0)).alias("__since"), F.coalesce(F.col("next.frame") - F.col("prev.frame"), F.lit(1)).alias("__over"), from_last("frame"), from_last("confidence"), from_last("detector"),
-        case(F.lit(0.0), F.col("next.confidence"), F.col("final.confidence"), F.least("prev.confidence", "next.confidence")).alias("__confidence"), case(F.lit("center"), F.col("next.detector"), F.col("final.detector"), F.col("prev.detector")).alias("__detector"),
+        F.coalesce("prev.frame", F.lit(0)).alias("__since"), F.coalesce(F.col("next.frame") - F.col("prev.frame"), F.lit(1)).alias("__over"), from_last("frame"), behind.alias("__final_confidence"), from_last("detector"),
+        before.alias("__confidence"), _by_place(F.lit("center"), F.col("next.detector"), F.col("final.detector"), F.col("prev.detector")).alias("__detector"),
     )
     if by_shot:
         held = held.repartition("source_id", "shot_id")
@@ -59,8 +91,7 @@ def frame_records(shots: DataFrame, samples: DataFrame, width: int, height: int,
     value = lambda c: F.when(last, F.col(f"__final_{c}")).otherwise(F.expr(f"__{c} + __change_{c} * (frame - __since) div __over"))
     confidence = F.round(F.when(last, F.col("__final_confidence")).otherwise(F.col("__confidence")), 4)
     detector = F.when(last, F.col("__final_detector")).otherwise(F.col("__detector"))
-    flags = F.when(confidence > 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("no-detection")))
-    return every.select("source_id", "shot_id", "frame", value("cx").alias("cx"), value("cy").alias("cy"), value("h").alias("box_height"), confidence.alias("confidence"), flags.alias("flags"), detector.alias("detector"))
+    return every.select("source_id", "shot_id", "frame", value("cx").alias("cx"), value("cy").alias("cy"), value("h").alias("box_height"), confidence.alias("confidence"), _flags(confidence).alias("flags"), detector.alias("detector"))
 
 
 def static_records(totals: DataFrame, cx: int, cy: int) -> DataFrame:
@@ -70,11 +101,14 @@ def static_records(totals: DataFrame, cx: int, cy: int) -> DataFrame:
 
 
 def weak_ranges(records: DataFrame, least: float) -> DataFrame:
-    """(source_id, start_frame, end_frame): runs of frames with confidence under `least` or with any of `flags` (where there is such a column); a run may cross shots and ends at the next strong frame."""
+    """(source_id, start_frame, end_frame): runs of frames with confidence under `least` or with any of `flags` (where there is such a column); a run may cross shots and ends at the next strong frame.
+
+    A record is a frame, or stands for all from `frame` to `last_frame` where there is such a column.
+    """
     weak = F.coalesce("confidence", F.lit(0)) < least
     if "flags" in records.columns:
         weak = weak | (F.size(F.coalesce("flags", F.array().cast("array<string>"))) > 0)
-    own = carry.runs(records.withColumn("__weak", weak), ["source_id"], "frame", "__weak")
+    own = carry.runs(records.withColumn("__weak", weak), ["source_id"], "frame", "__weak", until="last_frame" if "last_frame" in records.columns else None)
     return own.select("source_id", F.col("start").alias("start_frame"), F.col("end").alias("end_frame"))
 
 

@@ -34,6 +34,10 @@ def _records(spark, sf_dir, by_shot=False):
     return tracks.frame_records(tables.track_shots(spark, sf_dir), tables.boxes(spark, sf_dir), WIDTH, HEIGHT, by_shot)
 
 
+def _stretches(spark, sf_dir):
+    return tracks.record_stretches(tables.track_shots(spark, sf_dir), tables.boxes(spark, sf_dir))
+
+
 @query("frame_records", f"""WITH {_RECORDS} SELECT source_id, shot_id, frame, cx, cy, (cx - box_height * 0.25) / 1000.0 AS box_left, (cy + box_height * 0.5) / 1000.0 AS box_bottom, confidence,
     CASE WHEN confidence > 0 THEN '' ELSE 'no-detection' END AS flags, detector FROM rec""")
 def frame_records(spark, sf_dir):
@@ -51,7 +55,7 @@ _WEAK = f"""{_RECORDS}, w AS (SELECT source_id, frame, confidence < 0.3 AS weak,
 @query("weak_ranges", f"WITH {_WEAK} SELECT * FROM r")
 def weak_ranges(spark, sf_dir):
     """Runs of frames without enough confidence, or with a flag."""
-    return tracks.weak_ranges(_records(spark, sf_dir), 0.3)
+    return tracks.weak_ranges(_stretches(spark, sf_dir), 0.3)
 
 
 @query("reviewed_ranges", f"""WITH {_WEAK} SELECT *, CASE WHEN end_frame - start_frame <= 5 THEN 'accepted' ELSE 'unresolved' END AS state, CASE WHEN end_frame - start_frame <= 5 THEN 'dev' END AS accepted_by,

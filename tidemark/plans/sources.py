@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import ranking, runs, sequences, tracks
 from tidemark.plans.footage import TRACK_ERRORS, checked_crops
-from tidemark.plans.frames import _WEAK, _records
+from tidemark.plans.frames import _WEAK, _stretches
 from tidemark.plans.media import _CANDIDATES, _WORDS, WINDOWS
 from tidemark.plans.registry import query
 from tidemark.sources import documents, files, tables
@@ -77,5 +77,5 @@ def selection_counts(spark, sf_dir):
     SELECT source_id, n_shots, n_sampled, n_frames, coalesce(n_unresolved, 0) AS n_unresolved FROM n JOIN s USING (source_id) LEFT JOIN u USING (source_id)""")
 def track_counts(spark, sf_dir):
     """How many shots, samples, frames and unresolved ranges the report of a source counts."""
-    records = _records(spark, sf_dir)
-    return runs.track_counts(tables.track_shots(spark, sf_dir), tables.boxes(spark, sf_dir), records, tracks.weak_ranges(records, 0.3))
+    stretches = _stretches(spark, sf_dir)
+    return runs.track_counts(tables.track_shots(spark, sf_dir), tables.boxes(spark, sf_dir), stretches, tracks.weak_ranges(stretches, 0.3))
